@@ -1,0 +1,220 @@
+"""Every registered query, as (spark, sf_dir) -> DataFrame over the given tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shelfline.functions.columns import money
+from shelfline.model import INVENTORY, PROCESSING_DATE, POS
+from shelfline.operators import cells, dedup, enrich, kpis, validate
+from shelfline.session import prepare
+from shelfline.sources import tables
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(fn: Query) -> Query:
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(prepare(spark), sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
+
+
+# --- batch feeds: checks, enrichment, de-duplication
+
+
+def _pos_checked(spark, sf):
+    raw = enrich.stamp_date(tables.pos_raw(spark, sf), tables.RUN_DATE)
+    return validate.check(raw, POS)
+
+
+def _inventory_checked(spark, sf):
+    raw = enrich.stamp_date(tables.inventory_raw(spark, sf), tables.RUN_DATE)
+    return validate.check(raw, INVENTORY)
+
+
+def _pos_enriched(spark, sf):
+    return enrich.enrich_pos(validate.valid_rows(_pos_checked(spark, sf)))
+
+
+def _inventory_enriched(spark, sf):
+    return enrich.enrich_inventory(validate.valid_rows(_inventory_checked(spark, sf)))
+
+
+def _pos_silver(spark, sf):
+    rows = _pos_enriched(spark, sf)
+    return dedup.latest_per_key(rows, [PROCESSING_DATE, POS.key], "transaction_timestamp")
+
+
+def _inventory_silver(spark, sf):
+    rows = _inventory_enriched(spark, sf)
+    return dedup.latest_per_key(rows, [PROCESSING_DATE, INVENTORY.key], "last_updated")
+
+
+@query
+def pos_valid(spark, sf):
+    return validate.valid_rows(_pos_checked(spark, sf))
+
+
+@query
+def pos_invalid(spark, sf):
+    return validate.invalid_rows(_pos_checked(spark, sf))
+
+
+@query
+def inventory_valid(spark, sf):
+    return validate.valid_rows(_inventory_checked(spark, sf))
+
+
+@query
+def inventory_invalid(spark, sf):
+    return validate.invalid_rows(_inventory_checked(spark, sf))
+
+
+@query
+def pos_text_valid(spark, sf):
+    return validate.valid_rows(validate.check(tables.pos_text(spark, sf), POS))
+
+
+@query
+def pos_text_invalid(spark, sf):
+    return validate.invalid_rows(validate.check(tables.pos_text(spark, sf), POS))
+
+
+@query
+def pos_missing_column(spark, sf):
+    """A frame without a required column is rejected whole."""
+    return validate.invalid_rows(
+        validate.check(tables.pos_raw(spark, sf).drop("store_id", "quantity"), POS)
+    )
+
+
+@query
+def inventory_missing_nullable(spark, sf):
+    """An absent nullable column is filled with NULL and rejects nothing."""
+    raw = tables.inventory_raw(spark, sf).drop("restock_threshold")
+    return validate.valid_rows(validate.check(raw, INVENTORY))
+
+
+@query
+def pos_validation_summary(spark, sf):
+    return validate.summary(_pos_checked(spark, sf))
+
+
+@query
+def inventory_validation_summary(spark, sf):
+    return validate.summary(_inventory_checked(spark, sf))
+
+
+@query
+def pos_enriched(spark, sf):
+    return _pos_enriched(spark, sf)
+
+
+@query
+def inventory_enriched(spark, sf):
+    return _inventory_enriched(spark, sf)
+
+
+@query
+def pos_dedup(spark, sf):
+    return _pos_silver(spark, sf)
+
+
+@query
+def inventory_dedup(spark, sf):
+    return _inventory_silver(spark, sf)
+
+
+@query
+def dedup_report(spark, sf):
+    pos = dedup.dedup_report(_pos_enriched(spark, sf), POS.key)
+    inv = dedup.dedup_report(_inventory_enriched(spark, sf), INVENTORY.key)
+    return pos.withColumn("source_type", F.lit(POS.name)).unionByName(
+        inv.withColumn("source_type", F.lit(INVENTORY.name))
+    )
+
+
+@query
+def lineitem_dedup(spark, sf):
+    rows = tables.table(spark, sf, "lineitem")
+    return dedup.latest_per_key(rows, ["l_orderkey", "l_linenumber"], "l_shipdate")
+
+
+# --- cells and daily figures
+
+
+def _cells(spark, sf):
+    return cells.match_cells(
+        cells.inventory_cells(_inventory_silver(spark, sf)),
+        cells.pos_cells(_pos_silver(spark, sf)),
+    )
+
+
+@query
+def inventory_bucket_agg(spark, sf):
+    return cells.inventory_cells(_inventory_silver(spark, sf))
+
+
+@query
+def pos_bucket_agg(spark, sf):
+    return (
+        cells.pos_cells(_pos_silver(spark, sf))
+        .drop("store_sales")
+        .withColumn("total_revenue", money(F.col("total_revenue")))
+        .withColumn("total_discount", money(F.col("total_discount")))
+    )
+
+
+@query
+def bucket_join(spark, sf):
+    return (
+        cells.matched(_cells(spark, sf))
+        .drop("store_sales")
+        .withColumn("total_revenue", money(F.col("total_revenue")))
+        .withColumn("total_discount", money(F.col("total_discount")))
+    )
+
+
+@query
+def failed_joins(spark, sf):
+    return cells.failed(_cells(spark, sf))
+
+
+@query
+def sales_kpis(spark, sf):
+    return kpis.sales_kpis(cells.matched(_cells(spark, sf)))
+
+
+@query
+def inventory_kpis(spark, sf):
+    return kpis.inventory_kpis(cells.matched(_cells(spark, sf)))
+
+
+@query
+def inventory_kpis_priced(spark, sf):
+    """Stock valued with a product dimension in place of the placeholder cost."""
+    products = tables.product_dimension(spark, sf)
+    return kpis.inventory_kpis(cells.matched(_cells(spark, sf), products))
+
+
+@query
+def regional_kpis(spark, sf):
+    return kpis.regional_kpis(cells.matched(_cells(spark, sf)))
+
+
+@query
+def regional_kpis_exact(spark, sf):
+    return kpis.regional_kpis_exact(cells.matched(_cells(spark, sf)))
+
+
+@query
+def processing_metrics(spark, sf):
+    return kpis.processing_metrics(_cells(spark, sf))
