@@ -163,7 +163,7 @@ FROM (SELECT processing_date,
     (SELECT count(*) FROM inv_cells s WHERE s.processing_date = d.processing_date) AS inv_cells
   FROM (SELECT processing_date FROM inv_cells UNION SELECT processing_date FROM pos_cells) d)"""
 
-ORACLES: dict[str, str] = {
+BATCH_ORACLES: dict[str, str] = {
     "pos_valid": f"WITH {POS_STEPS} SELECT * FROM pos_valid",
     "pos_invalid": f"WITH {POS_STEPS} SELECT * FROM pos_checked WHERE error_reason IS NOT NULL",
     "inventory_valid": f"WITH {INVENTORY_STEPS} SELECT * FROM inv_valid",

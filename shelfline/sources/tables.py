@@ -166,3 +166,70 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
              WHEN 4 THEN base64(encode(concat('[', value, ']'), 'utf-8'))
              ELSE base64(encode(value, 'utf-8')) END AS data""",
     )
+
+
+def number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text per event that may or may not be a number or a time."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        """CASE event_id % 16 WHEN 0 THEN '3.7' WHEN 1 THEN 'x' WHEN 2 THEN null
+             WHEN 3 THEN 'NaN' WHEN 4 THEN '1e12' WHEN 5 THEN '-inf' WHEN 6 THEN '' WHEN 7 THEN '3d'
+             WHEN 8 THEN '-2.9' WHEN 9 THEN ' 4 ' WHEN 10 THEN '0x10' ELSE string(value) END AS number""",
+        """CASE event_id % 9 WHEN 0 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+             WHEN 1 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') WHEN 2 THEN 'noTime'
+             WHEN 3 THEN null WHEN 4 THEN 'inf'
+             ELSE concat(unix_seconds(timestamp(ts)), '.0465686') END AS time""",
+        "repeat(concat(event_type, '-', user_id, '/'), int(event_id % 40)) AS text",
+    )
+
+
+def weblog_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered web log records, flat and nested under ``payload``."""
+    iso = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+    fields = """'"event_type":"', event_type, '","browser":"b', event_id % 4,
+        '","page":"', repeat(concat('/', event_type), int(event_id % 60)),
+        '","user_id":', user_id, ',"session_id":"s', event_id % 500, '"'"""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        f"""concat('{{', {fields}, ',"ingestion_timestamp":"', {iso}, '","event_timestamp":',
+              unix_seconds(timestamp(ts)), '.5}}') AS flat""",
+        f"""concat('{{"timestamp":', unix_seconds(timestamp(ts)), ',"payload":{{', {fields},
+              ',"timestamp":"', {iso}, '"}}}}') AS nested""",
+    )
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interface responses: a list, a list of one, a single record, or an empty list."""
+    return weblog_json(spark, sf_dir).selectExpr(
+        "event_id",
+        """CASE event_id % 4 WHEN 0 THEN concat('[', value, ',{"page":"other"}]')
+             WHEN 1 THEN concat(' [', value, ']') WHEN 2 THEN value ELSE '[]' END AS value""",
+    )
+
+
+RECORDS_PER_FILE = 500
+
+
+def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of one JSON file per 500 events, in five shapes; the last has a broken line."""
+    events = table(spark, sf_dir, "events").selectExpr(
+        f"event_id div {RECORDS_PER_FILE} AS file_no",
+        "event_id",
+        """concat('{"event_id":', event_id, ',"event_type":"', event_type, '","note":"[a], {b}',
+             if(event_id % 3 = 0, ' \\\\"q\\\\" \\\\\\\\', ''), '","props":', props, '}') AS record""",
+    )
+    files = events.groupBy("file_no").agg(
+        F.expr("transform(array_sort(collect_list(struct(event_id, record))), r -> r.record)").alias(
+            "records"
+        )
+    )
+    return files.selectExpr(
+        "file_no",
+        """CASE file_no % 5
+             WHEN 0 THEN array_join(records, '\n')
+             WHEN 1 THEN concat('[', array_join(records, ', '), ']')
+             WHEN 2 THEN concat('[\n', array_join(records, ',\n'), '\n]')
+             WHEN 3 THEN concat('[\n  ', replace(array_join(records, ',\n  '), ',"', ',\n    "'),
+               '\n]')
+             ELSE concat(array_join(records, '\n\n'), '\n{"broken": ') END AS text""",
+    )
