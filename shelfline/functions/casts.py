@@ -9,22 +9,32 @@ from pyspark.sql import types as T
 # timestamp_seconds overflows beyond this many seconds.
 _MAX_EPOCH_SECONDS = 9_223_372_036_854
 
-# Spellings the JVM reads as numbers although plain decimal parsing does not: a type
-# suffix (3d, 3f) and hexadecimal.
-_JVM_ONLY_NUMBER = r"(?i)^\s*[+-]?0x|[0-9.][df]\s*$"
+# What a cast is tried on. A failing cast costs an exception per row, so text that cannot
+# succeed is sorted out by pattern first.
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_WHOLE_AND_FRACTION = r"^\s*[+-]?\d+\.\d*\s*$"
+_MAYBE_FRACTIONAL = r"(?i)^\s*[+-]?(\.?\d|nan|inf)"
+# Decimal notation only: the JVM would also read type suffixes (3d) and hexadecimal.
+_DECIMAL = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
 def lenient_cast(c: Column, source: T.DataType, target: T.DataType) -> Column:
     """Cast to the declared type. Text such as ``3.7`` truncates for whole numbers."""
-    if isinstance(source, T.StringType) and isinstance(target, T.IntegralType):
-        whole = F.regexp_extract(c, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
-        return F.coalesce(c.try_cast(target), whole.try_cast(target))
+    if not isinstance(source, T.StringType):
+        return c.try_cast(target)
+    if isinstance(target, T.IntegralType):
+        whole = F.when(c.rlike(_WHOLE), c).when(
+            c.rlike(_WHOLE_AND_FRACTION), F.substring_index(c, ".", 1)
+        )
+        return whole.try_cast(target)
+    if isinstance(target, T.FractionalType):
+        return F.when(c.rlike(_MAYBE_FRACTIONAL), c).try_cast(target)
     return c.try_cast(target)
 
 
 def as_number(text: Column) -> Column:
     """Text as a double; NULL for anything that is not a decimal number, NaN or infinity."""
-    return F.when(~text.rlike(_JVM_ONLY_NUMBER), text.try_cast("double"))
+    return F.when(text.rlike(_DECIMAL), text).try_cast("double")
 
 
 def is_finite(d: Column) -> Column:

@@ -10,20 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions.casts import any_timestamp, clip, lenient_cast
+from shelfline.functions.columns import once
 
 OK = "Ok"
 FAILED = "ProcessingFailed"
 
 
-def once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a costly column so that it is computed once per row.
-
-    A plain projection may be merged into its uses, and a later filter may take a copy of
-    it below; neither crosses an explode, here of a single element.
-    """
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
 def with_strict_json(df: DataFrame, text: str, into: str = "payload") -> DataFrame:
     """Add the one JSON value that ``text`` is, as a variant; NULL if it is anything else.
 
@@ -127,8 +119,8 @@ def jsonpath_project(
 
     Text is clipped to its column's width; timestamps may be ISO text or epoch seconds.
     """
-    def column(t: Target) -> Column:
-        text = field(F.col(payload), t.path)
+    def typed(t: Target) -> Column:
+        text = F.col(t.name)
         if t.kind == "timestamp":
             value = any_timestamp(text)
         elif t.kind == "string":
@@ -137,7 +129,8 @@ def jsonpath_project(
             value = lenient_cast(text, T.StringType(), T.DataType.fromDDL(t.kind))
         return value.alias(t.name)
 
-    return df.select(*keep, *[column(t) for t in targets])
+    read = [field(F.col(payload), t.path).alias(t.name) for t in targets]
+    return df.select(*keep, *read).select(*keep, *[typed(t) for t in targets])
 
 
 def compact_json(*columns: str) -> Column:

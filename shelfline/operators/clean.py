@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.casts import (
+    as_number,
     epoch_text_to_timestamp,
     iso_or_epoch,
     safe_int,
     safe_rating,
 )
+from shelfline.functions.columns import once
 from shelfline.functions.payload import OK, compact_json, decode_envelope, field
 
 CRM_COLUMNS = [
@@ -37,28 +41,36 @@ WEBLOG_COLUMNS = [
 REQUIRED_IN_WEBLOG = ["user_id", "session_id", "event_type"]
 
 
-def text_default(payload: Column, path: str) -> Column:
-    """The field as text; missing and JSON null give ''."""
-    return F.coalesce(field(payload, path), F.lit(""))
+def _fields(df: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The payload's fields as text, each read once however often it is used."""
+    read = [field(F.col("payload"), f"$.{n}").alias(n) for n in names]
+    return df.select(*keep, *read)
 
 
-def falsy_to_empty(payload: Column, path: str) -> Column:
-    """'' for a missing, null, false, empty or zero field, else its text. '0' as text stays."""
-    value = field(payload, path, "variant")
-    json = F.to_json(value)
-    empty = json.isin("null", "false", '""', "[]", "{}") | (json.try_cast("double") == 0)
-    return F.when(value.isNull() | F.coalesce(empty, F.lit(False)), "").otherwise(
-        field(payload, path)
-    )
+def text_default(text: Column) -> Column:
+    """Missing and JSON null give ''."""
+    return F.coalesce(text, F.lit(""))
+
+
+def falsy_to_empty(text: Column, json: Column) -> Column:
+    """'' for a missing, null, false, empty or zero field, else its text.
+
+    The JSON form tells the number 0 from the text "0", which stays.
+    """
+    empty = json.isin("null", "false", '""', "[]", "{}") | (as_number(json) == 0)
+    return F.when(json.isNull() | F.coalesce(empty, F.lit(False)), "").otherwise(text)
 
 
-def _crm(payload: Column, event_timestamp: Column, ingested: Column) -> list[Column]:
+_CRM_TEXT = ["customer_id", "interaction_type", "channel", "rating", "message_excerpt"]
+
+
+def _crm(event_timestamp: Column, ingested: Column) -> list[Column]:
     return [
-        safe_int(field(payload, "$.customer_id")).alias("customer_id"),
-        text_default(payload, "$.interaction_type").alias("interaction_type"),
-        text_default(payload, "$.channel").alias("channel"),
-        safe_rating(field(payload, "$.rating")).alias("rating"),
-        text_default(payload, "$.message_excerpt").alias("message_excerpt"),
+        safe_int(F.col("customer_id")).alias("customer_id"),
+        text_default(F.col("interaction_type")).alias("interaction_type"),
+        text_default(F.col("channel")).alias("channel"),
+        safe_rating(F.col("rating")).alias("rating"),
+        text_default(F.col("message_excerpt")).alias("message_excerpt"),
         event_timestamp.alias("event_timestamp"),
         ingested.alias("ingestion_timestamp"),
     ]
@@ -66,19 +78,18 @@ def _crm(payload: Column, event_timestamp: Column, ingested: Column) -> list[Col
 
 def clean_crm(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """First cleaning of a customer interaction; event time comes as epoch ``timestamp``."""
-    payload = F.col("payload")
-    event_time = epoch_text_to_timestamp(field(payload, "$.timestamp"))
-    return df.select(*keep, *_crm(payload, event_time, F.current_timestamp()))
+    event_time = epoch_text_to_timestamp(F.col("timestamp"))
+    return _fields(df, [*_CRM_TEXT, "timestamp"], keep).select(
+        *keep, *_crm(event_time, F.current_timestamp())
+    )
 
 
 def sanitize_crm(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Second cleaning, on delivery: ``event_timestamp`` is ISO text or epoch seconds."""
-    payload = F.col("payload")
-    event_time = iso_or_epoch(field(payload, "$.event_timestamp"))
-    ingested = iso_or_epoch(field(payload, "$.ingestion_timestamp"))
-    return df.select(
+    times = ["event_timestamp", "ingestion_timestamp"]
+    return _fields(df, [*_CRM_TEXT, *times], keep).select(
         *keep,
-        *_crm(payload, event_time, ingested),
+        *_crm(*[iso_or_epoch(F.col(t)) for t in times]),
         F.current_timestamp().alias("processed_at"),
     )
 
@@ -98,27 +109,30 @@ def transform_records(envelopes: DataFrame) -> DataFrame:
 
 
 def clean_weblog(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    payload = F.col("payload")
+    user = F.to_json(field(F.col("payload"), "$.user_id", "variant"))
     plain = ["page", "device_type", "browser", "event_type"]
-    return df.select(
+    fields = _fields(
+        df.withColumn("_user", user), ["session_id", "user_id", *plain, "timestamp"], [*keep, "_user"]
+    )
+    return fields.select(
         *keep,
-        field(payload, "$.session_id").alias("session_id"),
-        falsy_to_empty(payload, "$.user_id").alias("user_id"),
-        *[field(payload, f"$.{c}").alias(c) for c in plain],
-        epoch_text_to_timestamp(field(payload, "$.timestamp")).alias("event_timestamp"),
+        "session_id",
+        falsy_to_empty(F.col("user_id"), F.col("_user")).alias("user_id"),
+        *plain,
+        epoch_text_to_timestamp(F.col("timestamp")).alias("event_timestamp"),
         F.current_timestamp().alias("ingestion_timestamp"),
     )
 
 
-def is_invalid_weblog() -> Column:
-    """A required field is NULL or, after cleaning, ''."""
+def _flagged(cleaned: DataFrame) -> DataFrame:
+    """Mark rows with a required field that is NULL or, after cleaning, ''."""
     blank = [F.col(c).isNull() | (F.col(c) == "") for c in REQUIRED_IN_WEBLOG]
-    return blank[0] | blank[1] | blank[2]
+    return once(cleaned, "_invalid", reduce(or_, blank))
 
 
 def valid_weblogs(cleaned: DataFrame) -> DataFrame:
-    return cleaned.filter(~is_invalid_weblog())
+    return _flagged(cleaned).filter(~F.col("_invalid")).drop("_invalid")
 
 
 def invalid_weblogs(cleaned: DataFrame) -> DataFrame:
-    return cleaned.filter(is_invalid_weblog())
+    return _flagged(cleaned).filter("_invalid").drop("_invalid")

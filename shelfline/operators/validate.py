@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.casts import lenient_cast
+from shelfline.functions.columns import once
 from shelfline.model import PROCESSING_DATE, Feed
 
 REASON = "error_reason"
@@ -58,7 +59,7 @@ def check(df: DataFrame, feed: Feed, carry: Sequence[str] = (PROCESSING_DATE,))
     missing = missing_columns(df, feed)
     if missing:
         return df.withColumn(REASON, F.lit(missing_reason(missing)))
-    return conform(df, feed, carry).withColumn(REASON, reason(feed))
+    return once(conform(df, feed, carry), REASON, reason(feed))
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.payload import first_record, once, with_strict_json
+from shelfline.functions.columns import once
+from shelfline.functions.payload import first_record, with_strict_json
 
 
 def with_payload(df: DataFrame, text: str = "value") -> DataFrame:
