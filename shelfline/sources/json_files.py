@@ -46,13 +46,11 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    """Every file under the path, empty ones too. Contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("file"))
-    )
+    """Every file under the path. Scans leave out empty files, so the names come from the
+    listing the scan is planned from."""
+    names = spark.read.text(path, recursiveFileLookup=True).inputFiles()
+    listed = spark.createDataFrame([(n,) for n in names], "file string")
+    return listed.select(F.regexp_replace("file", "^file:/*", "file:/").alias("file"))
 
 
 def _small(verdicts: DataFrame) -> DataFrame:
@@ -137,7 +135,8 @@ def _items(doc: Column, text: Column) -> Column:
 
 
 def output_name(file: Column, processing_date: str | None) -> Column:
-    name = F.element_at(F.split(file, "/"), -1)
+    escaped = F.element_at(F.split(file, "/"), -1)
+    name = F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
     return F.concat(F.lit(f"{processing_date}_"), name) if processing_date else name
 
 
