@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _run_id() -> str:
@@ -66,13 +68,27 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/shelfline/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df, name: str):
-    """Write ``df`` as a table in the shared folder and read it back.
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back.
 
-    Cuts the lineage with something that outlives a lost executor, so that several
-    outputs can be taken from one computation.
+    Cuts the lineage with something that outlives a lost executor, so that several outputs
+    can be taken from one computation.
     """
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Give back the space of a staged table."""
+    spark.range(0).write.mode("overwrite").parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A staged table in the shared folder, for as long as the block runs."""
     spark = df.sparkSession
     path = new_shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield stage(df, path)
+    finally:
+        release(spark, path)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfline.config import RunConfig, stage
+from shelfline.config import RunConfig, staged
 from shelfline.model import PROCESSING_DATE, Feed
 from shelfline.operators import dedup, enrich, status, validate
 from shelfline.session import prepare
@@ -30,7 +31,7 @@ def to_silver(valid: DataFrame, feed: Feed) -> DataFrame:
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig) -> DataFrame:
-    """Check, quarantine, enrich, de-duplicate, store. Returns the outcome per day.
+    """Check, quarantine, enrich, de-duplicate, store. Returns the stored outcome per day.
 
     The raw text is parsed once: checked rows are staged as columns, and quarantine, silver
     and counts read from there.
@@ -44,14 +45,21 @@ def run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig) -
         quarantine(validate.check(source, feed), errors, feed.name, cfg.run_id, days)
         raise MissingColumns(validate.missing_reason(missing))
 
-    checked = stage(validate.check(source, feed), f"{feed.name}-checked")
-    quarantine(validate.invalid_rows(checked), errors, feed.name, cfg.run_id, days)
-    silver = to_silver(validate.valid_rows(checked), feed)
-    loaded_at = _LAYOUT[feed.name][2]
-    replace_dates(
-        enrich.audit(silver, cfg.run_id, loaded_at), cfg.path("silver", feed.name), days
-    )
-    kept = scan_silver(spark, cfg.path("silver"), feed.name, cfg.start, cfg.end)
-    return status.run_outcome(
-        status.run_days(spark, cfg), status.feed_outcome(checked, kept, feed.name)
-    )
+    with staged(validate.check(source, feed), f"{feed.name}-checked") as checked:
+        quarantine(validate.invalid_rows(checked), errors, feed.name, cfg.run_id, days)
+        silver = to_silver(validate.valid_rows(checked), feed)
+        stamped = enrich.audit(silver, cfg.run_id, _LAYOUT[feed.name][2])
+        replace_dates(stamped, cfg.path("silver", feed.name), days)
+        kept = scan_silver(spark, cfg.path("silver"), feed.name, cfg.start, cfg.end)
+        outcome = status.run_outcome(
+            status.run_days(spark, cfg), status.feed_outcome(checked, kept, feed.name)
+        )
+        return store_outcome(outcome, cfg, feed.name)
+
+
+def store_outcome(outcome: DataFrame, cfg: RunConfig, job: str) -> DataFrame:
+    """Keep the run's outcome, one row per day and job, and read it back."""
+    path = cfg.path("runs", job)
+    replace_dates(outcome.withColumn("job_run_id", F.lit(cfg.run_id)), path, cfg.days)
+    stored = outcome.sparkSession.read.schema(outcome.schema).parquet(path)
+    return stored.filter(F.col(PROCESSING_DATE).between(F.lit(cfg.start), F.lit(cfg.end)))

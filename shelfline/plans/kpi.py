@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.config import RunConfig, stage
+from shelfline.config import RunConfig, staged
 from shelfline.model import INVENTORY_KPI, PROCESSING_DATE, REGIONAL_KPI, SALES_KPI
 from shelfline.operators import cells, enrich, kpis, status
+from shelfline.plans.batch import store_outcome
 from shelfline.session import prepare
 from shelfline.sinks.tables import quarantine, replace_dates
 from shelfline.sources.silver import scan_silver
@@ -25,22 +26,20 @@ def run_kpis(
     base, days = cfg.path("silver"), cfg.days
     inventory = scan_silver(spark, base, "inventory", cfg.start, cfg.end)
     pos = scan_silver(spark, base, "pos", cfg.start, cfg.end)
-    matches = stage(
-        cells.match_cells(cells.inventory_cells(inventory), cells.pos_cells(pos)), "cells"
-    )
-    joined = cells.matched(matches, products)
-    outputs = {
-        SALES_KPI: kpis.sales_kpis(joined),
-        INVENTORY_KPI: kpis.inventory_kpis(joined),
-        REGIONAL_KPI: kpis.regional_kpis(joined),
-    }
-    for name, figures in outputs.items():
-        stamped = enrich.audit(figures, cfg.run_id, "kpi_creation_timestamp")
-        replace_dates(stamped, cfg.path("kpi", name), days)
-    quarantine(
-        cells.failed(matches), cfg.path("errors", "kpi"), "failed_joins", cfg.run_id, days
-    )
-    return outcome(spark, cfg, matches)
+    both = cells.match_cells(cells.inventory_cells(inventory), cells.pos_cells(pos))
+    with staged(both, "cells") as matches:
+        joined = cells.matched(matches, products)
+        outputs = {
+            SALES_KPI: kpis.sales_kpis(joined),
+            INVENTORY_KPI: kpis.inventory_kpis(joined),
+            REGIONAL_KPI: kpis.regional_kpis(joined),
+        }
+        for name, figures in outputs.items():
+            stamped = enrich.audit(figures, cfg.run_id, "kpi_creation_timestamp")
+            replace_dates(stamped, cfg.path("kpi", name), days)
+        unmatched = cells.failed(matches)
+        quarantine(unmatched, cfg.path("errors", "kpi"), "failed_joins", cfg.run_id, days)
+        return store_outcome(outcome(spark, cfg, matches), cfg, "kpi")
 
 
 def outcome(spark: SparkSession, cfg: RunConfig, matches: DataFrame) -> DataFrame:

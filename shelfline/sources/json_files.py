@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfline.config import stage
+from shelfline.config import new_shared_path, release, stage
 from shelfline.functions.payload import starts_array, starts_object, with_strict_json
 
 NO_DATA = "contains no data"
@@ -27,8 +27,15 @@ BROADCAST_FILES = 200_000
 
 @dataclass(frozen=True)
 class NormalizedFiles:
+    """Records and verdicts. Both read staged tables until ``close``."""
+
     records: DataFrame  # file, record (variant), output_name
-    status: DataFrame  # file, status, reason, records_converted, output_name
+    status: DataFrame  # file, status, reason, records_converted, output_location
+    work: str
+
+    def close(self) -> None:
+        for name in ("shapes", "elements", "status"):
+            release(self.status.sparkSession, f"{self.work}/{name}")
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -146,72 +153,93 @@ def normalize_json_files(
     target_prefix: str,
     processing_date: str | None = None,
 ) -> NormalizedFiles:
-    """Read every file under ``path`` but those already under ``target_prefix``."""
+    """Read every file under ``path`` but those already under ``target_prefix``.
+
+    A first pass over the lines settles all files whose documents lie on one line each. Only
+    elements of documents spread over lines are staged, as their verdict needs all of them.
+    """
+    work = new_shared_path(spark, "json")
     prefix = target_prefix.rstrip("/")
     inside = F.col("file").contains(prefix)
     lines = _lines(spark, path).filter(~inside)
-    parsed = with_strict_json(lines, "line", "item")
 
+    first = with_strict_json(lines, "line", "item").withColumn(
+        "size", F.coalesce(F.size(_items(F.col("item"), F.col("line"))), F.lit(-1))
+    )
     shapes = stage(
-        parsed.groupBy("file")
+        first.groupBy("file")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("item").isNull()).alias("bad"),
+            F.max("size").alias("size"),
             F.min_by(starts_array(F.col("line")), F.struct("block", "row")).alias("opens_array"),
         )
-        .select("file", "opens_array", _shape(F.col("n"), F.col("bad")).alias("shape")),
-        "json-shapes",
-    )
-    shaped = parsed.join(_small(shapes.filter("shape <> 'spread'")), "file")
-    one_line = shaped.select(
-        "file",
-        F.lit(True).alias("first"),
-        F.lit(True).alias("final"),
-        F.when(F.col("shape") == "lines", F.array("item"))
-        .otherwise(_items(F.col("item"), F.col("line")))
-        .alias("items"),
+        .select(
+            "file", "n", "size", "opens_array", _shape(F.col("n"), F.col("bad")).alias("shape")
+        ),
+        f"{work}/shapes",
     )
     spread = lines.join(_small(shapes.filter("shape = 'spread'")), "file")
     parts = stage(
-        one_line.unionByName(_elements(spread)).withColumn(
-            "size", F.coalesce(F.size("items"), F.lit(-1))
-        ),
-        "json-parts",
+        _elements(spread).withColumn("size", F.coalesce(F.size("items"), F.lit(-1))),
+        f"{work}/elements",
     )
 
-    # An empty first-and-final part is the document []. An empty part between commas is not.
-    broken = (F.col("size") < 0) | ((F.col("size") == 0) & ~(F.col("first") & F.col("final")))
-    found = parts.groupBy("file").agg(
+    # An empty first-and-final piece is the document []. An empty one between commas is not.
+    alone = F.col("first") & F.col("final")
+    broken = (F.col("size") < 0) | ((F.col("size") == 0) & ~alone)
+    pieced = parts.groupBy("file").agg(
         F.sum(F.greatest(F.col("size"), F.lit(0))).alias("found"),
         (F.count_if(broken) == 0).alias("sound"),
         F.bool_or("final").alias("ended"),
     )
-    ok = F.col("sound") & F.col("ended") & (F.col("found") > 0)
-    files = _files(spark, path).join(shapes, "file", "left").join(found, "file", "left")
-    failed = F.when(F.col("found").isNull(), NO_DATA).when(
-        F.col("sound") & F.col("ended"), NO_DATA
-    ).when(F.col("shape") == "document", SCALAR).otherwise(BROKEN)
+    whole = F.col("sound") & F.col("ended")
+    found = (
+        F.when(F.col("shape") == "lines", F.col("n"))
+        .when(F.col("shape") == "document", F.col("size"))
+        .when(whole, F.col("found"))
+        .otherwise(F.lit(-1))
+    )
+    files = (
+        _files(spark, path)
+        .join(shapes, "file", "left")
+        .join(pieced, "file", "left")
+        .select("file", "shape", F.when(F.col("shape").isNull(), 0).otherwise(found).alias("n"))
+    )
+    ok = ~inside & (F.col("n") > 0)
+    reason = (
+        F.when(F.col("n") == 0, NO_DATA)
+        .when(F.col("shape") == "document", SCALAR)
+        .otherwise(BROKEN)
+    )
     name = output_name(F.col("file"), processing_date)
     status = stage(
         files.select(
             "file",
-            F.when(inside, "skipped")
-            .when(F.coalesce(ok, F.lit(False)), "SUCCESS")
-            .otherwise("FAILED")
-            .alias("status"),
-            F.when(~inside & ~F.coalesce(ok, F.lit(False)), failed).alias("reason"),
-            F.when(~inside & ok, F.col("found")).otherwise(F.lit(0)).alias("records_converted"),
-            F.when(~inside & ok, F.concat(F.lit(f"{prefix}/"), name)).alias("output_location"),
+            "shape",
+            F.when(inside, "skipped").when(ok, "SUCCESS").otherwise("FAILED").alias("status"),
+            F.when(~inside & ~ok, reason).alias("reason"),
+            F.when(ok, F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("records_converted"),
+            F.when(ok, F.concat(F.lit(f"{prefix}/"), name)).alias("output_location"),
         ),
-        "json-status",
+        f"{work}/status",
+    )
+    good = status.filter("status = 'SUCCESS'").select("file", "shape")
+    one_line = with_strict_json(
+        lines.join(_small(good.filter("shape <> 'spread'")), "file"), "line", "item"
+    ).select(
+        "file",
+        F.when(F.col("shape") == "lines", F.array("item"))
+        .otherwise(_items(F.col("item"), F.col("line")))
+        .alias("items"),
     )
-    good = _small(status.filter("status = 'SUCCESS'").select("file"))
+    pieces = parts.join(_small(good.filter("shape = 'spread'")), "file").select("file", "items")
     records = (
-        parts.join(good, "file")
+        one_line.unionByName(pieces)
         .select("file", F.explode("items").alias("record"))
         .withColumn("output_name", name)
     )
-    return NormalizedFiles(records, status)
+    return NormalizedFiles(records, status.drop("shape"), work)
 
 
 def write_json_lines(normalized: NormalizedFiles, path: str) -> None:

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.config import RunConfig, shared_dir, stage
+from shelfline.config import RunConfig, shared_dir, staged
 from shelfline.model import INVENTORY, NO_POS_MATCH, POS, SALES_KPI
 from shelfline.operators import objects
 from shelfline.plans.batch import MissingColumns, run_batch
@@ -189,10 +189,12 @@ def test_quarantine_stamps(spark, tmp_path):
 def test_staging_uses_the_named_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == named
-    df = stage(spark.range(3).toDF("n"), "t")
-    assert df.count() == 3
-    assert all(f.replace("file://", "").startswith(named) for f in df.inputFiles())
-    assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
+    with staged(spark.range(3).toDF("n"), "t") as df:
+        assert df.count() == 3
+        files = df.inputFiles()
+        assert all(f.replace("file://", "").startswith(named) for f in files)
+        assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(Path(f.replace("file://", "")).exists() for f in files)
 
 
 def test_object_keys(spark):
