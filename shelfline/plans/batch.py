@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,10 +50,14 @@ def run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig) -
         raise MissingColumns(validate.missing_reason(missing))
 
     with staged(validate.check(source, feed), f"{feed.name}-checked") as checked:
-        quarantine(validate.invalid_rows(checked), errors, feed.name, cfg.run_id, days)
+        rejected = validate.invalid_rows(checked)
         silver = to_silver(validate.valid_rows(checked), feed)
         stamped = enrich.audit(silver, cfg.run_id, _LAYOUT[feed.name][2])
-        replace_dates(stamped, cfg.path("silver", feed.name), days)
+        together(
+            spark,
+            lambda: quarantine(rejected, errors, feed.name, cfg.run_id, days),
+            lambda: replace_dates(stamped, cfg.path("silver", feed.name), days),
+        )
         kept = scan_silver(spark, cfg.path("silver"), feed.name, cfg.start, cfg.end)
         outcome = status.run_outcome(
             status.run_days(spark, cfg), status.feed_outcome(checked, kept, feed.name)
@@ -57,9 +65,15 @@ def run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig) -
         return store_outcome(outcome, cfg, feed.name)
 
 
+def together(spark: SparkSession, *actions: Callable[[], object]) -> None:
+    """Run independent writes at the same time, so that small ones share the cluster."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(a)) for a in actions]:
+            done.result()
+
+
 def store_outcome(outcome: DataFrame, cfg: RunConfig, job: str) -> DataFrame:
-    """Keep the run's outcome, one row per day and job, and read it back."""
-    path = cfg.path("runs", job)
-    replace_dates(outcome.withColumn("job_run_id", F.lit(cfg.run_id)), path, cfg.days)
-    stored = outcome.sparkSession.read.schema(outcome.schema).parquet(path)
-    return stored.filter(F.col(PROCESSING_DATE).between(F.lit(cfg.start), F.lit(cfg.end)))
+    """Keep the run's outcome, one row per day, under its run id, and read it back."""
+    path = cfg.path("runs", job, f"job_run_id={cfg.run_id}")
+    outcome.write.mode("overwrite").parquet(path)
+    return outcome.sparkSession.read.schema(outcome.schema).parquet(path)

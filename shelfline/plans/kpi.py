@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.config import RunConfig, staged
 from shelfline.model import INVENTORY_KPI, PROCESSING_DATE, REGIONAL_KPI, SALES_KPI
 from shelfline.operators import cells, enrich, kpis, status
-from shelfline.plans.batch import store_outcome
+from shelfline.plans.batch import store_outcome, together
 from shelfline.session import prepare
 from shelfline.sinks.tables import quarantine, replace_dates
 from shelfline.sources.silver import scan_silver
@@ -29,19 +31,27 @@ def run_kpis(
     both = cells.match_cells(cells.inventory_cells(inventory), cells.pos_cells(pos))
     with staged(both, "cells") as matches:
         joined = cells.matched(matches, products)
-        outputs = {
+        figures = {
             SALES_KPI: kpis.sales_kpis(joined),
             INVENTORY_KPI: kpis.inventory_kpis(joined),
             REGIONAL_KPI: kpis.regional_kpis(joined),
         }
-        for name, figures in outputs.items():
-            stamped = enrich.audit(figures, cfg.run_id, "kpi_creation_timestamp")
-            replace_dates(stamped, cfg.path("kpi", name), days)
         unmatched = cells.failed(matches)
-        quarantine(unmatched, cfg.path("errors", "kpi"), "failed_joins", cfg.run_id, days)
+        together(
+            spark,
+            *[partial(_store, cfg, name, df) for name, df in figures.items()],
+            lambda: quarantine(
+                unmatched, cfg.path("errors", "kpi"), "failed_joins", cfg.run_id, days
+            ),
+        )
         return store_outcome(outcome(spark, cfg, matches), cfg, "kpi")
 
 
+def _store(cfg: RunConfig, name: str, figures: DataFrame) -> None:
+    stamped = enrich.audit(figures, cfg.run_id, "kpi_creation_timestamp")
+    replace_dates(stamped, cfg.path("kpi", name), cfg.days)
+
+
 def outcome(spark: SparkSession, cfg: RunConfig, matches: DataFrame) -> DataFrame:
     """Counts and status of every day of the run."""
     counted = status.run_outcome(status.run_days(spark, cfg), kpis.processing_metrics(matches))

@@ -9,6 +9,7 @@ is then a running sum, taken inside read blocks and carried over between them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,8 +22,9 @@ NO_DATA = "contains no data"
 BROKEN = "unable to parse as JSON or JSON Lines"
 SCALAR = "unexpected JSON structure"
 
-# Per-file verdicts are broadcast up to this many files, some hundred bytes each.
-BROADCAST_FILES = 200_000
+# Files are picked by listing their names up to this many, which lets the scan leave the
+# others unread; beyond it by a join.
+LISTED_FILES = 5_000
 
 
 @dataclass(frozen=True)
@@ -38,18 +40,33 @@ class NormalizedFiles:
             release(self.status.sparkSession, f"{self.work}/{name}")
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank lines with their place: file, read block, and order inside the block."""
-    return (
-        spark.read.text(path, recursiveFileLookup=True)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-            F.trim("value").alias("line"),
-        )
-        .filter(F.col("line").rlike(r"\S"))
-    )
+def _lines(
+    spark: SparkSession, path: str, names: Sequence[str] = (), keep: bool = False
+) -> DataFrame:
+    """Non-blank lines with their place: file, read block, and order inside the block.
+
+    With ``keep`` only the named files are read, else all but them.
+    """
+    text = spark.read.text(path, recursiveFileLookup=True)
+    if names or keep:
+        named = F.col("_metadata.file_path").isin(list(names))
+        text = text.filter(named if keep else ~named)
+    return text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.trim("value").alias("line"),
+    ).filter(F.col("line").rlike(r"\S"))
+
+
+def _lines_of(spark: SparkSession, path: str, files: DataFrame, wanted: Column) -> DataFrame:
+    """Lines of the files (file, ...) for which ``wanted`` holds."""
+    wanted = F.coalesce(wanted, F.lit(False))
+    for chosen, keep in ((~wanted, False), (wanted, True)):
+        some = files.filter(chosen).select("file").limit(LISTED_FILES + 1).collect()
+        if len(some) <= LISTED_FILES:
+            return _lines(spark, path, [r.file for r in some], keep)
+    return _lines(spark, path).join(files.filter(wanted).select("file"), "file")
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -60,12 +77,6 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return listed.select(F.regexp_replace("file", "^file:/*", "file:/").alias("file"))
 
 
-def _small(verdicts: DataFrame) -> DataFrame:
-    """Broadcast if proven small; else a plain join, whose skew the engine splits."""
-    few = verdicts.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES
-    return F.broadcast(verdicts) if few else verdicts
-
-
 def _shape(n: Column, bad: Column) -> Column:
     return F.when(bad > 0, "spread").when(n == 1, "document").otherwise("lines")
 
@@ -134,6 +145,12 @@ def _elements(lines: DataFrame) -> DataFrame:
     )
 
 
+def _no_elements(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [], "file string, first boolean, final boolean, items array<variant>"
+    )
+
+
 def _items(doc: Column, text: Column) -> Column:
     """Records of one document: the array's elements, or the object; NULL for others."""
     return F.when(starts_array(text), doc.try_cast("array<variant>")).when(
@@ -179,10 +196,16 @@ def normalize_json_files(
         ),
         f"{work}/shapes",
     )
-    spread = lines.join(_small(shapes.filter("shape = 'spread'")), "file")
+    listed = _files(spark, path)
+    shaped = listed.join(shapes, "file", "left")
+    is_spread = F.col("shape") == "spread"
+    if shapes.filter(is_spread).isEmpty():
+        pieces = _no_elements(spark)
+    else:
+        spread = _lines_of(spark, path, shaped, is_spread)
+        pieces = _elements(spread.join(shapes.select("file", "opens_array"), "file"))
     parts = stage(
-        _elements(spread).withColumn("size", F.coalesce(F.size("items"), F.lit(-1))),
-        f"{work}/elements",
+        pieces.withColumn("size", F.coalesce(F.size("items"), F.lit(-1))), f"{work}/elements"
     )
 
     # An empty first-and-final piece is the document []. An empty one between commas is not.
@@ -201,9 +224,7 @@ def normalize_json_files(
         .otherwise(F.lit(-1))
     )
     files = (
-        _files(spark, path)
-        .join(shapes, "file", "left")
-        .join(pieced, "file", "left")
+        shaped.join(pieced, "file", "left")
         .select("file", "shape", F.when(F.col("shape").isNull(), 0).otherwise(found).alias("n"))
     )
     ok = ~inside & (F.col("n") > 0)
@@ -224,19 +245,21 @@ def normalize_json_files(
         ),
         f"{work}/status",
     )
-    good = status.filter("status = 'SUCCESS'").select("file", "shape")
-    one_line = with_strict_json(
-        lines.join(_small(good.filter("shape <> 'spread'")), "file"), "line", "item"
-    ).select(
-        "file",
-        F.when(F.col("shape") == "lines", F.array("item"))
-        .otherwise(_items(F.col("item"), F.col("line")))
-        .alias("items"),
-    )
-    pieces = parts.join(_small(good.filter("shape = 'spread'")), "file").select("file", "items")
+    good = F.col("status") == "SUCCESS"
+    by_line = _lines_of(spark, path, status, good & (F.col("shape") == "lines"))
+    documents = _lines_of(spark, path, status, good & (F.col("shape") == "document"))
+    good_spread = status.filter(good & is_spread).select("file")
     records = (
-        one_line.unionByName(pieces)
-        .select("file", F.explode("items").alias("record"))
+        with_strict_json(by_line, "line", "record")
+        .select("file", "record")
+        .unionByName(
+            with_strict_json(documents, "line", "item").select(
+                "file", F.explode(_items(F.col("item"), F.col("line"))).alias("record")
+            )
+        )
+        .unionByName(
+            parts.join(good_spread, "file").select("file", F.explode("items").alias("record"))
+        )
         .withColumn("output_name", name)
     )
     return NormalizedFiles(records, status.drop("shape"), work)
