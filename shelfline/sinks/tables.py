@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -31,7 +32,10 @@ def replace_dates(df: DataFrame, path: str, days: Iterable[date], fmt: str = "pa
     written = Observation()
     seen = F.collect_set(F.col(PROCESSING_DATE).cast("string")).alias("days")
     _by_date(df.observe(written, seen), path, fmt)
-    present = set(written.get["days"])
+    try:
+        present = set(written.get["days"])
+    except Py4JJavaError:  # a frame known to be empty is optimized away, observation and all
+        present = {str(r[0]) for r in df.select(PROCESSING_DATE).distinct().collect()}
     empty = df.limit(0).drop(PROCESSING_DATE)
     for day in days:
         if day.isoformat() not in present:

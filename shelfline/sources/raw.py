@@ -22,8 +22,17 @@ def scan_pos_raw(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def scan_inventory_raw(spark: SparkSession, path: str, columns: list[str] | None = None):
-    """JSON Lines. Numbers are kept as the text they were written with."""
+def scan_inventory_raw(
+    spark: SparkSession, path: str, columns: list[str] | None = None, infer: bool = False
+) -> DataFrame:
+    """JSON Lines. Numbers are kept as the text they were written with.
+
+    Columns are the declared ones, and a folder's ``partition_date``. ``infer`` takes the
+    fields found instead, at the price of another pass, so that one missing from all files
+    is seen as missing rather than as NULL everywhere.
+    """
+    if infer:
+        return spark.read.option("primitivesAsString", True).json(path)
     names = columns or INVENTORY.columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
     return spark.read.schema(schema).json(path)
