@@ -40,14 +40,11 @@ class NormalizedFiles:
             release(self.status.sparkSession, f"{self.work}/{name}")
 
 
-def _lines(
-    spark: SparkSession, path: str, names: Sequence[str] = (), keep: bool = False
-) -> DataFrame:
+def _lines(text: DataFrame, names: Sequence[str] = (), keep: bool = False) -> DataFrame:
     """Non-blank lines with their place: file, read block, and order inside the block.
 
     With ``keep`` only the named files are read, else all but them.
     """
-    text = spark.read.text(path, recursiveFileLookup=True)
     if names or keep:
         named = F.col("_metadata.file_path").isin(list(names))
         text = text.filter(named if keep else ~named)
@@ -59,21 +56,20 @@ def _lines(
     ).filter(F.col("line").rlike(r"\S"))
 
 
-def _lines_of(spark: SparkSession, path: str, files: DataFrame, wanted: Column) -> DataFrame:
+def _lines_of(text: DataFrame, files: DataFrame, wanted: Column) -> DataFrame:
     """Lines of the files (file, ...) for which ``wanted`` holds."""
     wanted = F.coalesce(wanted, F.lit(False))
     for chosen, keep in ((~wanted, False), (wanted, True)):
         some = files.filter(chosen).select("file").limit(LISTED_FILES + 1).collect()
         if len(some) <= LISTED_FILES:
-            return _lines(spark, path, [r.file for r in some], keep)
-    return _lines(spark, path).join(files.filter(wanted).select("file"), "file")
+            return _lines(text, [r.file for r in some], keep)
+    return _lines(text).join(files.filter(wanted).select("file"), "file")
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    """Every file under the path. Scans leave out empty files, so the names come from the
+def _files(text: DataFrame) -> DataFrame:
+    """Every file of the scan. Scans leave out empty files, so the names come from the
     listing the scan is planned from."""
-    names = spark.read.text(path, recursiveFileLookup=True).inputFiles()
-    listed = spark.createDataFrame([(n,) for n in names], "file string")
+    listed = text.sparkSession.createDataFrame([(n,) for n in text.inputFiles()], "file string")
     return listed.select(F.regexp_replace("file", "^file:/*", "file:/").alias("file"))
 
 
@@ -176,9 +172,11 @@ def normalize_json_files(
     elements of documents spread over lines are staged, as their verdict needs all of them.
     """
     work = new_shared_path(spark, "json")
+    # One listing for all passes, so that they agree on the files.
+    text = spark.read.text(path, recursiveFileLookup=True)
     prefix = target_prefix.rstrip("/")
     inside = F.col("file").contains(prefix)
-    lines = _lines(spark, path).filter(~inside)
+    lines = _lines(text).filter(~inside)
 
     first = with_strict_json(lines, "line", "item").withColumn(
         "size", F.coalesce(F.size(_items(F.col("item"), F.col("line"))), F.lit(-1))
@@ -196,13 +194,12 @@ def normalize_json_files(
         ),
         f"{work}/shapes",
     )
-    listed = _files(spark, path)
-    shaped = listed.join(shapes, "file", "left")
+    shaped = _files(text).join(shapes, "file", "left")
     is_spread = F.col("shape") == "spread"
     if shapes.filter(is_spread).isEmpty():
         pieces = _no_elements(spark)
     else:
-        spread = _lines_of(spark, path, shaped, is_spread)
+        spread = _lines_of(text, shaped, is_spread)
         pieces = _elements(spread.join(shapes.select("file", "opens_array"), "file"))
     parts = stage(
         pieces.withColumn("size", F.coalesce(F.size("items"), F.lit(-1))), f"{work}/elements"
@@ -246,8 +243,8 @@ def normalize_json_files(
         f"{work}/status",
     )
     good = F.col("status") == "SUCCESS"
-    by_line = _lines_of(spark, path, status, good & (F.col("shape") == "lines"))
-    documents = _lines_of(spark, path, status, good & (F.col("shape") == "document"))
+    by_line = _lines_of(text, status, good & (F.col("shape") == "lines"))
+    documents = _lines_of(text, status, good & (F.col("shape") == "document"))
     good_spread = status.filter(good & is_spread).select("file")
     records = (
         with_strict_json(by_line, "line", "record")
