@@ -36,11 +36,15 @@ def replace_dates(df: DataFrame, path: str, days: Iterable[date], fmt: str = "pa
         present = set(written.get["days"])
     except Py4JJavaError:  # a frame known to be empty is optimized away, observation and all
         present = {str(r[0]) for r in df.select(PROCESSING_DATE).distinct().collect()}
+    absent = [day for day in days if day.isoformat() not in present]
+    if not absent:
+        return
+    stored = df.sparkSession.read.schema(df.schema).format(fmt).load(path)
+    stale = stored.filter(F.col(PROCESSING_DATE).isin(absent)).select(PROCESSING_DATE)
     empty = df.limit(0).drop(PROCESSING_DATE)
-    for day in days:
-        if day.isoformat() not in present:
-            leaf = f"{path}/{PROCESSING_DATE}={day.isoformat()}"
-            empty.write.format(fmt).mode("overwrite").save(leaf)
+    for (day,) in stale.distinct().collect():
+        leaf = f"{path}/{PROCESSING_DATE}={day.isoformat()}"
+        empty.write.format(fmt).mode("overwrite").save(leaf)
 
 
 def quarantine(
