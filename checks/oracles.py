@@ -198,10 +198,12 @@ UNION ALL SELECT 'inventory', count(*), count(DISTINCT inventory_id),
     "inventory_bucket_agg": f"WITH {ALL_STEPS} SELECT * FROM inv_cells",
     "pos_bucket_agg": f"""WITH {ALL_STEPS} SELECT * REPLACE (
   cast(total_revenue AS decimal(18,4)) AS total_revenue,
-  cast(total_discount AS decimal(18,4)) AS total_discount) FROM pos_cells""",
+  cast(total_discount AS decimal(18,4)) AS total_discount,
+  array_to_string(store_list, ',') AS store_list) FROM pos_cells""",
     "bucket_join": f"""WITH {ALL_STEPS} SELECT * REPLACE (
   cast(total_revenue AS decimal(18,4)) AS total_revenue,
-  cast(total_discount AS decimal(18,4)) AS total_discount) FROM joined""",
+  cast(total_discount AS decimal(18,4)) AS total_discount,
+  array_to_string(store_list, ',') AS store_list) FROM joined""",
     "failed_joins": f"""WITH {ALL_STEPS} SELECT processing_date, product_id, analysis_date,
   time_bucket, stock_level, warehouse_id,
   'No matching POS data for product, date, and time bucket' AS error_reason

@@ -36,7 +36,8 @@ def run_kpis(
             INVENTORY_KPI: kpis.inventory_kpis(joined),
             REGIONAL_KPI: kpis.regional_kpis(joined),
         }
-        unmatched = cells.failed(matches)
+        result = outcome(spark, cfg, matches)
+        unmatched = _of_complete_days(cells.failed(matches), result)
         together(
             spark,
             *[partial(_store, cfg, name, df) for name, df in figures.items()],
@@ -44,7 +45,7 @@ def run_kpis(
                 unmatched, cfg.path("errors", "kpi"), "failed_joins", cfg.run_id, days
             ),
         )
-        return store_outcome(outcome(spark, cfg, matches), cfg, "kpi")
+        return store_outcome(result, cfg, "kpi")
 
 
 def _store(cfg: RunConfig, name: str, figures: DataFrame) -> None:
@@ -52,6 +53,12 @@ def _store(cfg: RunConfig, name: str, figures: DataFrame) -> None:
     replace_dates(stamped, cfg.path("kpi", name), cfg.days)
 
 
+def _of_complete_days(failed: DataFrame, result: DataFrame) -> DataFrame:
+    """Unmatched cells of days that have rows on both sides; a day missing one is skipped."""
+    sides = (F.col("inventory_records_read") > 0) & (F.col("pos_records_read") > 0)
+    return failed.join(result.filter(sides), PROCESSING_DATE, "left_semi")
+
+
 def outcome(spark: SparkSession, cfg: RunConfig, matches: DataFrame) -> DataFrame:
     """Counts and status of every day of the run."""
     counted = status.run_outcome(status.run_days(spark, cfg), kpis.processing_metrics(matches))

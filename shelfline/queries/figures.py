@@ -17,6 +17,17 @@ def _cells(spark, sf):
     )
 
 
+def _shown(df):
+    """Sums of fractions at the figures' precision, the stores as text."""
+    return df.drop("store_sales").withColumns(
+        {
+            "total_revenue": money(F.col("total_revenue")),
+            "total_discount": money(F.col("total_discount")),
+            "store_list": F.array_join("store_list", ","),
+        }
+    )
+
+
 @query
 def inventory_bucket_agg(spark, sf):
     return cells.inventory_cells(inventory_silver(spark, sf))
@@ -24,22 +35,12 @@ def inventory_bucket_agg(spark, sf):
 
 @query
 def pos_bucket_agg(spark, sf):
-    return (
-        cells.pos_cells(pos_silver(spark, sf))
-        .drop("store_sales")
-        .withColumn("total_revenue", money(F.col("total_revenue")))
-        .withColumn("total_discount", money(F.col("total_discount")))
-    )
+    return _shown(cells.pos_cells(pos_silver(spark, sf)))
 
 
 @query
 def bucket_join(spark, sf):
-    return (
-        cells.matched(_cells(spark, sf))
-        .drop("store_sales")
-        .withColumn("total_revenue", money(F.col("total_revenue")))
-        .withColumn("total_discount", money(F.col("total_discount")))
-    )
+    return _shown(cells.matched(_cells(spark, sf)))
 
 
 @query

@@ -40,7 +40,7 @@ def _archive(spark, sf, feed):
 
 
 def _days(spark, sf):
-    """First and last event day, from the file statistics' columns only."""
+    """First and last event day; reads the time column only."""
     events = tables.table(spark, sf, "events")
     return events.agg(F.min("ts").cast("date"), F.max("ts").cast("date")).first()
 

@@ -12,10 +12,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.config import new_shared_path, release, stage
+from shelfline.functions.columns import once
 from shelfline.functions.payload import starts_array, starts_object, with_strict_json
 
 NO_DATA = "contains no data"
@@ -36,7 +38,7 @@ class NormalizedFiles:
     work: str
 
     def close(self) -> None:
-        for name in ("shapes", "elements", "status"):
+        for name in ("shapes", "lines", "elements", "status"):
             release(self.status.sparkSession, f"{self.work}/{name}")
 
 
@@ -69,7 +71,8 @@ def _lines_of(text: DataFrame, files: DataFrame, wanted: Column) -> DataFrame:
 def _files(text: DataFrame) -> DataFrame:
     """Every file of the scan. Scans leave out empty files, so the names come from the
     listing the scan is planned from."""
-    listed = text.sparkSession.createDataFrame([(n,) for n in text.inputFiles()], "file string")
+    names = pa.table({"file": pa.array(text.inputFiles(), pa.string())})
+    listed = text.sparkSession.createDataFrame(names)
     return listed.select(F.regexp_replace("file", "^file:/*", "file:/").alias("file"))
 
 
@@ -104,7 +107,7 @@ def _carry(df: DataFrame, value: str, into: str, inclusive: bool) -> DataFrame:
     )
 
 
-def _elements(lines: DataFrame) -> DataFrame:
+def _elements(lines: DataFrame, path: str) -> DataFrame:
     """Top-level elements of documents spread over lines, per piece of whole lines.
 
     A piece ends with a line whose last character is a comma between elements of the
@@ -115,10 +118,20 @@ def _elements(lines: DataFrame) -> DataFrame:
     bare = F.regexp_replace(F.regexp_replace("line", r"\\.", ""), r'"[^"]*"', "0")
     opened = F.regexp_count("bare", F.lit(r"[\[{]"))
     closed = F.regexp_count("bare", F.lit(r"[\]}]"))
-    counted = lines.withColumn("bare", bare).withColumn("delta", opened - closed)
+    # The sums read these columns several times, the text once.
+    counted = stage(
+        once(lines, "bare", bare).select(
+            "file",
+            "block",
+            "row",
+            "line",
+            (opened - closed).alias("delta"),
+            (F.col("opens_array") & F.col("bare").rlike(r",\s*$")).alias("comma"),
+        ),
+        path,
+    )
     deep = _carry(counted, "delta", "depth", inclusive=True)
-    between = F.col("opens_array") & (F.col("depth") == 1) & F.col("bare").rlike(r",\s*$")
-    ends = between.cast("int")
+    ends = (F.col("comma") & (F.col("depth") == 1)).cast("int")
     cut = _carry(deep.withColumn("ends", ends), "ends", "piece", inclusive=False)
 
     pieces = cut.groupBy("file", "piece").agg(
@@ -200,7 +213,8 @@ def normalize_json_files(
         pieces = _no_elements(spark)
     else:
         spread = _lines_of(text, shaped, is_spread)
-        pieces = _elements(spread.join(shapes.select("file", "opens_array"), "file"))
+        opening = shapes.select("file", "opens_array")
+        pieces = _elements(spread.join(opening, "file"), f"{work}/lines")
     parts = stage(
         pieces.withColumn("size", F.coalesce(F.size("items"), F.lit(-1))), f"{work}/elements"
     )

@@ -110,6 +110,19 @@ def test_range_equals_single_days_and_reruns_change_nothing(spark, raw, tmp_path
     assert first == {t: dump(spark, whole, *t) for t in tables}
 
 
+def test_day_without_sales_is_skipped(spark, raw, tmp_path):
+    """Such a day fails without reporting its stock readings as unmatched."""
+    cfg = RunConfig(str(tmp_path / "lake"), DAYS[0], DAYS[1], "r1")
+    inv_raw = scan_inventory_raw(spark, str(raw / "inventory"))
+    run_batch(spark, inv_raw, INVENTORY, cfg)
+    first_day = RunConfig(cfg.base, DAYS[0], DAYS[0], "r1")
+    run_batch(spark, scan_pos_raw(spark, str(raw / "pos")), POS, first_day)
+    states = {r.processing_date: r.status for r in run_kpis(spark, cfg).collect()}
+    assert states == {DAYS[0]: "SUCCESS", DAYS[1]: "PARTIAL_FAILURE"}
+    errors = spark.read.json(cfg.path("errors", "kpi")).collect()
+    assert {str(r.processing_date) for r in errors} == {str(DAYS[0])}
+
+
 def test_missing_column_fails_after_quarantine(spark, raw, tmp_path):
     cfg = RunConfig(str(tmp_path / "lake"), DAYS[0], DAYS[0], "r1")
     broken = scan_pos_raw(spark, str(raw / "pos")).drop("store_id")
