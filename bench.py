@@ -41,8 +41,8 @@ HEADLINE = [
     "status_upsert",
     "path_metadata",
     "land_csv",
-    "pos_csv_scan",
-    "normalize_json",
+    "scan_pos_raw",
+    "normalize_json_files",
     "silver_roundtrip",
     "replace_by_date",
     "backfill_status",

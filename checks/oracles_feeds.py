@@ -114,7 +114,7 @@ FROM numbers JOIN (SELECT event_id, event_type, user_id FROM events) USING (even
     "clean_weblog": f"WITH {WEBLOGS} SELECT * FROM weblogs",
     "route_invalid": f"WITH {WEBLOGS} SELECT * FROM weblogs WHERE {INVALID}",
     "sample_rows": f"WITH {WEBLOGS} SELECT * FROM weblogs ORDER BY event_id LIMIT 10",
-    "decoded_envelopes": """SELECT conv_id || '-' || turn AS "recordId",
+    "decode_envelope": """SELECT conv_id || '-' || turn AS "recordId",
   CASE WHEN (conv_id * 3 + turn) % 11 < 5 THEN 'ProcessingFailed' ELSE 'Ok' END AS result,
   CASE WHEN (conv_id * 3 + turn) % 11 >= 5 THEN role END AS role FROM conversations""",
     "transform_records": f"""WITH {CRM} SELECT conv_id || '-' || turn AS "recordId",
@@ -159,17 +159,17 @@ FROM conversations""",
     AS records_copied FROM named""",
     "archive_candidates": f"""WITH {KEYS} {_ARCHIVE.format(feed='pos', ext="lower(ext) = '.csv'")}
 UNION ALL {_ARCHIVE.format(feed='inventory', ext="ext = '.json'")}""",
-    "pos_csv_scan": f"""SELECT transaction_id, cast(store_id AS varchar) AS store_id,
+    "scan_pos_raw": f"""SELECT transaction_id, cast(store_id AS varchar) AS store_id,
   cast(product_id AS varchar) AS product_id, cast(quantity AS varchar) AS quantity,
   cast(revenue AS varchar) AS revenue, cast(discount_applied AS varchar) AS discount_applied,
   cast("timestamp" AS varchar) AS "timestamp", partition_date AS processing_date
 FROM ({POS_RAW})""",
-    "inventory_json_scan": f"""SELECT cast(inventory_id AS varchar) AS inventory_id,
+    "scan_inventory_raw": f"""SELECT cast(inventory_id AS varchar) AS inventory_id,
   cast(product_id AS varchar) AS product_id, cast(warehouse_id AS varchar) AS warehouse_id,
   cast(stock_level AS varchar) AS stock_level,
   cast(restock_threshold AS varchar) AS restock_threshold,
   round(last_updated, 3) AS last_updated FROM ({INVENTORY_RAW})""",
-    "normalize_json": f"""WITH {FILES} SELECT event_id, event_type,
+    "normalize_json_files": f"""WITH {FILES} SELECT event_id, event_type,
   '[a], {{b}}' || CASE WHEN event_id % 3 = 0 THEN ' "q" \\' ELSE '' END AS note,
   cast(json_extract_string(props, '$.k') AS int) AS k
 FROM numbered WHERE file_no % 5 <> 4""",
@@ -179,19 +179,19 @@ SELECT CASE WHEN file_no % 5 = 4 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
   CASE WHEN file_no % 5 = 4 THEN 'unable to parse as JSON or JSON Lines' END AS reason,
   count(*) AS files, cast(sum(CASE WHEN file_no % 5 = 4 THEN 0 ELSE n END) AS bigint) AS records
 FROM files GROUP BY 1, 2""",
-    "manifest_load": f"WITH {WEBLOGS} SELECT * EXCLUDE (event_id) FROM weblogs",
+    "manifest_scan": f"WITH {WEBLOGS} SELECT * EXCLUDE (event_id) FROM weblogs",
     "stream_weblogs": f"""WITH {WEBLOGS} SELECT * EXCLUDE (event_id) FROM weblogs
 WHERE NOT coalesce({INVALID}, true)""",
     "stream_weblogs_invalid": f"""WITH {WEBLOGS}
 SELECT session_id, user_id, event_type, page FROM weblogs WHERE {INVALID}""",
     "stream_crm": f"""WITH {CRM} SELECT {_CRM_FIELDS}, first_time AS event_timestamp FROM crm""",
-    "stream_archive": """SELECT role AS interaction_type, count(*) AS count
+    "archive_raw_payload": """SELECT role AS interaction_type, count(*) AS count
 FROM conversations GROUP BY 1""",
     "time_partitioned_delivery": f"""WITH {WEBLOGS} SELECT
   strftime(event_timestamp, '%Y') AS year, strftime(event_timestamp, '%m') AS month,
   strftime(event_timestamp, '%d') AS day, strftime(event_timestamp, '%H') AS hour,
   count(*) AS count FROM weblogs WHERE NOT coalesce({INVALID}, true) GROUP BY 1, 2, 3, 4""",
-    "incremental_lines": """SELECT 'web-logs' AS feed, count(*) AS count FROM events
+    "incremental_scan": """SELECT 'web-logs' AS feed, count(*) AS count FROM events
 UNION ALL SELECT 'crm', count(*) FROM conversations""",
     "stream_bucket_agg": f"""WITH {POS_STEPS}
 SELECT product_id, cast(transaction_timestamp AS date) AS analysis_date,
@@ -228,13 +228,13 @@ SELECT *, CASE WHEN joined_records > 0 THEN 'SUCCESS' ELSE 'PARTIAL_FAILURE' END
 FROM outcome""",
     "silver_roundtrip": f"WITH {DATED_STEPS} SELECT * FROM pos_silver",
     "inventory_roundtrip": f"WITH {DATED_STEPS} SELECT * FROM inv_silver",
-    "quarantine_roundtrip": f"""WITH {DATED_STEPS} SELECT *,
+    "quarantine": f"""WITH {DATED_STEPS} SELECT *,
   processing_date AS processing_date_of_error, 'pos' AS source_type
 FROM pos_checked WHERE error_reason IS NOT NULL""",
-    "sales_kpi_table": f"WITH {DATED_STEPS} {SALES}",
-    "inventory_kpi_table": f"""WITH {DATED_STEPS}
+    "write_kpi_sales": f"WITH {DATED_STEPS} {SALES}",
+    "write_kpi_inventory": f"""WITH {DATED_STEPS}
 {_INVENTORY_FIGURES.format(cost='cost_price', source='joined')}""",
-    "regional_kpi_table": f"""WITH {DATED_STEPS} SELECT processing_date, analysis_date, store_id,
+    "write_kpi_regional": f"""WITH {DATED_STEPS} SELECT processing_date, analysis_date, store_id,
   cast(sum(total_revenue) AS decimal(18,4)) AS store_daily_revenue,
   cast(sum(total_quantity) AS bigint) AS store_daily_quantity_sold,
   cast(sum(transaction_count) AS bigint) AS store_daily_transactions

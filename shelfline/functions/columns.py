@@ -39,4 +39,5 @@ def time_bucket(ts: Column) -> Column:
 
 
 def money(c: Column) -> Column:
-    return c.cast("decimal(18,4)")
+    """An amount at the figures' precision; NULL for NaN, infinity, or one too large."""
+    return c.try_cast("decimal(18,4)")

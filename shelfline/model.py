@@ -85,11 +85,16 @@ INVENTORY = Feed(
 
 FEEDS = {f.name: f for f in (POS, INVENTORY)}
 
-# Names of the figures' tables and the reason kept for unmatched cells.
+# Texts of the reasons kept with rejected rows and unmatched cells.
+MISSING_COLUMNS = "Missing critical required fields in input DataFrame: {}"
+NULL_FIELD = "Null in required field: {}"
+BROKEN_RULE = "Rule violation for {}"
+NO_POS_MATCH = "No matching POS data for product, date, and time bucket"
+
+# Names of the figures' tables.
 SALES_KPI = "sales_kpi_daily"
 INVENTORY_KPI = "inventory_kpi_daily"
 REGIONAL_KPI = "regional_kpi_daily"
-NO_POS_MATCH = "No matching POS data for product, date, and time bucket"
 
 # Placeholders used where no product dimension is given.
 DEFAULT_COST_PRICE = 10.0

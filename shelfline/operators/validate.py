@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.casts import lenient_cast
 from shelfline.functions.columns import once
-from shelfline.model import PROCESSING_DATE, Feed
+from shelfline.model import BROKEN_RULE, MISSING_COLUMNS, NULL_FIELD, PROCESSING_DATE, Feed
 
 REASON = "error_reason"
 
@@ -19,7 +19,7 @@ def missing_columns(df: DataFrame, feed: Feed) -> list[str]:
 
 
 def missing_reason(missing: Sequence[str]) -> str:
-    return f"Missing critical required fields in input DataFrame: {list(missing)}"
+    return MISSING_COLUMNS.format(list(missing))
 
 
 def conform(df: DataFrame, feed: Feed, carry: Sequence[str] = (PROCESSING_DATE,)) -> DataFrame:
@@ -42,11 +42,9 @@ def reason(feed: Feed) -> Column:
     that is NULL counts as passed, so a null that only a null check can see keeps the null
     message.
     """
-    nulls = [
-        F.when(F.col(c).isNull(), f"Null in required field: {c}") for c in feed.required
-    ]
+    nulls = [F.when(F.col(c).isNull(), NULL_FIELD.format(c)) for c in feed.required]
     rules = [
-        F.when(~holds(F.col(c)), f"Rule violation for {c}") for c, holds in feed.rules.items()
+        F.when(~holds(F.col(c)), BROKEN_RULE.format(c)) for c, holds in feed.rules.items()
     ]
     return F.coalesce(*reversed(nulls + rules))
 

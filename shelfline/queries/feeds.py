@@ -14,7 +14,7 @@ from shelfline.functions.payload import (
     jsonpath_project,
 )
 from shelfline.operators import clean
-from shelfline.queries.registry import query
+from shelfline.queries.registry import query, query_named
 from shelfline.sources import tables
 from shelfline.sources.responses import with_first_record, with_payload
 
@@ -76,7 +76,7 @@ def route_invalid(spark, sf):
     return clean.invalid_weblogs(clean_weblog(spark, sf))
 
 
-@query
+@query_named("decode_envelope")
 def decoded_envelopes(spark, sf):
     """Verdict per enveloped record, with a field of those that decode."""
     return decode_envelope(tables.envelopes(spark, sf)).select(

@@ -8,7 +8,7 @@ from shelfline.config import new_shared_path
 from shelfline.functions.payload import field
 from shelfline.model import INVENTORY, POS
 from shelfline.operators import clean, objects
-from shelfline.queries.registry import query
+from shelfline.queries.registry import query, query_named
 from shelfline.sources import raw, tables
 from shelfline.sources.json_files import normalize_json_files, write_json_lines
 from shelfline.sources.manifest import manifest_scan, plain_path
@@ -52,7 +52,7 @@ def archive_candidates(spark, sf):
     return pos.unionByName(inventory)
 
 
-@query
+@query_named("scan_pos_raw")
 def pos_csv_scan(spark, sf):
     """Till lines written as CSV by day and read back with the day pruning folders."""
     path = new_shared_path(spark, "pos-csv")
@@ -61,7 +61,7 @@ def pos_csv_scan(spark, sf):
     return raw.for_days(raw.scan_pos_raw(spark, path), *_days(spark, sf))
 
 
-@query
+@query_named("scan_inventory_raw")
 def inventory_json_scan(spark, sf):
     """Stock readings written as JSON Lines and read back as text."""
     path = new_shared_path(spark, "inventory-json")
@@ -77,11 +77,13 @@ def _documents(spark, sf):
     return normalize_json_files(spark, path, "raw/batch/inventory-raw/", "2024-01-31")
 
 
-@query
+@query_named("normalize_json_files")
 def normalize_json(spark, sf):
     """Records of all sound files, written as JSON Lines and read back."""
     target = new_shared_path(spark, "json-lines")
-    write_json_lines(_documents(spark, sf), target)
+    files = _documents(spark, sf)
+    write_json_lines(files, target)
+    files.close()
     lines = with_payload(spark.read.text(target, recursiveFileLookup=True))
     payload = F.col("payload")
     return lines.select(
@@ -101,7 +103,7 @@ def normalize_json_status(spark, sf):
     )
 
 
-@query
+@query_named("manifest_scan")
 def manifest_load(spark, sf):
     """Web logs through a manifest; files beside the listed ones are not read."""
     root = new_shared_path(spark, "delivered")
@@ -167,7 +169,7 @@ def stream_crm(spark, sf):
     return _delivered(spark, f"{out}/delivered/crm", _CRM)
 
 
-@query
+@query_named("archive_raw_payload")
 def stream_archive(spark, sf):
     """The raw text kept beside the cleaned records."""
     out = _stream(spark, sf, "crm", tables.crm_json(spark, sf))
@@ -187,7 +189,7 @@ def time_partitioned_delivery(spark, sf):
     return folders.text(f"{out}/delivered/web-logs").groupBy(*parts).count()
 
 
-@query
+@query_named("incremental_scan")
 def incremental_lines(spark, sf):
     """Two runs over a growing folder: the second reads the new files only."""
     root = new_shared_path(spark, "incremental")

@@ -11,7 +11,7 @@ from shelfline.model import INVENTORY, INVENTORY_KPI, POS, PROCESSING_DATE, REGI
 from shelfline.operators import status
 from shelfline.plans.batch import run_batch
 from shelfline.plans.kpi import run_kpis
-from shelfline.queries.registry import query
+from shelfline.queries.registry import query, query_named
 from shelfline.sinks.tables import replace_dates
 from shelfline.sources import tables
 from shelfline.sources.silver import scan_silver
@@ -68,7 +68,7 @@ def inventory_roundtrip(spark, sf):
     )
 
 
-@query
+@query_named("quarantine")
 def quarantine_roundtrip(spark, sf):
     cfg = _config(spark, sf)
     run_batch(spark, tables.pos_raw(spark, sf), POS, cfg)
@@ -78,19 +78,19 @@ def quarantine_roundtrip(spark, sf):
     return spark.read.schema(schema).json(cfg.path("errors", "validation"))
 
 
-@query
+@query_named("write_kpi_sales")
 def sales_kpi_table(spark, sf):
     cfg, *_ = _run(spark, sf)
     return _without_audit(spark.read.parquet(cfg.path("kpi", SALES_KPI)))
 
 
-@query
+@query_named("write_kpi_inventory")
 def inventory_kpi_table(spark, sf):
     cfg, *_ = _run(spark, sf)
     return _without_audit(spark.read.parquet(cfg.path("kpi", INVENTORY_KPI)))
 
 
-@query
+@query_named("write_kpi_regional")
 def regional_kpi_table(spark, sf):
     cfg, *_ = _run(spark, sf)
     return _without_audit(spark.read.parquet(cfg.path("kpi", REGIONAL_KPI)))

@@ -13,10 +13,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(fn: Query) -> Query:
+def query(fn: Query, name: str | None = None) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(prepare(spark), sf_dir)
 
-    QUERIES[fn.__name__] = run
+    QUERIES[name or fn.__name__] = run
     return run
+
+
+def query_named(name: str) -> Callable[[Query], Query]:
+    """For a query called like the operator it runs."""
+    return lambda fn: query(fn, name)

@@ -128,6 +128,16 @@ def test_average_price_is_null_without_items(spark):
     assert kpis.sales_kpis(cells.matched(match(inv, pos))).first().average_price_per_item is None
 
 
+def test_revenue_that_is_no_number_does_not_fail_the_job(spark):
+    inv = inv_frame(spark, (1, 1, 5, at(12), "LOW_STOCK"))
+    pos = pos_frame(spark, (1, 1, 1, float("nan"), float("inf"), at(12)), (1, 1, 1, 2.0, 1.0, at(12)))
+    joined = cells.matched(match(inv, pos))
+    got = kpis.sales_kpis(joined).first()
+    assert got.total_daily_revenue is None and got.average_price_per_item is None
+    assert got.total_daily_discount_given is None and got.total_daily_quantity_sold == 2
+    assert kpis.regional_kpis_exact(joined).first().store_daily_revenue is None
+
+
 def test_inventory_figures_add_over_buckets(spark):
     inv = inv_frame(
         spark,
@@ -220,3 +230,16 @@ def test_hot_cell_needs_no_wide_group(spark):
     hot = cells.pos_cells(rows).filter("product_id = 1").first()
     assert hot.total_quantity == 10_000 and hot.total_revenue == 5_000.0
     assert hot.store_list == [0, 1, 2, 3, 4] and len(hot.store_sales) == 5
+
+
+def test_match_adds_no_shuffle(spark):
+    """One exchange for stock, two for sales, and none for the join of both."""
+    inv = inv_frame(spark, (1, 1, 5, at(12), "LOW_STOCK"))
+    pos = pos_frame(spark, (1, 1, 1, 10.0, None, at(12)))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = match(inv, pos)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 3
