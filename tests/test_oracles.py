@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks import ORACLES
 from checks.compare import connect, difference
+from shelfline.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +16,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -22,7 +26,7 @@ def test_entry(spark):
     assert "total_daily_revenue" in df.columns and df.count() == 17
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    problem = difference(spark, con, name, contract.queries()[name], SF)
+    problem = difference(spark, con, name, QUERIES[name], SF)
     assert problem in (None, "no rows on either side")
