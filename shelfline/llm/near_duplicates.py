@@ -31,6 +31,8 @@ Only doc_id and text are read, so further columns cannot clash. Empty tables giv
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,7 +42,7 @@ from shelfline.llm.common import staged
 from shelfline.llm.components import components
 from shelfline.llm.shingles import Hasher, mixed, numbers
 
-SIGNATURE = "doc_id long, n long, d1 long, d2 long, halves array<long>"
+SIGNATURE = "n long, d1 long, d2 long, halves array<long>"
 
 
 def _digest(s: np.ndarray) -> tuple[int, int]:
@@ -50,34 +52,32 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(np.uint64(one).view(np.int64)), int(np.uint64(two).view(np.int64))
 
 
-def _signatures(size: int, half: int, side: int):
-    def run(batches):
+def _signature(size: int, half: int, side: int):
+    @F.pandas_udf(SIGNATURE)
+    def signature(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hasher, factors = Hasher(), numbers(2 * side * half, 3)[:, None] | np.uint64(1)
         weights = (numbers(half, 4) | np.uint64(1))[None, :]
-        for pdf in batches:
+        for texts in batches:
             rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+            for text in texts:
                 s = hasher.shingles(text, size)
                 if not len(s):
-                    rows.append((doc_id, 0, 0, 0, None))
+                    rows.append((0, 0, 0, None))
                     continue
                 least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
                 for at in range(0, len(s), 2048):
                     np.minimum(least, (factors * s[None, at : at + 2048]).min(axis=1), out=least)
                 halves = mixed((mixed(least).reshape(-1, half) * weights).sum(axis=1, dtype=np.uint64))
-                rows.append((doc_id, len(s), *_digest(s), halves.view(np.int64)))
-            out = pd.DataFrame(rows, columns=["doc_id", "n", "d1", "d2", "halves"])
-            out["doc_id"] = pd.array(pdf["doc_id"], dtype="Int64")
-            yield out
+                rows.append((len(s), *_digest(s), halves.view(np.int64)))
+            yield pd.DataFrame(rows, columns=["n", "d1", "d2", "halves"])
 
-    return run
+    return signature
 
 
 def signatures(docs: DataFrame, shingle: int, half: int, tables_side: int) -> DataFrame:
     """Per row: doc_id, set size, set digest, half keys (A's, then B's), and a row number."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = rows.mapInPandas(_signatures(shingle, half, tables_side), SIGNATURE)
-    return staged(found.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    found = docs.select(F.col("doc_id").cast("long"), _signature(shingle, half, tables_side)(F.col("text").cast("string")).alias("s"))
+    return staged(found.select("doc_id", "s.*", F.monotonically_increasing_id().alias("row")), "signatures")
 
 
 def table_entries(classes: DataFrame, tables_side: int) -> DataFrame:
