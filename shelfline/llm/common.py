@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.config import new_shared_path, stage
@@ -56,3 +56,24 @@ def _drop(spark: SparkSession, path: str) -> None:
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.col("text"))
+
+
+def repeated(docs: DataFrame, verdicts: DataFrame, most: int) -> DataFrame:
+    """``docs``, each row as often as its verdict says: 0 to ``most`` times.
+
+    ``verdicts`` (doc_id, text_hash, times) has a row for each row of ``docs``. Rows are
+    paired by id and text; rows equal in both take the verdicts in any order.
+    """
+    counts = [F.sum((F.col("times") >= k).cast("long")).alias(f"_t{k}") for k in range(1, most + 1)]
+    totals = verdicts.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(*counts)
+    totals = staged(totals.filter("_t1 > 0"), "verdicts")
+    joined = docs.withColumn("_text", text_hash()).join(totals, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")))
+    number = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_text"))
+    times = sum(((F.col("_n") <= F.col(f"_t{k}")).cast("int") for k in range(1, most + 1)), F.lit(0))
+    rows = joined.withColumn("_n", number).withColumn("_times", times).filter("_times > 0")
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return rows.select(*(docs[c] for c in docs.columns))

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import n_words, staged
+from shelfline.llm.common import n_words, staged, text_hash
 
 PLAIN = "#*$%&|<>0123456789"
 
@@ -75,9 +75,9 @@ def mix(
     seed: int = 7,
     bins: int = 65_536,
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, source, size, source_size, target, taken, copies."""
+    """Per row of ``docs``: doc_id, source, size, source_size, target, taken, copies, text_hash."""
     key = -F.log(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"))
-    rows = docs.select("doc_id", F.col(source).alias("source"), n_words(F.col("text")).alias("size"), key.alias("key"))
+    rows = docs.select("doc_id", text_hash().alias("text_hash"), F.col(source).alias("source"), n_words(F.col("text")).alias("size"), key.alias("key"))
     # 1 - exp(-key) lies in [0, 1) and grows with the key.
     rows = staged(rows.withColumn("bin", F.least(F.floor((1 - F.exp(-F.col("key"))) * bins), F.lit(bins - 1))), "sizes")
     summed = staged(rows.groupBy("source", "bin").agg(F.sum("size").alias("held")), "bins")
@@ -99,5 +99,5 @@ def mix(
     rest = joined.filter("bin <> `end`").withColumn("chosen", F.col("bin") < F.col("end"))
     copies = F.col("epochs") + F.when(F.col("chosen"), 1).otherwise(0)
     return rest.unionByName(last).withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0).cast("int")).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies"
+        "doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies", "text_hash"
     )

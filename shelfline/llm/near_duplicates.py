@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import staged
+from shelfline.llm.common import staged, text_hash
 from shelfline.llm.components import components
 from shelfline.llm.shingles import Hasher, mixed, numbers
 
@@ -76,8 +76,8 @@ def _signature(size: int, half: int, side: int):
 
 def signatures(docs: DataFrame, shingle: int, half: int, tables_side: int) -> DataFrame:
     """Per row: doc_id, set size, set digest, half keys (A's, then B's), and a row number."""
-    found = docs.select(F.col("doc_id").cast("long"), _signature(shingle, half, tables_side)(F.col("text").cast("string")).alias("s"))
-    return staged(found.select("doc_id", "s.*", F.monotonically_increasing_id().alias("row")), "signatures")
+    found = docs.select(F.col("doc_id").cast("long"), text_hash().alias("text_hash"), _signature(shingle, half, tables_side)(F.col("text").cast("string")).alias("s"))
+    return staged(found.select("doc_id", "text_hash", "s.*", F.monotonically_increasing_id().alias("row")), "signatures")
 
 
 def table_entries(classes: DataFrame, tables_side: int) -> DataFrame:
@@ -135,7 +135,7 @@ def near_duplicates(
     tables_side: int = 24,
     star_rounds: int = 3,
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, row, and first (the row to keep).
+    """Per row of ``docs``: doc_id, n_shingles, component_id, row, first (the row to keep), and text_hash.
 
     ``first`` holds for one row of each component, that with the smallest doc_id, the first
     of equal ones.
@@ -153,12 +153,12 @@ def near_duplicates(
     roots = staged(
         classes.join(links, "node", "left").select(*by_set, F.coalesce("root", "node").alias("root")), "roots"
     )
-    members = staged(rows.filter("n > 0").join(roots, by_set).select("doc_id", "n", "row", "root"), "members")
+    members = staged(rows.filter("n > 0").join(roots, by_set).select("doc_id", "text_hash", "n", "row", "root"), "members")
     heads = staged(members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("head")), "heads")
     grouped = members.join(heads, "root").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("head.doc_id").alias("component_id"), "row", (F.col("row") == F.col("head.row")).alias("first")
+        "doc_id", F.col("n").alias("n_shingles"), F.col("head.doc_id").alias("component_id"), "row", (F.col("row") == F.col("head.row")).alias("first"), "text_hash"
     )
-    alone = rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "row", F.lit(True).alias("first"))
+    alone = rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "row", F.lit(True).alias("first"), "text_hash")
     return grouped.union(alone)
 
 

@@ -85,7 +85,7 @@ def _search(trees: int, bits: int, share: float, least: int, k: int, seed: int):
             ids, x = rows["vec_id"].to_numpy(np.int64), np.stack(rows["v"].to_numpy()).astype(float)
             order = np.argsort(ids, kind="stable")
             ids, x = ids[order], x[order]
-            q = np.stack(queries["v"].to_numpy()).astype(float)
+            q = np.stack(queries["q"].to_numpy()).astype(float)
             forest = Forest(x, trees, bits, seed)
             # The count is over trees: a row may be met in several.
             wanted = max(int(share * len(x)), least)
@@ -126,19 +126,18 @@ def nearest(
     number = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     usable = F.col("vec_id").isNotNull() & v.isNotNull() & F.forall(v, number) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("v"))
-    rows = staged(rows.filter(usable).withColumn("dims", F.size("v")), "vectors")
+    rows = rows.filter(usable).withColumn("dims", F.size("v"))
     sizes = rows.groupBy("dims").agg(F.count("*").alias("n"), F.sum(is_query(F.col("vec_id")).cast("long")).alias("q"))
     parts = lambda c: F.greatest(F.ceil(F.col(c) / block), F.lit(1)).cast("int")
     sizes = sizes.select("dims", parts("n").alias("blocks"), parts("q").alias("groups"))
-    # A row of the table of sizes per vector length.
-    dealt = rows.join(sizes, "dims").withColumn("h", F.xxhash64("vec_id", "v"))
+    dealt = staged(rows.join(sizes, "dims").withColumn("h", F.xxhash64("vec_id", "v")), "dealt-vectors")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt_rows = dealt.select("dims", "vec_id", "v", F.pmod("h", "blocks").cast("int").alias("block"), each("groups").alias("group"))
     queries = dealt.filter(is_query(F.col("vec_id"))).select(
-        "dims", F.col("vec_id").alias("query_id"), "v", F.pmod(F.xxhash64("h"), "groups").cast("int").alias("group"), each("blocks").alias("block")
-    )
-    met = ["dims", "block", "group"]
-    found = queries.groupBy(met).cogroup(dealt_rows.groupBy(met)).applyInPandas(
+        F.col("dims").alias("q_dims"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"),
+        F.pmod(F.xxhash64("h"), "groups").cast("int").alias("q_group"), each("blocks").alias("q_block"),
+    )
+    found = queries.groupBy("q_dims", "q_block", "q_group").cogroup(dealt_rows.groupBy("dims", "block", "group")).applyInPandas(
         _search(trees, bits, share, least, k, seed), "query_id long, vec_id long, score double"
     )
     # Rows of an id may differ; the best of them counts.

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import near_duplicates, toxicity
+from shelfline.config import new_shared_path
+from shelfline.llm import bpe, language_model, mixing, near_duplicates, neighbours, quality, secrets, token_files, toxicity, warc
 from shelfline.llm.common import fold, table
 from shelfline.session import prepare
 
@@ -32,6 +34,45 @@ def query(fn: Query) -> Query:
     return run
 
 
+# Where the public vocabularies lie; SHELFLINE_TOKENIZERS names another folder.
+def vocabulary(name: str) -> str:
+    folder = os.environ.get("SHELFLINE_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 10) == 0
+    found = language_model.score(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken"))
+    return bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("host_rate")
+
+
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_shared_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    records, _ = warc.read(spark, path, keep_payload=False)
+    return records.select(F.col("page_id").cast("long"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long"))
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -46,3 +87,36 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_shared_path(spark, "token-files")
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as file:
+        token_files.write(table(spark, sf_dir, "documents"), path, file.read())
+    return token_files.read(spark, path)
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("parts", lambda x: x["kind"] < secrets.STRONG)
+    number = lambda kind: F.size(F.filter("parts", lambda x: x["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("parts")).alias("spans"),
+    )
+
+
+@query
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
