@@ -85,6 +85,7 @@ def _search(trees: int, bits: int, share: float, least: int, k: int, seed: int):
             ids, x = rows["vec_id"].to_numpy(np.int64), np.stack(rows["v"].to_numpy()).astype(float)
             order = np.argsort(ids, kind="stable")
             ids, x = ids[order], x[order]
+            repeats = bool((ids[1:] == ids[:-1]).any())
             q = np.stack(queries["q"].to_numpy()).astype(float)
             forest = Forest(x, trees, bits, seed)
             # The count is over trees: a row may be met in several.
@@ -94,7 +95,7 @@ def _search(trees: int, bits: int, share: float, least: int, k: int, seed: int):
                 if not len(at):
                     continue
                 rough = x[at] @ v
-                if len(at) > k:
+                if len(at) > k and not repeats:
                     edge = np.partition(rough, len(at) - k)[len(at) - k]
                     at = at[rough >= edge - 1e-9 * (1 + abs(edge))]
                 # Row by row, so that equal vectors get equal sums.

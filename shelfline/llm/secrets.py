@@ -133,4 +133,6 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", scope: int = 200) -> DataFra
     tail = F.substring(text, (F.element_at(cut, -1)["end"] + 1).cast("int"), F.length(text))
     joined = docs.join(cuts, docs["doc_id"].eqNullSafe(F.col("of_id")) & (F.xxhash64(docs["text"]) == F.col("of_hash")), "left")
     clean = F.when(F.col("cuts").isNull(), text).otherwise(F.concat(head, tail))
-    return joined.select(*(clean.alias(c) if c == "text" else F.length(clean).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else name[c] for c in docs.columns))
+    rows = joined.withColumn("_clean", clean)
+    size = lambda c: F.length("_clean").cast(docs.schema[c].dataType)
+    return rows.select(*(F.col("_clean").alias(c) if c == "text" else size(c).alias(c) if c == "n_chars" else name[c] for c in docs.columns))
