@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from shelfline.config import new_shared_path
 from shelfline.llm import bpe, language_model, mixing, near_duplicates, neighbours, quality, secrets, token_files, toxicity, warc
 from shelfline.llm.common import fold, table
+from shelfline.llm.oracles import ORACLES  # noqa: F401
 from shelfline.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 
 def configured(spark: SparkSession) -> SparkSession:
