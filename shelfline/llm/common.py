@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,18 +38,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     Later steps then read what was written, whatever executors are lost meanwhile. The
     folder goes when the driver ends.
     """
-    spark = df.sparkSession
-    path = new_shared_path(spark, name)
-    atexit.register(_drop, spark, path)
-    return stage(df, path)
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is None:
-        return
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    return stage(df, new_shared_path(df.sparkSession, name))
 
 
 def fold(doc_id: Column, parts: int) -> Column:
