@@ -124,7 +124,8 @@ text_rows AS (SELECT
   CASE event_id % 31 WHEN 4 THEN null ELSE cast(event_id % 8 AS int) END AS store_id,
   CASE event_id % 37 WHEN 5 THEN null ELSE cast(user_id % 20 AS int) END AS product_id,
   CASE event_id % 23 WHEN 0 THEN null WHEN 1 THEN cast(event_id % 9 AS int) WHEN 2 THEN -1
-    WHEN 3 THEN null WHEN 4 THEN null ELSE cast(event_id % 9 AS int) END AS quantity,
+    WHEN 3 THEN null WHEN 4 THEN null WHEN 5 THEN 0 WHEN 6 THEN 0
+    ELSE cast(event_id % 9 AS int) END AS quantity,
   CASE event_id % 19 WHEN 6 THEN 'nan'::float WHEN 7 THEN null WHEN 8 THEN -1::float
     ELSE cast(value AS float) END AS revenue,
   CASE event_id % 17 WHEN 9 THEN null ELSE cast(event_id % 5 AS float) END

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.oracles import (
+    ALL_STEPS,
     DATED_STEPS,
     INVENTORY_RAW,
     POS_RAW,
@@ -36,10 +37,13 @@ INVALID = "(user_id = '' OR session_id IS NULL OR event_type IS NULL)"
 
 CRM = """crm AS (SELECT conv_id, turn,
   CASE conv_id % 7 WHEN 0 THEN 3 WHEN 1 THEN null WHEN 2 THEN null WHEN 3 THEN null
-    WHEN 4 THEN null ELSE cast(conv_id AS int) END AS customer_id,
+    WHEN 4 THEN null WHEN 5 THEN CASE WHEN turn % 2 = 0 THEN 1 END
+    ELSE cast(conv_id AS int) END AS customer_id,
   role AS interaction_type, CASE WHEN turn % 3 = 0 THEN 'chat' ELSE '' END AS channel,
-  CASE (conv_id + turn) % 9 WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 5 WHEN 3 THEN 5
-    WHEN 8 THEN 2 ELSE 3 END::int AS rating,
+  CASE (conv_id + turn) % 11 WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 5 WHEN 3 THEN 5
+    WHEN 8 THEN 2 WHEN 9 THEN 1 WHEN 10 THEN 1 ELSE 3 END::int AS rating,
+  CASE turn % 3 WHEN 0 THEN '2025-07-17 20:41:00' WHEN 1 THEN '2025-07-17T20:41:00.25' END
+    AS ingested,
   text AS message_excerpt,
   make_timestamp((1700000000 + conv_id * 60 + turn) * 1000000 + 500000) AS first_time,
   CASE turn % 4 WHEN 0 THEN timestamp '2025-07-17 20:40:36.066373'
@@ -49,11 +53,13 @@ CRM = """crm AS (SELECT conv_id, turn,
 _CRM_FIELDS = "customer_id, interaction_type, channel, rating, message_excerpt"
 
 KEYS = """keys AS (SELECT event_id,
-  CASE event_id % 4 WHEN 1 THEN 'inventory' WHEN 3 THEN 'raw/batch/pos-raw' ELSE 'pos' END
-    AS folder,
+  CASE event_id % 6 WHEN 0 THEN 'pos' WHEN 2 THEN 'pos' WHEN 3 THEN 'raw/batch/inventory-raw'
+    WHEN 5 THEN 'raw/batch/pos-raw' ELSE 'inventory' END AS folder,
   strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y%m%d') AS digits,
-  CASE event_id % 5 WHEN 0 THEN '%20north+a' WHEN 1 THEN '+b' ELSE '' END AS escaped,
-  CASE event_id % 5 WHEN 0 THEN ' north a' WHEN 1 THEN ' b' ELSE '' END AS plain,
+  CASE event_id % 5 WHEN 0 THEN '%20north+a' WHEN 1 THEN '+b' WHEN 2 THEN '%zz%20c%'
+    ELSE '' END AS escaped,
+  CASE event_id % 5 WHEN 0 THEN ' north a' WHEN 1 THEN ' b' WHEN 2 THEN '%zz c%'
+    ELSE '' END AS plain,
   CASE event_id % 7 WHEN 0 THEN '.CSV' WHEN 1 THEN '.json' WHEN 2 THEN '.csv.gz'
     WHEN 3 THEN '.json' ELSE '.csv' END AS ext FROM events),
 named AS (SELECT *, day || '_batch' || plain || '_' || event_id
@@ -64,12 +70,12 @@ described AS (SELECT event_id, folder || '/' || name AS object_key,
   split_part(folder, '/', 1) AS data_type,
   CASE event_id % 7 WHEN 0 THEN 'CSV' WHEN 1 THEN 'json' WHEN 2 THEN 'gz' WHEN 3 THEN 'json'
     ELSE 'csv' END AS file_extension,
-  CASE WHEN event_id % 4 = 3 THEN 'batch' ELSE day END AS processing_date FROM named)"""
+  CASE WHEN event_id % 6 IN (3, 5) THEN 'batch' ELSE day END AS processing_date FROM named)"""
 
 # The first eight digits in a name: the event id itself could supply them beyond 8 digits.
 _ARCHIVE = """SELECT event_id, folder || '/' || name AS object_key,
   cast(day AS date) AS processing_date, 'archive/{feed}/' || day || '/' || name AS archive_key,
-  '{feed}' AS feed FROM named WHERE event_id % 3 <> 0 AND {ext}"""
+  '{feed}' AS feed FROM named WHERE event_id % 3 <> 0 AND folder = 'raw/batch/{feed}-raw' AND {ext}"""
 
 FILES = """numbered AS (SELECT *, event_id // 500 AS file_no FROM events)"""
 
@@ -110,7 +116,7 @@ FROM numbers JOIN (SELECT event_id, event_type, user_id FROM events) USING (even
     "clean_crm": f"""WITH {CRM} SELECT conv_id, turn, {_CRM_FIELDS},
   first_time AS event_timestamp FROM crm""",
     "sanitize_crm": f"""WITH {CRM} SELECT conv_id, turn, {_CRM_FIELDS},
-  second_time AS event_timestamp, null::timestamp AS ingestion_timestamp FROM crm""",
+  second_time AS event_timestamp, ingested AS ingestion_timestamp FROM crm""",
     "clean_weblog": f"WITH {WEBLOGS} SELECT * FROM weblogs",
     "route_invalid": f"WITH {WEBLOGS} SELECT * FROM weblogs WHERE {INVALID}",
     "sample_rows": f"WITH {WEBLOGS} SELECT * FROM weblogs ORDER BY event_id LIMIT 10",
@@ -118,8 +124,12 @@ FROM numbers JOIN (SELECT event_id, event_type, user_id FROM events) USING (even
   CASE WHEN (conv_id * 3 + turn) % 11 < 5 THEN 'ProcessingFailed' ELSE 'Ok' END AS result,
   CASE WHEN (conv_id * 3 + turn) % 11 >= 5 THEN role END AS role FROM conversations""",
     "transform_records": f"""WITH {CRM} SELECT conv_id || '-' || turn AS "recordId",
-  'Ok' AS verdict, customer_id, rating, channel, message_excerpt,
-  second_time AS event_timestamp FROM crm WHERE (conv_id * 3 + turn) % 11 >= 5""",
+  CASE WHEN ok THEN 'Ok' ELSE 'ProcessingFailed' END AS verdict, NOT ok AS unchanged,
+  CASE WHEN ok THEN customer_id END AS customer_id, CASE WHEN ok THEN rating END AS rating,
+  CASE WHEN ok THEN channel END AS channel, CASE WHEN ok THEN message_excerpt END
+    AS message_excerpt, CASE WHEN ok THEN second_time END AS event_timestamp,
+  CASE WHEN ok THEN ingested END AS ingestion_timestamp
+FROM (SELECT *, (conv_id * 3 + turn) % 11 >= 5 AS ok FROM crm)""",
     "first_record": f"""WITH {WEBLOGS} SELECT event_id,
   CASE WHEN event_id % 4 < 3 THEN page END AS page,
   CASE WHEN event_id % 4 < 3 THEN event_type END AS event_type FROM weblogs""",
@@ -134,12 +144,12 @@ FROM events""",
   cast(user_id AS varchar) AS user_id, 's' || (event_id % 500) AS session_id,
   date_trunc('second', ts) AS ingestion_timestamp, ts AS event_timestamp FROM events""",
     "jsonpath_crm": """SELECT conv_id, turn,
-  CASE (conv_id + turn) % 9 WHEN 0 THEN 0 WHEN 1 THEN 4 WHEN 2 THEN 9 WHEN 8 THEN 2 END::int
+  CASE (conv_id + turn) % 11 WHEN 0 THEN 0 WHEN 1 THEN 4 WHEN 2 THEN 9 WHEN 8 THEN 2 END::int
     AS rating,
-  CASE conv_id % 7 WHEN 0 THEN 3 WHEN 5 THEN conv_id WHEN 6 THEN conv_id END::int
-    AS customer_id,
+  CASE conv_id % 7 WHEN 0 THEN 3 WHEN 6 THEN conv_id END::int AS customer_id,
   left(text, 255) AS message_excerpt, CASE WHEN turn % 3 = 0 THEN 'chat' END AS channel,
-  role AS interaction_type, null::timestamp AS ingestion_timestamp,
+  role AS interaction_type, CASE turn % 3 WHEN 0 THEN timestamp '2025-07-17 20:41:00'
+    WHEN 1 THEN timestamp '2025-07-17 20:41:00.25' END AS ingestion_timestamp,
   CASE turn % 4 WHEN 0 THEN timestamp '2025-07-17 20:40:36.066373'
     WHEN 1 THEN make_timestamp(cast(round((1700000000 + conv_id + 0.0465686::double) * 1e6)
       AS bigint)) WHEN 2 THEN timestamp '2025-07-17 20:40:36' END AS event_timestamp
@@ -191,19 +201,17 @@ FROM conversations GROUP BY 1""",
   strftime(event_timestamp, '%Y') AS year, strftime(event_timestamp, '%m') AS month,
   strftime(event_timestamp, '%d') AS day, strftime(event_timestamp, '%H') AS hour,
   count(*) AS count FROM weblogs WHERE NOT coalesce({INVALID}, true) GROUP BY 1, 2, 3, 4""",
+    "repeated_delivery": f"""WITH {WEBLOGS},
+moved AS (SELECT event_timestamp + INTERVAL 1 HOUR AS t FROM weblogs
+  WHERE NOT coalesce({INVALID}, true))
+SELECT strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS day,
+  strftime(t, '%H') AS hour, count(*) AS count FROM moved GROUP BY 1, 2, 3, 4""",
     "incremental_scan": """SELECT 'web-logs' AS feed, count(*) AS count FROM events
 UNION ALL SELECT 'crm', count(*) FROM conversations""",
-    "stream_bucket_agg": f"""WITH {POS_STEPS}
-SELECT product_id, cast(transaction_timestamp AS date) AS analysis_date,
-  hour(transaction_timestamp) // 2 * 2 AS time_bucket,
-  cast(sum(quantity) AS bigint) AS total_quantity,
-  cast(sum(cast(revenue AS double)) AS decimal(18,4)) AS total_revenue,
-  cast(sum(cast(discount_applied AS double)) AS decimal(18,4)) AS total_discount,
-  count(*) AS transaction_count, max(transaction_timestamp) AS pos_timestamp
-FROM pos_silver
-WHERE time_bucket(INTERVAL 2 hours, transaction_timestamp) + INTERVAL 2 hours
-  <= (SELECT max(transaction_timestamp) - INTERVAL 2 hours FROM pos_silver)
-GROUP BY 1, 2, 3""",
+    "stream_bucket_agg": f"""WITH {ALL_STEPS} SELECT product_id, analysis_date, time_bucket,
+  total_quantity, cast(total_revenue AS decimal(18,4)) AS total_revenue,
+  cast(total_discount AS decimal(18,4)) AS total_discount, transaction_count,
+  array_to_string(store_list, ',') AS store_list, pos_timestamp FROM pos_cells""",
     "backfill_dates": """SELECT cast(d.range AS date) AS processing_date,
   count(e.event_id) AS rows
 FROM (SELECT unnest(range(min(ts)::date, max(ts)::date + INTERVAL 1 day, INTERVAL 1 day)) AS range
@@ -230,7 +238,8 @@ FROM outcome""",
     "inventory_roundtrip": f"WITH {DATED_STEPS} SELECT * FROM inv_silver",
     "quarantine": f"""WITH {DATED_STEPS} SELECT *,
   processing_date AS processing_date_of_error, 'pos' AS source_type
-FROM pos_checked WHERE error_reason IS NOT NULL""",
+FROM pos_checked, (VALUES ('first'), ('second')) runs(job_run_id)
+WHERE error_reason IS NOT NULL""",
     "write_kpi_sales": f"WITH {DATED_STEPS} {SALES}",
     "write_kpi_inventory": f"""WITH {DATED_STEPS}
 {_INVENTORY_FIGURES.format(cost='cost_price', source='joined')}""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -54,41 +55,64 @@ class RunConfig:
         return cls(base, lo, hi, run_id or _run_id())
 
 
+_to_clear: set[str] = set()
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for cut lineage; a scratch one only where none is named."""
+    """The cluster's shared folder for cut lineage.
+
+    Where none is named, a session in a single process gets a scratch folder; any other
+    must name one, as executors would write to disks that no one else sees.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="shelfline-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/shelfline/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; it goes when the driver ends."""
+    own = f"{shared_dir(spark)}/shelfline/{spark.sparkContext.applicationId}"
+    if own not in _to_clear:
+        _to_clear.add(own)
+        atexit.register(delete, spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store Spark can write to, if the session still runs."""
+    if spark.sparkContext._jsc is None:
+        return
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    target.getFileSystem(conf).delete(target, True)
 
 
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` and read it back.
+def stage(df: DataFrame, path: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to ``path``, in folders by the given columns, and read it back.
 
     Cuts the lineage with something that outlives a lost executor, so that several outputs
     can be taken from one computation.
     """
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession, path: str) -> None:
     """Give back the space of a staged table."""
-    spark.range(0).write.mode("overwrite").parquet(path)
+    delete(spark, path)
 
 
 @contextmanager
-def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+def staged(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> Iterator[DataFrame]:
     """A staged table in the shared folder, for as long as the block runs."""
     spark = df.sparkSession
     path = new_shared_path(spark, name)
     try:
-        yield stage(df, path)
+        yield stage(df, path, by)
     finally:
         release(spark, path)

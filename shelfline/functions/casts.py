@@ -13,6 +13,7 @@ _MAX_EPOCH_SECONDS = 9_223_372_036_854
 # succeed is sorted out by pattern first.
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _WHOLE_AND_FRACTION = r"^\s*[+-]?\d+\.\d*\s*$"
+_FRACTION = r"^\s*[+-]?\.\d+\s*$"
 _MAYBE_FRACTIONAL = r"(?i)^\s*[+-]?(\.?\d|nan|inf)"
 # Decimal notation only: the JVM would also read type suffixes (3d) and hexadecimal.
 _DECIMAL = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
@@ -23,8 +24,10 @@ def lenient_cast(c: Column, source: T.DataType, target: T.DataType) -> Column:
     if not isinstance(source, T.StringType):
         return c.try_cast(target)
     if isinstance(target, T.IntegralType):
-        whole = F.when(c.rlike(_WHOLE), c).when(
-            c.rlike(_WHOLE_AND_FRACTION), F.substring_index(c, ".", 1)
+        whole = (
+            F.when(c.rlike(_WHOLE), c)
+            .when(c.rlike(_WHOLE_AND_FRACTION), F.substring_index(c, ".", 1))
+            .when(c.rlike(_FRACTION), F.lit("0"))
         )
         return whole.try_cast(target)
     if isinstance(target, T.FractionalType):

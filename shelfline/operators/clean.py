@@ -19,6 +19,7 @@ from shelfline.functions.casts import (
 from shelfline.functions.columns import once
 from shelfline.functions.payload import OK, compact_json, decode_envelope, field
 
+# The columns delivered, and those a web log needs.
 CRM_COLUMNS = [
     "customer_id",
     "interaction_type",
@@ -41,10 +42,22 @@ WEBLOG_COLUMNS = [
 REQUIRED_IN_WEBLOG = ["user_id", "session_id", "event_type"]
 
 
-def _fields(df: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """The payload's fields as text, each read once however often it is used."""
-    read = [field(F.col("payload"), f"$.{n}").alias(n) for n in names]
-    return df.select(*keep, *read)
+def _fields(
+    df: DataFrame, names: Sequence[str], keep: Sequence[str], numbers: Sequence[str] = ()
+) -> DataFrame:
+    """The payload's fields as text, each read once however often it is used.
+
+    JSON's true and false are 1 and 0 in ``numbers``; the texts "true" and "false" are not.
+    """
+
+    def read(name: str) -> Column:
+        text = field(F.col("payload"), f"$.{name}")
+        if name in numbers:
+            json = F.to_json(field(F.col("payload"), f"$.{name}", "variant"))
+            text = F.when(json == "true", "1").when(json == "false", "0").otherwise(text)
+        return text.alias(name)
+
+    return df.select(*keep, *map(read, names))
 
 
 def text_default(text: Column) -> Column:
@@ -61,6 +74,7 @@ def falsy_to_empty(text: Column, json: Column) -> Column:
     return F.when(json.isNull() | F.coalesce(empty, F.lit(False)), "").otherwise(text)
 
 
+_CRM_NUMBERS = ["customer_id", "rating"]
 _CRM_TEXT = ["customer_id", "interaction_type", "channel", "rating", "message_excerpt"]
 
 
@@ -79,17 +93,18 @@ def _crm(event_timestamp: Column, ingested: Column) -> list[Column]:
 def clean_crm(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """First cleaning of a customer interaction; event time comes as epoch ``timestamp``."""
     event_time = epoch_text_to_timestamp(F.col("timestamp"))
-    return _fields(df, [*_CRM_TEXT, "timestamp"], keep).select(
+    return _fields(df, [*_CRM_TEXT, "timestamp"], keep, _CRM_NUMBERS).select(
         *keep, *_crm(event_time, F.current_timestamp())
     )
 
 
 def sanitize_crm(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Second cleaning, on delivery: ``event_timestamp`` is ISO text or epoch seconds."""
+    """Second cleaning, on delivery: ``event_timestamp`` is ISO text or epoch seconds;
+    ``ingestion_timestamp`` is passed on as it is."""
     times = ["event_timestamp", "ingestion_timestamp"]
-    return _fields(df, [*_CRM_TEXT, *times], keep).select(
+    return _fields(df, [*_CRM_TEXT, *times], keep, _CRM_NUMBERS).select(
         *keep,
-        *_crm(*[iso_or_epoch(F.col(t)) for t in times]),
+        *_crm(iso_or_epoch(F.col("event_timestamp")), F.col("ingestion_timestamp")),
         F.current_timestamp().alias("processed_at"),
     )
 

@@ -12,6 +12,7 @@ from shelfline.model import Feed
 # Landing folders and routes.
 POS_LANDING = "raw/batch/pos-raw/"
 INVENTORY_LANDING = "raw/batch/inventory-raw/"
+LANDING = {"pos": POS_LANDING, "inventory": INVENTORY_LANDING}
 
 
 def file_name(key: Column) -> Column:
@@ -45,8 +46,8 @@ def route_by_type(described: DataFrame) -> DataFrame:
 
 
 def decoded_key(key: Column) -> Column:
-    """Percent escapes and plus signs undone; a key with broken escapes stays as it is."""
-    return F.coalesce(F.try_url_decode(key), key)
+    """Percent escapes and plus signs undone; a percent sign that begins none stays."""
+    return F.url_decode(F.regexp_replace(key, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def land_csv(df: DataFrame, key: str = "object_key", target: str = POS_LANDING) -> DataFrame:
@@ -70,7 +71,8 @@ def land_csv(df: DataFrame, key: str = "object_key", target: str = POS_LANDING)
 def archive_candidates(
     df: DataFrame, feed: Feed, start: date, end: date, key: str = "object_key"
 ) -> DataFrame:
-    """Files of the feed whose name holds a day of the run, with the place to move them to.
+    """Files in the feed's landing folder whose name holds a day of the run, and where to
+    move them.
 
     The day is the first run of eight digits in the file name.
     """
@@ -78,7 +80,8 @@ def archive_candidates(
     digits = F.regexp_extract(name, r"(\d{8})", 1)
     day = F.try_to_timestamp(F.when(digits != "", digits), F.lit("yyyyMMdd")).cast("date")
     return (
-        df.filter(F.lower(F.col(key)).endswith(f".{feed.file_extension}"))
+        df.filter(F.col(key).startswith(LANDING[feed.name]))
+        .filter(F.lower(F.col(key)).endswith(f".{feed.file_extension}"))
         .withColumn("processing_date", day)
         .filter(F.col("processing_date").between(F.lit(start), F.lit(end)))
         .withColumn(

@@ -42,7 +42,7 @@ def run_kpis(
             spark,
             *[partial(_store, cfg, name, df) for name, df in figures.items()],
             lambda: quarantine(
-                unmatched, cfg.path("errors", "kpi"), "failed_joins", cfg.run_id, days
+                unmatched, cfg.path("errors", "kpi"), "failed_joins", cfg.run_id, days, "failed_joins"
             ),
         )
         return store_outcome(result, cfg, "kpi")

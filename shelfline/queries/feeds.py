@@ -86,18 +86,26 @@ def decoded_envelopes(spark, sf):
 
 @query
 def transform_records(spark, sf):
-    """The delivery hook, its output decoded again."""
-    hooked = clean.transform_records(tables.envelopes(spark, sf))
+    """The delivery hook: good records decoded again, failed ones held against their input."""
+    came = tables.envelopes(spark, sf)
+    hooked = clean.transform_records(came)
     sent = decode_envelope(hooked.withColumnRenamed("result", "verdict"))
-    payload = F.col("payload")
-    return sent.filter("verdict = 'Ok'").select(
+    payload, good = F.col("payload"), F.col("verdict") == "Ok"
+
+    def sent_field(name: str, kind: str = "string"):
+        return F.when(good, field(payload, f"$.{name}", kind)).alias(name)
+
+    time = casts.iso_or_epoch(field(payload, "$.event_timestamp"))
+    return sent.join(came.select("recordId", F.col("data").alias("input")), "recordId").select(
         "recordId",
         "verdict",
-        field(payload, "$.customer_id", "int").alias("customer_id"),
-        field(payload, "$.rating", "int").alias("rating"),
-        field(payload, "$.channel").alias("channel"),
-        field(payload, "$.message_excerpt").alias("message_excerpt"),
-        casts.iso_or_epoch(field(payload, "$.event_timestamp")).alias("event_timestamp"),
+        F.col("data").eqNullSafe(F.col("input")).alias("unchanged"),
+        sent_field("customer_id", "int"),
+        sent_field("rating", "int"),
+        sent_field("channel"),
+        sent_field("message_excerpt"),
+        F.when(good, time).alias("event_timestamp"),
+        sent_field("ingestion_timestamp"),
     )
 
 

@@ -13,7 +13,7 @@ from shelfline.sources import raw, tables
 from shelfline.sources.json_files import normalize_json_files, write_json_lines
 from shelfline.sources.manifest import manifest_scan, plain_path
 from shelfline.sources.responses import with_payload
-from shelfline.streaming.cells import stream_pos_cells
+from shelfline.streaming.cells import latest_cells, run_cells
 from shelfline.streaming.feeds import delivery_parts, incremental_scan, run_feed
 
 
@@ -189,6 +189,23 @@ def time_partitioned_delivery(spark, sf):
     return folders.text(f"{out}/delivered/web-logs").groupBy(*parts).count()
 
 
+@query
+def repeated_delivery(spark, sf):
+    """One batch delivered twice, the second time an hour later: rows per folder."""
+    from shelfline.queries.feeds import clean_weblog
+    from shelfline.streaming.feeds import deliver
+
+    out = new_shared_path(spark, "repeated")
+    rows = clean.valid_weblogs(clean_weblog(spark, sf))
+    for hours in (0, 1):
+        at = F.col("event_timestamp") + F.make_dt_interval(hours=F.lit(hours))
+        deliver(rows.withColumn("at", at), out, _WEBLOG, "at", 7)
+    folders = spark.read.schema(
+        "value string, year string, month string, day string, hour string, batch_id long"
+    )
+    return folders.text(out).groupBy(*delivery_parts(F.lit(None))).count()
+
+
 @query_named("incremental_scan")
 def incremental_lines(spark, sf):
     """Two runs over a growing folder: the second reads the new files only."""
@@ -205,7 +222,7 @@ def incremental_lines(spark, sf):
 
 @query
 def stream_bucket_agg(spark, sf):
-    """Two-hour sales cells the watermark has closed."""
+    """Two-hour sales cells of a stream that works off what is there, open windows included."""
     from shelfline.functions.columns import money
     from shelfline.queries.batch import pos_silver
 
@@ -213,16 +230,9 @@ def stream_bucket_agg(spark, sf):
     rows = pos_silver(spark, sf)
     rows.write.parquet(f"{root}/in")
     source = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
-    (
-        stream_pos_cells(source)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(f"{root}/out")
-        .awaitTermination()
-    )
-    cells = spark.read.parquet(f"{root}/out")
+    run_cells(source, f"{root}/out", f"{root}/checkpoint")
+    cells = latest_cells(spark, f"{root}/out")
+    listed = F.array_join(F.col("store_list").cast("array<string>"), ",")
     return cells.withColumns(
         {c: money(F.col(c)) for c in ("total_revenue", "total_discount")}
-    )
+    ).withColumn("store_list", listed)

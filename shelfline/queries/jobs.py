@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -70,11 +71,14 @@ def inventory_roundtrip(spark, sf):
 
 @query_named("quarantine")
 def quarantine_roundtrip(spark, sf):
+    """Rejects of two runs over the same days: the second leaves those of the first."""
     cfg = _config(spark, sf)
-    run_batch(spark, tables.pos_raw(spark, sf), POS, cfg)
+    for run_id in ("first", "second"):
+        run_batch(spark, tables.pos_raw(spark, sf), POS, replace(cfg, run_id=run_id))
     schema = """transaction_id string, store_id int, product_id int, quantity int,
         revenue float, discount_applied float, `timestamp` bigint, error_reason string,
-        processing_date_of_error date, source_type string, processing_date date"""
+        processing_date_of_error date, source_type string, job_run_id string,
+        processing_date date"""
     return spark.read.schema(schema).json(cfg.path("errors", "validation"))
 
 

@@ -35,7 +35,9 @@ def replace_dates(df: DataFrame, path: str, days: Iterable[date], fmt: str = "pa
     try:
         present = set(written.get["days"])
     except Py4JJavaError:  # a frame known to be empty is optimized away, observation and all
-        present = {str(r[0]) for r in df.select(PROCESSING_DATE).distinct().collect()}
+        if not df.isEmpty():
+            raise
+        present = set()
     absent = [day for day in days if day.isoformat() not in present]
     if not absent:
         return
@@ -48,14 +50,22 @@ def replace_dates(df: DataFrame, path: str, days: Iterable[date], fmt: str = "pa
 
 
 def quarantine(
-    rows: DataFrame, path: str, source_type: str, run_id: str, days: Iterable[date]
+    rows: DataFrame,
+    path: str,
+    source_type: str,
+    run_id: str,
+    days: Iterable[date],
+    error_type: str | None = None,
 ) -> None:
-    """Rejected rows as JSON with when, by which run and for which day, per source and day."""
-    stamped = rows.withColumns(
-        {
-            "error_timestamp_utc": F.current_timestamp(),
-            "job_run_id": F.lit(run_id),
-            "processing_date_of_error": F.col(PROCESSING_DATE),
-        }
-    )
-    replace_dates(stamped, f"{path}/source_type={source_type}", days, "json")
+    """Rejected rows as JSON with when and for which day, per source, run and day.
+
+    A run replaces what the same run wrote before; other runs' rows stay.
+    """
+    added = {
+        "error_timestamp_utc": F.current_timestamp(),
+        "processing_date_of_error": F.col(PROCESSING_DATE),
+    }
+    if error_type:
+        added["error_type"] = F.lit(error_type)
+    own = f"{path}/source_type={source_type}/job_run_id={run_id}"
+    replace_dates(rows.withColumns(added), own, days, "json")

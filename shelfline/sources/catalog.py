@@ -22,7 +22,9 @@ def register_tables(spark: SparkSession, base: str) -> list[str]:
     for name, folder in TABLES.items():
         try:
             df = spark.read.parquet(f"{base.rstrip('/')}/{folder}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue  # not written yet
         df.createOrReplaceTempView(name)
     known = {t.name for t in spark.catalog.listTables()}

@@ -252,7 +252,7 @@ def normalize_json_files(
             F.when(inside, "skipped").when(ok, "SUCCESS").otherwise("FAILED").alias("status"),
             F.when(~inside & ~ok, reason).alias("reason"),
             F.when(ok, F.col("n")).otherwise(F.lit(0)).cast("bigint").alias("records_converted"),
-            F.when(ok, F.concat(F.lit(f"{prefix}/"), name)).alias("output_location"),
+            F.when(ok, F.concat(F.lit(f"{prefix}/output_name="), name)).alias("output_location"),
         ),
         f"{work}/status",
     )

@@ -1,6 +1,7 @@
 """The given tables seen as the pipeline's feeds.
 
-Every view is a projection of a whole table. Case columns are spread over the rows by the
+Every view is a projection of a whole table, but for the two raw feeds, which share the
+events between them by their type. Case columns are spread over the rows by the
 row's id, so each branch of a check or cleaner meets data whose amount grows with the table.
 """
 
@@ -58,7 +59,7 @@ def pos_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE event_id % 31 WHEN 4 THEN '' ELSE string(event_id % 8) END AS store_id",
         "CASE event_id % 37 WHEN 5 THEN 'none' ELSE string(user_id % 20) END AS product_id",
         """CASE event_id % 23 WHEN 0 THEN 'abc' WHEN 1 THEN concat(event_id % 9, '.7')
-             WHEN 2 THEN '-1' WHEN 3 THEN '99999999999' WHEN 4 THEN '1e3'
+             WHEN 2 THEN '-1' WHEN 3 THEN '99999999999' WHEN 4 THEN '1e3' WHEN 5 THEN '.5' WHEN 6 THEN '-.7'
              ELSE string(event_id % 9) END AS quantity""",
         """CASE event_id % 19 WHEN 6 THEN 'NaN' WHEN 7 THEN 'x' WHEN 8 THEN '-1'
              ELSE string(value) END AS revenue""",
@@ -80,10 +81,12 @@ def object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "event_id",
         """concat(
-             CASE event_id % 4 WHEN 0 THEN 'pos' WHEN 1 THEN 'inventory' WHEN 2 THEN 'pos'
+             CASE event_id % 6 WHEN 0 THEN 'pos' WHEN 1 THEN 'inventory' WHEN 2 THEN 'pos'
+               WHEN 3 THEN 'raw/batch/inventory-raw' WHEN 4 THEN 'inventory'
                ELSE 'raw/batch/pos-raw' END,
              '/', date_format(ts, 'yyyy-MM-dd'), '_batch',
-             CASE event_id % 5 WHEN 0 THEN '%20north+a' WHEN 1 THEN '+b' ELSE '' END,
+             CASE event_id % 5 WHEN 0 THEN '%20north+a' WHEN 1 THEN '+b'
+               WHEN 2 THEN '%zz%20c%' ELSE '' END,
              '_', event_id,
              CASE event_id % 3 WHEN 0 THEN '' ELSE date_format(ts, '_yyyyMMdd') END,
              CASE event_id % 7 WHEN 0 THEN '.CSV' WHEN 1 THEN '.json' WHEN 2 THEN '.csv.gz'
@@ -130,11 +133,13 @@ def crm_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.expr(
         """concat('{"customer_id":',
              CASE conv_id % 7 WHEN 0 THEN '"3.7"' WHEN 1 THEN '"x"' WHEN 2 THEN 'null'
-               WHEN 3 THEN '"NaN"' WHEN 4 THEN '99999999999' ELSE string(conv_id) END,
+               WHEN 3 THEN '"NaN"' WHEN 4 THEN '99999999999'
+               WHEN 5 THEN if(turn % 2 = 0, 'true', '"true"') ELSE string(conv_id) END,
              ',"interaction_type":"', role, '"',
              CASE turn % 3 WHEN 0 THEN ',"channel":"chat"' WHEN 1 THEN ',"channel":null'
                ELSE '' END,
-             CASE (conv_id + turn) % 9 WHEN 0 THEN ',"rating":0' WHEN 1 THEN ',"rating":4.9'
+             CASE (conv_id + turn) % 11 WHEN 9 THEN ',"rating":true' WHEN 10 THEN ',"rating":false'
+               WHEN 0 THEN ',"rating":0' WHEN 1 THEN ',"rating":4.9'
                WHEN 2 THEN ',"rating":9' WHEN 3 THEN ',"rating":1e12' WHEN 4 THEN ',"rating":"x"'
                WHEN 5 THEN ',"rating":null' WHEN 6 THEN ',"rating":"inf"' WHEN 7 THEN ''
                ELSE ',"rating":"2"' END,
@@ -144,6 +149,8 @@ def crm_json(spark: SparkSession, sf_dir: str) -> DataFrame:
                WHEN 1 THEN concat(',"event_timestamp":', 1700000000 + conv_id, '.0465686')
                WHEN 2 THEN ',"event_timestamp":"2025-07-17 20:40:36"'
                ELSE ',"event_timestamp":"noTime"' END,
+             CASE turn % 3 WHEN 0 THEN ',"ingestion_timestamp":"2025-07-17 20:41:00"'
+               WHEN 1 THEN ',"ingestion_timestamp":"2025-07-17T20:41:00.25"' ELSE '' END,
              ',"message_excerpt":', to_json(text), '}')"""
     )
     # to_json of a plain string needs a variant around it.

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import time_bucket
 
+_CELL = ["product_id", "analysis_date", "time_bucket"]
+
+
+class LateRows(RuntimeError):
+    """Rows came later than the watermark allows and are in no cell."""
+
 
 def stream_pos_cells(pos: DataFrame, lateness: str = "2 hours") -> DataFrame:
     """Sums per product and two-hour window of ``transaction_timestamp``."""
@@ -19,6 +25,7 @@ def stream_pos_cells(pos: DataFrame, lateness: str = "2 hours") -> DataFrame:
             F.sum("revenue").alias("total_revenue"),
             F.sum("discount_applied").alias("total_discount"),
             F.count("transaction_id").alias("transaction_count"),
+            F.array_sort(F.collect_set("store_id")).alias("store_list"),
             F.max("transaction_timestamp").alias("pos_timestamp"),
         )
         .select(
@@ -29,6 +36,39 @@ def stream_pos_cells(pos: DataFrame, lateness: str = "2 hours") -> DataFrame:
             "total_revenue",
             "total_discount",
             "transaction_count",
+            "store_list",
             "pos_timestamp",
         )
     )
+
+
+def run_cells(pos: DataFrame, out: str, checkpoint: str, lateness: str = "2 hours") -> None:
+    """Work off what is there and stop. Every batch writes the cells it changed.
+
+    Windows need not be closed to be written, so none is missing at the end of a run; the
+    state in the checkpoint lets a later run add to them. Rows later than the watermark
+    cannot be added: the run then fails and tells how many there were.
+    """
+    query = (
+        stream_pos_cells(pos, lateness)
+        .writeStream.foreachBatch(
+            lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch_id={n}")
+        )
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    late = sum(
+        s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"]
+    )
+    if late:
+        raise LateRows(f"{late} rows were later than {lateness}")
+
+
+def latest_cells(spark: SparkSession, out: str) -> DataFrame:
+    """Each cell as the last batch that changed it wrote it."""
+    cells = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*")
+    values = F.struct(*[c for c in cells.columns if c not in [*_CELL, "batch_id"]])
+    return cells.groupBy(*_CELL).agg(F.max_by(values, "batch_id").alias("v")).select(*_CELL, "v.*")

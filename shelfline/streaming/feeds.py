@@ -60,20 +60,20 @@ _PARTS = ["year", "month", "day", "hour"]
 
 
 def deliver(df: DataFrame, path: str, columns: list[str], by: str, batch_id: int) -> None:
-    """One compact JSON object per line, in year/month/day/hour folders.
+    """One compact JSON object per line, in year/month/day/hour folders of the batch.
 
-    A repeated batch replaces its own folders and nothing else.
+    The batch's own folder stands above those of the hours, so that a repeated batch
+    replaces all it wrote before, whatever hours it falls into now, and nothing else.
     """
     (
         df.withColumn("value", compact_json(*columns))
         .withColumns(delivery_parts(F.col(by)))
-        .withColumn("batch_id", F.lit(batch_id))
-        .select("value", *_PARTS, "batch_id")
+        .select("value", *_PARTS)
         .hint("rebalance", *[F.col(c) for c in _PARTS])
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*_PARTS, "batch_id")
-        .text(path)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*_PARTS)
+        .text(f"{path}/batch_id={batch_id}")
     )
 
 

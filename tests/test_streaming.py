@@ -1,12 +1,13 @@
 import json
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfline.operators import cells, clean
 from shelfline.sources.responses import with_first_record
-from shelfline.streaming.cells import stream_pos_cells
-from shelfline.streaming.feeds import incremental_scan, run_feed, write_batch
+from shelfline.streaming.cells import LateRows, latest_cells, run_cells
+from shelfline.streaming.feeds import deliver, incremental_scan, run_feed, write_batch
 
 T0 = 1752784836
 
@@ -66,8 +67,10 @@ def test_delivery_folders(spark, tmp_path):
     put(tmp_path / "in", "a", weblog(1), weblog(4))
     feed(spark, tmp_path)
     root = tmp_path / "out/delivered/web-logs"
-    hours = sorted(str(p.relative_to(root)) for p in root.glob("year=*/month=*/day=*/hour=*"))
-    assert hours == ["year=2025/month=07/day=17/hour=21", "year=2025/month=07/day=17/hour=22"]
+    hours = sorted(str(p.relative_to(root)) for p in root.glob("batch_id=0/year=*/month=*/day=*/hour=*"))
+    assert [h.split("/", 1)[1] for h in hours] == [
+        "year=2025/month=07/day=17/hour=21", "year=2025/month=07/day=17/hour=22"
+    ]
 
 
 def test_repeated_batch_replaces_itself(spark, tmp_path):
@@ -121,24 +124,42 @@ def test_streamed_cells_equal_batch_cells(spark, tmp_path):
         revenue float, discount_applied float, transaction_timestamp timestamp"""
     )
     df.write.parquet(str(tmp_path / "in"))
-    (
-        stream_pos_cells(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
-        .writeStream.format("parquet")
-        .option("checkpointLocation", str(tmp_path / "checkpoint"))
-        .trigger(availableNow=True)
-        .start(str(tmp_path / "out"))
-        .awaitTermination()
-    )
-    got = spark.read.parquet(str(tmp_path / "out"))
-    closed = rows[-1][-1] - timedelta(hours=4)
-    batch = (
-        cells.pos_cells(df.withColumn("processing_date", F.lit("2025-07-20").cast("date")))
-        .filter(F.expr("timestamp(analysis_date) + make_interval(0,0,0,0,time_bucket)") <= closed)
-    )
+    source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    run_cells(source, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    got = latest_cells(spark, str(tmp_path / "out"))
+    batch = cells.pos_cells(df.withColumn("processing_date", F.lit("2025-07-20").cast("date")))
+
     def key(df):
         return sorted(
             (r.product_id, r.analysis_date, r.time_bucket, r.total_quantity, r.total_revenue,
-             r.transaction_count) for r in df.collect()
+             r.transaction_count, r.store_list) for r in df.collect()
         )
 
     assert key(got) == key(batch) and got.count() > 10
+
+
+def test_late_rows_are_told(spark, tmp_path):
+    schema = """transaction_id string, store_id int, product_id int, quantity int,
+        revenue float, discount_applied float, transaction_timestamp timestamp"""
+
+    def put_rows(*hours):
+        rows = [(f"T{h}", 1, 1, 1, 1.0, None, datetime(2025, 7, 20, h)) for h in hours]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        run_cells(source, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+
+    put_rows(1, 20)
+    put_rows(20)  # an open window goes on
+    cell = {r.time_bucket: r.total_quantity for r in latest_cells(spark, str(tmp_path / "out")).collect()}
+    assert cell == {0: 1, 20: 2}
+    with pytest.raises(LateRows, match="1 rows"):
+        put_rows(2)
+
+
+def test_batch_repeated_in_another_hour_adds_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "page string, user_id int")
+    for at in ("2025-07-20 10:59:00", "2025-07-20 11:01:00"):
+        deliver(rows.withColumn("ingestion_timestamp", F.lit(at).cast("timestamp")), out, ["page"], "ingestion_timestamp", 4)
+    assert spark.read.text(out, recursiveFileLookup=True).count() == 2
+    assert [p.name for p in tmp_path.glob("out/batch_id=4/year=2025/month=07/day=20/*")] == ["hour=11"]
