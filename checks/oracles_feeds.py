@@ -235,6 +235,10 @@ outcome AS (SELECT processing_date,
 SELECT *, CASE WHEN joined_records > 0 THEN 'SUCCESS' ELSE 'PARTIAL_FAILURE' END AS status
 FROM outcome""",
     "silver_roundtrip": f"WITH {DATED_STEPS} SELECT * FROM pos_silver",
+    "daily_runs": f"WITH {DATED_STEPS} SELECT * FROM pos_silver",
+    "logged_readiness": """SELECT d AS first_day, d + (n // 2)::INT AS last_day FROM (
+  SELECT min(cast(ts AS date)) AS d, max(cast(ts AS date)) + 1 - min(cast(ts AS date)) AS n
+  FROM events)""",
     "inventory_roundtrip": f"WITH {DATED_STEPS} SELECT * FROM inv_silver",
     "quarantine": f"""WITH {DATED_STEPS} SELECT *,
   processing_date AS processing_date_of_error, 'pos' AS source_type

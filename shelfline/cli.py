@@ -2,7 +2,7 @@
 
     run_job.py pos       --raw DIR --base DIR [--start D --end D | --processing-date D]
     run_job.py inventory --raw DIR --base DIR [...]
-    run_job.py kpi       --base DIR [...]
+    run_job.py kpi       --base DIR [...]        (without days: all that are ready)
     run_job.py normalize --raw DIR --out DIR [--target-prefix P] [--processing-date D]
     run_job.py feed      --kind crm|web-logs --raw DIR --out DIR --checkpoint DIR
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,10 +19,10 @@ from shelfline.config import RunConfig
 from shelfline.model import INVENTORY, POS
 from shelfline.operators.objects import INVENTORY_LANDING
 from shelfline.plans.batch import run_batch
-from shelfline.plans.kpi import raise_on_partial_failure, run_kpis
+from shelfline.plans.kpi import raise_on_partial_failure, ready_ranges, run_kpis
 from shelfline.session import prepare
 from shelfline.sources.json_files import normalize_json_files, write_json_lines
-from shelfline.sources.raw import scan_inventory_raw, scan_pos_raw
+from shelfline.sources.raw import scan_inventory_raw, scan_pos_raw, with_file_date
 from shelfline.streaming.feeds import CLEANERS, run_feed
 
 
@@ -49,6 +50,7 @@ def parser() -> argparse.ArgumentParser:
     one = job("feed", "raw", "out", "checkpoint")
     one.add_argument("--kind", required=True, choices=sorted(CLEANERS))
     one.add_argument("--max-files", type=int)
+    one.add_argument("--archive", help="folder that processed files are moved to")
     return top
 
 
@@ -58,7 +60,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
     prepare(spark)
     if args.job == "feed":
         run_feed(
-            spark, args.kind, args.raw, args.out, args.checkpoint, max_files=args.max_files
+            spark, args.kind, args.raw, args.out, args.checkpoint,
+            max_files=args.max_files, archive=args.archive,
         ).awaitTermination()
         return None
     if args.job == "normalize":
@@ -69,11 +72,20 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
         if failed:
             raise RuntimeError(f"files that could not be read: {sorted(failed)}")
         return None
+    if args.job == "kpi" and not (args.processing_date or args.start):
+        outcomes = [
+            run_kpis(spark, RunConfig.of(args.base, None, str(first), str(last), args.run_id))
+            for first, last in ready_ranges(spark, args.base)
+        ]
+        for outcome in outcomes:
+            raise_on_partial_failure(outcome)
+        return reduce(DataFrame.unionByName, outcomes) if outcomes else None
     cfg = RunConfig.of(args.base, args.processing_date, args.start, args.end, args.run_id)
     if args.job == "pos":
-        return run_batch(spark, scan_pos_raw(spark, args.raw), POS, cfg)
+        return run_batch(spark, with_file_date(scan_pos_raw(spark, args.raw)), POS, cfg)
     if args.job == "inventory":
-        return run_batch(spark, scan_inventory_raw(spark, args.raw), INVENTORY, cfg)
+        raw = with_file_date(scan_inventory_raw(spark, args.raw, infer=True))
+        return run_batch(spark, raw, INVENTORY, cfg)
     outcome = run_kpis(spark, cfg)
     raise_on_partial_failure(outcome)
     return outcome

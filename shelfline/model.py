@@ -89,6 +89,7 @@ FEEDS = {f.name: f for f in (POS, INVENTORY)}
 MISSING_COLUMNS = "Missing critical required fields in input DataFrame: {}"
 NULL_FIELD = "Null in required field: {}"
 BROKEN_RULE = "Rule violation for {}"
+NO_DAY = "No processing date in folder or file name"
 NO_POS_MATCH = "No matching POS data for product, date, and time bucket"
 
 # Names of the figures' tables.

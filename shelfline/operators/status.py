@@ -12,6 +12,7 @@ from shelfline.operators.validate import REASON
 SUCCESS = "SUCCESS"
 PARTIAL_FAILURE = "PARTIAL_FAILURE"
 COMPLETED = "COMPLETED"
+FAILED = "FAILED"
 
 
 def run_days(spark: SparkSession, cfg: RunConfig) -> DataFrame:

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.config import RunConfig, staged
-from shelfline.model import PROCESSING_DATE, Feed
+from shelfline.model import NO_DAY, PROCESSING_DATE, Feed
 from shelfline.operators import dedup, enrich, status, validate
 from shelfline.session import prepare
 from shelfline.sinks.tables import quarantine, replace_dates
-from shelfline.sources.raw import for_days
+from shelfline.sources.raw import BROKEN_LINE, UNDATED, for_days
 from shelfline.sources.silver import scan_silver
 
 # Per feed: enrichment, the time the latest copy goes by, and the load time's column.
@@ -24,6 +24,10 @@ _LAYOUT = {
 }
 
 
+_GOOD = "_good"
+RAW_LINE = "raw_line"
+
+
 class MissingColumns(ValueError):
     """The raw frame lacks required columns; all its rows are in quarantine."""
 
@@ -37,8 +41,9 @@ def to_silver(valid: DataFrame, feed: Feed) -> DataFrame:
 def run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig) -> DataFrame:
     """Check, quarantine, enrich, de-duplicate, store. Returns the stored outcome per day.
 
-    The raw text is parsed once: checked rows are staged as columns, and quarantine, silver
-    and counts read from there.
+    Only rows of the run's days are taken, whatever else lies in the raw folder; rows of no
+    known day go to quarantine. The raw text is parsed once: checked rows are staged, good
+    and bad in folders of their own, and quarantine, silver and counts read from there.
     """
     prepare(spark)
     days = cfg.days
@@ -47,11 +52,13 @@ def run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig) -
     errors = cfg.path("errors", "validation")
     if missing:
         quarantine(validate.check(source, feed), errors, feed.name, cfg.run_id, days)
+        log_status(spark, cfg, f"{feed.name}_transform", status.FAILED)
         raise MissingColumns(validate.missing_reason(missing))
 
-    with staged(validate.check(source, feed), f"{feed.name}-checked") as checked:
-        rejected = validate.invalid_rows(checked)
-        silver = to_silver(validate.valid_rows(checked), feed)
+    with staged(_checked(source, feed), f"{feed.name}-checked", by=(_GOOD,)) as checked:
+        rejected = checked.filter(~F.col(_GOOD)).drop(_GOOD)
+        valid = validate.valid_rows(checked.filter(_GOOD)).drop(_GOOD, RAW_LINE)
+        silver = to_silver(valid, feed)
         stamped = enrich.audit(silver, cfg.run_id, _LAYOUT[feed.name][2])
         together(
             spark,
@@ -62,7 +69,33 @@ def run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig) -
         outcome = status.run_outcome(
             status.run_days(spark, cfg), status.feed_outcome(checked, kept, feed.name)
         )
-        return store_outcome(outcome, cfg, feed.name)
+        stored = store_outcome(outcome, cfg, feed.name)
+    log_status(spark, cfg, f"{feed.name}_transform", status.COMPLETED)
+    return stored
+
+
+def _checked(source: DataFrame, feed: Feed) -> DataFrame:
+    """Checked rows with the text of broken lines, and whether a row is good."""
+    carry = [c for c in (PROCESSING_DATE, UNDATED, BROKEN_LINE) if c in source.columns]
+    checked = validate.check(source, feed, carry)
+    if UNDATED in carry:
+        why = F.when(F.col(UNDATED), NO_DAY).otherwise(F.col(validate.REASON))
+        checked = checked.withColumn(validate.REASON, why).drop(UNDATED)
+    # A reader of JSON takes the source's name for its own.
+    checked = checked.withColumnRenamed(BROKEN_LINE, RAW_LINE)
+    return checked.withColumn(_GOOD, F.col(validate.REASON).isNull())
+
+
+def log_status(spark: SparkSession, cfg: RunConfig, step: str, state: str) -> None:
+    """Add the step's state for every day of the run to the log."""
+    rows = status.run_days(spark, cfg).select(
+        PROCESSING_DATE,
+        F.lit(step).alias("step"),
+        F.lit(state).alias("status"),
+        F.current_timestamp().alias("at"),
+        F.lit(cfg.run_id).alias("execution_name"),
+    )
+    rows.coalesce(1).write.mode("append").parquet(cfg.path("runs", "log"))
 
 
 def together(spark: SparkSession, *actions: Callable[[], object]) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfline.config import RunConfig, staged
 from shelfline.model import INVENTORY_KPI, PROCESSING_DATE, REGIONAL_KPI, SALES_KPI
 from shelfline.operators import cells, enrich, kpis, status
-from shelfline.plans.batch import store_outcome, together
+from shelfline.plans.batch import log_status, store_outcome, together
 from shelfline.session import prepare
 from shelfline.sinks.tables import quarantine, replace_dates
 from shelfline.sources.silver import scan_silver
@@ -45,7 +46,23 @@ def run_kpis(
                 unmatched, cfg.path("errors", "kpi"), "failed_joins", cfg.run_id, days, "failed_joins"
             ),
         )
-        return store_outcome(result, cfg, "kpi")
+        stored = store_outcome(result, cfg, "kpi")
+    log_status(spark, cfg, "kpi_job", status.COMPLETED)
+    return stored
+
+
+def ready_ranges(spark: SparkSession, base: str) -> list[tuple[date, date]]:
+    """Days that the log shows ready for figures, as ranges of consecutive days."""
+    log = spark.read.parquet(f"{base.rstrip('/')}/runs/log")
+    ready = status.ready_for_kpis(status.current_status(log)).select(PROCESSING_DATE)
+    # A row per day of the calendar.
+    ranges: list[tuple[date, date]] = []
+    for (day,) in ready.distinct().orderBy(PROCESSING_DATE).collect():
+        if ranges and day - ranges[-1][1] == timedelta(1):
+            ranges[-1] = (ranges[-1][0], day)
+        else:
+            ranges.append((day, day))
+    return ranges
 
 
 def _store(cfg: RunConfig, name: str, figures: DataFrame) -> None:

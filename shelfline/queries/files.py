@@ -58,7 +58,7 @@ def pos_csv_scan(spark, sf):
     path = new_shared_path(spark, "pos-csv")
     rows = tables.pos_raw(spark, sf)
     rows.write.partitionBy("partition_date").option("header", True).csv(path)
-    return raw.for_days(raw.scan_pos_raw(spark, path), *_days(spark, sf))
+    return raw.for_days(raw.scan_pos_raw(spark, path), *_days(spark, sf)).drop(raw.UNDATED)
 
 
 @query_named("scan_inventory_raw")

@@ -11,10 +11,10 @@ from shelfline.config import RunConfig, new_shared_path
 from shelfline.model import INVENTORY, INVENTORY_KPI, POS, PROCESSING_DATE, REGIONAL_KPI, SALES_KPI
 from shelfline.operators import status
 from shelfline.plans.batch import run_batch
-from shelfline.plans.kpi import run_kpis
+from shelfline.plans.kpi import ready_ranges, run_kpis
 from shelfline.queries.registry import query, query_named
 from shelfline.sinks.tables import replace_dates
-from shelfline.sources import tables
+from shelfline.sources import raw, tables
 from shelfline.sources.silver import scan_silver
 
 
@@ -60,6 +60,36 @@ def silver_roundtrip(spark, sf):
     return _without_audit(scan_silver(spark, cfg.path("silver"), "pos", cfg.start, cfg.end))
 
 
+@query
+def daily_runs(spark, sf):
+    """Three runs over one landing folder that holds ever more days; each takes its own."""
+    cfg = _config(spark, sf)
+    landing = f"{cfg.base}/landing"
+    third = (cfg.end - cfg.start) // 3
+    first = cfg.start
+    for last in (cfg.start + third, cfg.start + 2 * third, cfg.end):
+        rows = tables.pos_raw(spark, sf).filter(F.col("partition_date").between(first, last))
+        named = rows.withColumn("file", F.concat("partition_date", F.lit("_sales.csv")))
+        writer = named.drop("partition_date").write.mode("append").partitionBy("file")
+        writer.option("header", True).csv(landing)
+        part = replace(cfg, start=first, end=last)
+        run_batch(spark, raw.with_file_date(raw.scan_pos_raw(spark, landing)), POS, part)
+        first = last + timedelta(1)
+    return _without_audit(scan_silver(spark, cfg.path("silver"), "pos", cfg.start, cfg.end))
+
+
+@query
+def logged_readiness(spark, sf):
+    """Ranges of days ready by the log that the jobs wrote: sales of all days are in, stock
+    readings of the first half."""
+    cfg = _config(spark, sf)
+    half = replace(cfg, end=cfg.start + (cfg.end - cfg.start) // 2)
+    run_batch(spark, tables.pos_raw(spark, sf), POS, cfg)
+    run_batch(spark, tables.inventory_raw(spark, sf), INVENTORY, half)
+    schema = "first_day date, last_day date"
+    return spark.createDataFrame(ready_ranges(spark, cfg.base), schema)
+
+
 @query
 def inventory_roundtrip(spark, sf):
     cfg = _config(spark, sf)

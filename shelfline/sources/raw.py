@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from shelfline.model import INVENTORY, PROCESSING_DATE
 
 PARTITION_DATE = "partition_date"
+FILE_DATE = "_file_date"
+UNDATED = "_undated"
+BROKEN_LINE = "_corrupt_record"
 
 
 def scan_pos_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -29,7 +32,8 @@ def scan_inventory_raw(
 
     Columns are the declared ones, and a folder's ``partition_date``. ``infer`` takes the
     fields found instead, at the price of another pass, so that one missing from all files
-    is seen as missing rather than as NULL everywhere.
+    is seen as missing rather than as NULL everywhere; the text of lines that are no JSON
+    is then kept in ``_corrupt_record``.
     """
     if infer:
         return spark.read.option("primitivesAsString", True).json(path)
@@ -38,18 +42,37 @@ def scan_inventory_raw(
     return spark.read.schema(schema).json(path)
 
 
+def with_file_date(scan: DataFrame) -> DataFrame:
+    """Add the day a row's file, or the folder it is written as, names; NULL if none.
+
+    Names begin with the day and an underscore, or hold eight digits between underscores,
+    the start, and a dot.
+    """
+    path = F.col("_metadata.file_path")
+    folder = F.regexp_extract(path, r"(?:/|=)(\d{4}-\d{2}-\d{2})_[^/]*(?:/[^/]*)?$", 1)
+    digits = F.regexp_extract(path, r"(?:/|_)(\d{8})[_.][^/]*$", 1)
+    day = F.coalesce(
+        F.try_to_timestamp(F.when(folder != "", folder), F.lit("yyyy-MM-dd")),
+        F.try_to_timestamp(F.when(digits != "", digits), F.lit("yyyyMMdd")),
+    )
+    return scan.withColumn(FILE_DATE, day.cast("date"))
+
+
 def for_days(df: DataFrame, start: date, end: date) -> DataFrame:
-    """Rows of the run's days, with ``partition_date`` becoming the processing date.
+    """Rows of the run's days, and those of no known day, marked as such.
 
-    Without that column all rows are read and belong to the run's day, which only a run of
-    a single day can mean. On a folder partitioned by the date only its folders are read.
+    A row's day is its ``partition_date``, else that of its file. Only the run's folders are
+    read where the date partitions them. A frame with neither column belongs to the run's
+    day, which only a run of a single day can mean.
     """
-    if PARTITION_DATE in df.columns:
-        day = F.col(PARTITION_DATE).try_cast("date")
+    named = [c for c in (PARTITION_DATE, FILE_DATE) if c in df.columns]
+    if named:
+        day = F.col(named[0]).try_cast("date")
         return (
-            df.filter(day.between(F.lit(start), F.lit(end)))
-            .withColumn(PROCESSING_DATE, day)
-            .drop(PARTITION_DATE)
+            df.filter(day.isNull() | day.between(F.lit(start), F.lit(end)))
+            .withColumn(PROCESSING_DATE, F.coalesce(day, F.lit(start)))
+            .withColumn(UNDATED, day.isNull())
+            .drop(*named)
         )
     if start != end:
         raise ValueError(f"a run over several days needs a {PARTITION_DATE} column")

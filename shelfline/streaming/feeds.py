@@ -118,12 +118,16 @@ def run_feed(
     by: str = "ingestion_timestamp",
     max_files: int | None = None,
     trigger: dict | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
-    """Start a feed. By default it works off what is there and stops."""
+    """Start a feed. By default it works off what is there and stops.
+
+    ``archive`` is a folder to which files go once they are processed.
+    """
     if kind not in CLEANERS:
         raise ValueError(f"unknown feed: {kind}")
     return (
-        read_lines(prepare(spark), path, max_files)
+        read_lines(prepare(spark), path, max_files, archive)
         .writeStream.foreachBatch(lambda df, n: write_batch(df, n, kind, out, by))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

@@ -5,6 +5,7 @@ import pytest
 from shelfline.cli import parser, run
 from shelfline.model import INVENTORY
 from shelfline.operators.validate import missing_columns
+from shelfline.plans.batch import MissingColumns
 from shelfline.plans.kpi import PartialFailure
 from shelfline.sources.catalog import register_tables
 from shelfline.sources.raw import scan_inventory_raw
@@ -24,6 +25,7 @@ def test_batch_jobs_and_tables(spark, tmp_path):
     assert len(register_tables(spark, base)) == 5
     rows = spark.sql("SELECT * FROM sales_kpi_daily LIMIT 10").collect()
     assert len(rows) == 2 and {r.job_run_id for r in rows} == {"r7"}
+    assert run(spark, ["kpi", "--base", base]) is None  # the log shows no day still to do
     with pytest.raises(PartialFailure):
         run(spark, ["kpi", "--base", base, "--processing-date", "2025-07-25"])
 
@@ -57,3 +59,34 @@ def test_bad_arguments():
     for argv in ([], ["pos"], ["feed", "--kind", "other"]):
         with pytest.raises(SystemExit):
             parser().parse_args(argv)
+
+
+def test_daily_runs_take_their_own_files(spark, tmp_path):
+    """The second day's run leaves the first day's file alone; a file of no day is rejected."""
+    raw, base = tmp_path / "raw", str(tmp_path / "lake")
+    raw.mkdir()
+    record = {"inventory_id": 1, "product_id": 2, "warehouse_id": 3, "stock_level": 4,
+              "restock_threshold": 1, "last_updated": 1752999000.5}
+    for n, name in enumerate(("2025-07-20_stock.json", "stock_20250721.json")):
+        (raw / name).write_text(json.dumps(record | {"inventory_id": n}) + "\n{broken\n")
+        args = ["inventory", "--raw", str(raw), "--base", base, "--run-id", f"r{n}"]
+        got = run(spark, [*args, "--processing-date", f"2025-07-2{n}"]).first()
+        assert (got.inventory_rows_in, got.inventory_kept, got.inventory_invalid) == (2, 1, 1)
+    (raw / "stock.json").write_text(json.dumps(record))
+    got = run(spark, [*args, "--processing-date", "2025-07-21"]).first()
+    assert (got.inventory_rows_in, got.inventory_kept) == (3, 1)
+    errors = spark.read.json(f"{base}/errors/validation").collect()
+    assert sorted((r.job_run_id, r.error_reason, r.raw_line) for r in errors) == [
+        ("r0", "Rule violation for last_updated", "{broken"),
+        ("r1", "No processing date in folder or file name", None),
+        ("r1", "Rule violation for last_updated", "{broken"),
+    ]
+
+
+def test_missing_inventory_field_fails_the_job(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "2025-07-20_a.json").write_text('{"inventory_id": 1, "product_id": 2}')
+    args = ["--base", str(tmp_path / "lake"), "--processing-date", "2025-07-20"]
+    with pytest.raises(MissingColumns, match="stock_level"):
+        run(spark, ["inventory", "--raw", str(raw), *args])
