@@ -182,12 +182,12 @@ FROM ({POS_RAW})""",
     "normalize_json_files": f"""WITH {FILES} SELECT event_id, event_type,
   '[a], {{b}}' || CASE WHEN event_id % 3 = 0 THEN ' "q" \\' ELSE '' END AS note,
   cast(json_extract_string(props, '$.k') AS int) AS k
-FROM numbered WHERE file_no % 5 <> 4""",
+FROM numbered WHERE file_no % 6 <> 5""",
     "normalize_json_status": f"""WITH {FILES},
 files AS (SELECT file_no, count(*) AS n FROM numbered GROUP BY 1)
-SELECT CASE WHEN file_no % 5 = 4 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
-  CASE WHEN file_no % 5 = 4 THEN 'unable to parse as JSON or JSON Lines' END AS reason,
-  count(*) AS files, cast(sum(CASE WHEN file_no % 5 = 4 THEN 0 ELSE n END) AS bigint) AS records
+SELECT CASE WHEN file_no % 6 = 5 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+  CASE WHEN file_no % 6 = 5 THEN 'unable to parse as JSON or JSON Lines' END AS reason,
+  count(*) AS files, cast(sum(CASE WHEN file_no % 6 = 5 THEN 0 ELSE n END) AS bigint) AS records
 FROM files GROUP BY 1, 2""",
     "manifest_scan": f"WITH {WEBLOGS} SELECT * EXCLUDE (event_id) FROM weblogs",
     "stream_weblogs": f"""WITH {WEBLOGS} SELECT * EXCLUDE (event_id) FROM weblogs

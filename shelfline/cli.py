@@ -67,10 +67,11 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
     if args.job == "normalize":
         files = normalize_json_files(spark, args.raw, args.target_prefix, args.processing_date)
         write_json_lines(files, f"{args.out.rstrip('/')}/{args.target_prefix.strip('/')}")
-        failed = [r.file for r in files.status.filter("status = 'FAILED'").collect()]
+        bad = files.status.filter("status = 'FAILED'")
+        number, some = bad.count(), [r.file for r in bad.orderBy("file").limit(20).collect()]
         files.close()
-        if failed:
-            raise RuntimeError(f"files that could not be read: {sorted(failed)}")
+        if number:
+            raise RuntimeError(f"{number} files that could not be read, among them: {some}")
         return None
     if args.job == "kpi" and not (args.processing_date or args.start):
         outcomes = [

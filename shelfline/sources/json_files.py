@@ -1,7 +1,7 @@
 """Files that are a JSON array, one object, or JSON Lines, as one record per row.
 
-A file is good or bad as a whole: one broken line fails it. No file is held in one task.
-Lines are read by Spark's splittable text source, and a document spread over lines is cut
+A file is good or bad as a whole: one broken line fails it. A file is held in one task only
+where its top-level elements share lines, or it is a single object. Lines are read by Spark's splittable text source, and a document spread over lines is cut
 into its top-level elements by bracket depth. A JSON string cannot hold a raw line break,
 so every line starts outside of strings and its brackets can be counted on their own; depth
 is then a running sum, taken inside read blocks and carried over between them.
@@ -9,7 +9,6 @@ is then a running sum, taken inside read blocks and carried over between them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -24,11 +23,6 @@ NO_DATA = "contains no data"
 BROKEN = "unable to parse as JSON or JSON Lines"
 SCALAR = "unexpected JSON structure"
 
-# Files are picked by listing their names up to this many, which lets the scan leave the
-# others unread; beyond it by a join.
-LISTED_FILES = 5_000
-
-
 @dataclass(frozen=True)
 class NormalizedFiles:
     """Records and verdicts. Both read staged tables until ``close``."""
@@ -38,18 +32,12 @@ class NormalizedFiles:
     work: str
 
     def close(self) -> None:
-        for name in ("shapes", "lines", "elements", "status"):
+        for name in ("shapes", "lines", "lines-pieces", "elements", "status"):
             release(self.status.sparkSession, f"{self.work}/{name}")
 
 
-def _lines(text: DataFrame, names: Sequence[str] = (), keep: bool = False) -> DataFrame:
-    """Non-blank lines with their place: file, read block, and order inside the block.
-
-    With ``keep`` only the named files are read, else all but them.
-    """
-    if names or keep:
-        named = F.col("_metadata.file_path").isin(list(names))
-        text = text.filter(named if keep else ~named)
+def _lines(text: DataFrame) -> DataFrame:
+    """Non-blank lines with their place: file, read block, and order inside the block."""
     return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -59,12 +47,10 @@ def _lines(text: DataFrame, names: Sequence[str] = (), keep: bool = False) -> Da
 
 
 def _lines_of(text: DataFrame, files: DataFrame, wanted: Column) -> DataFrame:
-    """Lines of the files (file, ...) for which ``wanted`` holds."""
-    wanted = F.coalesce(wanted, F.lit(False))
-    for chosen, keep in ((~wanted, False), (wanted, True)):
-        some = files.filter(chosen).select("file").limit(LISTED_FILES + 1).collect()
-        if len(some) <= LISTED_FILES:
-            return _lines(text, [r.file for r in some], keep)
+    """Lines of the files (file, ...) for which ``wanted`` holds.
+
+    A file has one row on one side, so a file that holds most lines is split by Spark.
+    """
     return _lines(text).join(files.filter(wanted).select("file"), "file")
 
 
@@ -110,10 +96,10 @@ def _carry(df: DataFrame, value: str, into: str, inclusive: bool) -> DataFrame:
 def _elements(lines: DataFrame, path: str) -> DataFrame:
     """Top-level elements of documents spread over lines, per piece of whole lines.
 
-    A piece ends with a line whose last character is a comma between elements of the
-    top-level array. A document that is one object is one piece, as it is one record.
-    Put in brackets, each piece must be a non-empty array; then, and only then, the pieces
-    in order are the whole document.
+    A comma between elements of the top-level array that ends a line ends a piece, one that
+    begins a line begins a piece. A document that is one object is one piece, as it is one
+    record. Put in brackets, each piece must be a non-empty array; then, and only then, the
+    pieces in order are the whole document. Two commas in a row leave out a number.
     """
     bare = F.regexp_replace(F.regexp_replace("line", r"\\.", ""), r'"[^"]*"', "0")
     opened = F.regexp_count("bare", F.lit(r"[\[{]"))
@@ -126,37 +112,53 @@ def _elements(lines: DataFrame, path: str) -> DataFrame:
             "row",
             "line",
             (opened - closed).alias("delta"),
-            (F.col("opens_array") & F.col("bare").rlike(r",\s*$")).alias("comma"),
+            # A comma alone on its line is one that begins it.
+            (F.col("opens_array") & F.col("bare").rlike(r"^.*\S.*,\s*$")).alias("comma"),
+            (F.col("opens_array") & F.col("bare").startswith(",")).alias("leading"),
         ),
         path,
     )
     deep = _carry(counted, "delta", "depth", inclusive=True)
+    # Both are cuts: those before a line count for it, those at its end for the next one.
     ends = (F.col("comma") & (F.col("depth") == 1)).cast("int")
-    cut = _carry(deep.withColumn("ends", ends), "ends", "piece", inclusive=False)
-
-    pieces = cut.groupBy("file", "piece").agg(
+    leads = (F.col("leading") & (F.col("depth") - F.col("delta") == 1)).cast("int")
+    marked = deep.withColumn("ends", ends).withColumn("leads", leads)
+    marked = marked.withColumn("cuts", F.col("ends") + F.col("leads"))
+    cut = _carry(marked, "cuts", "before", inclusive=False)
+    pieces = cut.groupBy("file", (F.col("before") + F.col("leads")).alias("piece")).agg(
         F.array_sort(F.collect_list(F.struct("block", "row", "line"))).alias("parts"),
-        F.max("ends").alias("cut_off"),
+        F.max("ends").alias("ends"),
+        F.max("leads").alias("leads"),
     )
+    pieces = stage(pieces, f"{path}-pieces")
+    tops = pieces.groupBy("file").agg(F.max("piece").alias("top"))
     text = F.array_join("parts.line", "\n")
-    first, final = F.col("piece") == 0, F.col("cut_off") == 0
-    body = F.when(final, F.col("text")).otherwise(
-        F.concat(F.regexp_replace("text", r",\s*$", ""), F.lit("]"))
+    first, last = F.col("piece") == 0, F.col("piece") == F.col("top")
+    body = F.when(F.col("leads") > 0, F.regexp_replace("text", r"^\s*,", "")).otherwise(F.col("text"))
+    body = F.when(F.col("ends") > 0, F.regexp_replace(body, r",\s*$", "")).otherwise(body)
+    bracketed = F.concat(
+        F.when(first, "").otherwise("["), F.col("body"), F.when(last, "").otherwise("]")
     )
-    bracketed = F.when(first, F.col("body")).otherwise(F.concat(F.lit("["), F.col("body")))
     whole = (
-        pieces.withColumn("text", text)
+        pieces.join(tops, "file")
+        .withColumn("text", text)
         .withColumn("body", body)
-        .select("file", first.alias("first"), final.alias("final"), bracketed.alias("text"))
+        .select(
+            "file",
+            "piece",
+            first.alias("first"),
+            (last & (F.col("ends") == 0)).alias("final"),
+            bracketed.alias("text"),
+        )
     )
     return with_strict_json(whole, "text", "doc").select(
-        "file", "first", "final", _items(F.col("doc"), F.col("text")).alias("items")
+        "file", "piece", "first", "final", _items(F.col("doc"), F.col("text")).alias("items")
     )
 
 
 def _no_elements(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
-        [], "file string, first boolean, final boolean, items array<variant>"
+        [], "file string, piece long, first boolean, final boolean, items array<variant>"
     )
 
 
@@ -226,8 +228,9 @@ def normalize_json_files(
         F.sum(F.greatest(F.col("size"), F.lit(0))).alias("found"),
         (F.count_if(broken) == 0).alias("sound"),
         F.bool_or("final").alias("ended"),
+        (F.count(F.lit(1)) == F.max("piece") + 1).alias("unbroken"),
     )
-    whole = F.col("sound") & F.col("ended")
+    whole = F.col("sound") & F.col("ended") & F.col("unbroken")
     found = (
         F.when(F.col("shape") == "lines", F.col("n"))
         .when(F.col("shape") == "document", F.col("size"))

@@ -218,7 +218,7 @@ RECORDS_PER_FILE = 500
 
 
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text of one JSON file per 500 events, in five shapes; the last has a broken line."""
+    """Text of one JSON file per 500 events, in six shapes; the last has a broken line."""
     events = table(spark, sf_dir, "events").selectExpr(
         f"event_id div {RECORDS_PER_FILE} AS file_no",
         "event_id",
@@ -232,7 +232,8 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return files.selectExpr(
         "file_no",
-        """CASE file_no % 5
+        """CASE file_no % 6
+             WHEN 4 THEN concat('[\n', array_join(records, '\n, '), '\n]')
              WHEN 0 THEN array_join(records, '\n')
              WHEN 1 THEN concat('[', array_join(records, ', '), ']')
              WHEN 2 THEN concat('[\n', array_join(records, ',\n'), '\n]')

@@ -59,6 +59,12 @@ FILES = {
     "object_then_text": json.dumps(A, indent=2) + "\nx",
     "wrong_bracket": "[\n1,\n2\n}",
     "comma_first": ",\n1\n]",
+    "commas_first": "[\n1\n, 2\n,[3,\n4]\n]",
+    "commas_on_both_sides": "[\n1,\n,2\n]",
+    "comma_alone": "[\n1\n,\n2\n]",
+    "commas_alone_twice": "[\n1\n,\n,\n2\n]",
+    "leading_then_nothing": "[\n1\n,\n]",
+    "leading_then_end": "[\n1\n,",
 }
 
 
@@ -122,18 +128,23 @@ def test_random_documents(spark, tmp_path):
         assert canonical(records.get(file, [])) == canonical(want or []), text
 
 
-def test_one_file_holding_most_records_is_spread(spark, tmp_path):
+@pytest.mark.parametrize("separator", [",\n", "\n,"])
+def test_one_file_holding_most_records_is_spread(spark, tmp_path, separator):
+    """Into pieces, over several tasks, wherever its commas stand."""
     rows = [{"id": i, "pad": "x" * 50} for i in range(5_000)]
-    (tmp_path / "hot.json").write_text(json.dumps(rows, indent=1))
+    text = "[\n" + separator.join(json.dumps(r, indent=1) for r in rows) + "\n]"
+    (tmp_path / "hot.json").write_text(text)
     (tmp_path / "cold.json").write_text(json.dumps(rows[:3]))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
     try:
         records, _, got = read(spark, tmp_path)
+        pieces = spark.read.parquet(f"{got.work}/elements")
+        assert pieces.filter(F.size("items") > 1).count() == 0 and pieces.count() == 5_000
         parts = got.records.select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert len(records["hot.json"]) == 5_000 and parts >= 1
+    assert parts > 1
     assert sorted(r["id"] for r in records["hot.json"]) == list(range(5_000))
 
 
