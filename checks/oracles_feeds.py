@@ -138,6 +138,12 @@ FROM (SELECT *, (conv_id * 3 + turn) % 11 >= 5 AS ok FROM crm)""",
   cast(user_id AS varchar) AS user_id, 's' || (event_id % 500) AS session_id,
   ts AS ingestion_timestamp,
   make_timestamp(cast(floor(epoch(ts)) AS bigint) * 1000000 + 500000) AS event_timestamp
+FROM events""",
+    "load_web_logs": """SELECT event_type, 'b' || (event_id % 4) AS browser,
+  null::varchar AS device_type, left(repeat('/' || event_type, event_id % 60), 255) AS page,
+  cast(user_id AS varchar) AS user_id, 's' || (event_id % 500) AS session_id,
+  ts AS ingestion_timestamp,
+  make_timestamp(cast(floor(epoch(ts)) AS bigint) * 1000000 + 500000) AS event_timestamp
 FROM events""",
     "jsonpath_weblogs_nested": """SELECT event_id, event_type, 'b' || (event_id % 4) AS browser,
   null::varchar AS device_type, left(repeat('/' || event_type, event_id % 60), 255) AS page,

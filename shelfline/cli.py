@@ -3,6 +3,7 @@
     run_job.py pos       --raw DIR --base DIR [--start D --end D | --processing-date D]
     run_job.py inventory --raw DIR --base DIR [...]
     run_job.py kpi       --base DIR [...]        (without days: all that are ready)
+    run_job.py load      --table T --manifest FILE --root DIR --jsonpaths FILE --base DIR
     run_job.py normalize --raw DIR --out DIR [--target-prefix P] [--processing-date D]
     run_job.py feed      --kind crm|web-logs --raw DIR --out DIR --checkpoint DIR
 """
@@ -20,6 +21,7 @@ from shelfline.model import INVENTORY, POS
 from shelfline.operators.objects import INVENTORY_LANDING
 from shelfline.plans.batch import run_batch
 from shelfline.plans.kpi import raise_on_partial_failure, ready_ranges, run_kpis
+from shelfline.plans.load import TABLES, load_stream
 from shelfline.session import prepare
 from shelfline.sources.json_files import normalize_json_files, write_json_lines
 from shelfline.sources.raw import scan_inventory_raw, scan_pos_raw, with_file_date
@@ -44,6 +46,8 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--start")
         one.add_argument("--end")
         one.add_argument("--run-id")
+    one = job("load", "manifest", "root", "jsonpaths", "base")
+    one.add_argument("--table", required=True, choices=sorted(TABLES))
     one = job("normalize", "raw", "out")
     one.add_argument("--target-prefix", default=INVENTORY_LANDING)
     one.add_argument("--processing-date")
@@ -64,6 +68,9 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
             max_files=args.max_files, archive=args.archive,
         ).awaitTermination()
         return None
+    if args.job == "load":
+        load_stream(spark, args.table, args.manifest, args.root, args.jsonpaths, args.base)
+        return None
     if args.job == "normalize":
         files = normalize_json_files(spark, args.raw, args.target_prefix, args.processing_date)
         write_json_lines(files, f"{args.out.rstrip('/')}/{args.target_prefix.strip('/')}")

@@ -8,6 +8,7 @@ from shelfline.config import new_shared_path
 from shelfline.functions.payload import field
 from shelfline.model import INVENTORY, POS
 from shelfline.operators import clean, objects
+from shelfline.plans.load import TABLES, load_stream
 from shelfline.queries.registry import query, query_named
 from shelfline.sources import raw, tables
 from shelfline.sources.json_files import normalize_json_files, write_json_lines
@@ -125,6 +126,27 @@ def manifest_load(spark, sf):
     return clean.clean_weblog(lines).drop("ingestion_timestamp")
 
 
+def _manifest(spark, root):
+    """A manifest of all files under ``root``/listed."""
+    listed = spark.read.format("binaryFile").load(f"{root}/listed")
+    entry = F.struct(plain_path(F.col("path")).alias("url"), F.lit(True).alias("mandatory"))
+    listed.agg(F.collect_list(entry).alias("entries")).write.json(f"{root}/manifest")
+    return f"{root}/manifest"
+
+
+@query
+def load_web_logs(spark, sf):
+    """Delivered web logs into their stream table, by manifest and JSONPaths file."""
+    root = new_shared_path(spark, "load")
+    logs = tables.weblog_delivered(spark, sf).select(F.col("flat").alias("value"))
+    logs.write.text(f"{root}/listed")
+    paths = F.array(*[F.lit(c.path) for c in TABLES["web_logs_stream"]]).alias("jsonpaths")
+    spark.range(1).select(paths).write.json(f"{root}/jsonpaths")
+    return load_stream(
+        spark, "web_logs_stream", _manifest(spark, root), f"{root}/listed", f"{root}/jsonpaths", root
+    )
+
+
 # --- the same feeds as streams that work off what is there and stop
 
 

@@ -90,3 +90,22 @@ def test_missing_inventory_field_fails_the_job(spark, tmp_path):
     args = ["--base", str(tmp_path / "lake"), "--processing-date", "2025-07-20"]
     with pytest.raises(MissingColumns, match="stock_level"):
         run(spark, ["inventory", "--raw", str(raw), *args])
+
+
+def test_load_job(spark, tmp_path):
+    """Files of a manifest into a table, appended; paths and columns must be as many."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.json").write_text('{"e":"view","t":1752784836.5,"user":7}\n')
+    (tmp_path / "in/other.json").write_text('{"e":"not listed"}\n')
+    url = str(tmp_path / "in/a.json")
+    (tmp_path / "manifest").write_text(json.dumps({"entries": [{"url": url, "mandatory": True}]}))
+    (tmp_path / "paths").write_text(json.dumps({"jsonpaths": ["$.e"] + ["$.user"] * 5 + ["$.t"] * 2}, indent=1))
+    args = ["load", "--table", "web_logs_stream", "--manifest", str(tmp_path / "manifest"), "--root",
+            str(tmp_path / "in"), "--jsonpaths", str(tmp_path / "paths"), "--base", str(tmp_path)]
+    for n in (1, 2):
+        run(spark, args)
+        rows = spark.read.parquet(str(tmp_path / "stream/web_logs_stream")).collect()
+        assert [(r.event_type, r.user_id) for r in rows] == [("view", "7")] * n
+    (tmp_path / "paths").write_text('{"jsonpaths": ["$.e"]}')
+    with pytest.raises(ValueError, match="1 paths for 8 columns"):
+        run(spark, args)
