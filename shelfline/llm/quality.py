@@ -40,7 +40,7 @@ def _repeated(grams: Column) -> Column:
     return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.lit(0)).otherwise(total)
 
 
-def _windows(w: Column) -> Column:
+def windows(w: Column) -> Column:
     """A 64-bit hash of each window of three words."""
     return F.when(
         F.size(w) >= 3,
@@ -49,7 +49,7 @@ def _windows(w: Column) -> Column:
 
 
 def _word_counts(w: Column) -> Column:
-    return F.struct(F.size(w).alias("n_words"), let(_windows(w), _repeated).alias("n_repeat_words"))
+    return F.struct(F.size(w).alias("n_words"), let(windows(w), _repeated).alias("n_repeat_words"))
 
 
 def counts(text: Column) -> Column:

@@ -1,9 +1,10 @@
 """Toxicity: gradient-boosted trees over dense text features, with isotonic calibration.
 
-1. A bounded sample of labelled rows (``max_fit_rows``, by a hash of the id) is split by that
-   hash: eight tenths for the trees, two tenths for the calibration.
+1. A bounded sample of labelled rows (``max_fit_rows``, by a hash of the id), near copies
+   taken once, is split by that hash: eight tenths for the trees, two tenths for the calibration.
 2. The lexicon holds words and word beginnings whose document frequency differs between the
-   classes by a smoothed log odds ratio of many standard errors. For fitting, each half of
+   classes by a smoothed log odds ratio of many standard errors, and that are surely found
+   in toxic rows more often than not. For fitting, each half of
    the sample is described with the lexicon of the other half; texts are scored with that
    of the whole sample.
 3. Features are rates of a text: lexicon words, lexicon words near the second person,
@@ -31,7 +32,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import staged
+from shelfline.llm.common import let, staged, words
+from shelfline.llm.quality import windows
 
 #: Common insults, known without any label.
 SEEDS = frozenset(
@@ -217,7 +219,11 @@ def calibrated(model: Model, x: np.ndarray) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, max_fit_rows: int) -> DataFrame:
-    """(text, toxic, fold) of the ``max_fit_rows`` labelled ids with the smallest hashes."""
+    """(text, toxic, fold) of the ``max_fit_rows`` labelled ids with the smallest hashes.
+
+    Of texts that are copies or nearly so one is taken, as every word of a copied text would
+    seem to tell its label.
+    """
     chosen = (
         labels.filter(train & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -227,9 +233,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, train: Column, max_fit_r
         .limit(max_fit_rows)
     )
     # Broadcast: max_fit_rows bounds it.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        "text", "toxic", F.pmod("h", F.lit(10)).cast("int").alias("fold")
-    )
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # Near copies share their least window of words, most of the time.
+    least = let(words(F.lower("text")), lambda w: F.array_min(windows(w)))
+    alike = F.coalesce(least, F.xxhash64("text"))
+    one = rows.groupBy("toxic", alike.alias("alike")).agg(F.min(F.struct("h", "doc_id", "text")).alias("r"))
+    return one.select("r.text", "toxic", F.pmod("r.h", F.lit(10)).cast("int").alias("fold"))
 
 
 def _term_counts(batches):
@@ -258,11 +267,16 @@ def lexicon_of(sample: DataFrame, lexicon_size: int, least_z: float) -> dict[str
     a = F.lit(0.5)
     odds = F.log((F.col("n1") + a) / (n1 - F.col("n1") + a)) - F.log((F.col("n0") + a) / (n0 - F.col("n0") + a))
     z = odds / F.sqrt(1 / (F.col("n1") + a) + 1 / (F.col("n0") + a))
+    # Lower bound of the share of toxic rows among those with the term: words that are merely
+    # more frequent in one class, as longer texts or a language bring about, stay out.
+    n, p, q = F.col("n1") + F.col("n0"), F.col("n1") / (F.col("n1") + F.col("n0")), 1.96
+    sure = (p + q * q / (2 * n) - q * F.sqrt(p * (1 - p) / n + q * q / (4 * n * n))) / (1 + q * q / n)
     rows = (
         sample.mapInPandas(_term_counts, "term string, n1 long, n0 long")
         .groupBy("term")
         .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
         .filter("n1 >= 3")
+        .filter(sure >= 0.5)
         .select("term", z.alias("z"))
         .filter(F.col("z") >= least_z)
         .orderBy(F.desc("z"), "term")
