@@ -50,30 +50,71 @@ class Net:
         """One step for a batch: gates' input rows x, state h."""
         k = self.hidden
         a = h @ self.u
-        zr = 1 / (1 + np.exp(-(x[:, : 2 * k] + a[:, : 2 * k])))
+        zr = a[:, : 2 * k] + x[:, : 2 * k]
+        _logistic(zr)
         z, r = zr[:, :k], zr[:, k:]
-        n = np.tanh(x[:, 2 * k :] + r * a[:, 2 * k :])
-        return n + z * (h - n), zr, n, a[:, 2 * k :]
+        n = r * a[:, 2 * k :]
+        n += x[:, 2 * k :]
+        # tanh by the exponential, which numpy computes several at a time.
+        n *= 2
+        _logistic(n)
+        n *= 2
+        n -= 1
+        out = h - n
+        out *= z
+        out += n
+        return out, zr, n, a[:, 2 * k :]
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log of class and, for listed words, word in class."""
         classes = self.class_of(targets)
-        logits = states @ self.c + self.cb
-        logits -= logits.max(axis=1, keepdims=True)
-        out = logits[np.arange(len(targets)), classes] - np.log(np.exp(logits).sum(axis=1))
-        for k, rows in self._by_list(classes):
-            own = states[rows] @ self.w[k] + self.wb[k]
-            own -= own.max(axis=1, keepdims=True)
-            out[rows] += own[np.arange(len(rows)), targets[rows] % CLASS] - np.log(np.exp(own).sum(axis=1))
+        logits = states @ self.c
+        logits += self.cb
+        out = _chosen(logits, classes)
+        order, edges = self.by_list(classes)
+        states, places = states[order], targets[order] % CLASS
+        within = np.empty(len(order), logits.dtype)
+        for k in np.flatnonzero(np.diff(edges)).tolist():
+            span = slice(edges[k], edges[k + 1])
+            own = states[span] @ self.w[k]
+            own += self.wb[k]
+            within[span] = _chosen(own, places[span])
+        out[order] += within
         return out
 
-    def _by_list(self, classes: np.ndarray):
-        """(list, rows of it) for the lists that occur."""
+    def by_list(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of listed words by list, and where each list's rows begin and end."""
         order = np.argsort(classes.astype(np.int16) if self.lists + self.tails < 32768 else classes, kind="stable")
         edges = np.searchsorted(classes[order], np.arange(self.lists + 1))
-        for k in range(self.lists):
-            if edges[k] < edges[k + 1]:
-                yield k, order[edges[k] : edges[k + 1]]
+        return order[: edges[-1]], edges
+
+
+def _logistic(x: np.ndarray) -> None:
+    """In place. Beyond 60 the result is 0 or 1 anyway."""
+    np.negative(x, out=x)
+    np.minimum(x, 60, out=x)
+    np.exp(x, out=x)
+    x += 1
+    np.reciprocal(x, out=x)
+
+
+def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of each row at a place. Overwrites the logits."""
+    found = logits[np.arange(len(at)), at]
+    if logits.size and logits.max() > 60:  # the exponential could overflow
+        top = logits.max(axis=1, keepdims=True)
+        logits -= top
+        found = found - top[:, 0]
+    np.exp(logits, out=logits)
+    return found - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+
+
+def _softmax(logits: np.ndarray) -> None:
+    """In place."""
+    if logits.size and logits.max() > 60:
+        logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
 
 
 class Trainer:
@@ -137,14 +178,20 @@ class Trainer:
         for s in range(steps - 1, -1, -1):
             before, zr, n, an = kept[s]
             z, r = zr[:, :k], zr[:, k:]
-            d_h = d_h + d_states[s]
-            d_n = d_h * (1 - z) * (1 - n * n)
-            d_x[s, :, :k] = d_h * (before - n) * z * (1 - z)
-            d_x[s, :, k : 2 * k] = d_n * an * r * (1 - r)
+            d_h += d_states[s]
+            slope = zr * (1 - zr)
+            d_n = d_h * (1 - z)
+            d_n *= 1 - n * n
+            d_z, d_r = d_x[s, :, :k], d_x[s, :, k : 2 * k]
+            np.multiply(d_h, before - n, out=d_z)
+            d_z *= slope[:, :k]
+            np.multiply(d_n, an, out=d_r)
+            d_r *= slope[:, k:]
             d_x[s, :, 2 * k :] = d_n
             d_a[s, :, : 2 * k] = d_x[s, :, : 2 * k]
-            d_a[s, :, 2 * k :] = d_n * r
-            d_h = d_h * z + d_a[s] @ u_back
+            np.multiply(d_n, r, out=d_a[s, :, 2 * k :])
+            d_h *= z
+            d_h += d_a[s] @ u_back
             if first[s].any():
                 d_h = np.where(first[s][:, None], np.float32(0), d_h)
         prior = np.concatenate([b for b, *_ in kept])
@@ -155,28 +202,31 @@ class Trainer:
     def _output(self, flat, wanted, scale):
         net, n = self.net, len(wanted)
         classes = net.class_of(wanted)
-        p = flat @ net.c + net.cb
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
+        p = flat @ net.c
+        p += net.cb
+        _softmax(p)
         at = np.arange(n)
         loss = -float(np.log(p[at, classes]).sum())
         p[at, classes] -= 1
         p *= scale
         d_flat = p @ net.c.T
         d_w, d_wb = np.zeros_like(net.w), np.zeros_like(net.wb)
-        for k, rows in net._by_list(classes):
-            h = flat[rows]
-            q = h @ net.w[k] + net.wb[k]
-            q -= q.max(axis=1, keepdims=True)
-            np.exp(q, out=q)
-            q /= q.sum(axis=1, keepdims=True)
-            own = np.arange(len(rows)), wanted[rows] % CLASS
+        order, edges = net.by_list(classes)
+        ordered, places = flat[order], wanted[order] % CLASS
+        d_ordered = np.empty_like(ordered)
+        for k in np.flatnonzero(np.diff(edges)).tolist():
+            span = slice(edges[k], edges[k + 1])
+            h = ordered[span]
+            q = h @ net.w[k]
+            q += net.wb[k]
+            _softmax(q)
+            own = np.arange(len(h)), places[span]
             loss -= float(np.log(q[own]).sum())
             q[own] -= 1
             q *= scale
-            d_flat[rows] += q @ net.w[k].T
+            d_ordered[span] = q @ net.w[k].T
             d_w[k], d_wb[k] = h.T @ q, q.sum(axis=0)
+        d_flat[order] += d_ordered
         self._move("c", flat.T @ p)
         self._move("cb", p.sum(axis=0))
         self._move("w", d_w)

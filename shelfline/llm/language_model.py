@@ -118,14 +118,22 @@ class Ids:
 
     def __init__(self, v: Vocabulary, net: Net):
         self.first, self.tails = net.lists * 64, net.tails
-        self.known = {w: i if i < net.words else self.first + tail_of(w, net.tails) for i, w in enumerate(v.words)}
+        self.place = {w: i for i, w in enumerate(v.words)}
+        self.inputs = np.array([i if i < net.words else self.first + tail_of(w, net.tails) for i, w in enumerate(v.words)] + [-1], np.int64)
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        get, first, tails = self.known.get, self.first, self.tails
-        found = [get(w, -1) for w in words]
-        if -1 in found:
-            found = [i if i >= 0 else first + tail_of(w, tails) for i, w in zip(found, words)]
-        return np.array(found, np.int64)
+        return self.at(words, self.places(words))
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Places in the vocabulary; one past its end for words that it lacks."""
+        get, lacking = self.place.get, len(self.place)
+        return np.array([get(w, lacking) for w in words], np.int64)
+
+    def at(self, words: list[bytes], places: np.ndarray) -> np.ndarray:
+        found = self.inputs[places]
+        for i in np.flatnonzero(found < 0).tolist():
+            found[i] = self.first + tail_of(words[i], self.tails)
+        return found
 
 
 def _train(sent, hidden: int, vector_sent, passes: int, streams: int, buffer: int = 1 << 20):
@@ -190,12 +198,12 @@ def learned(texts: DataFrame, v: Vocabulary, hidden: int, warm_documents: int) -
     warm = staged(texts.filter(chosen), "warm-texts").coalesce(1).mapInPandas(_train(sent, hidden, None, 3, 64), schema)
     start = averaged(warm)
     vector_sent = context.broadcast(start) if start is not None else None
-    return averaged(texts.mapInPandas(_train(sent, hidden, vector_sent, 1, 512), schema))
+    return averaged(texts.mapInPandas(_train(sent, hidden, vector_sent, 1, 1024), schema))
 
 
 # --- scoring -----------------------------------------------------------------------------
 
-SCORED = "n_tokens long, n_held long, base double, score double, rare array<struct<word:binary,n:int>>"
+SCORED = "n_tokens long, n_held long, base double, score double, rare binary"
 
 
 def _score(sent, hidden: int, vector_sent):
@@ -203,11 +211,11 @@ def _score(sent, hidden: int, vector_sent):
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         v = Vocabulary(**sent.value)
         net = v.net(hidden, vector_sent.value if vector_sent else None)
-        place = {w: i for i, w in enumerate(v.words)}
         ids = Ids(v, net)
         # One more entry, for words that are not held: they are summed elsewhere.
         logs = np.append(np.log10(v.counts + 0.1), 0.0)
-        in_tail = np.append(np.arange(len(v.words)) >= net.words, False)
+        tail_logs = np.where(np.arange(len(logs)) >= net.words, logs, 0.0)
+        lacking = len(v.words)
         tail_cost = np.log(v.tail_sums)
         def finish(documents, rows):
             out = pd.DataFrame(rows, columns=["n_tokens", "n_held", "base", "score", "rare"])
@@ -218,11 +226,10 @@ def _score(sent, hidden: int, vector_sent):
         for texts in batches:
             for text in texts:
                 words = words_of(text)
-                documents.append(ids.of(words))
-                at = np.array([place.get(w, -1) for w in words])
-                rare = Counter([w for w, i in zip(words, at.tolist()) if i < 0]) if (at < 0).any() else {}
-                values = logs[at]
-                rows.append((len(words), int((at >= 0).sum()), values.sum(), values[in_tail[at]].sum(), [{"word": w, "n": n} for w, n in rare.items()]))
+                at = ids.places(words)
+                documents.append(ids.at(words, at))
+                rare = [words[i] for i in np.flatnonzero(at == lacking).tolist()]
+                rows.append((len(words), len(words) - len(rare), logs[at].sum(), tail_logs[at].sum(), END.join(rare) if rare else None))
                 held += len(words)
             # Many documents at a time keep the batch wide while long ones go on.
             if held >= 1 << 20:
@@ -237,9 +244,9 @@ def _score(sent, hidden: int, vector_sent):
 def score(
     docs: DataFrame,
     train: Column,
-    listed: int = 2048,
-    held: int = 100_000,
-    tails: int = 64,
+    listed: int = 1024,
+    held: int = 200_000,
+    tails: int = 32,
     hidden: int = 16,
     warm_documents: int = 1000,
 ) -> DataFrame:
@@ -255,10 +262,10 @@ def score(
     context = docs.sparkSession.sparkContext
     sent, vector_sent = context.broadcast(vars(v)), context.broadcast(vector) if vector is not None else None
     found = staged(rows.select("doc_id", F.monotonically_increasing_id().alias("row"), _score(sent, hidden, vector_sent)("text").alias("s")).select("doc_id", "row", "s.*"), "scores")
-    rare = found.select("row", F.explode("rare").alias("x")).select("row", "x.word", "x.n")
+    rare = found.select("row", F.explode(F.split(F.col("rare").cast("string"), " ")).alias("word")).withColumn("word", F.col("word").cast("binary"))
     joined = rare.join(counts, "word", "left")
-    n, log = F.col("n"), F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))
-    sums = joined.groupBy("row").agg(F.sum(n * log).alias("rare_log"), F.sum(F.when(F.col("c").isNotNull(), n).otherwise(0)).alias("rare_known"))
+    log = F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))
+    sums = joined.groupBy("row").agg(F.sum(log).alias("rare_log"), F.count("c").alias("rare_known"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     norm = float(np.log10(v.tokens + 0.1 * (v.distinct + 1)))
     return found.drop("rare").join(sums, "row", "left").select(
