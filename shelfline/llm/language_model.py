@@ -7,11 +7,11 @@
    partition, and the copies are averaged, weighted by their tokens.
 3. Every text is scored from its first token to its end token with the state carried along.
 
-The network lists the ``listed`` most frequent words. All other words share ``tails`` classes
+The network lists the ``listed`` most frequent words that are held. All other words share ``tails`` classes
 by their last two bytes; within its class a word has its share of the class's counts, each
 0.1 higher, with 0.1 for any word never seen. So the model's probability of a text needs the
-corpus count of every word, as the base does. Counts of the ``held`` most frequent words go
-to all tasks (a fixed size); the other words of a text are summed, joined with the counts by
+corpus count of every word, as the base does. Counts of up to ``held`` of the most frequent words
+go to all tasks (a fixed size); the other words of a text are summed, joined with the counts by
 word, and added back by text. Nothing else that is gathered goes to the driver but the
 averaged weights.
 
@@ -27,6 +27,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -99,7 +100,16 @@ def word_counts(texts: DataFrame) -> DataFrame:
 def vocabulary(counts: DataFrame, listed: int, held: int, tails: int) -> Vocabulary:
     spark = counts.sparkSession
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(held).collect()
+    # The lowest count of which all words still fit: a row per distinct count tells it, so
+    # that no more than ``held`` words are sent.
+    fit, least = 0, 1
+    for r in counts.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(held).collect():
+        fit += r["n"]
+        if fit > held:
+            least = r["c"] + 1
+            break
+    top = counts.filter(F.col("c") >= least).collect()
+    top.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     # A binary's last two bytes, as tail_of() takes them.
     tail = F.crc32(F.substring("word", -2, 2)) % tails
     inside = spark.createDataFrame([(bytes(r["word"]),) for r in top[:listed]], "word binary")
@@ -126,8 +136,8 @@ class Ids:
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Places in the vocabulary; one past its end for words that it lacks."""
-        get, lacking = self.place.get, len(self.place)
-        return np.array([get(w, lacking) for w in words], np.int64)
+        found = map(self.place.get, words, repeat(len(self.place)))
+        return np.fromiter(found, np.int64, len(words))
 
     def at(self, words: list[bytes], places: np.ndarray) -> np.ndarray:
         found = self.inputs[places]
@@ -184,13 +194,12 @@ def averaged(copies: DataFrame) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(r["weights"], np.float64) / r["n"] for r in parts]).astype(np.float32)
 
 
-def learned(texts: DataFrame, v: Vocabulary, hidden: int, warm_documents: int) -> np.ndarray | None:
-    """Weights after a common start and one pass over all ``texts`` (doc_id, text)."""
+def learned(texts: DataFrame, documents: int, v: Vocabulary, hidden: int, warm_documents: int) -> np.ndarray | None:
+    """Weights after a common start and one pass over all ``texts`` (doc_id, text), so many."""
     # Broadcast: ``held`` words at most, and the weights of a network of fixed size.
     context = texts.sparkSession.sparkContext
     sent = context.broadcast(vars(v))
     schema = "part int, n long, weights binary"
-    documents = int(v.counts[v.words.index(END)]) if END in v.words else 0
     if not documents:
         return None
     share = min(1.0, warm_documents / documents)
@@ -244,9 +253,9 @@ def _score(sent, hidden: int, vector_sent):
 def score(
     docs: DataFrame,
     train: Column,
-    listed: int = 1024,
+    listed: int = 2048,
     held: int = 200_000,
-    tails: int = 32,
+    tails: int = 64,
     hidden: int = 16,
     warm_documents: int = 1000,
 ) -> DataFrame:
@@ -258,7 +267,8 @@ def score(
     texts = docs.filter(train).select("doc_id", F.col("text").cast("string").alias("text"))
     counts = staged(word_counts(texts.select("text")), "word-counts")
     v = vocabulary(counts, listed, held, tails)
-    vector = learned(texts, v, hidden, warm_documents)
+    ends = counts.filter(F.col("word") == F.lit(END)).first()
+    vector = learned(texts, ends["c"] if ends else 0, v, hidden, warm_documents)
     context = docs.sparkSession.sparkContext
     sent, vector_sent = context.broadcast(vars(v)), context.broadcast(vector) if vector is not None else None
     found = staged(rows.select("doc_id", F.monotonically_increasing_id().alias("row"), _score(sent, hidden, vector_sent)("text").alias("s")).select("doc_id", "row", "s.*"), "scores")
