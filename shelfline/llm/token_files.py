@@ -43,6 +43,7 @@ from shelfline.llm.pretokens import ChunkIds, chunks, of_worker
 
 MAGIC = b"SLT1"
 SAMPLE = 256
+STOPS = ".,;:!?"
 
 
 class EliasFano:
@@ -142,7 +143,7 @@ def pack_file(partition: int, sequence: int, doc_ids: list, arrays: list[bytes])
 
 
 class LibraryIds(ChunkIds):
-    """Ids by the tokenizers library. Chunks not met before are encoded together, as one text."""
+    """Ids by the tokenizers library, of the chunks of a batch of texts at a time."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
@@ -151,25 +152,57 @@ class LibraryIds(ChunkIds):
         # Strings that name special tokens are ordinary text.
         self.tokenizer.encode_special_tokens = True
         super().__init__(lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids)
-        # A byte-level token has a character for each of its bytes.
-        vocabulary = self.tokenizer.get_vocab()
-        self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.lengths[i] = len(token)
+        # The characters by which byte-level vocabularies write bytes: printable ones of
+        # Latin-1 stand for themselves, the others follow from 256 on.
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        rest = [b for b in range(256) if b not in plain]
+        self.written = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.model = self.tokenizer.model
+        top = max(self.tokenizer.get_vocab().values(), default=0) + 1
+        self.packed_id = [struct.pack("<I", i) for i in range(top)]
+        self.extra: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        packed = self.extra.get(chunk)
+        return packed if packed is not None else super().__missing__(chunk)
 
     def learn(self, texts: list[list[str]]) -> None:
-        # Cuts are boundaries of the split pattern, so chunks that start with a space and
-        # end otherwise may be strung together; the lengths of their ids part them again.
-        new = [c for c in {c for c in chain.from_iterable(texts) if c not in self} if c[0] == " " and len(c) > 1 and not c[1].isspace() and not c[-1].isspace() and len(c) <= 64]
-        new = new[: max(self.limit - len(self), 0)]
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            ids = np.asarray(self.encode("".join(part)), "<u4")
-            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum([len(c.encode()) for c in part])) + 1
-            start = 0
-            for c, end in zip(part, ends.tolist()):
-                self[c] = ids[start:end].tobytes()
-                start = end
+        """Encode what a batch holds and is not known; beyond the limit for this batch only."""
+        self.extra = {}
+        for chunk in set(chain.from_iterable(texts)).difference(self):
+            if chunk not in self:
+                packed = self._packed(chunk)
+                if chunk not in self:
+                    self._hold(chunk, packed)
+
+    def _hold(self, chunk: str, packed: bytes) -> None:
+        if len(self) < self.limit and len(chunk) <= 64:
+            self[chunk] = packed
+        else:
+            self.extra[chunk] = packed
+
+    def _packed(self, chunk: str) -> bytes:
+        """Ids of a chunk. Where the split pattern cuts it in a plain way, of its pieces:
+        at a single line feed within, and between letters and the stops after them."""
+        known = self.get(chunk)
+        if known is not None:
+            return known
+        head, cut, rest = chunk.partition("\n")
+        if cut and head and rest and not head[-1].isspace() and not rest[0].isspace():
+            return self._packed(head) + self._piece("\n") + self._packed(rest)
+        word = chunk.rstrip(STOPS)
+        if len(chunk) > 64 or not (word[1:] if word[:1] == " " else word).isalpha():
+            return np.asarray(self.encode(chunk), "<u4").tobytes()
+        return self._piece(word) + (self._piece(chunk[len(word) :]) if len(word) < len(chunk) else b"")
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a single match of the split pattern."""
+        known = self.get(piece)
+        if known is None:
+            word = piece.encode().decode("latin-1").translate(self.written)
+            known = b"".join([self.packed_id[t.id] for t in self.model.tokenize(word)])
+            self._hold(piece, known)
+        return known
 
 
 def _files(key: str, sent, end_id: int, ids_per_file: int):
