@@ -7,7 +7,6 @@ from checks.oracles import (
     DATED_STEPS,
     INVENTORY_RAW,
     POS_RAW,
-    POS_STEPS,
     SALES,
     _INVENTORY_FIGURES,
     _METRICS,
