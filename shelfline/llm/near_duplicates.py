@@ -14,12 +14,14 @@ Steps, all over every text:
    many, cost one row per task in the aggregation.
 2. A table key needs both its halves shared with another class, so halves that only one
    class has are dropped before halves are combined.
-3. Up to ``star_rounds`` rounds compare each class with one class per round that it shares
-   a table with (the smallest, the largest, one by hash), and join what links into
-   components. This is linear in the table entries and settles groups of near copies.
-4. Classes that share a table and are still in different components are compared pair by
-   pair, each pair once: this settles every remaining candidate, with no cap. After it no
-   candidate pair lies unverified across components.
+3. ``star_rounds`` rounds compare each class with one class that it shares a table with (the
+   smallest, then the largest), and join what links into components. This is linear in the
+   table entries and settles most groups of near copies.
+4. Classes in tables that still hold several components are compared with each other by an
+   exact filter on the order of their shingles, see remaining_pairs(): groups of texts that
+   are alike, but not enough, meet in many tables and would otherwise be compared pair by
+   pair. After this step no pair of such classes is left that could be linked; there is no
+   cap.
 
 Component ids are the smallest doc_id of the component.
 
@@ -35,13 +37,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import staged, text_hash
 from shelfline.llm.components import components
 from shelfline.llm.shingles import Hasher, mixed, numbers
 
+#: Names of the eight columns that hold a set's parities.
+PARITIES = [f"b{k}" for k in range(8)]
 SIGNATURE = "n long, d1 long, d2 long, halves array<long>"
 
 
@@ -92,6 +96,12 @@ def table_entries(classes: DataFrame, tables_side: int) -> DataFrame:
     return staged(keys.join(met, "key"), "tables")
 
 
+def _parities(s: np.ndarray) -> list[int]:
+    """512 bits, each telling whether an odd number of shingles falls to it."""
+    odd = np.bincount((s & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _sets(size: int):
     def run(batches):
         hasher = Hasher()
@@ -100,8 +110,8 @@ def _sets(size: int):
             for node, d1, d2, text in zip(pdf["node"], pdf["d1"], pdf["d2"], pdf["text"]):
                 s = hasher.shingles(text, size)
                 if _digest(s) == (d1, d2):
-                    rows.append((node, s.tobytes()))
-            yield pd.DataFrame(rows, columns=["node", "set"])
+                    rows.append((node, s.view(np.int64), *_parities(s)))
+            yield pd.DataFrame(rows, columns=["node", "set", *PARITIES])
 
     return run
 
@@ -112,8 +122,8 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
         found = []
-        for p, q in zip(x, y):
-            u, v = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+        for u, v in zip(x, y):
+            u, v = u.view(np.uint64), v.view(np.uint64)
             if len(u) > len(v):
                 u, v = v, u
             at = np.searchsorted(v, u)
@@ -127,13 +137,46 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).filter(alike("sa", "sb")).select("a", "b")
 
 
+def remaining_pairs(open_now: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of different components that can still reach the similarity.
+
+    Exact. Shingles have one order for all sets, rare ones first. If two sets are similar
+    enough, their first common shingle lies so early in both that as many shingles follow as
+    the overlap needs: so only early shingles are joined, and only where the places allow
+    for that overlap. Shingles that one component holds alone are left out. Two sets differ
+    in at least as many shingles as their parities do in bits, which settles most of the
+    pairs that share a rare shingle by chance, before they are made.
+    """
+    held = open_now.join(sets.select("node", "set", "n"), "node").select("node", "root", "n", F.explode("set").alias("token"))
+    counts = held.groupBy("token").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
+    counts = staged(counts.select("token", "c", (F.col("low") < F.col("high")).alias("mixed")), "token-counts")
+    place = F.row_number().over(Window.partitionBy("node").orderBy("c", "token")) - 1
+    early = held.join(counts, "token").withColumn("p", place).filter("mixed")
+    early = early.filter(F.col("p") <= F.col("n") - F.ceil(percent * F.col("n") / 100)).select("token", "node", "root", "n", "p")
+    early = staged(staged(early, "early-tokens").join(sets.select("node", *PARITIES), "node"), "early-parities")
+    # The smaller set of a pair meets the larger one in a shorter part still.
+    small = early.filter(F.col("p") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)))
+    large = early.select(
+        "token", F.col("node").alias("b"), F.col("root").alias("other"), F.col("n").alias("m"), F.col("p").alias("q"), *(F.col(b).alias(f"l{b}") for b in PARITIES)
+    )
+    differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"l{b}"))) for b in PARITIES), F.lit(0))
+    fits = (
+        (F.col("root") != F.col("other")) & (F.col("n") <= F.col("m")) & (100 * F.col("n") >= percent * F.col("m"))
+        & ((100 + percent) * F.least(F.col("n") - F.col("p"), F.col("m") - F.col("q")) >= percent * (F.col("n") + F.col("m")))
+        # Similar sets differ in (100 - percent) / (100 + percent) of their summed sizes at most.
+        & ((100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("m")))
+    )
+    met = small.alias("s").join(large.alias("l"), (F.col("s.token") == F.col("l.token")) & fits)
+    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     shingle: int = 5,
     percent: int = 80,
     half: int = 4,
     tables_side: int = 24,
-    star_rounds: int = 3,
+    star_rounds: int = 2,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, row, first (the row to keep), and text_hash.
 
@@ -171,9 +214,9 @@ def _links(docs, classes, tables, shingle, percent, star_rounds) -> DataFrame:
     # The full sets of the classes that meet another, computed again from their texts.
     met = classes.join(tables.select("node").distinct(), "node").select("node", "doc_id", "n", "d1", "d2")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
-    found = staged(texts.join(met, F.col("id").eqNullSafe(F.col("doc_id"))).select("node", "d1", "d2", "text").mapInPandas(_sets(shingle), "node long, set binary"), "found-sets")
+    found = staged(texts.join(met, F.col("id").eqNullSafe(F.col("doc_id"))).select("node", "d1", "d2", "text").mapInPandas(_sets(shingle), f"node long, set array<long>, {', '.join(f'{b} long' for b in PARITIES)}"), "found-sets")
     # Rows that share a doc_id and a set give a set more than once.
-    sets = staged(found.groupBy("node").agg(F.first("set").alias("set"), (F.length(F.first("set")) / 8).cast("long").alias("n")), "sets")
+    sets = staged(found.groupBy("node").agg(F.first("set").alias("set"), F.size(F.first("set")).cast("long").alias("n"), *(F.first(b).alias(b) for b in PARITIES)), "sets")
     roots = none
     for turn in range(star_rounds + 1):
         now = tables.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
@@ -188,8 +231,7 @@ def _links(docs, classes, tables, shingle, percent, star_rounds) -> DataFrame:
             pairs = open_now.join(centres, "key").filter("root <> c.root").groupBy("node").agg(F.min("c.node").alias("c"))
             pairs = pairs.select(F.col("node").alias("a"), F.col("c").alias("b"))
         else:
-            other = open_now.select("key", F.col("node").alias("b"), F.col("root").alias("other"))
-            pairs = open_now.join(other, "key").filter("node < b and root <> other").select(F.col("node").alias("a"), "b").distinct()
+            pairs = remaining_pairs(open_now.select("node", "root").distinct(), sets, percent)
         edges = staged(linked(pairs, sets, percent), "edges")
         if edges.isEmpty():
             continue
