@@ -249,10 +249,10 @@ def _documents(batches):
                 continue
             file = TokenFile(bytes(data))
             rows, start = [], 0
-            for i, doc_id in enumerate(file.doc_ids()):
-                end = file.ends[i]
-                ids = file.array[start:end]
-                rows.append((file.partition, file.sequence, file.n_ids, doc_id, start, end - start, zlib.crc32(ids.astype("<u4").tobytes())))
+            # All boundaries are wanted here, and decoded at once.
+            wide = file.array.astype("<u4")
+            for doc_id, end in zip(file.doc_ids(), file.ends.all().tolist()):
+                rows.append((file.partition, file.sequence, file.n_ids, doc_id, start, end - start, zlib.crc32(wide[start:end])))
                 start = end
             out = pd.DataFrame(rows, columns=["partition", "sequence", "n_ids", "doc_id", "within", "n_tokens", "ids_crc32"])
             out["doc_id"] = pd.array([r[3] for r in rows], dtype="Int64")
