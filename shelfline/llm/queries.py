@@ -69,7 +69,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_shared_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
-    records, _ = warc.read(spark, path, keep_payload=False)
+    records, _ = warc.read(spark, path, keep_payload=False, whole=True)
     return records.select(F.col("page_id").cast("long"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long"))
 
 

@@ -85,11 +85,23 @@ class Damaged(ValueError):
     pass
 
 
+def _header_end(data: bytes, at: int) -> int:
+    """Place of the blank line that ends the headers, before any next version line, or -1."""
+    width = 1 << 16
+    while True:
+        stop = data.find(b"\r\n\r\n", at, at + width)
+        if data.find(b"\nWARC/1.", at, at + width if stop < 0 else stop) >= 0:
+            return -1
+        if stop >= 0 or at + width >= len(data):
+            return stop
+        width *= 2
+
+
 def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and end of the record at ``at``; raises Damaged where a check fails."""
     if data[at : at + 7] != b"WARC/1.":
         raise Damaged("no version line")
-    stop = data.find(b"\r\n\r\n", at, at + 65536)
+    stop = _header_end(data, at)
     if stop < 0:
         raise Damaged("headers do not end")
     headers = {}
@@ -183,13 +195,15 @@ def _named(uri: str) -> str | None:
     return uri.removeprefix("<urn:page:").removesuffix(">") or None
 
 
-def _read(keep_payload: bool):
+def _read(keep_payload: bool, whole: bool):
     def run(batches):
         for pdf in batches:
             for file, data in zip(pdf["path"], pdf["content"]):
                 rows = []
                 for found in salvage(bytes(data)):
                     if found[0] == "gap":
+                        if whole:
+                            raise Damaged(f"{file}, bytes {found[1]} to {found[2]}: {found[3]}")
                         rows.append((None,) * 6 + found[1:])
                         continue
                     headers, block = found[1:]
@@ -213,10 +227,13 @@ def _read(keep_payload: bool):
     return run
 
 
-def read(spark: SparkSession, path: str, keep_payload: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(records, gaps) of the archives under ``path``; gaps: file, gap_start, gap_end, reason."""
+def read(spark: SparkSession, path: str, keep_payload: bool = True, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records, gaps) of the archives under ``path``; gaps: file, gap_start, gap_end, reason.
+
+    With ``whole`` the archives are held to be undamaged, and a gap fails the job.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    everything = files.select("path", "content").mapInPandas(_read(keep_payload), f"file string, {RECORD}")
+    everything = files.select("path", "content").mapInPandas(_read(keep_payload, whole), f"file string, {RECORD}")
     records = everything.filter("reason is null").drop("file", "gap_start", "gap_end", "reason")
     return records, everything.filter("reason is not null").select("file", "gap_start", "gap_end", "reason")
 

@@ -221,6 +221,28 @@ def key_of(row):
     return tuple(str(v) for v in row)
 
 
+def test_archive_round_trip_of_long_urls(spark):
+    path = new_shared_path(spark, "warc-test")
+    long = "data:," + "x" * 200_000
+    rows = [(1, long, "same"), (2, long, "same"), (3, "u", "other")]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    records, gaps = warc.read(spark, path)
+    assert sorted(as_rows(records.collect()), key=key_of) == sorted(plain_archive(rows), key=key_of)
+    assert gaps.collect() == []
+
+
+def test_headers_end_before_the_next_version_line():
+    lost = make_record(1, b"")[:-6]  # without its blank lines
+    assert salvaged(lost + make_record(2, b"x")) == ([2], [(0, len(lost), "headers do not end")])
+
+
+def test_a_gap_fails_the_archive_query(spark, monkeypatch):
+    damaged = spark.createDataFrame([("damaged",)], "value string")
+    monkeypatch.setattr(warc, "write", lambda pages, path: damaged.write.text(path))
+    with pytest.raises(Exception, match="no version line"):
+        QUERIES["op4_warc"](spark, SF).collect()
+
+
 def test_empty_archive(spark):
     path = new_shared_path(spark, "warc-test")
     warc.write(spark.createDataFrame([], "page_id long, url string, html string"), path)
