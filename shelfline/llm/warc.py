@@ -6,9 +6,11 @@ become revisit records that name it and carry no payload. Shorter payloads are s
 every page. Payload digests are SHA-1 in base 32; the block digest covers what is stored.
 
 The reader checks each record: version line, headers, lengths, block digest. Where a check
-fails it goes on at the next gzip member, or in uncompressed files the next version line,
-whose record passes all checks, and reports the bytes skipped as a gap with the reason.
-Nothing that can be read is lost to damage before it.
+fails it goes on at the next gzip member or version line, in the file or in what the member
+holds, whose record passes all checks, and reports the bytes skipped as a gap with the reason.
+Of a damaged or cut member it keeps the records that pass, as far as zlib unpacks it.
+Nothing that can be read is lost to damage before it. No digest covers headers: a single
+record whose member fails its checksum is left out, of several the gap tells of the failure.
 
 Digests are taken in a pass of their own. Payloads are compressed before the shuffle that
 joins them with their verdicts, where a hot payload meets one row per digest, on which
@@ -81,6 +83,10 @@ def member(data: bytes) -> bytes:
 # --- reading -----------------------------------------------------------------------------
 
 
+GZIP = b"\x1f\x8b\x08"
+DAMAGED = "gzip member is damaged"
+
+
 class Damaged(ValueError):
     pass
 
@@ -123,45 +129,26 @@ def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     return headers, block, end + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member at ``at``."""
-    unpack = zlib.decompressobj(31)
-    try:
-        content = unpack.decompress(memoryview(data)[at:])
-    except zlib.error as error:
-        raise Damaged("gzip member is damaged") from error
-    if not unpack.eof:
-        raise Damaged("gzip member is cut off")
-    return content, len(data) - len(unpack.unused_data)
+def _unpack(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` holds, where reading it ended, and what is wrong with it.
 
-
-def _members(data: bytes) -> Iterator[tuple]:
-    at, bad, reason, size = 0, None, "", len(data)
-    window = 1 << 20  # members are tried on a slice first, which need not hold them whole
-    while at < size:
+    A damaged member gives all that zlib can unpack before the damage.
+    """
+    unpack, view, size, width = zlib.decompressobj(31), memoryview(data), len(data), 1 << 16
+    parts = []
+    while at < size and not unpack.eof:
+        chunk, before = view[at : at + width], unpack.copy()
         try:
-            try:
-                content, length = _member(data[at : at + window], 0)
-            except Damaged:
-                content, length = _member(data[at:], 0)
-            records, inner = [], 0
-            while inner < len(content):
-                headers, block, inner = parse(content, inner)
-                records.append((headers, block))
-        except Damaged as error:
-            if bad is None:
-                bad, reason = at, str(error)
-            at = data.find(b"\x1f\x8b\x08", at + 1)
-            at = size if at < 0 else at
-            continue
-        if bad is not None:
-            yield ("gap", bad, at, reason)
-            bad = None
-        for headers, block in records:
-            yield ("record", headers, block)
-        at += length
-    if bad is not None:
-        yield ("gap", bad, size, reason)
+            parts.append(unpack.decompress(chunk))
+        except zlib.error:
+            # An error takes the output of its call along, so bytes go in one by one.
+            for i in range(len(chunk)):
+                try:
+                    parts.append(before.decompress(chunk[i : i + 1]))
+                except zlib.error:
+                    return b"".join(parts), at + i, DAMAGED
+        at += len(chunk)
+    return b"".join(parts), at - len(unpack.unused_data), "" if unpack.eof else "gzip member is cut off"
 
 
 def _plain(data: bytes) -> Iterator[tuple]:
@@ -184,11 +171,63 @@ def _plain(data: bytes) -> Iterator[tuple]:
         yield ("gap", bad, size, reason)
 
 
+def _member(data: bytes, at: int) -> tuple[list[tuple], int, str]:
+    """Records and inner gaps of the gzip member at ``at``, where it ended and what is wrong with it."""
+    content, end, wrong = _unpack(data, at)
+    found = list(_plain(content))
+    if wrong == DAMAGED and [f[0] for f in found] == ["record"]:
+        # The damage lies in this record's headers, which no digest covers, or in the checksum.
+        found = []
+    place = "of the member's content"
+    return [f if f[0] == "record" else ("gap", at, end, f"{f[3]}, bytes {f[1]} to {f[2]} {place}") for f in found], end, wrong
+
+
 def salvage(data: bytes) -> Iterator[tuple]:
-    """("record", headers, block) and ("gap", start, end, reason) of an archive, in order."""
-    # The form is told by what the file holds, as its first bytes may be damaged.
-    packed, version = data.find(b"\x1f\x8b\x08"), data.find(b"WARC/1.")
-    return _members(data) if packed >= 0 and (version < 0 or packed < version) else _plain(data)
+    """("record", headers, block) and ("gap", start, end, reason) of an archive, in order.
+
+    The bytes at each position tell a gzip member from a plain record. A gap inside of a member
+    has the member's place and names the bytes of its content; a damaged member is a gap itself.
+    """
+    at, bad, reason, size = 0, None, "", len(data)
+    ahead = dict.fromkeys((GZIP, b"WARC/1."), -1)
+    # Records of damaged members; up to where zlib read, they may lie there uncompressed.
+    given: set[tuple] = set()
+    until = 0
+    while at < size:
+        found, wrong, resume = [], "", 0
+        if data.startswith(GZIP, at):
+            found, end, wrong = _member(data, at)
+            if not wrong:
+                resume = end
+                if found and not any(f[0] == "record" for f in found):
+                    found, wrong = [], found[0][3]
+        else:
+            try:
+                headers, block, resume = parse(data, at)
+                if at >= until or tuple(headers.items()) not in given:
+                    found = [("record", headers, block)]
+            except Damaged as error:
+                wrong = str(error)
+        if any(f[0] == "record" for f in found):
+            if bad is not None:
+                yield ("gap", bad, at, reason)
+            yield from found
+            bad = None
+            if wrong:
+                given |= {tuple(f[1].items()) for f in found if f[0] == "record"}
+                until = max(until, end)
+        if wrong and bad is None:
+            bad, reason = at, wrong
+        if resume:
+            at = resume
+            continue
+        for mark, place in ahead.items():
+            if place <= at:
+                place = data.find(mark, at + 1)
+                ahead[mark] = size if place < 0 else place
+        at = min(ahead.values())
+    if bad is not None:
+        yield ("gap", bad, size, reason)
 
 
 def _named(uri: str) -> str | None:

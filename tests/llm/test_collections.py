@@ -295,6 +295,44 @@ def test_salvage_of_plain_records():
     assert salvaged(b"") == ([], []) and salvaged(b"noise")[1][0][:2] == (0, 5)
 
 
+@pytest.mark.parametrize("stored", [False, True])
+def test_salvage_inside_of_a_member(stored):
+    random.seed(4)
+    level = 0 if stored else 6
+    records = [make_record(i, random.randbytes(300).hex().encode()) for i in range(20)]
+    whole = gzip.compress(b"".join(records), level, mtime=0)
+    assert salvaged(whole) == (list(range(20)), [])
+    bad = records[7].replace(b"sha1:", b"sha1:x")
+    one_bad = gzip.compress(b"".join([*records[:7], bad, *records[8:]]), level, mtime=0)
+    ids, gaps = salvaged(one_bad)
+    assert ids == [i for i in range(20) if i != 7]
+    start = sum(map(len, records[:7]))
+    place = f"bytes {start} to {start + len(bad)} of the member's content"
+    assert gaps == [(0, len(one_bad), f"block digest differs, {place}")]
+    # A cut tail, at the end of the file and before another member.
+    for keep in (len(whole) * 3 // 4, len(whole) - 4):
+        for tail in (b"", warc.member(make_record(99, b"later"))):
+            ids, gaps = salvaged(whole[:keep] + tail)
+            n = len([i for i in ids if i < 99])
+            assert ids == list(range(n)) + [99] * bool(tail) and n >= (14 if keep < len(whole) - 4 else 20)
+            assert (0, keep) in [g[:2] for g in gaps]
+    # Damage that zlib meets midway.
+    broken = bytearray(whole)
+    broken[len(whole) // 2 : len(whole) // 2 + 40] = b"\xff" * 40
+    ids, gaps = salvaged(bytes(broken))
+    assert ids[:9] == list(range(9)) and len(ids) == len(set(ids)) < 20 and gaps
+
+
+def test_salvage_tells_the_form_at_each_position():
+    packed = gzip.compress(b"payload " * 50, mtime=0)
+    plain = [make_record(i, packed) for i in range(4)]
+    lost = len(plain[0])
+    assert salvaged(b"XXXX" + b"".join(plain)[4:])[0] == [1, 2, 3]
+    assert salvaged(b"XXXX" + b"".join(plain)[4:])[1][0][:2] == (0, lost)
+    mixed = plain[0] + warc.member(make_record(5, b"x")) + b"noise" + plain[1]
+    assert salvaged(mixed) == ([0, 5, 1], [(len(mixed) - lost - 5, len(mixed) - lost, "no version line")])
+
+
 def test_members_end_in_zero():
     assert warc.member(b"x")[-1] == 0
     big = warc.member(b"\0" * (17 << 20))
