@@ -1,10 +1,11 @@
 """Files that are a JSON array, one object, or JSON Lines, as one record per row.
 
-A file is good or bad as a whole: one broken line fails it. A file is held in one task only
-where its top-level elements share lines, or it is a single object. Lines are read by Spark's splittable text source, and a document spread over lines is cut
+A file is good or bad as a whole: one broken line fails it. Lines are read by Spark's
+splittable text source, and an array that is spread over lines or is one long line is cut
 into its top-level elements by bracket depth. A JSON string cannot hold a raw line break,
 so every line starts outside of strings and its brackets can be counted on their own; depth
-is then a running sum, taken inside read blocks and carried over between them.
+is then a running sum, taken inside read blocks and carried over between them. Lines that
+may hold a top-level comma within are first cut at all their commas outside of strings.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from shelfline.functions.payload import starts_array, starts_object, with_strict
 NO_DATA = "contains no data"
 BROKEN = "unable to parse as JSON or JSON Lines"
 SCALAR = "unexpected JSON structure"
+#: An array on a single line of more bytes than this is cut into its elements.
+LONG_LINE = 1 << 16
 
 @dataclass(frozen=True)
 class NormalizedFiles:
@@ -62,8 +65,9 @@ def _files(text: DataFrame) -> DataFrame:
     return listed.select(F.regexp_replace("file", "^file:/*", "file:/").alias("file"))
 
 
-def _shape(n: Column, bad: Column) -> Column:
-    return F.when(bad > 0, "spread").when(n == 1, "document").otherwise("lines")
+def _shape(n: Column, bad: Column, opens_array: Column, longest: Column) -> Column:
+    spread = (bad > 0) | ((n == 1) & opens_array & (longest > LONG_LINE))
+    return F.when(spread, "spread").when(n == 1, "document").otherwise("lines")
 
 
 def _carry(df: DataFrame, value: str, into: str, inclusive: bool) -> DataFrame:
@@ -72,7 +76,7 @@ def _carry(df: DataFrame, value: str, into: str, inclusive: bool) -> DataFrame:
     Summed inside blocks, whose size the reader bounds, plus the total of earlier blocks,
     of which there is one row each; so a file of any size spreads over tasks.
     """
-    within = Window.partitionBy("file", "block").orderBy("row")
+    within = Window.partitionBy("file", "block").orderBy("row", "part")
     last = Window.currentRow if inclusive else -1
     before = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
@@ -93,23 +97,62 @@ def _carry(df: DataFrame, value: str, into: str, inclusive: bool) -> DataFrame:
     )
 
 
+def _bare(line: str) -> Column:
+    """The line with 0 for each string."""
+    return F.regexp_replace(F.regexp_replace(line, r"\\.", ""), r'"[^"]*"', "0")
+
+
+def _fragments(lines: DataFrame) -> DataFrame:
+    """Lines of arrays, cut after each comma outside of strings where one within the line may
+    stand between top-level elements; ``part`` is the order inside the line.
+
+    Values whose brackets close on the line hide their commas, but for a bracket that opens
+    the line, as that may be the document's own. Control characters, which no JSON text
+    holds, stand for escapes and cuts on the way; lines that have them stay whole and fail.
+    """
+    flat = F.regexp_replace("bare", r"^\s*\[", "")
+    for _ in range(3):
+        flat = F.regexp_replace(flat, r"[\[{][^\[\]{}]*[\]}]", "0")
+    pair, quote, cut = "\x01", "\x02", "\x03"
+    divided = (
+        F.col("opens_array")
+        & F.col("flat").rlike(r",\s*[^\s]")
+        & ~F.col("line").rlike("[\x01-\x03]")
+    )
+    plain = F.replace(F.replace("line", F.lit("\\\\"), F.lit(pair)), F.lit('\\"'), F.lit(quote))
+    # Every second part between quotes is outside of strings.
+    marked = F.transform(
+        F.split(plain, '"'),
+        lambda x, i: F.when(i % 2 == 0, F.replace(x, F.lit(","), F.lit("," + cut))).otherwise(x),
+    )
+    whole = F.replace(F.array_join(marked, '"'), F.lit(quote), F.lit('\\"'))
+    cuts = F.split(F.replace(whole, F.lit(pair), F.lit("\\\\")), cut)
+    parts = F.when(divided, cuts).otherwise(F.array("line"))
+    ready = once(once(lines, "bare", _bare("line")), "flat", flat)
+    return (
+        ready.select("file", "block", "row", "opens_array", F.posexplode(parts).alias("part", "line"))
+        .withColumn("line", F.trim("line"))
+        .filter(F.col("line").rlike(r"\S"))
+    )
+
+
 def _elements(lines: DataFrame, path: str) -> DataFrame:
-    """Top-level elements of documents spread over lines, per piece of whole lines.
+    """Top-level elements of documents spread over lines, per piece of whole fragments.
 
     A comma between elements of the top-level array that ends a line ends a piece, one that
     begins a line begins a piece. A document that is one object is one piece, as it is one
     record. Put in brackets, each piece must be a non-empty array; then, and only then, the
     pieces in order are the whole document. Two commas in a row leave out a number.
     """
-    bare = F.regexp_replace(F.regexp_replace("line", r"\\.", ""), r'"[^"]*"', "0")
     opened = F.regexp_count("bare", F.lit(r"[\[{]"))
     closed = F.regexp_count("bare", F.lit(r"[\]}]"))
     # The sums read these columns several times, the text once.
     counted = stage(
-        once(lines, "bare", bare).select(
+        once(_fragments(lines), "bare", _bare("line")).select(
             "file",
             "block",
             "row",
+            "part",
             "line",
             (opened - closed).alias("delta"),
             # A comma alone on its line is one that begins it.
@@ -126,7 +169,7 @@ def _elements(lines: DataFrame, path: str) -> DataFrame:
     marked = marked.withColumn("cuts", F.col("ends") + F.col("leads"))
     cut = _carry(marked, "cuts", "before", inclusive=False)
     pieces = cut.groupBy("file", (F.col("before") + F.col("leads")).alias("piece")).agg(
-        F.array_sort(F.collect_list(F.struct("block", "row", "line"))).alias("parts"),
+        F.array_sort(F.collect_list(F.struct("block", "row", "part", "line"))).alias("parts"),
         F.max("ends").alias("ends"),
         F.max("leads").alias("leads"),
     )
@@ -183,8 +226,8 @@ def normalize_json_files(
 ) -> NormalizedFiles:
     """Read every file under ``path`` but those already under ``target_prefix``.
 
-    A first pass over the lines settles all files whose documents lie on one line each. Only
-    elements of documents spread over lines are staged, as their verdict needs all of them.
+    A first pass over the lines settles all files whose documents lie on one line each, but
+    for a long array. Only elements of the others are staged, as their verdict needs all of them.
     """
     work = new_shared_path(spark, "json")
     # One listing for all passes, so that they agree on the files.
@@ -203,9 +246,14 @@ def normalize_json_files(
             F.count_if(F.col("item").isNull()).alias("bad"),
             F.max("size").alias("size"),
             F.min_by(starts_array(F.col("line")), F.struct("block", "row")).alias("opens_array"),
+            F.max(F.octet_length("line")).alias("longest"),
         )
         .select(
-            "file", "n", "size", "opens_array", _shape(F.col("n"), F.col("bad")).alias("shape")
+            "file",
+            "n",
+            "size",
+            "opens_array",
+            _shape(*map(F.col, ("n", "bad", "opens_array", "longest"))).alias("shape"),
         ),
         f"{work}/shapes",
     )

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from shelfline.sources import json_files
 from shelfline.sources.json_files import normalize_json_files, write_json_lines
 from shelfline.sources.manifest import manifest_scan
 from shelfline.sources.raw import scan_inventory_raw
@@ -148,6 +149,58 @@ def test_one_file_holding_most_records_is_spread(spark, tmp_path, separator):
     assert sorted(r["id"] for r in records["hot.json"]) == list(range(5_000))
 
 
+SHARED = {
+    "braces": json.dumps([A, B, A], indent=2).replace("},\n  {", "}, {"),
+    "braces_tight": "[{\n" + '"a": 1\n},{\n"s": "},{"\n},{\n"b": [1,\n2], "c": {"d": [[[[5, 6]]]]}\n}]',
+    "one_line": json.dumps([A, B, A, [1, 2], [], "x,y", 3, None]),
+    "one_line_escapes": '["\\\\", "a\\"", ",\\\\\\",", {"k,\\\\": ",\\""}, 5]',
+    "one_line_of_one": json.dumps([A]),
+    "several_a_line": '[1, "a,b", [4,\n5], {"x": [6, 7]},\n8, [9, 10], 11\n, 12, 13]',
+    "nested_closes_midway": '[{"a": [1,\n2]}, 3, {"b":\n4}, 5]',
+    "comma_twice_inside": "[1,, 2\n]",
+    "comma_before_end": "[1, 2,]",
+    "comma_after_start": "[, 1, 2\n]",
+    "comma_missing": '[{"a": 1} {"b": 2}, 3\n]',
+    "open_string": '[1, "a, 2\n]',
+    "control_characters": '[1, "a\x01, 2\x02", 3\x03]',
+    "two_on_a_line": "[1, 2], [3, 4]",
+    "end_missing": "[1, 2, 3",
+    "end_twice": "[1, 2], 3]",
+    "wrong_end": '[{"a": 1], 2}',
+    "lines_of_long_arrays": json.dumps([A, B]) + "\n" + json.dumps([B]),
+}
+
+
+@pytest.mark.parametrize("split", ["128m", "16"])
+def test_elements_that_share_lines(spark, tmp_path, monkeypatch, split):
+    monkeypatch.setattr(json_files, "LONG_LINE", 1)
+    for name, text in SHARED.items():
+        (tmp_path / f"{name}.json").write_bytes(text.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        records, status, _ = read(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for name, text in SHARED.items():
+        want, file = by_hand(text), f"{name}.json"
+        assert (status[file].status == "SUCCESS") == (want is not None), name
+        assert canonical(records.get(file, [])) == canonical(want or []), name
+        assert status[file].records_converted == len(want or []), name
+
+
+def test_shared_lines_are_cut_into_elements(spark, tmp_path):
+    rows = [{"id": i, "pad": "},{" * 20, "n": [i, {"k": [1, 2]}]} for i in range(2_000)]
+    (tmp_path / "braces.json").write_text(json.dumps(rows, indent=1).replace("},\n {", "}, {"))
+    (tmp_path / "line.json").write_text(json.dumps(rows))
+    records, status, got = read(spark, tmp_path)
+    pieces = spark.read.parquet(f"{got.work}/elements").groupBy("file").agg(F.count("*").alias("n"), F.max(F.size("items")).alias("most"))
+    assert [(r.n, r.most) for r in pieces.collect()] == [(2_000, 1)] * 2
+    for file in ("braces.json", "line.json"):
+        assert status[file].status == "SUCCESS"
+        assert canonical(records[file]) == canonical(rows)
+
+
 def test_names_and_skipped_files(spark, tmp_path):
     inside = tmp_path / "raw" / "batch" / "inventory-raw"
     inside.mkdir(parents=True)
