@@ -4,8 +4,13 @@ Each of ``trees`` trees gives a vector a hash string of ``bits`` bits, the signs
 products with random directions, and keeps the strings in a sorted array, where vectors that
 share a prefix lie side by side. A query descends in all trees at once to the longest prefix
 that any tree shares with it, and then ascends, one bit in all trees at a time, until the
-vectors under its prefixes number ``share`` of the block (``least`` at least). These are
-measured exactly, in double precision.
+vectors under its prefixes number ``share`` of the forest (``least`` at least). These are
+measured exactly, in double precision. Equal vectors count as one.
+
+Hash strings see the angle alone, the inner product also the length. So the vectors of a block
+are parted into bands of similar length with a forest each; a band of up to ``least`` vectors
+is measured whole. Longer vectors are near at wider angles, and more of them are looked at:
+``share`` grows with the square of their length against the middle length of the block.
 
 Vectors are dealt to blocks of about ``block`` rows by a hash, each with a forest of its own,
 and queries to groups of about ``block``. Every group meets every block in one task, which
@@ -27,6 +32,7 @@ Empty tables give no rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,6 +42,10 @@ from pyspark.sql import functions as F
 from shelfline.llm.common import staged
 
 
+#: Each band of lengths begins at this part of the one before; the last holds all shorter ones.
+BAND, BANDS = 0.8, 12
+
+
 class Forest:
     """Sorted arrays of hash strings over the rows of a matrix."""
 
@@ -53,7 +63,7 @@ class Forest:
         return np.stack([((x @ d > 0) * weights).sum(axis=1, dtype=np.uint64) for d in self.directions])
 
     def candidates(self, q: np.ndarray, wanted: int):
-        """For each query the rows under its prefixes at the first depth that has enough."""
+        """For each query which rows lie under its prefixes at the first depth that has enough."""
         codes = self.codes(q)
         n = len(q)
         low = np.zeros((len(codes), n), np.int64)
@@ -74,7 +84,34 @@ class Forest:
             seen = np.zeros(self.order.shape[1], bool)
             for t, line in enumerate(self.order):
                 seen[line[low[t, i] : high[t, i]]] = True
-            yield np.flatnonzero(seen)
+            yield seen
+
+
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A row of each distinct vector, and for each row the place of its vector among them."""
+    rows = np.ascontiguousarray(x + 0.0).view(np.dtype((np.void, x.shape[1] * x.itemsize))).ravel()
+    _, one, copy_of = np.unique(rows, return_index=True, return_inverse=True)
+    return one, copy_of.ravel()
+
+
+def candidates(x: np.ndarray, q: np.ndarray, trees: int, bits: int, share: float, least: int, seed: int):
+    """For each query which of the distinct rows are to be measured."""
+    lengths = np.maximum(np.linalg.norm(x / np.abs(x).max(), axis=1), 1e-100)
+    # Equal lengths may differ in their last bits.
+    band = np.minimum(np.floor(np.log(lengths / lengths.max()) / np.log(BAND) + 1e-6), BANDS - 1)
+    found = []
+    for b in np.unique(band):
+        rows = np.flatnonzero(band == b)
+        # The count is over trees: a row may be met in several.
+        longer = float(np.median(lengths[rows]) / np.median(lengths)) ** 2
+        wanted = max(int(share * min(longer, trees) * len(rows)), least)
+        small = len(rows) <= least
+        found.append((rows, repeat(True) if small else Forest(x[rows], trees, bits, seed).candidates(q, wanted)))
+    for _ in range(len(q)):
+        seen = np.zeros(len(x), bool)
+        for rows, each in found:
+            seen[rows] = next(each)
+        yield seen
 
 
 def _search(trees: int, bits: int, share: float, least: int, k: int, seed: int):
@@ -87,10 +124,10 @@ def _search(trees: int, bits: int, share: float, least: int, k: int, seed: int):
             ids, x = ids[order], x[order]
             repeats = bool((ids[1:] == ids[:-1]).any())
             q = np.stack(queries["q"].to_numpy()).astype(float)
-            forest = Forest(x, trees, bits, seed)
-            # The count is over trees: a row may be met in several.
-            wanted = max(int(share * len(x)), least)
-            for qid, v, at in zip(queries["query_id"], q, forest.candidates(q, wanted)):
+            # Equal vectors are one in the forests, and count once.
+            one, copy_of = distinct(x)
+            for qid, v, seen in zip(queries["query_id"], q, candidates(x[one], q, trees, bits, share, least, seed)):
+                at = np.flatnonzero(seen[copy_of])
                 at = at[ids[at] != qid]
                 if not len(at):
                     continue

@@ -431,6 +431,24 @@ def test_neighbours_recall(spark):
     assert recall >= 0.9
 
 
+@pytest.mark.parametrize("sigma, copies", [(0, True), (0.5, False), (1, False), (0.5, True)])
+def test_neighbours_recall_with_lengths_and_copies(spark, sigma, copies):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((8192, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x *= rng.lognormal(0, sigma, 8192)[:, None]
+    x[rng.permutation(8192)[: 8192 // 3 * copies]] = x[0]
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    scores = defaultdict(list)
+    for r in neighbours.nearest(vectors, lambda i: i % 64 == 0).collect():
+        scores[r["query_id"]].append(r["score"])
+    recall = []
+    for i in range(0, 8192, 64):
+        least = np.sort(np.delete(x @ x[i], i))[-20]
+        recall.append(sum(s >= least - 1e-9 for s in scores[i]) / 20)
+    assert np.mean(recall) >= 0.95
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]),
