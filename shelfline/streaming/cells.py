@@ -1,4 +1,9 @@
-"""Two-hour sales cells as a stream: the batch aggregation with a watermark."""
+"""Two-hour sales cells of a stream: the batch aggregation, batch by batch.
+
+Every batch writes what its rows add to the cells, and puts rows later than the watermark
+aside in ``errors/late``. Both lie below the batch's id, so that a repeated batch replaces
+itself. The watermark is the largest time of earlier batches less the lateness, as stored.
+"""
 
 from __future__ import annotations
 
@@ -11,15 +16,14 @@ _CELL = ["product_id", "analysis_date", "time_bucket"]
 
 
 class LateRows(RuntimeError):
-    """Rows came later than the watermark allows and are in no cell."""
+    """Rows came later than the watermark allows; they are in ``errors/late``."""
 
 
-def stream_pos_cells(pos: DataFrame, lateness: str = "2 hours") -> DataFrame:
+def _cells(pos: DataFrame) -> DataFrame:
     """Sums per product and two-hour window of ``transaction_timestamp``."""
     opened = F.col("window.start")
     return (
-        pos.withWatermark("transaction_timestamp", lateness)
-        .groupBy("product_id", F.window("transaction_timestamp", "2 hours"))
+        pos.groupBy("product_id", F.window("transaction_timestamp", "2 hours"))
         .agg(
             F.sum("quantity").alias("total_quantity"),
             F.sum("revenue").alias("total_revenue"),
@@ -43,32 +47,59 @@ def stream_pos_cells(pos: DataFrame, lateness: str = "2 hours") -> DataFrame:
 
 
 def run_cells(pos: DataFrame, out: str, checkpoint: str, lateness: str = "2 hours") -> None:
-    """Work off what is there and stop. Every batch writes the cells it changed.
+    """Work off what is there and stop. Every batch writes what it adds to the cells.
 
-    Windows need not be closed to be written, so none is missing at the end of a run; the
-    state in the checkpoint lets a later run add to them. Rows later than the watermark
-    cannot be added: the run then fails and tells how many there were.
+    Windows need not be closed to be written, so none is missing at the end of a run. Rows
+    whose window ended before the watermark go to ``errors/late``; the run then fails at its
+    end and tells how many there were.
     """
+    top, late = None, 0  # the largest time in microseconds, the number of late rows
+    largest = F.unix_micros(F.max("pos_timestamp"))
+
+    def batch(df: DataFrame, n: int) -> None:
+        nonlocal top, late
+        spark = df.sparkSession
+        if top is None and n > 0:
+            top = _added(spark, out).filter(F.col("batch_id") < n).agg(largest).first()[0]
+        mark = F.timestamp_micros(F.lit(top).cast("long")) - F.expr(f"INTERVAL {lateness}")
+        ended = F.window("transaction_timestamp", "2 hours")["end"] <= mark
+        rows = df.withColumn("is_late", F.coalesce(ended, F.lit(False))).persist()
+        try:
+            kept, aside = f"{out}/cells/batch_id={n}", f"{out}/errors/late/batch_id={n}"
+            _cells(rows.filter("NOT is_late")).write.mode("overwrite").parquet(kept)
+            rows.filter("is_late").drop("is_late").write.mode("overwrite").parquet(aside)
+        finally:
+            rows.unpersist()
+        tops = [top, spark.read.parquet(kept).agg(largest).first()[0]]
+        top = max((t for t in tops if t is not None), default=None)
+        late += spark.read.parquet(aside).count()
+
     query = (
-        stream_pos_cells(pos, lateness)
-        .writeStream.foreachBatch(
-            lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch_id={n}")
-        )
+        pos.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
-        .outputMode("update")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    late = sum(
-        s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"]
-    )
     if late:
-        raise LateRows(f"{late} rows were later than {lateness}")
+        raise LateRows(f"{late} rows were later than {lateness}; they are in {out}/errors/late")
+
+
+def _added(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.option("basePath", f"{out}/cells").parquet(f"{out}/cells/batch_id=*")
+
+
+def late_rows(spark: SparkSession, out: str) -> DataFrame:
+    """Rows that were put aside, with the batch they came in."""
+    aside = f"{out}/errors/late"
+    return spark.read.option("basePath", aside).parquet(f"{aside}/batch_id=*")
 
 
 def latest_cells(spark: SparkSession, out: str) -> DataFrame:
-    """Each cell as the last batch that changed it wrote it."""
-    cells = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*")
-    values = F.struct(*[c for c in cells.columns if c not in [*_CELL, "batch_id"]])
-    return cells.groupBy(*_CELL).agg(F.max_by(values, "batch_id").alias("v")).select(*_CELL, "v.*")
+    """Each cell with all that batches added to it, late rows included."""
+    added = _added(spark, out).drop("batch_id").unionByName(_cells(late_rows(spark, out)))
+    return added.groupBy(*_CELL).agg(
+        *[F.sum(c).alias(c) for c in ("total_quantity", "total_revenue", "total_discount", "transaction_count")],
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("store_list")))).alias("store_list"),
+        F.max("pos_timestamp").alias("pos_timestamp"),
+    )

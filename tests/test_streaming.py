@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import cells, clean
 from shelfline.sources.responses import with_first_record
-from shelfline.streaming.cells import LateRows, latest_cells, run_cells
+from shelfline.streaming.cells import LateRows, late_rows, latest_cells, run_cells
 from shelfline.streaming.feeds import deliver, incremental_scan, run_feed, write_batch
 
 T0 = 1752784836
@@ -156,6 +156,32 @@ def test_late_rows_are_told(spark, tmp_path):
         put_rows(2)
 
 
+def test_late_rows_are_put_aside_and_counted_in(spark, tmp_path):
+    """Also when they come in an early batch of a run whose progress is no longer held."""
+    schema = """transaction_id string, store_id int, product_id int, quantity int,
+        revenue float, discount_applied float, transaction_timestamp timestamp"""
+    out, spot = str(tmp_path / "out"), str(tmp_path / "in")
+    rows = [(f"T{i}", i, 1, 1, 1.0, None, datetime(2025, 7, 20, h)) for i, h in enumerate((20, 1, 20, 18, 21))]
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(spot)
+    held = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        for row in rows:
+            spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(spot)
+        with pytest.raises(LateRows, match="1 rows"):
+            run_cells(source, out, str(tmp_path / "checkpoint"))
+        run_cells(source, out, str(tmp_path / "checkpoint"))
+        spark.createDataFrame([("T9", 9, 1, 1, 1.0, None, datetime(2025, 7, 20, 0))], schema).coalesce(1).write.mode("append").parquet(spot)
+        with pytest.raises(LateRows, match="1 rows"):
+            run_cells(source, out, str(tmp_path / "checkpoint"))
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", held)
+    assert sorted((r.transaction_id, r.batch_id) for r in late_rows(spark, out).collect()) == [("T1", 1), ("T9", 5)]
+    got = {r.time_bucket: (r.total_quantity, r.transaction_count, r.store_list) for r in latest_cells(spark, out).collect()}
+    assert got == {0: (2, 2, [1, 9]), 18: (1, 1, [3]), 20: (3, 3, [0, 2, 4])}
+
+
 def test_batch_repeated_in_another_hour_adds_nothing(spark, tmp_path):
     out = str(tmp_path / "out")
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "page string, user_id int")
