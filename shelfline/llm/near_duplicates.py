@@ -186,8 +186,8 @@ def near_duplicates(
     rows = signatures(docs, shingle, half, tables_side)
     by_set = ["n", "d1", "d2"]
     classes = staged(
-        rows.filter("n > 0").groupBy(by_set).agg(F.min(F.struct("row", "doc_id", "halves")).alias("one")).select(
-            *by_set, F.col("one.row").alias("node"), F.col("one.doc_id").alias("doc_id"), F.col("one.halves").alias("halves")
+        rows.filter("n > 0").groupBy(by_set).agg(F.min(F.struct("row", "doc_id", "text_hash", "halves")).alias("one")).select(
+            *by_set, F.col("one.row").alias("node"), F.col("one.doc_id").alias("doc_id"), F.col("one.text_hash").alias("text_hash"), F.col("one.halves").alias("halves")
         ),
         "classes",
     )
@@ -212,10 +212,11 @@ def _links(docs, classes, tables, shingle, percent, star_rounds) -> DataFrame:
     if tables.isEmpty():
         return none
     # The full sets of the classes that meet another, computed again from their texts.
-    met = classes.join(tables.select("node").distinct(), "node").select("node", "doc_id", "n", "d1", "d2")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
-    found = staged(texts.join(met, F.col("id").eqNullSafe(F.col("doc_id"))).select("node", "d1", "d2", "text").mapInPandas(_sets(shingle), f"node long, set array<long>, {', '.join(f'{b} long' for b in PARITIES)}"), "found-sets")
-    # Rows that share a doc_id and a set give a set more than once.
+    met = classes.join(tables.select("node").distinct(), "node").select("node", "doc_id", "text_hash", "n", "d1", "d2")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_hash().alias("hash"), F.col("text").cast("string"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+    found = staged(texts.join(met, same).select("node", "d1", "d2", "text").mapInPandas(_sets(shingle), f"node long, set array<long>, {', '.join(f'{b} long' for b in PARITIES)}"), "found-sets")
+    # Rows that share a doc_id and a text give a set more than once.
     sets = staged(found.groupBy("node").agg(F.first("set").alias("set"), F.size(F.first("set")).cast("long").alias("n"), *(F.first(b).alias(b) for b in PARITIES)), "sets")
     roots = none
     for turn in range(star_rounds + 1):

@@ -111,6 +111,30 @@ def test_every_candidate_is_settled_without_star_rounds(spark):
     assert near_duplicates.near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_texts_that_share_an_id_meet_their_own_class_only(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[:k] + ["x"] + words[k + 1 :])) for i in (None, 7) for k in range(0, 60, 3)]
+    rows = [(i, f"{t} {i}") for i, t in rows]
+    met, sets = spark.sparkContext.accumulator(0), near_duplicates._sets
+
+    def counted(size):
+        inner = sets(size)
+
+        def run(batches):
+            for pdf in batches:
+                met.add(len(pdf))
+                yield from inner(iter([pdf]))
+
+        return run
+
+    monkeypatch.setattr(near_duplicates, "_sets", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicates.near_duplicates(docs, shingle=4)
+    got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect()]
+    assert sorted(got, key=key) == sorted(plain_components(rows, 4), key=key)
+    assert 0 < met.value <= len(rows)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 103), (103, 101), (101, 101), (200, 201), (201, 200)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
