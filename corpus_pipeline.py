@@ -10,13 +10,12 @@ words is never taken.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import bpe, mixing, near_duplicates, secrets, toxicity
 from shelfline.llm.common import fold, repeated, staged, table
-from shelfline.llm.queries import configured, vocabulary
+from shelfline.llm.queries import PATTERN, configured, vocabulary
 
 CAP = 2
 
@@ -50,7 +49,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids_sha256, decoded_sha256, ids."""
     ranks = bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken"))
-    found = bpe.tokens(F.col("text"), configured(spark), ranks, public_tokenizers.PATTERN, with_ids=True)
+    found = bpe.tokens(F.col("text"), configured(spark), ranks, PATTERN, with_ids=True)
     return docs.select("doc_id", "source", found.alias("t")).select("doc_id", "source", "t.*")
 
 

@@ -17,6 +17,8 @@ from shelfline.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: The public vocabulary's split pattern, for machines without its package.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def configured(spark: SparkSession) -> SparkSession:
@@ -54,10 +56,8 @@ def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
     ranks = bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken"))
-    return bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.encode(table(spark, sf_dir, "documents"), ranks, PATTERN)
 
 
 @query
