@@ -106,4 +106,87 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN o ON d.r = o.r
 """
 
-ORACLES = {"op3_quality_rules": QUALITY, "op4_warc": WARC, "op7_mixing": MIXING, "op8_secrets": SECRETS}
+_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+_LETTER = "(VALUES ('A'), ('B'), ('C'), ('D'), ('E')) {0}({0})"
+_PLACES = "abcde"
+_UNEQUAL = " AND ".join(f"{x} <> {y}" for i, x in enumerate(_PLACES) for y in _PLACES[:i])
+
+AUDIT = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {_WORDS} AS ws, coalesce(doc_id > (min(doc_id) OVER (PARTITION BY t)), false) AS seen FROM d),
+l AS (SELECT doc_id, max(coalesce(quality = 1, false)::INT) AS good, max(coalesce(toxic = 1, false)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+             + 4 * (100 * (length(t) - length(translate(t, {_UPPER}, ''))) > 3 * length(t))::INT
+             + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * seen::INT AS mask
+      FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+s AS MATERIALIZED (
+      SELECT part, subset, coalesce(sum(n) FILTER (mask & subset = 0), 0)::BIGINT AS n,
+             coalesce(sum(good) FILTER (mask & subset = 0), 0)::BIGINT AS good, coalesce(sum(toxic) FILTER (mask & subset = 0), 0)::BIGINT AS toxic
+      FROM c, (SELECT unnest(range(32)) AS subset) GROUP BY part, subset),
+p AS (SELECT a || b || c || d || e AS filter_order FROM {", ".join(_LETTER.format(x) for x in _PLACES)} WHERE {_UNEQUAL}),
+o AS (SELECT part, filter_order, step::INT AS step, 1 << (ascii(filter_order[step]) - 65) AS bit,
+             list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))) AS early
+      FROM p, (SELECT unnest(range(1, 6)) AS step), (SELECT DISTINCT part FROM c)),
+r AS (SELECT o.part, filter_order, step, bit, x.n AS kept, y.n - x.n AS removed, z.n - f.n - (y.n - x.n) AS redundant, u.n - v.n AS unique_fails,
+             y.good - x.good AS good_lost, y.toxic - x.toxic AS toxic_lost
+      FROM (SELECT *, coalesce(early, 0)::BIGINT AS before FROM o) o
+      JOIN s x ON x.part = o.part AND x.subset = before | bit JOIN s y ON y.part = o.part AND y.subset = before
+      JOIN s z ON z.part = o.part AND z.subset = 0 JOIN s f ON f.part = o.part AND f.subset = bit
+      JOIN s u ON u.part = o.part AND u.subset = 31 - bit JOIN s v ON v.part = o.part AND v.subset = 31)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r
+"""
+
+
+def _assigned(turn: int) -> str:
+    """Nearest entries: distances are whole numbers, and an entry's number settles ties."""
+    return f"""a{turn} AS MATERIALIZED (
+  SELECT r, part, any_value(x) AS x, (best % 256)::INT AS entry, best // 256 AS error FROM (
+    SELECT r, part, x, min((xx + cc - 2 * list_inner_product(x, c))::BIGINT * 256 + entry) AS best
+    FROM p JOIN b{turn} USING (part) GROUP BY r, part, x) GROUP BY r, part, best)"""
+
+
+def _moved(turn: int) -> str:
+    return f"""b{turn + 1} AS MATERIALIZED (
+  SELECT part, entry, c, list_inner_product(c, c) AS cc FROM (
+    SELECT b.part, b.entry, coalesce(n.c, b.c) AS c FROM b{turn} b LEFT JOIN (
+      SELECT part, entry, list(m ORDER BY i) AS c FROM (
+        SELECT part, entry, i, floor(sum(x) / count(*)) AS m FROM (SELECT part, entry, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM a{turn})
+        GROUP BY part, entry, i) GROUP BY part, entry) n ON n.part = b.part AND n.entry = b.entry))"""
+
+
+_ROUNDS = ",\n".join(f"{_assigned(k)},\n{_moved(k)}" for k in range(4))
+CODES = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+p AS MATERIALIZED (SELECT r, part, x, list_inner_product(x, x) AS xx FROM (
+  SELECT r, part, v[(part * len(v) // 4) + 1 : (part + 1) * len(v) // 4] AS x FROM v, (SELECT unnest(range(4)) AS part))),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c, xx AS cc FROM p WHERE r <= 256),
+{_ROUNDS},
+{_assigned(4)},
+h AS (SELECT sha256(string_agg(x::BIGINT, ',' ORDER BY part, entry, i)) AS h FROM (SELECT part, entry, unnest(c) AS x, generate_subscripts(c, 1) AS i FROM b4)),
+o AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(error)::BIGINT AS error FROM a4 GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256 FROM o JOIN v USING (r), h
+"""
+
+LINES = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+e AS MATERIALIZED (SELECT r, doc_id, i, line, trim(translate(line, {_UPPER}, {_LOWER}), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+      FROM (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d)),
+s AS (SELECT key AS shared FROM e WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(shared) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (shared IS NULL), '')) AS kept_sha256
+FROM e LEFT JOIN s ON shared = key GROUP BY r, doc_id
+"""
+
+ORACLES = {
+    "op3_quality_rules": QUALITY,
+    "op4_warc": WARC,
+    "op7_mixing": MIXING,
+    "op8_secrets": SECRETS,
+    "op11_filter_audit": AUDIT,
+    "op12_vector_codes": CODES,
+    "op13_line_dedup": LINES,
+}

@@ -10,7 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.config import new_shared_path
-from shelfline.llm import bpe, language_model, mixing, near_duplicates, neighbours, quality, secrets, token_files, toxicity, warc
+from shelfline.llm import (
+    bpe,
+    filter_audit,
+    language_model,
+    line_dedup,
+    mixing,
+    near_duplicates,
+    neighbours,
+    quality,
+    secrets,
+    token_files,
+    toxicity,
+    vector_codes,
+    warc,
+)
 from shelfline.llm.common import fold, table
 from shelfline.llm.oracles import ORACLES  # noqa: F401
 from shelfline.session import prepare
@@ -120,3 +134,19 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"), min_documents=10)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
