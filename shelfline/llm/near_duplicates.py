@@ -14,14 +14,17 @@ Steps, all over every text:
    many, cost one row per task in the aggregation.
 2. A table key needs both its halves shared with another class, so halves that only one
    class has are dropped before halves are combined.
-3. ``star_rounds`` rounds compare each class with one class that it shares a table with (the
-   smallest, then the largest), and join what links into components. This is linear in the
-   table entries and settles most groups of near copies.
-4. Classes in tables that still hold several components are compared with each other by an
-   exact filter on the order of their shingles, see remaining_pairs(): groups of texts that
-   are alike, but not enough, meet in many tables and would otherwise be compared pair by
-   pair. After this step no pair of such classes is left that could be linked; there is no
-   cap.
+3. ``star_rounds`` rounds compare each class with one class that it shares most tables with,
+   out of one per table, and join what links into components. This is linear in the table
+   entries and closes most tables of near copies.
+4. Classes in tables that still hold several components are settled by group, a group being
+   all that can be reached through such tables. They are held against what most of the group
+   shares, see differences(): those close enough to it are linked for certain, by the bound
+   that two full sets differ in no more than both differ from a third. Of the others those
+   pairs are compared that differ from the group in enough common shingles, see
+   remaining_pairs(). Groups of texts that are alike, but not enough, meet in many tables and
+   would otherwise be compared pair by pair. After this step no pair of such classes is left
+   that could be linked; there is no cap.
 
 Component ids are the smallest doc_id of the component.
 
@@ -44,8 +47,6 @@ from shelfline.llm.common import staged, text_hash
 from shelfline.llm.components import components
 from shelfline.llm.shingles import Hasher, mixed, numbers
 
-#: Names of the eight columns that hold a set's parities.
-PARITIES = [f"b{k}" for k in range(8)]
 SIGNATURE = "n long, d1 long, d2 long, halves array<long>"
 
 
@@ -96,12 +97,6 @@ def table_entries(classes: DataFrame, tables_side: int) -> DataFrame:
     return staged(keys.join(met, "key"), "tables")
 
 
-def _parities(s: np.ndarray) -> list[int]:
-    """512 bits, each telling whether an odd number of shingles falls to it."""
-    odd = np.bincount((s & np.uint64(511)).astype(np.int64), minlength=512) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
-
-
 def _sets(size: int):
     def run(batches):
         hasher = Hasher()
@@ -110,8 +105,8 @@ def _sets(size: int):
             for node, d1, d2, text in zip(pdf["node"], pdf["d1"], pdf["d2"], pdf["text"]):
                 s = hasher.shingles(text, size)
                 if _digest(s) == (d1, d2):
-                    rows.append((node, s.view(np.int64), *_parities(s)))
-            yield pd.DataFrame(rows, columns=["node", "set", *PARITIES])
+                    rows.append((node, s.view(np.int64)))
+            yield pd.DataFrame(rows, columns=["node", "set"])
 
     return run
 
@@ -137,37 +132,70 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).filter(alike("sa", "sb")).select("a", "b")
 
 
-def remaining_pairs(open_now: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of different components that can still reach the similarity.
+def differences(open_now: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """What tells the open classes of a candidate group apart, and what needs no telling.
+
+    Classes that can be reached from each other through tables are a group. Its middle holds
+    the shingles that more than half of its classes hold; a class differs from the middle by
+    d shingles, which it has more or less. Two classes differ in d + d' shingles at most, so
+    one whose d is small against its size is linked with the group's most central class
+    without a comparison, however many there are.
 
-    Exact. Shingles have one order for all sets, rare ones first. If two sets are similar
-    enough, their first common shingle lies so early in both that as many shingles follow as
-    the overlap needs: so only early shingles are joined, and only where the places allow
-    for that overlap. Shingles that one component holds alone are left out. Two sets differ
-    in at least as many shingles as their parities do in bits, which settles most of the
-    pairs that share a rare shingle by chance, before they are made.
+    Returns (a, b), those links, and (group, node, root, n, d, slack, most, near, diff): the
+    classes with their differences; ``near`` holds for those that are linked with the central
+    class, ``slack`` is by how much d is below what would link two classes of equal slack.
     """
-    held = open_now.join(sets.select("node", "set", "n"), "node").select("node", "root", "n", F.explode("set").alias("token"))
-    counts = held.groupBy("token").agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
-    counts = staged(counts.select("token", "c", (F.col("low") < F.col("high")).alias("mixed")), "token-counts")
+    low = open_now.groupBy("key").agg(F.min("node").alias("low"))
+    to_low = open_now.join(low, "key").select(F.col("node").alias("a"), F.col("low").alias("b"))
+    groups = components(to_low).select("node", F.col("root").alias("group"))
+    members = open_now.select("node", "root").distinct().join(groups, "node")
+    held = staged(members.join(sets, "node"), "open-sets")
+    size = held.groupBy("group").agg(F.count("*").alias("members"))
+    common = held.select("group", F.explode("set").alias("token")).groupBy("group", "token").agg(F.count("*").alias("c"))
+    # More than half hold each, so there are at most twice as many as an average class has.
+    middle = common.join(size, "group").filter("2 * c > members").groupBy("group").agg(F.collect_list("token").alias("middle"))
+    apart = F.concat(F.array_except("set", "middle"), F.array_except("middle", "set"))
+    told = held.join(middle, "group", "left").withColumn("middle", F.coalesce("middle", F.array().cast("array<long>")))
+    told = told.select("group", "node", "root", "n", apart.alias("diff")).withColumn("d", F.size("diff").cast("long"))
+    told = staged(told.withColumn("slack", (100 - percent) * F.col("n") - (100 + percent) * F.col("d")), "differences")
+    centre = told.groupBy("group").agg(F.max(F.struct("slack", "node")).alias("centre"))
+    told = told.join(centre, "group").withColumn("most", F.col("centre.slack")).withColumn("near", F.col("slack") + F.col("centre.slack") >= 0)
+    links = told.filter("near and node <> centre.node").select(F.col("node").alias("a"), F.col("centre.node").alias("b"))
+    return links, told.drop("centre")
+
+
+def remaining_pairs(told: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of a group that can still reach the similarity.
+
+    Exact. If two classes are not linked through the centre, their differences from the middle
+    must overlap, by t = ((100 + percent) * (d + d') - (100 - percent) * (n + n')) /
+    (2 * (100 + percent)) shingles at least. What a whole group shares is in no difference, so
+    texts that are alike, but not enough, meet only where they are unlike the rest in the same
+    way. Differences have one order, rare ones first: the first common one of two similar
+    classes lies so early in both that as many as t follow. Only early ones are joined, and
+    only where the places allow for t. Differences that one component holds alone are left
+    out.
+    """
+    unit = 2 * (100 + percent)
+    spread = told.withColumn("side", F.when(F.col("near"), F.lit(-1)).otherwise(F.col("root"))).select("*", F.explode("diff").alias("token")).drop("diff")
+    ends = [f(c).alias(f"{c}_{name}") for c in ("side", "root") for name, f in (("low", F.min), ("high", F.max))]
+    counts = spread.groupBy("group", "token").agg(F.count("*").alias("c"), *ends)
+    counts = counts.select("group", "token", "c", ((F.col("side_low") < F.col("side_high")) & (F.col("root_low") < F.col("root_high"))).alias("mixed"))
+    # The partner of a class near the centre is not near it, that of another as near as any.
+    least = F.when(F.col("near"), F.col("most") - F.col("slack")).otherwise(-F.col("slack") - F.col("most"))
+    least = F.greatest(F.lit(1), F.ceil(least / unit))
     place = F.row_number().over(Window.partitionBy("node").orderBy("c", "token")) - 1
-    early = held.join(counts, "token").withColumn("p", place).filter("mixed")
-    early = early.filter(F.col("p") <= F.col("n") - F.ceil(percent * F.col("n") / 100)).select("token", "node", "root", "n", "p")
-    early = staged(staged(early, "early-tokens").join(sets.select("node", *PARITIES), "node"), "early-parities")
-    # The smaller set of a pair meets the larger one in a shorter part still.
-    small = early.filter(F.col("p") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)))
-    large = early.select(
-        "token", F.col("node").alias("b"), F.col("root").alias("other"), F.col("n").alias("m"), F.col("p").alias("q"), *(F.col(b).alias(f"l{b}") for b in PARITIES)
-    )
-    differ = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"l{b}"))) for b in PARITIES), F.lit(0))
+    early = spread.join(counts, ["group", "token"]).withColumn("p", place).filter("mixed").filter(F.col("p") <= F.col("d") - least)
+    early = staged(early.select("group", "token", "node", "root", "n", "d", "slack", "near", "p"), "early-differences")
+    other = early.select("group", "token", *(F.col(c).alias(f"o_{c}") for c in ("node", "root", "n", "d", "slack", "near", "p")))
+    t = F.greatest(F.lit(1), F.ceil(-(F.col("slack") + F.col("o_slack")) / unit))
     fits = (
-        (F.col("root") != F.col("other")) & (F.col("n") <= F.col("m")) & (100 * F.col("n") >= percent * F.col("m"))
-        & ((100 + percent) * F.least(F.col("n") - F.col("p"), F.col("m") - F.col("q")) >= percent * (F.col("n") + F.col("m")))
-        # Similar sets differ in (100 - percent) / (100 + percent) of their summed sizes at most.
-        & ((100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("m")))
+        (F.col("node") < F.col("o_node")) & (F.col("root") != F.col("o_root")) & ~(F.col("near") & F.col("o_near"))
+        & (100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n"))
+        & (F.least(F.col("d") - F.col("p"), F.col("o_d") - F.col("o_p")) >= t)
     )
-    met = small.alias("s").join(large.alias("l"), (F.col("s.token") == F.col("l.token")) & fits)
-    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    met = early.alias("e").join(other.alias("o"), (F.col("e.group") == F.col("o.group")) & (F.col("e.token") == F.col("o.token")) & fits)
+    return met.select(F.col("node").alias("a"), F.col("o_node").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -176,7 +204,7 @@ def near_duplicates(
     percent: int = 80,
     half: int = 4,
     tables_side: int = 24,
-    star_rounds: int = 2,
+    star_rounds: int = 1,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, row, first (the row to keep), and text_hash.
 
@@ -215,9 +243,10 @@ def _links(docs, classes, tables, shingle, percent, star_rounds) -> DataFrame:
     met = classes.join(tables.select("node").distinct(), "node").select("node", "doc_id", "text_hash", "n", "d1", "d2")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_hash().alias("hash"), F.col("text").cast("string"))
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
-    found = staged(texts.join(met, same).select("node", "d1", "d2", "text").mapInPandas(_sets(shingle), f"node long, set array<long>, {', '.join(f'{b} long' for b in PARITIES)}"), "found-sets")
+    found = texts.join(met, same).select("node", "d1", "d2", "text").mapInPandas(_sets(shingle), "node long, set array<long>")
     # Rows that share a doc_id and a text give a set more than once.
-    sets = staged(found.groupBy("node").agg(F.first("set").alias("set"), F.size(F.first("set")).cast("long").alias("n"), *(F.first(b).alias(b) for b in PARITIES)), "sets")
+    sets = staged(found, "found-sets").groupBy("node").agg(F.first("set").alias("set"))
+    sets = staged(sets.withColumn("n", F.size("set").cast("long")), "sets")
     roots = none
     for turn in range(star_rounds + 1):
         now = tables.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
@@ -227,19 +256,27 @@ def _links(docs, classes, tables, shingle, percent, star_rounds) -> DataFrame:
             break
         open_now = staged(now.join(spread, "key"), "open")
         if turn < star_rounds:
-            centre = [F.min, F.max, lambda c: F.min_by(c, F.xxhash64(c))][turn % 3]
-            centres = staged(open_now.groupBy("key").agg(centre(F.struct("node", "root")).alias("c")), "centres")
-            pairs = open_now.join(centres, "key").filter("root <> c.root").groupBy("node").agg(F.min("c.node").alias("c"))
-            pairs = pairs.select(F.col("node").alias("a"), F.col("c").alias("b"))
+            edges = staged(linked(_to_centres(open_now, turn), sets, percent), "edges")
         else:
-            pairs = remaining_pairs(open_now.select("node", "root").distinct(), sets, percent)
-        edges = staged(linked(pairs, sets, percent), "edges")
-        if edges.isEmpty():
-            continue
-        roots = staged(_merged(edges, roots), "roots")
+            near, told = differences(open_now, sets, percent)
+            told = staged(told, "told")
+            edges = staged(near.union(linked(remaining_pairs(told, percent), sets, percent)), "edges")
+        if not edges.isEmpty():
+            roots = staged(_merged(edges, roots), "roots")
     return roots
 
 
+def _to_centres(open_now: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each open class with that centre of another component that it meets most often.
+
+    Every table has one of its classes for a centre, another one each turn.
+    """
+    centre = [F.min, F.max, lambda c: F.min_by(c, F.xxhash64(c))][turn % 3]
+    centres = staged(open_now.groupBy("key").agg(centre(F.struct("node", "root")).alias("c")), "centres")
+    met = open_now.join(centres, "key").filter("root <> c.root").groupBy("node", F.col("c.node").alias("b")).agg(F.count("*").alias("n"))
+    return met.groupBy(F.col("node").alias("a")).agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+
+
 def _merged(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """``roots`` after joining what ``edges`` links: components of the graph of old roots."""
     for side in ("a", "b"):

@@ -111,6 +111,38 @@ def test_every_candidate_is_settled_without_star_rounds(spark):
     assert near_duplicates.near_duplicates(docs.limit(0)).collect() == []
 
 
+def alike_texts(texts=160, words=120, changed=14):
+    """Texts that share one base, each with own words at random places: most pairs are below 0.8."""
+    r = random.Random(9)
+    base = [f"base{i}" for i in range(words)]
+    rows = []
+    for n in range(texts):
+        own = list(base)
+        for at in r.sample(range(words), r.randint(0, changed) if n % 4 else 1):
+            own[at] = f"own{n}x{at}" if n % 3 else f"often{at}"
+        rows.append((n, " ".join(own)))
+    return rows + [(1000 + n, f"{t} and more words at the end {n}") for n, t in rows[::5]]
+
+
+@pytest.mark.parametrize("star_rounds", [0, 1])
+def test_groups_of_texts_that_are_alike_but_not_enough(spark, star_rounds, monkeypatch):
+    rows = alike_texts()
+    made, linked = [], near_duplicates.linked
+
+    def counted(pairs, sets, percent):
+        made.append(pairs.count())
+        return linked(pairs, sets, percent)
+
+    monkeypatch.setattr(near_duplicates, "linked", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_duplicates.near_duplicates(docs, shingle=3, star_rounds=star_rounds).collect()
+    wanted = plain_components(rows, 3)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(wanted)
+    # Both linked and other texts abound, and few pairs are compared.
+    assert 20 < len({c for _, _, c in wanted}) < len(rows) - 20
+    assert sum(made) < len(rows) ** 2 / 20
+
+
 def test_texts_that_share_an_id_meet_their_own_class_only(spark, monkeypatch):
     words = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(words[:k] + ["x"] + words[k + 1 :])) for i in (None, 7) for k in range(0, 60, 3)]
