@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import bpe, mixing, near_duplicates, secrets, toxicity
-from shelfline.llm.common import fold, repeated, staged, table
+from shelfline.llm.common import fold, repeated, row_key, staged, table
 from shelfline.llm.queries import PATTERN, configured, vocabulary
 
 CAP = 2
@@ -31,8 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 80 % of its five-word shingles."""
     configured(spark)
-    found = near_duplicates.near_duplicates(docs, shingle=5, percent=80)
-    return repeated(docs, found.withColumn("times", F.col("first").cast("int")), 1)
+    found = near_duplicates.near_duplicates(docs, shingle=5, percent=80, key=row_key(docs))
+    return repeated(docs, found.withColumn("times", F.col("first").cast("int")))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +42,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    found = mixing.mix(docs, cap=CAP)
-    return repeated(docs, found.withColumnRenamed("copies", "times"), CAP)
+    found = mixing.mix(docs, cap=CAP, key=row_key(docs))
+    return repeated(docs, found.withColumnRenamed("copies", "times"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

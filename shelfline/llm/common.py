@@ -50,18 +50,28 @@ def text_hash() -> Column:
     return F.xxhash64(F.col("text"))
 
 
-def repeated(docs: DataFrame, verdicts: DataFrame, most: int) -> DataFrame:
-    """``docs``, each row as often as its verdict says: 0 to ``most`` times.
+def row_key(docs: DataFrame) -> Column:
+    """A hash of all columns: rows that share it are the same in everything."""
+    return F.xxhash64(*(docs[c] for c in docs.columns))
 
-    ``verdicts`` (doc_id, text_hash, times) has a row for each row of ``docs``. Rows are
-    paired by id and text; rows equal in both take the verdicts in any order.
+
+def repeated(docs: DataFrame, verdicts: DataFrame, chunk: int = 1000) -> DataFrame:
+    """``docs``, each row as often as its verdict says.
+
+    ``verdicts`` (doc_id, row_key, times) has a row for each row of ``docs``. Rows that are the
+    same in all columns pool their times. One of them, found by partial aggregation, stands for
+    all, and its copies are made ``chunk`` by ``chunk`` in different tasks, so that no task
+    holds more, however often a row repeats.
     """
-    counts = [F.sum((F.col("times") >= k).cast("long")).alias(f"_t{k}") for k in range(1, most + 1)]
-    totals = verdicts.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(*counts)
-    totals = staged(totals.filter("_t1 > 0"), "verdicts")
-    joined = docs.withColumn("_text", text_hash()).join(totals, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")))
-    number = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_text"))
-    times = sum(((F.col("_n") <= F.col(f"_t{k}")).cast("int") for k in range(1, most + 1)), F.lit(0))
-    rows = joined.withColumn("_n", number).withColumn("_times", times).filter("_times > 0")
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return rows.select(*(docs[c] for c in docs.columns))
+    totals = verdicts.groupBy(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key")).agg(F.count("*").alias("_rows"), F.sum("times").alias("_total"))
+    totals = staged(totals.filter("_total > 0"), "verdicts")
+    keyed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), docs["doc_id"].alias("_doc"), row_key(docs).alias("_hash"))
+
+    def found(some: DataFrame) -> DataFrame:
+        return keyed.join(some, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")))
+
+    ones = found(totals.filter("_rows = 1")).select("_row", F.explode(F.sequence(F.lit(1), F.col("_total"))))
+    alike = found(totals.filter("_rows > 1")).groupBy("_id", "_key").agg(F.first("_row").alias("_row"), F.first("_total").alias("_total"))
+    chunks = alike.withColumn("_at", F.explode(F.sequence(F.lit(0), F.col("_total") - 1, F.lit(chunk)))).repartition("_id", "_key", "_at")
+    some = chunks.select("_row", F.explode(F.sequence(F.lit(1), F.least(F.lit(chunk), F.col("_total") - F.col("_at")))))
+    return ones.union(some).select("_row.*")

@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
 Each document has an exponential key, -ln(u) / w: u is uniform and fixed by a hash of the
-document's id and the seed, w its quality weight. Within a source, documents in ascending
+document's id and text and the seed, w its quality weight. Within a source, documents in ascending
 key order are a weighted sample without replacement of any size. A source's target is met
 by complete epochs first; what is left is taken in key order up to the budget.
 
@@ -27,22 +27,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import n_words, staged, text_hash
+from shelfline.llm.common import let, staged, text_hash, words
 
 PLAIN = "#*$%&|<>0123456789"
 
 
-def uniform(doc_id: Column, seed: int) -> Column:
-    """In (0, 1), fixed by the id and the seed: 52 bits of an MD5 digest."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def uniform(doc_id: Column, text: Column, seed: int) -> Column:
+    """In (0, 1), fixed by the id, the text and the seed: 52 bits of an MD5 digest.
+
+    The text spreads rows that share an id, or have none, over all keys.
+    """
+    parts = [F.lit(str(seed)), *(F.coalesce(c.cast("string"), F.lit("")) for c in (doc_id, text))]
+    digest = F.md5(F.concat_ws(":", *parts))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def quality_weight(text: Column) -> Column:
-    """Share of the characters that are neither digits nor symbols, 0.05 at least."""
-    size = F.length(text)
-    share = F.length(F.translate(text, PLAIN, "")).cast("double") / F.greatest(size, F.lit(1))
-    return F.coalesce(F.greatest(share, F.lit(0.05)), F.lit(0.05))
+def measured(text: Column) -> Column:
+    """A struct of size, the number of words, and distinct, that of different ones."""
+    return let(words(text), lambda w: F.struct(F.size(w).cast("long").alias("size"), F.size(F.array_distinct(w)).alias("distinct")))
+
+
+def quality_weight(text: Column, measures: Column) -> Column:
+    """Share of the characters that are neither digits nor symbols, times the root of the share
+    of words that differ: texts that repeat themselves weigh less. 0.05 at least."""
+    share = F.length(F.translate(text, PLAIN, "")).cast("double") / F.greatest(F.length(text), F.lit(1))
+    own = F.sqrt(measures["distinct"].cast("double") / F.greatest(measures["size"], F.lit(1)))
+    return F.coalesce(F.greatest(share * own, F.lit(0.05)), F.lit(0.05))
 
 
 def targets(sizes: DataFrame, weights: list[int], share_percent: int, cap: int) -> DataFrame:
@@ -74,10 +84,14 @@ def mix(
     cap: int = 2,
     seed: int = 7,
     bins: int = 65_536,
+    key: Column | None = None,
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, source, size, source_size, target, taken, copies, text_hash."""
-    key = -F.log(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"))
-    rows = docs.select("doc_id", text_hash().alias("text_hash"), F.col(source).alias("source"), n_words(F.col("text")).alias("size"), key.alias("key"))
+    """Per row of ``docs``: doc_id, source, size, source_size, target, taken, copies, and
+    row_key, the value of ``key`` or a hash of the text."""
+    own = text_hash() if key is None else key
+    rows = docs.select("doc_id", "text", own.alias("row_key"), F.col(source).alias("source"), F.explode(F.array(measured(F.col("text")))).alias("m"))
+    drawn = -F.log(uniform(F.col("doc_id"), F.col("text"), seed)) / quality_weight(F.col("text"), F.col("m"))
+    rows = rows.select("doc_id", "row_key", "source", "m.size", drawn.alias("key"))
     # 1 - exp(-key) lies in [0, 1) and grows with the key.
     rows = staged(rows.withColumn("bin", F.least(F.floor((1 - F.exp(-F.col("key"))) * bins), F.lit(bins - 1))), "sizes")
     summed = staged(rows.groupBy("source", "bin").agg(F.sum("size").alias("held")), "bins")
@@ -99,5 +113,5 @@ def mix(
     rest = joined.filter("bin <> `end`").withColumn("chosen", F.col("bin") < F.col("end"))
     copies = F.col("epochs") + F.when(F.col("chosen"), 1).otherwise(0)
     return rest.unionByName(last).withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0).cast("int")).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies", "text_hash"
+        "doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies", "row_key"
     )

@@ -40,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import staged, text_hash
@@ -79,10 +79,11 @@ def _signature(size: int, half: int, side: int):
     return signature
 
 
-def signatures(docs: DataFrame, shingle: int, half: int, tables_side: int) -> DataFrame:
-    """Per row: doc_id, set size, set digest, half keys (A's, then B's), and a row number."""
-    found = docs.select(F.col("doc_id").cast("long"), text_hash().alias("text_hash"), _signature(shingle, half, tables_side)(F.col("text").cast("string")).alias("s"))
-    return staged(found.select("doc_id", "text_hash", "s.*", F.monotonically_increasing_id().alias("row")), "signatures")
+def signatures(docs: DataFrame, shingle: int, half: int, tables_side: int, key: Column | None = None) -> DataFrame:
+    """Per row: doc_id, set size, set digest, half keys (A's, then B's), a row number, and ``key``."""
+    key = text_hash() if key is None else key
+    found = docs.select(F.col("doc_id").cast("long"), text_hash().alias("text_hash"), key.alias("row_key"), _signature(shingle, half, tables_side)(F.col("text").cast("string")).alias("s"))
+    return staged(found.select("doc_id", "text_hash", "row_key", "s.*", F.monotonically_increasing_id().alias("row")), "signatures")
 
 
 def table_entries(classes: DataFrame, tables_side: int) -> DataFrame:
@@ -205,13 +206,15 @@ def near_duplicates(
     half: int = 4,
     tables_side: int = 24,
     star_rounds: int = 1,
+    key: Column | None = None,
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, row, first (the row to keep), and text_hash.
+    """Per row of ``docs``: doc_id, n_shingles, component_id, row, first (the row to keep), and
+    row_key, the value of ``key`` or a hash of the text.
 
     ``first`` holds for one row of each component, that with the smallest doc_id, the first
     of equal ones.
     """
-    rows = signatures(docs, shingle, half, tables_side)
+    rows = signatures(docs, shingle, half, tables_side, key)
     by_set = ["n", "d1", "d2"]
     classes = staged(
         rows.filter("n > 0").groupBy(by_set).agg(F.min(F.struct("row", "doc_id", "text_hash", "halves")).alias("one")).select(
@@ -224,12 +227,12 @@ def near_duplicates(
     roots = staged(
         classes.join(links, "node", "left").select(*by_set, F.coalesce("root", "node").alias("root")), "roots"
     )
-    members = staged(rows.filter("n > 0").join(roots, by_set).select("doc_id", "text_hash", "n", "row", "root"), "members")
+    members = staged(rows.filter("n > 0").join(roots, by_set).select("doc_id", "row_key", "n", "row", "root"), "members")
     heads = staged(members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("head")), "heads")
     grouped = members.join(heads, "root").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("head.doc_id").alias("component_id"), "row", (F.col("row") == F.col("head.row")).alias("first"), "text_hash"
+        "doc_id", F.col("n").alias("n_shingles"), F.col("head.doc_id").alias("component_id"), "row", (F.col("row") == F.col("head.row")).alias("first"), "row_key"
     )
-    alone = rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "row", F.lit(True).alias("first"), "text_hash")
+    alone = rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "row", F.lit(True).alias("first"), "row_key")
     return grouped.union(alone)
 
 

@@ -45,10 +45,13 @@ FROM (SELECT *, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM
 
 MIXING = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text, coalesce(text, '') AS t FROM documents),
-k AS (SELECT r, doc_id, source, len({_WORDS})::BIGINT AS size,
-             -ln((('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
-             / coalesce(greatest(length(translate(text, '#*$%&|<>0123456789', ''))::DOUBLE / greatest(length(text), 1), 0.05), 0.05) AS key
-      FROM d),
+v AS (SELECT *, {_WORDS} AS ws FROM d),
+q AS (SELECT *, length(translate(text, '#*$%&|<>0123456789', ''))::DOUBLE / greatest(length(text), 1)
+                * sqrt(len(list_distinct(ws))::DOUBLE / greatest(len(ws), 1)) AS weight FROM v),
+k AS (SELECT r, doc_id, source, len(ws)::BIGINT AS size,
+             -ln((('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '') || ':' || t), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+             / coalesce(greatest(weight, 0.05), 0.05) AS key
+      FROM q),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, 2 * sum(size)::BIGINT AS most FROM k GROUP BY source),
 w AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM s),
 x AS (SELECT *, ([3, 1, 2])[mod(place, 3)::INT + 1] AS weight FROM w),

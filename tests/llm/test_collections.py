@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from shelfline.config import new_shared_path
 from shelfline.llm import mixing, near_duplicates, neighbours, token_files, warc
+from shelfline.llm.common import repeated, row_key
 from shelfline.llm.components import components
 from shelfline.llm.queries import QUERIES
 from shelfline.llm.token_files import EliasFano
@@ -232,6 +233,39 @@ def test_mixing_prefers_quality(spark):
     assert by[1] > by[0]
 
 
+def test_mixing_prefers_texts_that_do_not_repeat_themselves(spark):
+    rows = [(i, " ".join(f"w{k if i % 2 else k % 3}" for k in range(20)), "s") for i in range(2000)]
+    rows += [(10_000 + i, "w " * 100, "t") for i in range(300)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1, 40))
+    by = {r[0]: r[1] for r in found.filter("source = 's'").groupBy((F.col("doc_id") % 2).alias("g")).agg(F.avg("copies")).collect()}
+    assert by[1] > by[0]
+
+
+def test_rows_without_an_id_spread_over_the_keys(spark):
+    docs = spark.createDataFrame([(None, f"text number {i}", "s") for i in range(500)], "doc_id long, text string, source string")
+    keys = docs.select(mixing.uniform(F.col("doc_id"), F.col("text"), 7).alias("u")).distinct()
+    assert keys.count() == 500
+
+
+def test_verdicts_reach_the_row_they_are_about(spark):
+    """One id and text in two sources: each row as often as its own verdict says."""
+    rows = [(i, f"words of {i}", s) for i in range(40) for s in ("a", "b")] + [(7, "same", None)] * 2500 + [(None, None, "a")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    times = F.when(F.col("source") == "a", 2).when(F.col("text") == "same", 1).otherwise(0)
+    verdicts = docs.select("doc_id", row_key(docs).alias("row_key"), times.alias("times"))
+    found = Counter(tuple(r) for r in repeated(docs.repartition(3), verdicts).collect())
+    assert found == {**{(i, f"words of {i}", "a"): 2 for i in range(40)}, (7, "same", None): 2500, (None, None, "a"): 6}
+    assert repeated(docs.limit(0), verdicts.limit(0)).collect() == []
+
+
+def test_mixed_table_keeps_to_the_targets_of_repeated_ids(spark):
+    rows = [(i, f"five words stand in {i}", s) for i in range(300) for s in ("a", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = {r.source: r.taken for r in mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken")).collect()}
+    mixed = {r.source: 5 * r["count"] for r in corpus_pipeline.mix_sources(spark, docs, "").groupBy("source").count().collect()}
+    assert mixed == taken and taken["a"] > taken["b"]
+
+
 # --- archives ----------------------------------------------------------------------------
 
 PAGES = [
