@@ -133,6 +133,24 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).filter(alike("sa", "sb")).select("a", "b")
 
 
+def candidate_groups(open_now: DataFrame, rounds: int = 2) -> DataFrame:
+    """(node, group): the components of classes that meet in open tables.
+
+    Classes first take the smallest label of their tables, by aggregation alone, so that the
+    graph that is left has few different edges also where many classes share many tables.
+    """
+    entries = open_now.select("key", "node", F.col("node").alias("label"))
+    for _ in range(rounds):
+        low = entries.groupBy("key").agg(F.min("label").alias("low"))
+        heard = entries.join(low, "key").groupBy("node").agg(F.min("low").alias("label"))
+        entries = staged(entries.select("key", "node").join(heard, "node"), "entries")
+    labels = entries.select("key", "label").distinct()
+    edges = labels.join(labels.groupBy("key").agg(F.min("label").alias("low")), "key").filter("label <> low")
+    roots = components(edges.select(F.col("label").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "label")
+    own = entries.select("node", "label").distinct()
+    return own.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("group"))
+
+
 def differences(open_now: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """What tells the open classes of a candidate group apart, and what needs no telling.
 
@@ -146,15 +164,14 @@ def differences(open_now: DataFrame, sets: DataFrame, percent: int) -> tuple[Dat
     classes with their differences; ``near`` holds for those that are linked with the central
     class, ``slack`` is by how much d is below what would link two classes of equal slack.
     """
-    low = open_now.groupBy("key").agg(F.min("node").alias("low"))
-    to_low = open_now.join(low, "key").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    groups = components(to_low).select("node", F.col("root").alias("group"))
+    groups = candidate_groups(open_now)
     members = open_now.select("node", "root").distinct().join(groups, "node")
     held = staged(members.join(sets, "node"), "open-sets")
     size = held.groupBy("group").agg(F.count("*").alias("members"))
     common = held.select("group", F.explode("set").alias("token")).groupBy("group", "token").agg(F.count("*").alias("c"))
     # More than half hold each, so there are at most twice as many as an average class has.
-    middle = common.join(size, "group").filter("2 * c > members").groupBy("group").agg(F.collect_list("token").alias("middle"))
+    # Groups have two classes or more, so one class alone is no majority.
+    middle = common.filter("c > 1").join(size, "group").filter("2 * c > members").groupBy("group").agg(F.collect_list("token").alias("middle"))
     apart = F.concat(F.array_except("set", "middle"), F.array_except("middle", "set"))
     told = held.join(middle, "group", "left").withColumn("middle", F.coalesce("middle", F.array().cast("array<long>")))
     told = told.select("group", "node", "root", "n", apart.alias("diff")).withColumn("d", F.size("diff").cast("long"))
