@@ -272,3 +272,7 @@ WHERE event_type = 'purchase'
   AND EXISTS (SELECT 1 FROM events s WHERE s.event_type = 'signup' AND s.ts::date = e.ts::date)
   AND epoch(ts::date) / 86400 >= (SELECT median(epoch(ts::date) / 86400) FROM events)""",
 }
+
+# The same answers by another way.
+FEED_ORACLES["stream_transform_records"] = FEED_ORACLES["transform_records"]
+FEED_ORACLES["delivered_load"] = FEED_ORACLES["stream_weblogs"]

@@ -6,6 +6,7 @@
     run_job.py load      --table T --manifest FILE --root DIR --jsonpaths FILE --base DIR
     run_job.py normalize --raw DIR --out DIR [--target-prefix P] [--processing-date D]
     run_job.py feed      --kind crm|web-logs --raw DIR --out DIR --checkpoint DIR
+    run_job.py hook      --raw DIR --out DIR --checkpoint DIR
 """
 
 from __future__ import annotations
@@ -17,15 +18,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.config import RunConfig
-from shelfline.model import INVENTORY, POS
+from shelfline.model import FEEDS
 from shelfline.operators.objects import INVENTORY_LANDING
-from shelfline.plans.batch import run_batch
+from shelfline.plans.batch import run_landed
 from shelfline.plans.kpi import raise_on_partial_failure, ready_ranges, run_kpis
 from shelfline.plans.load import TABLES, load_stream
 from shelfline.session import prepare
 from shelfline.sources.json_files import normalize_json_files, write_json_lines
-from shelfline.sources.raw import scan_inventory_raw, scan_pos_raw, with_file_date
-from shelfline.streaming.feeds import CLEANERS, run_feed
+from shelfline.streaming.feeds import CLEANERS, run_feed, run_hook
 
 
 def parser() -> argparse.ArgumentParser:
@@ -55,6 +55,7 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--kind", required=True, choices=sorted(CLEANERS))
     one.add_argument("--max-files", type=int)
     one.add_argument("--archive", help="folder that processed files are moved to")
+    job("hook", "raw", "out", "checkpoint").add_argument("--max-files", type=int)
     return top
 
 
@@ -68,6 +69,9 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
             max_files=args.max_files, archive=args.archive,
         ).awaitTermination()
         return None
+    if args.job == "hook":
+        run_hook(spark, args.raw, args.out, args.checkpoint, args.max_files).awaitTermination()
+        return None
     if args.job == "load":
         load_stream(spark, args.table, args.manifest, args.root, args.jsonpaths, args.base)
         return None
@@ -89,11 +93,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
             raise_on_partial_failure(outcome)
         return reduce(DataFrame.unionByName, outcomes) if outcomes else None
     cfg = RunConfig.of(args.base, args.processing_date, args.start, args.end, args.run_id)
-    if args.job == "pos":
-        return run_batch(spark, with_file_date(scan_pos_raw(spark, args.raw)), POS, cfg)
-    if args.job == "inventory":
-        raw = with_file_date(scan_inventory_raw(spark, args.raw, infer=True))
-        return run_batch(spark, raw, INVENTORY, cfg)
+    if args.job in FEEDS:
+        return run_landed(spark, FEEDS[args.job], args.raw, cfg)
     outcome = run_kpis(spark, cfg)
     raise_on_partial_failure(outcome)
     return outcome

@@ -14,6 +14,7 @@ from shelfline.model import NO_DAY, PROCESSING_DATE, Feed
 from shelfline.operators import dedup, enrich, status, validate
 from shelfline.session import prepare
 from shelfline.sinks.tables import quarantine, replace_dates
+from shelfline.sources.landing import as_path, files_to_take, remember, scan_files
 from shelfline.sources.raw import BROKEN_LINE, UNDATED, for_days
 from shelfline.sources.silver import scan_silver
 
@@ -74,6 +75,20 @@ def run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig) -
     return stored
 
 
+def run_landed(spark: SparkSession, feed: Feed, landing: str, cfg: RunConfig) -> DataFrame:
+    """Run a feed on a landing folder, opening only the files that the run takes.
+
+    Which those are is told by their names and the files of finished runs; a run's file names
+    reach the driver, as those of any file scan do.
+    """
+    prepare(spark)
+    with staged(files_to_take(spark, feed, landing, cfg), f"{feed.name}-files") as taken:
+        names = [r.name for r in taken.select(as_path(F.col("file")).alias("name")).collect()]
+        outcome = run_batch(spark, scan_files(spark, feed, landing, sorted(names)), feed, cfg)
+        remember(taken, feed, cfg)
+    return outcome
+
+
 def _checked(source: DataFrame, feed: Feed) -> DataFrame:
     """Checked rows with the text of broken lines, and whether a row is good."""
     carry = [c for c in (PROCESSING_DATE, UNDATED, BROKEN_LINE) if c in source.columns]

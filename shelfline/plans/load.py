@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -9,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.functions.payload import CRM_FLAT, WEBLOG_FLAT, Target, jsonpath_project
 from shelfline.session import prepare
-from shelfline.sources.manifest import manifest_scan
+from shelfline.sources.manifest import listed_files, scan_listed
 from shelfline.sources.responses import with_payload
 
+LOADED = "manifest"
 # Per table: its columns with their types and widths, in the order of the JSONPaths file.
 TABLES: dict[str, list[Target]] = {
     "web_logs_stream": WEBLOG_FLAT,
@@ -32,13 +35,23 @@ def with_paths(columns: Sequence[Target], paths: Sequence[str]) -> list[Target]:
     return [replace(c, path=p) for c, p in zip(columns, paths)]
 
 
+def manifest_digest(entries: Sequence[tuple[str, bool]]) -> str:
+    """Tells manifests apart by what they list, in any order."""
+    return hashlib.sha256(json.dumps(sorted(entries)).encode()).hexdigest()
+
+
 def load_stream(
     spark: SparkSession, table: str, manifest: str, root: str, jsonpaths: str, base: str
 ) -> DataFrame:
-    """Append the records of the manifest's files to a stream table and return the table."""
+    """Add the records of the manifest's files to a stream table and return the table.
+
+    Rows lie in a folder by what the manifest lists. Loading it again, after a failure or by
+    mistake, replaces that folder: every manifest counts once.
+    """
     columns = with_paths(TABLES[table], read_jsonpaths(prepare(spark), jsonpaths))
-    lines = with_payload(manifest_scan(spark, manifest, root))
-    rows = jsonpath_project(lines, columns)
+    listed = listed_files(spark, manifest, root)
+    rows = jsonpath_project(with_payload(scan_listed(spark, listed)), columns)
     path = f"{base.rstrip('/')}/stream/{table}"
-    rows.write.mode("append").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    own = manifest_digest([(f.path, f.mandatory) for f in listed])
+    rows.write.mode("overwrite").parquet(f"{path}/{LOADED}={own}")
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)

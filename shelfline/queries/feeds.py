@@ -88,7 +88,11 @@ def decoded_envelopes(spark, sf):
 def transform_records(spark, sf):
     """The delivery hook: good records decoded again, failed ones held against their input."""
     came = tables.envelopes(spark, sf)
-    hooked = clean.transform_records(came)
+    return held_against(clean.transform_records(came), came)
+
+
+def held_against(hooked, came):
+    """What the hook made of the envelopes that came, with its good records decoded again."""
     sent = decode_envelope(hooked.withColumnRenamed("result", "verdict"))
     payload, good = F.col("payload"), F.col("verdict") == "Ok"
 

@@ -9,13 +9,21 @@ from shelfline.functions.payload import field
 from shelfline.model import INVENTORY, POS
 from shelfline.operators import clean, objects
 from shelfline.plans.load import TABLES, load_stream
+from shelfline.queries.feeds import held_against
 from shelfline.queries.registry import query, query_named
 from shelfline.sources import raw, tables
 from shelfline.sources.json_files import normalize_json_files, write_json_lines
-from shelfline.sources.manifest import manifest_scan, plain_path
+from shelfline.sources.manifest import manifest_scan, plain_path, write_manifest
 from shelfline.sources.responses import with_payload
 from shelfline.streaming.cells import LateRows, latest_cells, run_cells
-from shelfline.streaming.feeds import delivery_parts, incremental_scan, run_feed
+from shelfline.streaming.feeds import (
+    HOOKED,
+    delivery_parts,
+    incremental_scan,
+    manifest_path,
+    run_feed,
+    run_hook,
+)
 
 
 @query
@@ -126,25 +134,18 @@ def manifest_load(spark, sf):
     return clean.clean_weblog(lines).drop("ingestion_timestamp")
 
 
-def _manifest(spark, root):
-    """A manifest of all files under ``root``/listed."""
-    listed = spark.read.format("binaryFile").load(f"{root}/listed")
-    entry = F.struct(plain_path(F.col("path")).alias("url"), F.lit(True).alias("mandatory"))
-    listed.agg(F.collect_list(entry).alias("entries")).write.json(f"{root}/manifest")
-    return f"{root}/manifest"
-
-
 @query
 def load_web_logs(spark, sf):
-    """Delivered web logs into their stream table, by manifest and JSONPaths file."""
+    """Delivered web logs into their stream table, by manifest and JSONPaths file, twice over."""
     root = new_shared_path(spark, "load")
     logs = tables.weblog_delivered(spark, sf).select(F.col("flat").alias("value"))
     logs.write.text(f"{root}/listed")
     paths = F.array(*[F.lit(c.path) for c in TABLES["web_logs_stream"]]).alias("jsonpaths")
     spark.range(1).select(paths).write.json(f"{root}/jsonpaths")
-    return load_stream(
-        spark, "web_logs_stream", _manifest(spark, root), f"{root}/listed", f"{root}/jsonpaths", root
-    )
+    write_manifest(spark, f"{root}/listed", f"{root}/manifest")
+    load = (spark, "web_logs_stream", f"{root}/manifest", f"{root}/listed", f"{root}/jsonpaths", root)
+    load_stream(*load)
+    return load_stream(*load)
 
 
 # --- the same feeds as streams that work off what is there and stop
@@ -185,6 +186,37 @@ def stream_weblogs_invalid(spark, sf):
     return spark.read.schema(schema).json(f"{out}/invalid/web-logs").drop("batch_id")
 
 
+@query
+def delivered_load(spark, sf):
+    """Web logs through the feed in two batches, and from its manifests into the stream table."""
+    root = new_shared_path(spark, "delivered-load")
+    lines = tables.weblog_json(spark, sf)
+    lines.select("value").repartition(2).write.text(f"{root}/in")
+    run_feed(
+        spark, "web-logs", f"{root}/in", f"{root}/out", f"{root}/checkpoint",
+        by="event_timestamp", max_files=1,
+    ).awaitTermination()
+    paths = F.array(*[F.lit(f"$.{c.name}") for c in TABLES["web_logs_stream"]]).alias("jsonpaths")
+    spark.range(1).select(paths).write.json(f"{root}/jsonpaths")
+    for batch in (0, 1):
+        loaded = load_stream(
+            spark, "web_logs_stream", manifest_path(f"{root}/out", "web-logs", batch),
+            f"{root}/out/delivered", f"{root}/jsonpaths", root,
+        )
+    return loaded.drop("ingestion_timestamp")
+
+
+@query
+def stream_transform_records(spark, sf):
+    """The delivery hook as a stream of several batches, both verdicts read back."""
+    root = new_shared_path(spark, "hook")
+    came = tables.envelopes(spark, sf)
+    came.repartition(3, "recordId").write.json(f"{root}/in")
+    run_hook(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", max_files=1).awaitTermination()
+    both = [spark.read.schema(HOOKED).json(f"{root}/out/{name}") for name in ("transformed", "failed")]
+    return held_against(both[0].unionByName(both[1]).select("recordId", "result", "data"), came)
+
+
 @query
 def stream_crm(spark, sf):
     out = _stream(spark, sf, "crm", tables.crm_json(spark, sf))

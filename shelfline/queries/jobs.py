@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from shelfline.config import RunConfig, new_shared_path
 from shelfline.model import INVENTORY, INVENTORY_KPI, POS, PROCESSING_DATE, REGIONAL_KPI, SALES_KPI
 from shelfline.operators import status
-from shelfline.plans.batch import run_batch
+from shelfline.plans.batch import run_batch, run_landed
 from shelfline.plans.kpi import ready_ranges, run_kpis
 from shelfline.queries.registry import query, query_named
 from shelfline.sinks.tables import replace_dates
-from shelfline.sources import raw, tables
+from shelfline.sources import tables
 from shelfline.sources.silver import scan_silver
 
 
@@ -62,7 +62,7 @@ def silver_roundtrip(spark, sf):
 
 @query
 def daily_runs(spark, sf):
-    """Three runs over one landing folder that holds ever more days; each takes its own."""
+    """Three runs over one landing folder that holds ever more days; each opens its own files."""
     cfg = _config(spark, sf)
     landing = f"{cfg.base}/landing"
     third = (cfg.end - cfg.start) // 3
@@ -73,7 +73,7 @@ def daily_runs(spark, sf):
         writer = named.drop("partition_date").write.mode("append").partitionBy("file")
         writer.option("header", True).csv(landing)
         part = replace(cfg, start=first, end=last)
-        run_batch(spark, raw.with_file_date(raw.scan_pos_raw(spark, landing)), POS, part)
+        run_landed(spark, POS, landing, part)
         first = last + timedelta(1)
     return _without_audit(scan_silver(spark, cfg.path("silver"), "pos", cfg.start, cfg.end))
 

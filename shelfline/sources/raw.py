@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,46 +16,54 @@ UNDATED = "_undated"
 BROKEN_LINE = "_corrupt_record"
 
 
-def scan_pos_raw(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header line. Columns go by the header, so a missing one is seen."""
-    return (
-        spark.read.option("header", True)
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .csv(path)
-    )
+def scan_pos_raw(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
+    """CSV with a header line. Columns go by the header, so a missing one is seen.
+
+    ``files`` are those of the folder to read, else all are."""
+    reader = spark.read.option("header", True).option("pathGlobFilter", "*.[cC][sS][vV]")
+    return reader.csv(path) if files is None else reader.option("basePath", path).csv(files)
 
 
 def scan_inventory_raw(
-    spark: SparkSession, path: str, columns: list[str] | None = None, infer: bool = False
+    spark: SparkSession,
+    path: str,
+    columns: list[str] | None = None,
+    infer: bool = False,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """JSON Lines. Numbers are kept as the text they were written with.
 
     Columns are the declared ones, and a folder's ``partition_date``. ``infer`` takes the
     fields found instead, at the price of another pass, so that one missing from all files
     is seen as missing rather than as NULL everywhere; the text of lines that are no JSON
-    is then kept in ``_corrupt_record``.
+    is then kept in ``_corrupt_record``. ``files`` are those of the folder to read, else all.
     """
+    reader = spark.read if files is None else spark.read.option("basePath", path)
     if infer:
-        return spark.read.option("primitivesAsString", True).json(path)
+        return reader.option("primitivesAsString", True).json(path if files is None else files)
     names = columns or INVENTORY.columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    return spark.read.schema(schema).json(path)
+    return reader.schema(schema).json(path if files is None else files)
 
 
-def with_file_date(scan: DataFrame) -> DataFrame:
-    """Add the day a row's file, or the folder it is written as, names; NULL if none.
+def file_day(path: Column) -> Column:
+    """The day that a file's path, or the folder it is written as, names; NULL if none.
 
     Names begin with the day and an underscore, or hold eight digits between underscores,
     the start, and a dot.
     """
-    path = F.col("_metadata.file_path")
     folder = F.regexp_extract(path, r"(?:/|=)(\d{4}-\d{2}-\d{2})_[^/]*(?:/[^/]*)?$", 1)
     digits = F.regexp_extract(path, r"(?:/|_)(\d{8})[_.][^/]*$", 1)
     day = F.coalesce(
         F.try_to_timestamp(F.when(folder != "", folder), F.lit("yyyy-MM-dd")),
         F.try_to_timestamp(F.when(digits != "", digits), F.lit("yyyyMMdd")),
     )
-    return scan.withColumn(FILE_DATE, day.cast("date"))
+    return day.cast("date")
+
+
+def with_file_date(scan: DataFrame) -> DataFrame:
+    """Add the day that a row's file names; NULL if none."""
+    return scan.withColumn(FILE_DATE, file_day(F.col("_metadata.file_path")))
 
 
 def for_days(df: DataFrame, start: date, end: date) -> DataFrame:

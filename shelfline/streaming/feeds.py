@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfline.functions.payload import compact_json
+from shelfline.functions.payload import OK, compact_json
 from shelfline.operators import clean
 from shelfline.session import prepare
+from shelfline.sources.manifest import write_manifest
 from shelfline.sources.responses import with_first_record
 
 # Per feed: its cleaner and the columns delivered.
@@ -84,7 +85,8 @@ def _put_aside(df: DataFrame, path: str, batch_id: int) -> None:
 def write_batch(
     batch: DataFrame, batch_id: int, kind: str, out: str, by: str = "ingestion_timestamp"
 ) -> None:
-    """One micro-batch: archive the raw text, deliver clean records, put the rest aside.
+    """One micro-batch: archive the raw text, deliver clean records, put the rest aside, and
+    list the files delivered in a manifest.
 
     All outputs come from one parse, held for the batch and recomputed if it is lost.
     """
@@ -105,10 +107,17 @@ def write_batch(
             _put_aside(clean.invalid_weblogs(cleaned), f"{out}/invalid/{kind}", batch_id)
             cleaned = clean.valid_weblogs(cleaned)
         deliver(cleaned, f"{out}/delivered/{kind}", columns, by, batch_id)
+        delivered = f"{out}/delivered/{kind}/batch_id={batch_id}"
+        write_manifest(batch.sparkSession, delivered, manifest_path(out, kind, batch_id))
     finally:
         rows.unpersist()
 
 
+def manifest_path(out: str, kind: str, batch_id: int) -> str:
+    """Where the list of the files that a batch delivered lies, for load jobs."""
+    return f"{out}/manifests/{kind}/batch_id={batch_id}"
+
+
 def run_feed(
     spark: SparkSession,
     kind: str,
@@ -133,3 +142,46 @@ def run_feed(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+ENVELOPE = "recordId string, data string"
+HOOKED = "recordId string, result string, data string"
+
+
+def transform_batch(batch: DataFrame, batch_id: int, out: str) -> None:
+    """One micro-batch through the delivery hook, in order of ``recordId``.
+
+    Good records, encoded again, go to ``transformed``; failed ones, as they came, to
+    ``failed``. Both come from one run of the hook, held for the batch.
+    """
+    hooked = clean.transform_records(batch.select("recordId", "data")).persist()
+    good = F.col("result") == OK
+    try:
+        for rows, name in ((hooked.filter(good), "transformed"), (hooked.filter(~good), "failed")):
+            # Ranges, then order inside them: files follow each other, and none is sorted whole.
+            in_order = rows.repartitionByRange("recordId").sortWithinPartitions("recordId")
+            _put_aside(in_order, f"{out}/{name}", batch_id)
+    finally:
+        hooked.unpersist()
+
+
+def run_hook(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    checkpoint: str,
+    max_files: int | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start the delivery hook over files of envelopes, one JSON object of ``recordId`` and
+    ``data`` per line. By default it works off what is there and stops."""
+    reader = prepare(spark).readStream.schema(ENVELOPE).option("recursiveFileLookup", True)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return (
+        reader.json(path)
+        .writeStream.foreachBatch(lambda df, n: transform_batch(df, n, out))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

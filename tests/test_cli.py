@@ -93,7 +93,7 @@ def test_missing_inventory_field_fails_the_job(spark, tmp_path):
 
 
 def test_load_job(spark, tmp_path):
-    """Files of a manifest into a table, appended; paths and columns must be as many."""
+    """Files of a manifest into a table, each manifest once; paths and columns must be as many."""
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.json").write_text('{"e":"view","t":1752784836.5,"user":7}\n')
     (tmp_path / "in/other.json").write_text('{"e":"not listed"}\n')
@@ -102,10 +102,17 @@ def test_load_job(spark, tmp_path):
     (tmp_path / "paths").write_text(json.dumps({"jsonpaths": ["$.e"] + ["$.user"] * 5 + ["$.t"] * 2}, indent=1))
     args = ["load", "--table", "web_logs_stream", "--manifest", str(tmp_path / "manifest"), "--root",
             str(tmp_path / "in"), "--jsonpaths", str(tmp_path / "paths"), "--base", str(tmp_path)]
-    for n in (1, 2):
+    def loaded():
         run(spark, args)
         rows = spark.read.parquet(str(tmp_path / "stream/web_logs_stream")).collect()
-        assert [(r.event_type, r.user_id) for r in rows] == [("view", "7")] * n
+        return sorted((r.event_type, r.user_id) for r in rows)
+
+    assert loaded() == loaded() == [("view", "7")]
+    # Another manifest adds its files; what it lists counts, not its name or order.
+    (tmp_path / "in/b.json").write_text('{"e":"click","user":8}\n')
+    other = {"entries": [{"url": str(tmp_path / "in/b.json"), "mandatory": False}]}
+    (tmp_path / "manifest").write_text(json.dumps(other))
+    assert loaded() == loaded() == [("click", "8"), ("view", "7")]
     (tmp_path / "paths").write_text('{"jsonpaths": ["$.e"]}')
     with pytest.raises(ValueError, match="1 paths for 8 columns"):
         run(spark, args)

@@ -1,3 +1,4 @@
+import base64
 import json
 from datetime import datetime, timedelta
 
@@ -7,7 +8,15 @@ from pyspark.sql import functions as F
 from shelfline.operators import cells, clean
 from shelfline.sources.responses import with_first_record
 from shelfline.streaming.cells import LateRows, late_rows, latest_cells, run_cells
-from shelfline.streaming.feeds import deliver, incremental_scan, run_feed, write_batch
+from shelfline.sources.manifest import manifest_scan
+from shelfline.streaming.feeds import (
+    deliver,
+    incremental_scan,
+    manifest_path,
+    run_feed,
+    run_hook,
+    write_batch,
+)
 
 T0 = 1752784836
 
@@ -189,3 +198,50 @@ def test_batch_repeated_in_another_hour_adds_nothing(spark, tmp_path):
         deliver(rows.withColumn("ingestion_timestamp", F.lit(at).cast("timestamp")), out, ["page"], "ingestion_timestamp", 4)
     assert spark.read.text(out, recursiveFileLookup=True).count() == 2
     assert [p.name for p in tmp_path.glob("out/batch_id=4/year=2025/month=07/day=20/*")] == ["hour=11"]
+
+
+def envelope(i, text):
+    data = base64.b64encode(text.encode()).decode() if isinstance(text, str) else "@@@"
+    return json.dumps({"recordId": f"r{i:03}", "data": data})
+
+
+def test_hook_keeps_failed_records_and_order(spark, tmp_path):
+    good = {i: envelope(i, json.dumps({"customer_id": f"{i}.7", "rating": 9})) for i in range(0, 40, 2)}
+    bad = {i: envelope(i, None if i % 3 else "{no json") for i in range(1, 40, 2)}
+    both = [(good | bad)[i] for i in range(40)]
+    put(tmp_path / "in", "a", *both[::-1][:25])
+    args = [spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint")]
+    run_hook(*args, max_files=1).awaitTermination()
+    put(tmp_path / "in", "b", *both[::-1][25:])
+    run_hook(*args, max_files=1).awaitTermination()
+    schema = "recordId string, result string, data string, batch_id long"
+    sent = spark.read.schema(schema).json(str(tmp_path / "out/transformed")).collect()
+    failed = spark.read.schema(schema).json(str(tmp_path / "out/failed")).collect()
+    assert {r.recordId for r in sent} == {f"r{i:03}" for i in good} and {r.result for r in sent} == {"Ok"}
+    assert {json.loads(base64.b64decode(r.data))["customer_id"] for r in sent} == set(good)
+    as_sent = {json.loads(e)["recordId"]: json.loads(e)["data"] for e in bad.values()}
+    assert {r.recordId: r.data for r in failed} == as_sent
+    assert {r.result for r in failed} == {"ProcessingFailed"}
+    for name in ("transformed", "failed"):
+        for batch in (0, 1):
+            files = sorted((tmp_path / f"out/{name}/batch_id={batch}").glob("part-*"))
+            ids = [json.loads(line)["recordId"] for f in files for line in f.read_text().splitlines()]
+            assert ids and ids == sorted(ids)
+
+
+def test_a_batch_lists_what_it_delivered(spark, tmp_path):
+    put(tmp_path / "in", "a", weblog(1), weblog(9, user_id=None))
+    feed(spark, tmp_path)
+    put(tmp_path / "in", "b", weblog(2), weblog(50))
+    feed(spark, tmp_path)
+    put(tmp_path / "in", "c", "{broken")
+    feed(spark, tmp_path)
+    out = str(tmp_path / "out")
+    listed = []
+    for n in range(3):
+        path = manifest_path(out, "web-logs", n)
+        rows = manifest_scan(spark, path, f"{out}/delivered").collect()
+        listed.append(sorted(json.loads(r.value)["session_id"] for r in rows))
+        for r in spark.read.json(path).selectExpr("inline(entries)").collect() if rows else []:
+            assert r.mandatory and r.meta.content_length > 0
+    assert listed == [["s1"], ["s2", "s50"], []]
