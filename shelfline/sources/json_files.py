@@ -1,8 +1,7 @@
 """Files that are a JSON array, one object, or JSON Lines, as one record per row.
 
 A file is good or bad as a whole: one broken line fails it. Lines are read by Spark's
-splittable text source, and an array that is spread over lines or is one long line is cut
-into its top-level elements by bracket depth. A JSON string cannot hold a raw line break,
+splittable text source, and an array is cut into its top-level elements by bracket depth. A JSON string cannot hold a raw line break,
 so every line starts outside of strings and its brackets can be counted on their own; depth
 is then a running sum, taken inside read blocks and carried over between them. Lines that
 may hold a top-level comma within are first cut at all their commas outside of strings.
@@ -23,8 +22,9 @@ from shelfline.functions.payload import starts_array, starts_object, with_strict
 NO_DATA = "contains no data"
 BROKEN = "unable to parse as JSON or JSON Lines"
 SCALAR = "unexpected JSON structure"
-#: An array on a single line of more bytes than this is cut into its elements.
-LONG_LINE = 1 << 16
+#: Text of an element, or of a document that is one object, beyond which it is not brought
+#: together: Spark's variants hold 128 MiB, so it could not become a record.
+LONGEST_RECORD = 1 << 30
 
 @dataclass(frozen=True)
 class NormalizedFiles:
@@ -35,7 +35,7 @@ class NormalizedFiles:
     work: str
 
     def close(self) -> None:
-        for name in ("shapes", "lines", "lines-pieces", "elements", "status"):
+        for name in ("shapes", "lines", "lines-places", "elements", "status"):
             release(self.status.sparkSession, f"{self.work}/{name}")
 
 
@@ -65,8 +65,10 @@ def _files(text: DataFrame) -> DataFrame:
     return listed.select(F.regexp_replace("file", "^file:/*", "file:/").alias("file"))
 
 
-def _shape(n: Column, bad: Column, opens_array: Column, longest: Column) -> Column:
-    spread = (bad > 0) | ((n == 1) & opens_array & (longest > LONG_LINE))
+def _shape(n: Column, bad: Column, opens_array: Column) -> Column:
+    """Lines that are records each; one line that is an object or a scalar; or a document to
+    be cut, which lies over several lines or is an array."""
+    spread = (bad > 0) | ((n == 1) & opens_array)
     return F.when(spread, "spread").when(n == 1, "document").otherwise("lines")
 
 
@@ -136,6 +138,43 @@ def _fragments(lines: DataFrame) -> DataFrame:
     )
 
 
+def _places(counted: DataFrame, path: str) -> DataFrame:
+    """For each line of files that may be one document, the piece it belongs to.
+
+    Takes and stages numbers only, no text. A document is closed by its last line and by no
+    other, so a second value beside it, an end too many, or one that is missing settles a
+    file's verdict here: lines of broken JSON Lines are never brought together. Nor are those
+    of a piece that is too long for a record.
+    """
+    deep = _carry(counted, "delta", "depth", inclusive=True)
+    # Both are cuts: those before a line count for it, those at its end for the next one.
+    ends = (F.col("comma") & (F.col("depth") == 1)).cast("int")
+    leads = (F.col("leading") & (F.col("depth") - F.col("delta") == 1)).cast("int")
+    marked = deep.withColumn("ends", ends).withColumn("leads", leads)
+    marked = marked.withColumn("cuts", F.col("ends") + F.col("leads"))
+    cut = _carry(marked, "cuts", "before", inclusive=False)
+    places = stage(
+        cut.withColumn("piece", F.col("before") + F.col("leads")).select(
+            "file", "block", "row", "part", "piece", "ends", "leads", "delta", "depth", "size"
+        ),
+        f"{path}-places",
+    )
+    pieces = places.groupBy("file", "piece").agg(
+        F.sum("delta").alias("delta"),
+        F.count_if(F.col("depth") <= 0).alias("closed"),
+        F.sum("size").alias("size"),
+    )
+    files = pieces.groupBy("file").agg(
+        F.max("piece").alias("top"),
+        F.sum("delta").alias("left_open"),
+        F.sum("closed").alias("closed"),
+        F.max("size").alias("size"),
+    )
+    whole = (F.col("left_open") == 0) & (F.col("closed") == 1) & (F.col("size") <= LONGEST_RECORD)
+    # A file has one row on the right, so one that holds most lines is split by Spark.
+    return places.drop("delta", "depth", "size").join(files.filter(whole).select("file", "top"), "file")
+
+
 def _elements(lines: DataFrame, path: str) -> DataFrame:
     """Top-level elements of documents spread over lines, per piece of whole fragments.
 
@@ -146,7 +185,7 @@ def _elements(lines: DataFrame, path: str) -> DataFrame:
     """
     opened = F.regexp_count("bare", F.lit(r"[\[{]"))
     closed = F.regexp_count("bare", F.lit(r"[\]}]"))
-    # The sums read these columns several times, the text once.
+    # The sums read the numbers several times, the text is read once.
     counted = stage(
         once(_fragments(lines), "bare", _bare("line")).select(
             "file",
@@ -158,23 +197,18 @@ def _elements(lines: DataFrame, path: str) -> DataFrame:
             # A comma alone on its line is one that begins it.
             (F.col("opens_array") & F.col("bare").rlike(r"^.*\S.*,\s*$")).alias("comma"),
             (F.col("opens_array") & F.col("bare").startswith(",")).alias("leading"),
+            F.octet_length("line").cast("long").alias("size"),
         ),
         path,
     )
-    deep = _carry(counted, "delta", "depth", inclusive=True)
-    # Both are cuts: those before a line count for it, those at its end for the next one.
-    ends = (F.col("comma") & (F.col("depth") == 1)).cast("int")
-    leads = (F.col("leading") & (F.col("depth") - F.col("delta") == 1)).cast("int")
-    marked = deep.withColumn("ends", ends).withColumn("leads", leads)
-    marked = marked.withColumn("cuts", F.col("ends") + F.col("leads"))
-    cut = _carry(marked, "cuts", "before", inclusive=False)
-    pieces = cut.groupBy("file", (F.col("before") + F.col("leads")).alias("piece")).agg(
+    place = ["file", "block", "row", "part"]
+    cut = counted.select(*place, "line").join(_places(counted.drop("line"), path), place)
+    pieces = cut.groupBy("file", "piece").agg(
         F.array_sort(F.collect_list(F.struct("block", "row", "part", "line"))).alias("parts"),
         F.max("ends").alias("ends"),
         F.max("leads").alias("leads"),
+        F.max("top").alias("top"),
     )
-    pieces = stage(pieces, f"{path}-pieces")
-    tops = pieces.groupBy("file").agg(F.max("piece").alias("top"))
     text = F.array_join("parts.line", "\n")
     first, last = F.col("piece") == 0, F.col("piece") == F.col("top")
     body = F.when(F.col("leads") > 0, F.regexp_replace("text", r"^\s*,", "")).otherwise(F.col("text"))
@@ -183,8 +217,7 @@ def _elements(lines: DataFrame, path: str) -> DataFrame:
         F.when(first, "").otherwise("["), F.col("body"), F.when(last, "").otherwise("]")
     )
     whole = (
-        pieces.join(tops, "file")
-        .withColumn("text", text)
+        pieces.withColumn("text", text)
         .withColumn("body", body)
         .select(
             "file",
@@ -227,7 +260,7 @@ def normalize_json_files(
     """Read every file under ``path`` but those already under ``target_prefix``.
 
     A first pass over the lines settles all files whose documents lie on one line each, but
-    for a long array. Only elements of the others are staged, as their verdict needs all of them.
+    for arrays. Only elements of the others are staged, as their verdict needs all of them.
     """
     work = new_shared_path(spark, "json")
     # One listing for all passes, so that they agree on the files.
@@ -246,14 +279,13 @@ def normalize_json_files(
             F.count_if(F.col("item").isNull()).alias("bad"),
             F.max("size").alias("size"),
             F.min_by(starts_array(F.col("line")), F.struct("block", "row")).alias("opens_array"),
-            F.max(F.octet_length("line")).alias("longest"),
         )
         .select(
             "file",
             "n",
             "size",
             "opens_array",
-            _shape(*map(F.col, ("n", "bad", "opens_array", "longest"))).alias("shape"),
+            _shape(*map(F.col, ("n", "bad", "opens_array"))).alias("shape"),
         ),
         f"{work}/shapes",
     )

@@ -138,13 +138,18 @@ def test_one_file_holding_most_records_is_spread(spark, tmp_path, separator):
     (tmp_path / "cold.json").write_text(json.dumps(rows[:3]))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    # Shuffled text, far below what one task would take, is not gathered into one either.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         records, _, got = read(spark, tmp_path)
         pieces = spark.read.parquet(f"{got.work}/elements")
-        assert pieces.filter(F.size("items") > 1).count() == 0 and pieces.count() == 5_000
+        # The array on one line is cut as well.
+        sizes = pieces.groupBy("file").agg(F.count("*").alias("n"), F.max(F.size("items")).alias("most"))
+        assert sorted((r.n, r.most) for r in sizes.collect()) == [(3, 1), (5_000, 1)]
         parts = got.records.select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert parts > 1
     assert sorted(r["id"] for r in records["hot.json"]) == list(range(5_000))
 
@@ -172,8 +177,7 @@ SHARED = {
 
 
 @pytest.mark.parametrize("split", ["128m", "16"])
-def test_elements_that_share_lines(spark, tmp_path, monkeypatch, split):
-    monkeypatch.setattr(json_files, "LONG_LINE", 1)
+def test_elements_that_share_lines(spark, tmp_path, split):
     for name, text in SHARED.items():
         (tmp_path / f"{name}.json").write_bytes(text.encode())
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -201,6 +205,39 @@ def test_shared_lines_are_cut_into_elements(spark, tmp_path):
         assert canonical(records[file]) == canonical(rows)
 
 
+BROKEN = {
+    "one_bad_line": lambda rows: [*rows[:700], '{"id": 1, "pad": }', *rows[700:]],
+    "cut_off": lambda rows: [*rows, '{"broken": '],
+    "open_brace": lambda rows: [*rows[:700], '{"id": {"a": 1}', *rows[700:]],
+    "brace_too_many": lambda rows: [*rows[:700], '{"id": 1}}', *rows[700:]],
+    "open_string": lambda rows: [*rows[:700], '{"id": "a}', *rows[700:]],
+    "array_then_lines": lambda rows: ["[1, 2", "]", *rows],
+}
+
+
+@pytest.mark.parametrize("shape", BROKEN)
+def test_broken_json_lines_are_not_brought_together(spark, tmp_path, shape):
+    """One broken line among many fails the file, and no piece is made of its lines."""
+    rows = [json.dumps({"id": i, "pad": "x" * 40}) for i in range(4_000)]
+    (tmp_path / "log.json").write_text("\n".join(BROKEN[shape](rows)))
+    (tmp_path / "sound.json").write_text(json.dumps([A, B], indent=1))
+    records, status, got = read(spark, tmp_path)
+    assert status["log.json"].status == "FAILED" and status["log.json"].reason == json_files.BROKEN
+    assert canonical(records.pop("sound.json")) == canonical([A, B]) and not records
+    pieces = spark.read.parquet(f"{got.work}/elements")
+    assert {r.file.split("/")[-1] for r in pieces.select("file").collect()} == {"sound.json"}
+
+
+def test_an_object_too_long_for_a_record_fails_unread(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(json_files, "LONGEST_RECORD", 1_000)
+    (tmp_path / "long.json").write_text(json.dumps({f"k{i}": i for i in range(400)}, indent=1))
+    (tmp_path / "array.json").write_text(json.dumps([{"k": i} for i in range(400)], indent=1))
+    records, status, got = read(spark, tmp_path)
+    assert status["long.json"].status == "FAILED"
+    assert status["array.json"].records_converted == len(records["array.json"]) == 400
+    assert spark.read.parquet(f"{got.work}/elements").filter(F.col("file").endswith("/long.json")).isEmpty()
+
+
 def test_names_and_skipped_files(spark, tmp_path):
     inside = tmp_path / "raw" / "batch" / "inventory-raw"
     inside.mkdir(parents=True)
