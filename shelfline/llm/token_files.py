@@ -149,8 +149,9 @@ class LibraryIds(ChunkIds):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        # Strings that name special tokens are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        # Strings that name special tokens are these tokens, as the library has it.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.named = [t.content for t in added if t.special]
         super().__init__(lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids)
         # The characters by which byte-level vocabularies write bytes: printable ones of
         # Latin-1 stand for themselves, the others follow from 256 on.
@@ -166,6 +167,11 @@ class LibraryIds(ChunkIds):
         packed = self.extra.get(chunk)
         return packed if packed is not None else super().__missing__(chunk)
 
+    def cut(self, text: str) -> list[str]:
+        """The text's chunks; one that names a special token stays whole, as what stands next
+        to the name is split as at the end of a text."""
+        return [text] if any(name in text for name in self.named) else chunks(text)
+
     def learn(self, texts: list[list[str]]) -> None:
         """Encode what a batch holds and is not known; beyond the limit for this batch only."""
         self.extra = {}
@@ -187,6 +193,8 @@ class LibraryIds(ChunkIds):
         known = self.get(chunk)
         if known is not None:
             return known
+        if any(name in chunk for name in self.named):
+            return np.asarray(self.encode(chunk), "<u4").tobytes()
         head, cut, rest = chunk.partition("\n")
         if cut and head and rest and not head[-1].isspace() and not rest[0].isspace():
             return self._packed(head) + self._piece("\n") + self._packed(rest)
@@ -213,7 +221,7 @@ def _files(key: str, sent, end_id: int, ids_per_file: int):
         end, partition = struct.pack("<I", end_id), TaskContext.get().partitionId()
         doc_ids, arrays, held, sequence = [], [], 0, 0
         for pdf in batches:
-            texts = [chunks(t) if t else [] for t in pdf["text"]]
+            texts = [known.cut(t) if t else [] for t in pdf["text"]]
             known.learn(texts)
             for doc_id, text in zip(pdf["doc_id"], texts):
                 packed = b"".join(map(known.__getitem__, text)) + end

@@ -447,9 +447,7 @@ def test_elias_fano():
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def plain_files(rows, tokenizer):
@@ -464,6 +462,7 @@ def plain_files(rows, tokenizer):
 ODD = [
     (3, "a b"), (-5, "minus"), (2**60, "large id"), (7, None), (8, ""), (9, " lead  double\n next 　x\xa0 y "),
     (10, "日本 😀 <|endoftext|> it's"), (11, "long " * 20_000), (12, "zz" * 4000), (None, "no id"), (13, "same"), (14, "same"),
+    (15, "a<|endoftext|>b"), (16, "two  <|endoftext|>  more\n<|endoftext|>\n\n end<|endoftext|>."), (17, "<|endoftext"),
 ]
 
 
