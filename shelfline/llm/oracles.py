@@ -22,10 +22,14 @@ c AS (SELECT w.r, doc_id, source, len(ws)::BIGINT AS n_words,
       FROM w LEFT JOIN p ON p.r = w.r),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
 h AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS failed FROM f GROUP BY source),
-m AS (SELECT sum(failed) / sum(n) AS mean, sum(n * (failed / n) * (failed / n)) / sum(n) - (sum(failed) / sum(n)) ** 2 AS spread FROM h),
-s AS (SELECT mean, CASE WHEN spread > 1e-12 THEN least(greatest(mean * (1 - mean) / spread - 1, 1), 1000) ELSE 1000 END AS strength FROM m),
-b AS (SELECT greatest(mean * strength, 1e-6) AS alpha, greatest((1 - mean) * strength, 1e-6) AS beta FROM s),
-v AS (SELECT source, (failed + alpha) / (n + alpha + beta) <= 0.5 AS good FROM h, b)
+m AS (SELECT sum(failed) / sum(n) AS mean, count(*) - 1 AS others,
+             sum(failed * failed / n) - sum(failed) ** 2 / sum(n) AS spread, sum(n) - (count(*) - 1) - sum(n::DOUBLE * n) / sum(n) AS room FROM h),
+s AS (SELECT *, CASE WHEN mean * (1 - mean) > 0 AND room > 0 THEN (spread / (mean * (1 - mean)) - others) / room ELSE 0 END AS share FROM m),
+b AS (SELECT least(greatest(1 / greatest(share, 1e-9) - 1, 1), 1000) AS strength FROM s),
+q AS (SELECT strength, sum(failed / (n + strength)) / sum(n / (n + strength)) AS mean FROM h, b GROUP BY strength),
+y AS (SELECT greatest(mean * strength, 1e-6) AS alpha, greatest((1 - mean) * strength, 1e-6) AS beta FROM q),
+u AS (SELECT source, alpha / (alpha + beta) AS mean, n + alpha + beta AS size, (failed + alpha) / (n + alpha + beta) AS rate FROM h, y),
+v AS (SELECT source, NOT (rate > 0.5 OR rate - 2 * sqrt(rate * (1 - rate) / (size + 1)) > 1.5 * mean) AS good FROM u)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND good AS kept
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """

@@ -2,9 +2,12 @@
 
 Every text gets its counts and the verdict of the base rules. Failures are then summed by
 host (the ``host`` column); each host's failure rate is shrunk towards the corpus by a beta
-prior whose two parameters are fitted to the hosts by the method of moments, so that a host
-of few documents is judged by the corpus rather than by accident. A host whose shrunk rate
-exceeds ``max_host_rate`` fails as a whole, and its verdict is joined back to its documents.
+prior whose two parameters are fitted to the hosts by the method of moments, less what hosts
+differ by chance, so that a host of few documents is judged by the corpus rather than by
+accident. A host fails as a whole if its shrunk rate exceeds ``max_host_rate``, or if that
+rate, less ``sureness`` standard deviations, exceeds ``max_ratio`` times the prior's mean. The
+more hosts differ, the less a host's size counts in that mean, so that a bad host with a third
+of all rows shields neither itself nor others. The verdict is joined back to its documents.
 
 Built of DataFrame functions only. Texts are read once; the counts are written to the
 shared folder. Sums per host are taken before the shuffle, so a host that holds a third of
@@ -12,8 +15,9 @@ all rows costs one row per task, and the join back meets one row per host, on wh
 adaptive execution splits a hot host.
 
 Defined results: null and empty texts have no words and fail the base rules. A null host is
-a host of its own. Repeated rows count as often as they occur. Only the named columns are
-read, so further columns cannot clash. An empty table gives no rows.
+a host of its own. Very long texts are counted whole, each within one row. Repeated rows count as often
+as they occur. Only the named columns are read, so further columns cannot clash. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -68,37 +72,59 @@ def counts(text: Column) -> Column:
 
 
 def beta_prior(hosts: DataFrame) -> tuple[float, float]:
-    """(a, b) of the beta distribution with the mean and spread of the hosts' failure rates."""
-    rate = F.col("failed") / F.col("n")
+    """(a, b) of the beta distribution of the hosts' failure rates.
+
+    Its spread is that between the rates less what chance adds by the hosts' numbers of
+    documents, as an analysis of variance has it. In its mean, a host weighs as its rate is
+    sure: by its documents if hosts agree, nearly one vote each if they differ.
+    """
     row = hosts.agg(
         F.sum("n").alias("n"),
         F.sum("failed").alias("failed"),
-        F.sum(F.col("n") * rate * rate).alias("square"),
+        F.sum(F.col("failed") * F.col("failed") / F.col("n")).alias("square"),
+        F.sum(F.col("n").cast("double") * F.col("n")).alias("sizes"),
+        (F.count("*") - 1).alias("others"),
     ).collect()[0]
     if not row["n"]:
         return 0.5, 0.5
     mean = row["failed"] / row["n"]
-    spread = row["square"] / row["n"] - mean * mean
+    chance = mean * (1 - mean)
+    room = row["n"] - row["others"] - row["sizes"] / row["n"]
+    spread = row["square"] - mean * row["failed"]
+    share = (spread / chance - row["others"]) / room if chance > 0 and room > 0 else 0.0
     # As strong as the hosts agree, between one and a thousand documents.
-    strength = min(max(mean * (1 - mean) / spread - 1, 1.0), 1000.0) if spread > 1e-12 else 1000.0
+    strength = min(max(1 / max(share, 1e-9) - 1, 1.0), 1000.0)
+    weight = 1 / (F.col("n") + strength)
+    votes = hosts.agg(F.sum(F.col("failed") * weight).alias("failed"), F.sum(F.col("n") * weight).alias("n")).collect()[0]
+    mean = votes["failed"] / votes["n"]
     return max(mean * strength, 1e-6), max((1 - mean) * strength, 1e-6)
 
 
+def host_rates(hosts: DataFrame, max_host_rate: float, max_ratio: float, sureness: float) -> DataFrame:
+    """host, host_rate (shrunk), and host_failed, given each host's n and failed."""
+    a, b = beta_prior(hosts)
+    size = F.col("n") + (a + b)
+    rate = (F.col("failed") + a) / size
+    worse = rate - sureness * F.sqrt(rate * (1 - rate) / (size + 1)) > max_ratio * a / (a + b)
+    return hosts.select("host", rate.alias("host_rate"), ((rate > max_host_rate) | worse).alias("host_failed"))
+
+
 def judge(
     docs: DataFrame,
     host: str = "source",
     min_words: int = 50,
     max_repeat_percent: int = 50,
     max_host_rate: float = 0.5,
+    max_ratio: float = 1.5,
+    sureness: float = 2.0,
 ) -> DataFrame:
     """doc_id, the counts, base_failed, host_rate, and kept, per row of ``docs``."""
     rows = docs.select(F.col("doc_id"), F.col(host).alias("host"), counts(F.col("text")).alias("c")).select("doc_id", "host", "c.*")
     bad = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     rows = staged(rows.withColumn("base_failed", bad), "quality-counts")
     hosts = staged(rows.groupBy("host").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed")), "hosts")
-    a, b = beta_prior(hosts)
-    rates = hosts.select(F.col("host").alias("of"), ((F.col("failed") + a) / (F.col("n") + (a + b))).alias("host_rate"))
+    rates = host_rates(hosts, max_host_rate, max_ratio, sureness).withColumnRenamed("host", "of")
     return rows.join(rates, F.col("host").eqNullSafe(F.col("of"))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host_rate",
-        (~F.col("base_failed") & (F.col("host_rate") <= max_host_rate)).alias("kept"),
+        (~F.col("base_failed") & ~F.col("host_failed")).alias("kept"),
     )

@@ -7,15 +7,17 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+from checks.compare import difference
 from shelfline.llm import bpe, language_model, quality, secrets, toxicity
 from shelfline.llm.pretokens import chunks
-from shelfline.llm.queries import QUERIES
+from shelfline.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,6 +83,40 @@ def test_hosts_are_shrunk(spark):
     assert 0 < found[300]["host_rate"] < 1  # one document does not make a rate of 1
 
 
+def test_hosts_worse_than_the_others_fail(spark, documents, tmp_path):
+    """Hosts planted at three times the rate of the rest, one of them with a third of all rows."""
+    good = [t for t in documents.values() if t and len(t.split()) >= 60 and plain_counts(t)[4] * 2 <= plain_counts(t)[0]]
+    rates = {f"h{k}": (60, 4 + k % 3) for k in range(10)} | {"hot": (500, 125), "bad": (300, 75), "few": (4, 1), None: (60, 5)}
+    rows = []
+    for host, (n, failed) in rates.items():
+        rows += [(len(rows) + i, "short" if i < failed else good[i % len(good)], host) for i in range(n)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {}
+    for r in QUERIES["op3_quality_rules"](spark, str(tmp_path)).join(table.select("doc_id", "source"), "doc_id").collect():
+        if not r["base_failed"]:
+            found.setdefault(r["source"], set()).add(r["kept"])
+    assert found.pop("hot") == {False} and found.pop("bad") == {False}
+    assert all(kept == {True} for kept in found.values())  # also a host of four documents
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+    name = "op3_quality_rules"
+    assert difference(spark, con, name, QUERIES[name], str(tmp_path), ORACLES[name]) is None
+
+
+def test_prior_leaves_chance_out(spark):
+    """Hosts of one true rate: what they differ by is chance, and the prior is strong."""
+    rng = np.random.default_rng(5)
+    same = [(f"h{k}", n, int(rng.binomial(n, 0.1))) for k, n in enumerate([20] * 200)]
+    a, b = quality.beta_prior(spark.createDataFrame(same, "host string, n long, failed long"))
+    assert a + b > 100
+    rates = rng.beta(2, 18, 400)
+    apart = [(f"h{k}", 100, int(rng.binomial(100, p))) for k, p in enumerate(rates)]
+    a, b = quality.beta_prior(spark.createDataFrame(apart, "host string, n long, failed long"))
+    assert 14 < a + b < 28 and abs(a / (a + b) - 0.1) < 0.01
+    assert quality.beta_prior(spark.createDataFrame([], "host string, n long, failed long")) == (0.5, 0.5)
+
+
 # --- secrets -----------------------------------------------------------------------------
 
 PATTERNS = {
