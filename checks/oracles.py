@@ -185,6 +185,7 @@ SELECT * FROM text_checked WHERE error_reason IS NOT NULL""",
     "inventory_enriched": f"WITH {INVENTORY_STEPS} SELECT * FROM inv_enriched",
     "pos_dedup": f"WITH {POS_STEPS} SELECT * FROM pos_silver",
     "inventory_dedup": f"WITH {INVENTORY_STEPS} SELECT * FROM inv_silver",
+    "stream_inventory_dedup": f"WITH {INVENTORY_STEPS} SELECT * FROM inv_silver",
     "dedup_report": f"""WITH {POS_STEPS},{INVENTORY_STEPS}
 SELECT 'pos' AS source_type, count(*) AS rows_before,
   count(DISTINCT transaction_id) AS rows_after,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfline.config import new_shared_path
 from shelfline.functions.payload import field
-from shelfline.model import INVENTORY, POS
+from shelfline.model import INVENTORY, POS, PROCESSING_DATE
 from shelfline.operators import clean, objects
 from shelfline.plans.load import TABLES, load_stream
 from shelfline.queries.feeds import held_against
@@ -296,3 +296,19 @@ def stream_bucket_agg(spark, sf):
     return cells.withColumns(
         {c: money(F.col(c)) for c in ("total_revenue", "total_discount")}
     ).withColumn("store_list", listed)
+
+
+@query
+def stream_inventory_dedup(spark, sf):
+    """The latest stock readings of a stream in three batches; one of them comes twice."""
+    from shelfline.queries.batch import inventory_enriched
+    from shelfline.streaming.dedup import latest_rows, run_latest
+
+    root = new_shared_path(spark, "stream-dedup")
+    rows = inventory_enriched(spark, sf)
+    rows.repartition(3, "warehouse_id").write.parquet(f"{root}/in")
+    spark.read.parquet(f"{root}/in").filter("warehouse_id = 1").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    latest = ([PROCESSING_DATE, INVENTORY.key], "last_updated")
+    run_latest(source, *latest, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return latest_rows(spark, f"{root}/out", rows.schema, *latest)

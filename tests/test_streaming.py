@@ -9,6 +9,7 @@ from shelfline.operators import cells, clean
 from shelfline.sources.responses import with_first_record
 from shelfline.streaming.cells import LateRows, late_rows, latest_cells, run_cells
 from shelfline.sources.manifest import manifest_scan
+from shelfline.streaming.dedup import latest_rows, run_latest
 from shelfline.streaming.feeds import (
     deliver,
     incremental_scan,
@@ -245,3 +246,31 @@ def test_a_batch_lists_what_it_delivered(spark, tmp_path):
         for r in spark.read.json(path).selectExpr("inline(entries)").collect() if rows else []:
             assert r.mandatory and r.meta.content_length > 0
     assert listed == [["s1"], ["s2", "s50"], []]
+
+
+def test_streamed_dedup_loses_nothing_and_keeps_state(spark, tmp_path):
+    """Copies across batches, rows of one key that differ, and times far back."""
+    schema = "id int, at timestamp, stock int"
+    keys, order_by = ["id"], "at"
+    batches = [
+        [(1, T0, 5), (2, T0, 1), (2, T0, 1)],
+        [(1, T0, 5), (1, T0 + 60, 7), (3, T0 - 10**8, 2)],  # a copy, a later one, a very old one
+        [(1, T0 + 30, 9), (4, None, 3), (None, T0, 8)],
+    ]
+    (tmp_path / "in").mkdir()
+    source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    where = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    written = []
+    for part in batches:
+        rows = [(i, None if at is None else datetime.fromtimestamp(at), n) for i, at, n in part]
+        frame = spark.createDataFrame(rows, schema)
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query = run_latest(source, keys, order_by, *where)
+        query.awaitTermination()
+        operators = [s for p in query.recentProgress for s in p["stateOperators"]]
+        assert operators and not sum(s["numRowsDroppedByWatermark"] for s in operators)
+        written.append(spark.read.schema(schema).parquet(where[0]).count())
+    # The second batch adds two rows, as the copy of the first is known from the state.
+    assert written == [2, 4, 7]
+    found = {r.id: r.stock for r in latest_rows(spark, where[0], schema, keys, order_by).collect()}
+    assert found == {1: 7, 2: 1, 3: 2, 4: 3, None: 8}
