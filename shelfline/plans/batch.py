@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfline.config import RunConfig, staged
 from shelfline.model import NO_DAY, PROCESSING_DATE, Feed
 from shelfline.operators import dedup, enrich, status, validate
+from shelfline.plans.days import isolate_days
 from shelfline.session import prepare
 from shelfline.sinks.tables import quarantine, replace_dates
 from shelfline.sources.landing import as_path, files_to_take, remember, scan_files
@@ -42,18 +43,28 @@ def to_silver(valid: DataFrame, feed: Feed) -> DataFrame:
 def run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig) -> DataFrame:
     """Check, quarantine, enrich, de-duplicate, store. Returns the stored outcome per day.
 
-    Only rows of the run's days are taken, whatever else lies in the raw folder; rows of no
+    A day that cannot be run fails alone, and the log shows it. Only rows of the run's days are taken, whatever else lies in the raw folder; rows of no
     known day go to quarantine. The raw text is parsed once: checked rows are staged, good
     and bad in folders of their own, and quarantine, silver and counts read from there.
     """
     prepare(spark)
+    return _by_days(spark, feed, cfg, lambda part: _run_batch(spark, raw, feed, part))
+
+
+def _by_days(
+    spark: SparkSession, feed: Feed, cfg: RunConfig, run: Callable[[RunConfig], DataFrame]
+) -> DataFrame:
+    step = f"{feed.name}_transform"
+    return isolate_days(run, cfg, lambda part: log_status(spark, part, step, status.FAILED))
+
+
+def _run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig) -> DataFrame:
     days = cfg.days
     source = for_days(raw, cfg.start, cfg.end)
     missing = validate.missing_columns(source, feed)
     errors = cfg.path("errors", "validation")
     if missing:
         quarantine(validate.check(source, feed), errors, feed.name, cfg.run_id, days)
-        log_status(spark, cfg, f"{feed.name}_transform", status.FAILED)
         raise MissingColumns(validate.missing_reason(missing))
 
     with staged(_checked(source, feed), f"{feed.name}-checked", by=(_GOOD,)) as checked:
@@ -79,12 +90,17 @@ def run_landed(spark: SparkSession, feed: Feed, landing: str, cfg: RunConfig) ->
     """Run a feed on a landing folder, opening only the files that the run takes.
 
     Which those are is told by their names and the files of finished runs; a run's file names
-    reach the driver, as those of any file scan do.
+    reach the driver, as those of any file scan do. A file that cannot be read fails its own
+    day; one of no day fails all.
     """
     prepare(spark)
+    return _by_days(spark, feed, cfg, lambda part: _run_landed(spark, feed, landing, part))
+
+
+def _run_landed(spark: SparkSession, feed: Feed, landing: str, cfg: RunConfig) -> DataFrame:
     with staged(files_to_take(spark, feed, landing, cfg), f"{feed.name}-files") as taken:
         names = [r.name for r in taken.select(as_path(F.col("file")).alias("name")).collect()]
-        outcome = run_batch(spark, scan_files(spark, feed, landing, sorted(names)), feed, cfg)
+        outcome = _run_batch(spark, scan_files(spark, feed, landing, sorted(names)), feed, cfg)
         remember(taken, feed, cfg)
     return outcome
 
@@ -121,7 +137,10 @@ def together(spark: SparkSession, *actions: Callable[[], object]) -> None:
 
 
 def store_outcome(outcome: DataFrame, cfg: RunConfig, job: str) -> DataFrame:
-    """Keep the run's outcome, one row per day, under its run id, and read it back."""
-    path = cfg.path("runs", job, f"job_run_id={cfg.run_id}")
+    """Keep the run's outcome, one row per day, under its run id and first day, and read it back.
+
+    A run whose days were taken in parts has one part for each.
+    """
+    path = cfg.path("runs", job, f"job_run_id={cfg.run_id}", f"first_day={cfg.start}")
     outcome.write.mode("overwrite").parquet(path)
     return outcome.sparkSession.read.schema(outcome.schema).parquet(path)

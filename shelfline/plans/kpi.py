@@ -12,6 +12,7 @@ from shelfline.config import RunConfig, staged
 from shelfline.model import INVENTORY_KPI, PROCESSING_DATE, REGIONAL_KPI, SALES_KPI
 from shelfline.operators import cells, enrich, kpis, status
 from shelfline.plans.batch import log_status, store_outcome, together
+from shelfline.plans.days import isolate_days
 from shelfline.session import prepare
 from shelfline.sinks.tables import quarantine, replace_dates
 from shelfline.sources.silver import scan_silver
@@ -24,8 +25,17 @@ class PartialFailure(RuntimeError):
 def run_kpis(
     spark: SparkSession, cfg: RunConfig, products: DataFrame | None = None
 ) -> DataFrame:
-    """Match once, stage the cells, and take all four outputs and the outcome from them."""
+    """Figures of all days at once; a day that cannot be run fails alone, and the log shows it."""
     prepare(spark)
+    return isolate_days(
+        lambda part: _run_kpis(spark, part, products),
+        cfg,
+        lambda part: log_status(spark, part, "kpi_job", status.FAILED),
+    )
+
+
+def _run_kpis(spark: SparkSession, cfg: RunConfig, products: DataFrame | None) -> DataFrame:
+    """Match once, stage the cells, and take all four outputs and the outcome from them."""
     base, days = cfg.path("silver"), cfg.days
     inventory = scan_silver(spark, base, "inventory", cfg.start, cfg.end)
     pos = scan_silver(spark, base, "pos", cfg.start, cfg.end)

@@ -38,7 +38,7 @@ def ledger(spark: SparkSession, base: str) -> DataFrame:
     """Files taken by finished runs."""
     path = f"{base.rstrip('/')}/runs/files"
     try:
-        return spark.read.schema(LEDGER).parquet(path)
+        return spark.read.schema(LEDGER).parquet(path).drop("first_day")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -76,7 +76,9 @@ def scan_files(spark: SparkSession, feed: Feed, landing: str, files: list[str])
 
 
 def remember(taken: DataFrame, feed: Feed, cfg: RunConfig) -> None:
-    """Add the files of a finished run to the ledger, in place of what the same run had."""
-    path = cfg.path("runs", "files", f"source_type={feed.name}", f"job_run_id={cfg.run_id}")
+    """Add the files of a finished run to the ledger, in place of what the same run had for the
+    range that begins with its first day."""
+    own = f"job_run_id={cfg.run_id}/first_day={cfg.start}"
+    path = cfg.path("runs", "files", f"source_type={feed.name}", own)
     taken.coalesce(1).write.mode("overwrite").parquet(path)
 

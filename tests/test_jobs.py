@@ -1,6 +1,7 @@
+import gzip
 import json
 import re
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
@@ -8,10 +9,12 @@ from pyspark.sql import functions as F
 
 from shelfline.config import RunConfig, shared_dir, staged
 from shelfline.model import INVENTORY, NO_POS_MATCH, POS, SALES_KPI
-from shelfline.operators import objects
-from shelfline.plans.batch import MissingColumns, run_batch
+from shelfline.operators import objects, status
+from shelfline.plans.batch import MissingColumns, run_batch, run_landed
+from shelfline.plans.days import DaysFailed
 from shelfline.plans.kpi import PartialFailure, raise_on_partial_failure, run_kpis
 from shelfline.sinks.tables import quarantine, replace_dates
+from shelfline.sources.landing import ledger
 from shelfline.sources.raw import for_days, scan_inventory_raw, scan_pos_raw
 from shelfline.sources.silver import scan_silver
 
@@ -240,3 +243,38 @@ def test_object_keys(spark):
 def test_tables_can_be_listed(spark, tmp_path):
     spark.createDataFrame([(1,)], "a int").createOrReplaceTempView("web_logs_stream")
     assert "web_logs_stream" in [t.name for t in spark.catalog.listTables()]
+
+
+def test_one_bad_file_fails_its_day_alone(spark, tmp_path):
+    """A truncated file among eight days: seven are stored, the log names the eighth."""
+    days = [date(2025, 7, 1) + timedelta(n) for n in range(8)]
+    bad = days[5]
+    for day in days:
+        folder = tmp_path / f"raw/partition_date={day}"
+        folder.mkdir(parents=True)
+        row = dict(inventory_id=1, product_id=1, warehouse_id=5, stock_level=12,
+                   restock_threshold=3, last_updated=epoch(day, 8))
+        packed = gzip.compress("\n".join([json.dumps(row)] * 50).encode())
+        (folder / "stock.json.gz").write_bytes(packed[:-20] if day == bad else packed)
+    cfg = RunConfig(str(tmp_path / "lake"), days[0], days[-1], "r1")
+    with pytest.raises(DaysFailed, match=str(bad)) as caught:
+        run_landed(spark, INVENTORY, str(tmp_path / "raw"), cfg)
+    assert set(caught.value.failed) == {bad}
+    rest = set(days) - {bad}
+    assert {r.processing_date: r.inventory_kept for r in caught.value.outcome.collect()} == {d: 1 for d in rest}
+    kept = scan_silver(spark, cfg.path("silver"), "inventory", cfg.start, cfg.end).collect()
+    assert {r.processing_date for r in kept} == rest and len(kept) == len(rest)
+    states = status.current_status(spark.read.parquet(cfg.path("runs", "log"))).collect()
+    told = {r.processing_date: r.inventory_transform_status for r in states}
+    assert told == {d: "FAILED" if d == bad else "COMPLETED" for d in days}
+    files = ledger(spark, cfg.base).collect()
+    assert sorted(r.day for r in files) == sorted(rest)
+
+
+def test_other_errors_mark_all_days(spark, raw, tmp_path, monkeypatch):
+    cfg = RunConfig(str(tmp_path / "lake"), DAYS[0], DAYS[1], "r1")
+    monkeypatch.setattr("shelfline.plans.batch.to_silver", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_batch(spark, scan_pos_raw(spark, str(raw / "pos")), POS, cfg)
+    log = spark.read.parquet(cfg.path("runs", "log")).collect()
+    assert {(r.processing_date, r.status) for r in log} == {(d, "FAILED") for d in DAYS[:2]}
