@@ -15,17 +15,24 @@ def chunks(text: str) -> list[str]:
     alternative of the pattern holds a space after another character but runs of white
     space. So a text is cut before every such space. Most chunks are words, which recur.
     """
+    first, rest = after_spaces(text)
+    return [first, *[" " + p for p in rest]] if first or rest else []
+
+
+def after_spaces(text: str) -> tuple[str, list[str]]:
+    """The first of these pieces, and each later one without the space that it begins with."""
     parts = text.split(" ")
     if "" not in parts and "\n " not in text and " \n" not in text and not RARE_SPACE.search(text):
-        return [parts[0], *[" " + p for p in parts[1:]]]
+        return parts[0], parts[1:]
     out, now = [], parts[0]
     for p in parts[1:]:
         if now and p and not now[-1].isspace() and not p[0].isspace():
             out.append(now)
-            now = " " + p
+            now = p
         else:
             now += " " + p
-    return [*out, now] if now else out
+    out.append(now)
+    return out[0], out[1:]
 
 
 def of_worker(key: str, make):

@@ -12,34 +12,37 @@ A token file holds, for consecutive documents in ascending id order:
             ids that are not null, less the smallest, which comes first in 8 bytes
     1       a line feed
 
-An Elias-Fano block of n rising numbers up to u: n and u (8 bytes each), the lower
-floor(log2(u / n)) bits of each number, packed, and the upper parts in unary. That is about
-2 + log2(u / n) bits a document, where a table of offsets has 64. Number i is found by
-selecting the i-th set bit of the upper part, from a 32-bit sample every 256 set bits that
-is rebuilt when a file is opened.
+An Elias-Fano block of n rising numbers up to u: n and u (8 bytes each), the place of every
+256th set bit of the upper part (4 bytes each), the lower floor(log2(u / n)) bits of each
+number, packed, and the upper parts in unary. That is about 2.1 + log2(u / n) bits a document,
+where a table of offsets has 64. Number i is found by selecting the i-th set bit of the upper
+part from the sample before it. Readers select too, one boundary after another: no file is
+decoded into a table.
 
 Files follow each other by partition, then sequence number; a file ends after
 ``ids_per_file`` ids, so that reading and writing hold one file at a time. A longer document
 fills a file of its own. Files are written and read by Spark, in any store it can reach.
 
 Defined results: null and empty texts hold the end id only. Documents with a null id come
-first; those that share an id follow each other in any order. Only doc_id and text are
-read, so further columns cannot clash. An empty table gives no documents.
+first; those that share an id follow each other in any order, and may fill any number of
+tasks, as texts' hashes part them too. A text of any length is one document, in one file.
+Only doc_id and text are read, so further columns cannot clash. An empty table gives no
+documents.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import staged
-from shelfline.llm.pretokens import ChunkIds, chunks, of_worker
+from shelfline.llm.common import staged, text_hash
+from shelfline.llm.pretokens import after_spaces, of_worker
 
 MAGIC = b"SLT1"
 SAMPLE = 256
@@ -52,13 +55,13 @@ class EliasFano:
     def __init__(self, block: bytes, at: int = 0):
         self.n, self.u = struct.unpack_from("<QQ", block, at)
         self.low_bits = low_bits(self.n, self.u)
+        self.samples = np.frombuffer(block, "<u4", -(-self.n // SAMPLE), at + 16)
+        at += 16 + self.samples.nbytes
         size = (self.n * self.low_bits + 7) // 8
-        self.low = np.frombuffer(block, np.uint8, size, at + 16)
+        self.low = np.frombuffer(block, np.uint8, size, at)
         high = (self.n + (self.u >> self.low_bits) + 8) // 8
-        self.high = np.frombuffer(block, np.uint8, high, at + 16 + size)
-        self.end = at + 16 + size + high
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
-        self.samples = ones[::SAMPLE].astype(np.uint32)
+        self.high = np.frombuffer(block, np.uint8, high, at + size)
+        self.end = at + size + high
 
     @staticmethod
     def pack(values: np.ndarray, u: int) -> bytes:
@@ -66,9 +69,11 @@ class EliasFano:
         values = values.astype(np.uint64)
         low = (values[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)
         upper = np.zeros((n + (u >> bits) + 8) // 8 * 8, np.uint8)
-        upper[(values >> np.uint64(bits)).astype(np.int64) + np.arange(n)] = 1
+        ones = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
+        upper[ones] = 1
         packed = np.packbits(low.astype(np.uint8).ravel(), bitorder="little").tobytes()
-        return struct.pack("<QQ", n, u) + packed + np.packbits(upper, bitorder="little").tobytes()
+        head = struct.pack("<QQ", n, u) + ones[::SAMPLE].astype("<u4").tobytes()
+        return head + packed + np.packbits(upper, bitorder="little").tobytes()
 
     def _low(self, i: int) -> int:
         first = i * self.low_bits
@@ -92,11 +97,11 @@ class EliasFano:
             raise IndexError(i)
         return ((self.select(i) - i) << self.low_bits) | self._low(i)
 
+    def __len__(self) -> int:
+        return self.n
+
     def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-        low = (bits.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-        return ((ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)) | low
+        return np.array([self[i] for i in range(self.n)], np.uint64)
 
 
 def low_bits(n: int, u: int) -> int:
@@ -123,9 +128,9 @@ class TokenFile:
     def ids(self, i: int) -> np.ndarray:
         return self.array[self.start(i) : self.ends[i]]
 
-    def doc_ids(self) -> list[int | None]:
-        numbers = iter(self.numbers.all().tolist())
-        return [next(numbers) + self.least if k else None for k in self.known]
+    def doc_ids(self) -> Iterator[int | None]:
+        numbers = iter(self.numbers)
+        return (next(numbers) + self.least if k else None for k in self.known)
 
 
 def pack_file(partition: int, sequence: int, doc_ids: list, arrays: list[bytes]) -> bytes:
@@ -142,75 +147,77 @@ def pack_file(partition: int, sequence: int, doc_ids: list, arrays: list[bytes])
     return head + ids.astype(f"<u{width}").tobytes() + EliasFano.pack(ends, len(ids)) + block + b"\n"
 
 
-class LibraryIds(ChunkIds):
-    """Ids by the tokenizers library, of the chunks of a batch of texts at a time."""
+class LibraryIds(dict):
+    """Packed ids by the tokenizers library: of each chunk that begins with a space, under its
+    name without that space, for ``limit`` short chunks; of others for one batch of texts.
+    """
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        super().__init__()
+        self.tokenizer, self.limit = Tokenizer.from_str(tokenizer_json), limit
         # Strings that name special tokens are these tokens, as the library has it.
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.named = [t.content for t in added if t.special]
-        super().__init__(lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids)
         # The characters by which byte-level vocabularies write bytes: printable ones of
         # Latin-1 stand for themselves, the others follow from 256 on.
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         rest = [b for b in range(256) if b not in plain]
-        self.written = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        signs = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.written = "".join(signs[b] for b in range(256))
         self.model = self.tokenizer.model
         top = max(self.tokenizer.get_vocab().values(), default=0) + 1
         self.packed_id = [struct.pack("<I", i) for i in range(top)]
-        self.extra: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        packed = self.extra.get(chunk)
-        return packed if packed is not None else super().__missing__(chunk)
-
-    def cut(self, text: str) -> list[str]:
-        """The text's chunks; one that names a special token stays whole, as what stands next
-        to the name is split as at the end of a text."""
-        return [text] if any(name in text for name in self.named) else chunks(text)
-
-    def learn(self, texts: list[list[str]]) -> None:
-        """Encode what a batch holds and is not known; beyond the limit for this batch only."""
-        self.extra = {}
-        for chunk in set(chain.from_iterable(texts)).difference(self):
-            if chunk not in self:
-                packed = self._packed(chunk)
-                if chunk not in self:
-                    self._hold(chunk, packed)
-
-    def _hold(self, chunk: str, packed: bytes) -> None:
-        if len(self) < self.limit and len(chunk) <= 64:
-            self[chunk] = packed
-        else:
-            self.extra[chunk] = packed
+        self.stops: dict[str, bytes] = {}
+        self.batch: dict[str, bytes] = {}
+
+    def new_batch(self) -> None:
+        self.batch = {}
+
+    def text(self, text: str) -> bytes:
+        """The text's packed ids. A text that names a special token stays whole, as what stands
+        next to the name is split as at the end of a text."""
+        if any(name in text for name in self.named):
+            return self._whole(text)
+        first, rest = after_spaces(text)
+        return self._packed(first) + b"".join(map(self.__getitem__, rest)) if first or rest else b""
+
+    def __missing__(self, after: str) -> bytes:
+        packed = self.batch.get(after)
+        if packed is None:
+            packed = self._packed(" " + after)
+            (self if len(self) < self.limit and len(after) < 64 else self.batch)[after] = packed
+        return packed
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _packed(self, chunk: str) -> bytes:
         """Ids of a chunk. Where the split pattern cuts it in a plain way, of its pieces:
         at a single line feed within, and between letters and the stops after them."""
-        known = self.get(chunk)
-        if known is not None:
-            return known
-        if any(name in chunk for name in self.named):
-            return np.asarray(self.encode(chunk), "<u4").tobytes()
+        word = chunk.rstrip(STOPS)
+        if len(chunk) <= 64 and (word[1:] if word[:1] == " " else word).isalpha():
+            if len(word) == len(chunk):
+                return self._piece(word)
+            return ((self.get(word[1:]) if word[0] == " " else None) or self._piece(word)) + self._stops(chunk[len(word) :])
         head, cut, rest = chunk.partition("\n")
         if cut and head and rest and not head[-1].isspace() and not rest[0].isspace():
-            return self._packed(head) + self._piece("\n") + self._packed(rest)
-        word = chunk.rstrip(STOPS)
-        if len(chunk) > 64 or not (word[1:] if word[:1] == " " else word).isalpha():
-            return np.asarray(self.encode(chunk), "<u4").tobytes()
-        return self._piece(word) + (self._piece(chunk[len(word) :]) if len(word) < len(chunk) else b"")
+            return self._packed(head) + self._stops("\n") + self._packed(rest)
+        return self._whole(chunk)
+
+    def _stops(self, stops: str) -> bytes:
+        packed = self.stops.get(stops)
+        if packed is None:
+            packed = self._piece(stops)
+            if len(self.stops) < 10_000:
+                self.stops[stops] = packed
+        return packed
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a single match of the split pattern."""
-        known = self.get(piece)
-        if known is None:
-            word = piece.encode().decode("latin-1").translate(self.written)
-            known = b"".join([self.packed_id[t.id] for t in self.model.tokenize(word)])
-            self._hold(piece, known)
-        return known
+        signs = piece.encode().decode("latin-1").translate(self.written)
+        return b"".join([self.packed_id[t.id] for t in self.model.tokenize(signs)])
 
 
 def _files(key: str, sent, end_id: int, ids_per_file: int):
@@ -221,10 +228,9 @@ def _files(key: str, sent, end_id: int, ids_per_file: int):
         end, partition = struct.pack("<I", end_id), TaskContext.get().partitionId()
         doc_ids, arrays, held, sequence = [], [], 0, 0
         for pdf in batches:
-            texts = [known.cut(t) if t else [] for t in pdf["text"]]
-            known.learn(texts)
-            for doc_id, text in zip(pdf["doc_id"], texts):
-                packed = b"".join(map(known.__getitem__, text)) + end
+            known.new_batch()
+            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+                packed = known.text(text or "") + end
                 if held and held + len(packed) // 4 > ids_per_file:
                     yield pd.DataFrame({"value": [pack_file(partition, sequence, doc_ids, arrays)[:-1]]})
                     doc_ids, arrays, held, sequence = [], [], 0, sequence + 1
@@ -243,7 +249,9 @@ def write(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = 0, ids_
     # Broadcast: the vocabulary's size is fixed.
     sent = spark.sparkContext.broadcast(tokenizer_json)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # Many rows may share an id, or have none.
+    order = ["doc_id", text_hash()]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     nullable = ordered.select(F.col("doc_id").cast("decimal(20,0)").alias("doc_id"), "text")
     files = nullable.mapInPandas(_files(f"json:{hash(tokenizer_json)}", sent, end_id, ids_per_file), "value binary")
     # A row is a file; its last byte is the line feed that Spark writes after a row.
@@ -257,10 +265,9 @@ def _documents(batches):
                 continue
             file = TokenFile(bytes(data))
             rows, start = [], 0
-            # All boundaries are wanted here, and decoded at once.
-            wide = file.array.astype("<u4")
-            for doc_id, end in zip(file.doc_ids(), file.ends.all().tolist()):
-                rows.append((file.partition, file.sequence, file.n_ids, doc_id, start, end - start, zlib.crc32(wide[start:end])))
+            for doc_id, end in zip(file.doc_ids(), file.ends):
+                ids = file.array[start:end].astype("<u4")
+                rows.append((file.partition, file.sequence, file.n_ids, doc_id, start, end - start, zlib.crc32(ids)))
                 start = end
             out = pd.DataFrame(rows, columns=["partition", "sequence", "n_ids", "doc_id", "within", "n_tokens", "ids_crc32"])
             out["doc_id"] = pd.array([r[3] for r in rows], dtype="Int64")
