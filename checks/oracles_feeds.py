@@ -265,6 +265,9 @@ SELECT * EXCLUDE (partition_date, quantity, lo, hi), partition_date AS processin
 FROM raw, bounds WHERE partition_date < hi""",
     "status_upsert": f"WITH {_STATUS} SELECT * FROM current",
     "kpi_readiness": f"""WITH {_STATUS} SELECT processing_date, NOT kpi_job_triggered AS still
+FROM current WHERE pos_transform_status = 'COMPLETED'
+  AND inventory_transform_status = 'COMPLETED'""",
+    "claimed_days": f"""WITH {_STATUS} SELECT processing_date, 1::BIGINT AS runs
 FROM current WHERE pos_transform_status = 'COMPLETED'
   AND inventory_transform_status = 'COMPLETED'""",
     "days_to_compute": """SELECT DISTINCT ts::date AS processing_date FROM events e

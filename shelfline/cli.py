@@ -2,7 +2,7 @@
 
     run_job.py pos       --raw DIR --base DIR [--start D --end D | --processing-date D]
     run_job.py inventory --raw DIR --base DIR [...]
-    run_job.py kpi       --base DIR [...]        (without days: all that are ready)
+    run_job.py kpi       --base DIR [...]        (without days: all that are ready and not claimed)
     run_job.py load      --table T --manifest FILE --root DIR --jsonpaths FILE --base DIR
     run_job.py normalize --raw DIR --out DIR [--target-prefix P] [--processing-date D]
     run_job.py feed      --kind crm|web-logs --raw DIR --out DIR --checkpoint DIR
@@ -17,11 +17,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.config import RunConfig
+from shelfline.config import RunConfig, new_run_id
 from shelfline.model import FEEDS
 from shelfline.operators.objects import INVENTORY_LANDING
 from shelfline.plans.batch import run_landed
-from shelfline.plans.kpi import raise_on_partial_failure, ready_ranges, run_kpis
+from shelfline.plans.kpi import raise_on_partial_failure, run_kpis, run_ready
 from shelfline.plans.load import TABLES, load_stream
 from shelfline.session import prepare
 from shelfline.sources.json_files import normalize_json_files, write_json_lines
@@ -46,6 +46,10 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--start")
         one.add_argument("--end")
         one.add_argument("--run-id")
+        if name == "kpi":
+            one.add_argument(
+                "--claim-hours", type=float, default=24, help="when a silent run's days are free again"
+            )
     one = job("load", "manifest", "root", "jsonpaths", "base")
     one.add_argument("--table", required=True, choices=sorted(TABLES))
     one = job("normalize", "raw", "out")
@@ -85,10 +89,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
             raise RuntimeError(f"{number} files that could not be read, among them: {some}")
         return None
     if args.job == "kpi" and not (args.processing_date or args.start):
-        outcomes = [
-            run_kpis(spark, RunConfig.of(args.base, None, str(first), str(last), args.run_id))
-            for first, last in ready_ranges(spark, args.base)
-        ]
+        outcomes = run_ready(spark, args.base, args.run_id or new_run_id(), args.claim_hours)
         for outcome in outcomes:
             raise_on_partial_failure(outcome)
         return reduce(DataFrame.unionByName, outcomes) if outcomes else None

@@ -13,7 +13,7 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _run_id() -> str:
+def new_run_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
 
 
@@ -24,7 +24,7 @@ class RunConfig:
     base: str
     start: date
     end: date
-    run_id: str = field(default_factory=_run_id)
+    run_id: str = field(default_factory=new_run_id)
 
     def __post_init__(self) -> None:
         if self.start > self.end:
@@ -52,7 +52,7 @@ class RunConfig:
         else:
             day = processing_date or datetime.now(timezone.utc).date().isoformat()
             lo = hi = date.fromisoformat(day)
-        return cls(base, lo, hi, run_id or _run_id())
+        return cls(base, lo, hi, run_id or new_run_id())
 
 
 _to_clear: set[str] = set()

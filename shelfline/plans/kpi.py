@@ -12,6 +12,7 @@ from shelfline.config import RunConfig, staged
 from shelfline.model import INVENTORY_KPI, PROCESSING_DATE, REGIONAL_KPI, SALES_KPI
 from shelfline.operators import cells, enrich, kpis, status
 from shelfline.plans.batch import log_status, store_outcome, together
+from shelfline.plans.claims import claim_days
 from shelfline.plans.days import isolate_days
 from shelfline.session import prepare
 from shelfline.sinks.tables import quarantine, replace_dates
@@ -61,13 +62,17 @@ def _run_kpis(spark: SparkSession, cfg: RunConfig, products: DataFrame | None) -
     return stored
 
 
-def ready_ranges(spark: SparkSession, base: str) -> list[tuple[date, date]]:
-    """Days that the log shows ready for figures, as ranges of consecutive days."""
+def ready_days(spark: SparkSession, base: str) -> list[date]:
+    """Days that the log shows ready for figures, in order. A row per day of the calendar."""
     log = spark.read.parquet(f"{base.rstrip('/')}/runs/log")
     ready = status.ready_for_kpis(status.current_status(log)).select(PROCESSING_DATE)
-    # A row per day of the calendar.
+    return [day for (day,) in ready.distinct().orderBy(PROCESSING_DATE).collect()]
+
+
+def ranges_of(days: list[date]) -> list[tuple[date, date]]:
+    """Days in order as ranges of consecutive days."""
     ranges: list[tuple[date, date]] = []
-    for (day,) in ready.distinct().orderBy(PROCESSING_DATE).collect():
+    for day in days:
         if ranges and day - ranges[-1][1] == timedelta(1):
             ranges[-1] = (ranges[-1][0], day)
         else:
@@ -75,6 +80,27 @@ def ready_ranges(spark: SparkSession, base: str) -> list[tuple[date, date]]:
     return ranges
 
 
+def run_ready(
+    spark: SparkSession, base: str, run_id: str, claim_hours: float = 24
+) -> list[DataFrame]:
+    """Figures of all days that are ready and that no other run has claimed; an outcome per
+    range of consecutive days.
+
+    Runs that look at the same time share the days out among them: each is computed once.
+    A range that fails does not keep the later ones from being run.
+    """
+    mine = claim_days(spark, base, "kpi", ready_days(spark, base), run_id, claim_hours)
+    outcomes, failed = [], []
+    for first, last in ranges_of(mine):
+        try:
+            outcomes.append(run_kpis(spark, RunConfig(base, first, last, run_id)))
+        except Exception as error:
+            failed.append(error)
+    if failed:
+        raise failed[0]
+    return outcomes
+
+
 def _store(cfg: RunConfig, name: str, figures: DataFrame) -> None:
     stamped = enrich.audit(figures, cfg.run_id, "kpi_creation_timestamp")
     replace_dates(stamped, cfg.path("kpi", name), cfg.days)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import timedelta
 
@@ -11,7 +12,8 @@ from shelfline.config import RunConfig, new_shared_path
 from shelfline.model import INVENTORY, INVENTORY_KPI, POS, PROCESSING_DATE, REGIONAL_KPI, SALES_KPI
 from shelfline.operators import status
 from shelfline.plans.batch import run_batch, run_landed
-from shelfline.plans.kpi import ready_ranges, run_kpis
+from shelfline.plans.claims import claim_days
+from shelfline.plans.kpi import ranges_of, ready_days, run_kpis
 from shelfline.queries.registry import query, query_named
 from shelfline.sinks.tables import replace_dates
 from shelfline.sources import tables
@@ -87,7 +89,7 @@ def logged_readiness(spark, sf):
     run_batch(spark, tables.pos_raw(spark, sf), POS, cfg)
     run_batch(spark, tables.inventory_raw(spark, sf), INVENTORY, half)
     schema = "first_day date, last_day date"
-    return spark.createDataFrame(ready_ranges(spark, cfg.base), schema)
+    return spark.createDataFrame(ranges_of(ready_days(spark, cfg.base)), schema)
 
 
 @query
@@ -166,6 +168,23 @@ def kpi_readiness(spark, sf):
     )
 
 
+@query
+def claimed_days(spark, sf):
+    """Days with both transforms completed, wanted by four runs at once, and how many got each."""
+    current = status.current_status(tables.status_events(spark, sf))
+    fresh = current.withColumn("kpi_job_triggered", F.lit(False))
+    days = [day for (day,) in status.ready_for_kpis(fresh).select(PROCESSING_DATE).collect()]
+    base = new_shared_path(spark, "claims")
+
+    def gate(n):
+        return [(day, f"run{n}") for day in claim_days(spark, base, "kpi", days, f"run{n}")]
+
+    with ThreadPoolExecutor(4) as pool:
+        got = [claim for claims in pool.map(gate, range(4)) for claim in claims]
+    claims = spark.createDataFrame(got, f"{PROCESSING_DATE} date, run_id string")
+    return claims.groupBy(PROCESSING_DATE).agg(F.count_distinct("run_id").alias("runs"))
+
+
 @query
 def days_to_compute(spark, sf):
     """Days with sign-ups and purchases, of which the earlier half has figures already."""

@@ -7,12 +7,18 @@ itself. The watermark is the largest time of earlier batches less the lateness,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions.columns import time_bucket
 
 _CELL = ["product_id", "analysis_date", "time_bucket"]
+_NO_CELLS = """product_id int, analysis_date date, time_bucket bigint, total_quantity bigint,
+    total_revenue double, total_discount double, transaction_count bigint,
+    store_list array<int>, pos_timestamp timestamp"""
 
 
 class LateRows(RuntimeError):
@@ -95,9 +101,23 @@ def late_rows(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.option("basePath", aside).parquet(f"{aside}/batch_id=*")
 
 
+def _written(read: Callable[[], DataFrame]) -> DataFrame | None:
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def latest_cells(spark: SparkSession, out: str) -> DataFrame:
-    """Each cell with all that batches added to it, late rows included."""
-    added = _added(spark, out).drop("batch_id").unionByName(_cells(late_rows(spark, out)))
+    """Each cell with all that batches added to it, late rows included; none before a batch."""
+    added, late = _written(lambda: _added(spark, out)), _written(lambda: late_rows(spark, out))
+    if added is None:
+        return spark.createDataFrame([], _NO_CELLS)
+    added = added.drop("batch_id")
+    if late is not None:  # a batch that is cut short has written its cells first
+        added = added.unionByName(_cells(late))
     return added.groupBy(*_CELL).agg(
         *[F.sum(c).alias(c) for c in ("total_quantity", "total_revenue", "total_discount", "transaction_count")],
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("store_list")))).alias("store_list"),

@@ -148,6 +148,18 @@ def test_streamed_cells_equal_batch_cells(spark, tmp_path):
     assert key(got) == key(batch) and got.count() > 10
 
 
+def test_no_cells_before_the_first_batch(spark, tmp_path):
+    schema = """transaction_id string, store_id int, product_id int, quantity int,
+        revenue float, discount_applied float, transaction_timestamp timestamp"""
+    out = str(tmp_path / "out")
+    none = latest_cells(spark, out)
+    assert none.collect() == []
+    rows = [("T1", 1, 1, 1, 1.0, None, datetime(2025, 7, 20, 1))]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    run_cells(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), out, str(tmp_path / "checkpoint"))
+    assert latest_cells(spark, out).dtypes == none.dtypes and latest_cells(spark, out).count() == 1
+
+
 def test_late_rows_are_told(spark, tmp_path):
     schema = """transaction_id string, store_id int, product_id int, quantity int,
         revenue float, discount_applied float, transaction_timestamp timestamp"""
