@@ -1,6 +1,6 @@
 """Jobs from the command line, for spark-submit.
 
-    run_job.py pos       --raw DIR --base DIR [--start D --end D | --processing-date D]
+    run_job.py pos       --raw DIR --base DIR [--start D --end D | --processing-date D] [--archive DIR]
     run_job.py inventory --raw DIR --base DIR [...]
     run_job.py kpi       --base DIR [...]        (without days: all that are ready and not claimed)
     run_job.py load      --table T --manifest FILE --root DIR --jsonpaths FILE --base DIR
@@ -46,6 +46,8 @@ def parser() -> argparse.ArgumentParser:
         one.add_argument("--start")
         one.add_argument("--end")
         one.add_argument("--run-id")
+        if name in FEEDS:
+            one.add_argument("--archive", help="folder that files of stored days are moved to")
         if name == "kpi":
             one.add_argument(
                 "--claim-hours", type=float, default=24, help="when a silent run's days are free again"
@@ -95,7 +97,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> DataFrame | None:
         return reduce(DataFrame.unionByName, outcomes) if outcomes else None
     cfg = RunConfig.of(args.base, args.processing_date, args.start, args.end, args.run_id)
     if args.job in FEEDS:
-        return run_landed(spark, FEEDS[args.job], args.raw, cfg)
+        return run_landed(spark, FEEDS[args.job], args.raw, cfg, args.archive)
     outcome = run_kpis(spark, cfg)
     raise_on_partial_failure(outcome)
     return outcome

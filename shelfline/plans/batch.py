@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +17,19 @@ from shelfline.operators import dedup, enrich, status, validate
 from shelfline.plans.days import isolate_days
 from shelfline.session import prepare
 from shelfline.sinks.tables import quarantine, replace_dates
-from shelfline.sources.landing import as_path, files_to_take, remember, scan_files
+from shelfline.sources.landing import (
+    archive_of,
+    as_path,
+    files_to_take,
+    move_to_archive,
+    remember,
+    scan_files,
+)
 from shelfline.sources.raw import BROKEN_LINE, UNDATED, for_days
 from shelfline.sources.silver import scan_silver
 
+_LOG = logging.getLogger(__name__)
+
 # Per feed: enrichment, the time the latest copy goes by, and the load time's column.
 _LAYOUT = {
     "pos": (enrich.enrich_pos, "transaction_timestamp", "processed_timestamp_utc"),
@@ -86,22 +97,41 @@ def _run_batch(spark: SparkSession, raw: DataFrame, feed: Feed, cfg: RunConfig)
     return stored
 
 
-def run_landed(spark: SparkSession, feed: Feed, landing: str, cfg: RunConfig) -> DataFrame:
+def run_landed(
+    spark: SparkSession, feed: Feed, landing: str, cfg: RunConfig, archive: str | None = None
+) -> DataFrame:
     """Run a feed on a landing folder, opening only the files that the run takes.
 
     Which those are is told by their names and the files of finished runs; a run's file names
     reach the driver, as those of any file scan do. A file that cannot be read fails its own
-    day; one of no day fails all.
+    day; one of no day fails all. Files of days that are stored move to ``archive``, if given,
+    from where a later run of such a day reads them again.
     """
     prepare(spark)
-    return _by_days(spark, feed, cfg, lambda part: _run_landed(spark, feed, landing, part))
+    return _by_days(spark, feed, cfg, lambda part: _run_landed(spark, feed, landing, part, archive))
 
 
-def _run_landed(spark: SparkSession, feed: Feed, landing: str, cfg: RunConfig) -> DataFrame:
-    with staged(files_to_take(spark, feed, landing, cfg), f"{feed.name}-files") as taken:
-        names = [r.name for r in taken.select(as_path(F.col("file")).alias("name")).collect()]
-        outcome = _run_batch(spark, scan_files(spark, feed, landing, sorted(names)), feed, cfg)
+def _run_landed(
+    spark: SparkSession, feed: Feed, landing: str, cfg: RunConfig, archive: str | None
+) -> DataFrame:
+    kept = archive_of(spark, feed, landing, archive) if archive else None
+    with staged(files_to_take(spark, feed, landing, cfg, archive), f"{feed.name}-files") as taken:
+        files = taken.select("file", "day", as_path(F.col("file")).alias("name")).collect()
+        old = [f for f in files if kept and f.file.startswith(f"{kept}/")]
+        new = [f for f in files if not (kept and f.file.startswith(f"{kept}/"))]
+        roots = [(landing, new), *([(kept, old)] if old else [])]
+        scans = [
+            scan_files(spark, feed, root, sorted(f.name for f in part))
+            for root, part in roots
+            if part or not old
+        ]
+        raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+        outcome = _run_batch(spark, raw, feed, cfg)
         remember(taken, feed, cfg)
+    if kept:
+        left = move_to_archive(spark, [f.file for f in new if f.day], landing, kept)
+        if left:
+            _LOG.warning("%d files are not in the archive, among them %s", len(left), left[:20])
     return outcome
 
 

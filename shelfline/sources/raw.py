@@ -75,7 +75,7 @@ def for_days(df: DataFrame, start: date, end: date) -> DataFrame:
     """
     named = [c for c in (PARTITION_DATE, FILE_DATE) if c in df.columns]
     if named:
-        day = F.col(named[0]).try_cast("date")
+        day = F.coalesce(*(F.col(c).try_cast("date") for c in named))
         return (
             df.filter(day.isNull() | day.between(F.lit(start), F.lit(end)))
             .withColumn(PROCESSING_DATE, F.coalesce(day, F.lit(start)))

@@ -4,9 +4,11 @@ import json
 import os
 from datetime import date
 
+import pytest
+
 from shelfline.config import RunConfig
 from shelfline.model import INVENTORY, POS
-from shelfline.plans.batch import run_landed
+from shelfline.plans.batch import MissingColumns, run_landed
 from shelfline.sources import landing
 from shelfline.sources.manifest import exist, listed_files
 from tests.test_jobs import HEADER, epoch, write_raw
@@ -113,3 +115,79 @@ def test_listed_paths_are_asked_for_themselves(spark, tmp_path, monkeypatch):
     assert [tuple(f) for f in found] == [
         (f"{tmp_path}/beside", False, False), (f"{data}/f3", True, True), (f"{data}/gone", False, False)
     ]
+
+
+def below(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*") if p.is_file() and p.name[0] != ".")
+
+
+def test_files_of_stored_days_are_archived_and_read_again(spark, tmp_path):
+    raw, kept, base = tmp_path / "raw", tmp_path / "old", str(tmp_path / "lake")
+
+    def go(run_id, first, last):
+        run_landed(spark, POS, str(raw), RunConfig(base, first, last, run_id), str(kept))
+        rows = spark.read.parquet(f"{base}/silver/pos").collect()
+        return sorted((r.processing_date, r.transaction_id) for r in rows)
+
+    sale(raw, f"{DAYS[0]}_sales.csv", DAYS[0], "A", "B")
+    sale(raw, f"till_{DAYS[1]:%Y%m%d}.csv", DAYS[1], "C")
+    sale(raw, "a [1] of no day.csv", DAYS[1], "N")
+    raw.joinpath(f"partition_date={DAYS[2]}").mkdir()
+    sale(raw / f"partition_date={DAYS[2]}", "s{1}.csv", DAYS[2], "D")
+    rows = [(DAYS[0], "A"), (DAYS[0], "B"), (DAYS[1], "C")]
+    assert go("r1", DAYS[0], DAYS[1]) == rows
+    assert below(kept) == [f"pos/{DAYS[0]}_sales.csv", f"pos/till_{DAYS[1]:%Y%m%d}.csv"]
+    assert below(raw) == ["a [1] of no day.csv", f"partition_date={DAYS[2]}/s{{1}}.csv"]
+    # A late file and one that came again: the day's other file comes from the archive.
+    sale(raw, f"{DAYS[0]}_late.csv", DAYS[0], "E")
+    sale(raw, f"till_{DAYS[1]:%Y%m%d}.csv", DAYS[1], "C2")
+    rows = [(DAYS[0], "A"), (DAYS[0], "B"), (DAYS[0], "E"), (DAYS[1], "C2"), (DAYS[2], "D")]
+    assert go("r2", DAYS[0], DAYS[2]) == rows
+    assert below(raw) == ["a [1] of no day.csv"]
+    assert below(kept) == sorted(
+        [f"pos/{DAYS[0]}_late.csv", f"pos/{DAYS[0]}_sales.csv", f"pos/till_{DAYS[1]:%Y%m%d}.csv",
+         f"pos/partition_date={DAYS[2]}/s{{1}}.csv"]
+    )
+    # With all files in the archive, running again changes nothing.
+    assert go("r3", DAYS[0], DAYS[2]) == rows
+    errors = spark.read.json(f"{base}/errors/validation").collect()
+    assert [(r.job_run_id, r.transaction_id) for r in errors] == [("r1", "N")]
+
+
+def test_folders_of_days_beside_plain_files(spark, tmp_path):
+    """Rows of both are taken, each by its own day."""
+    (tmp_path / "raw").mkdir()
+    sale(tmp_path / "raw", f"{DAYS[0]}_a.csv", DAYS[0], "A")
+    sale(tmp_path / "raw" / f"partition_date={DAYS[1]}", "b.csv", DAYS[1], "B")
+    cfg = RunConfig(str(tmp_path / "lake"), DAYS[0], DAYS[1], "r")
+    run_landed(spark, POS, str(tmp_path / "raw"), cfg)
+    rows = spark.read.parquet(cfg.path("silver", "pos")).collect()
+    assert sorted((r.processing_date, r.transaction_id) for r in rows) == [(DAYS[0], "A"), (DAYS[1], "B")]
+
+
+def test_files_of_a_failed_day_stay(spark, tmp_path):
+    raw, kept, base = tmp_path / "raw", tmp_path / "old", str(tmp_path / "lake")
+    sale(raw, f"{DAYS[0]}_sales.csv", DAYS[0], "A")
+    (raw / f"{DAYS[1]}_sales.csv").write_text("transaction_id,store_id\nT,1\n")
+    for n, day in enumerate(DAYS[:2]):
+        cfg = RunConfig(base, day, day, f"r{n}")
+        if n == 0:
+            run_landed(spark, POS, str(raw), cfg, str(kept))
+        else:
+            with pytest.raises(MissingColumns):
+                run_landed(spark, POS, str(raw), cfg, str(kept))
+    assert below(raw) == [f"{DAYS[1]}_sales.csv"] and below(kept) == [f"pos/{DAYS[0]}_sales.csv"]
+
+
+def test_files_that_cannot_be_moved_are_told(spark, tmp_path):
+    sale(tmp_path / "raw", "2025-07-20_a.csv", DAYS[0], "A")
+    files = [f"file:{tmp_path}/raw/2025-07-20_a.csv", f"file:{tmp_path}/raw/gone.csv"]
+    left = landing.move_to_archive(spark, files, str(tmp_path / "raw"), f"file:{tmp_path}/old/pos")
+    assert left == files[1:] and below(tmp_path / "old") == ["pos/2025-07-20_a.csv"]
+
+
+def test_an_archive_in_the_landing_folder_is_refused(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    cfg = RunConfig(str(tmp_path / "lake"), DAYS[0], DAYS[0], "r")
+    with pytest.raises(ValueError, match="lies in the landing folder"):
+        run_landed(spark, POS, f"{tmp_path}/raw/", cfg, f"{tmp_path}/raw/old")
