@@ -5,6 +5,10 @@ splittable text source, and an array is cut into its top-level elements by brack
 so every line starts outside of strings and its brackets can be counted on their own; depth
 is then a running sum, taken inside read blocks and carried over between them. Lines that
 may hold a top-level comma within are first cut at all their commas outside of strings.
+
+Staged tables repeat their files' names, so they take a small part of their rows' size on disk,
+by which Spark would take a table of all lines for small enough to be sent through the driver.
+Joins are of kinds that can send the side with a row per file or read block only.
 """
 
 from __future__ import annotations
@@ -54,7 +58,7 @@ def _lines_of(text: DataFrame, files: DataFrame, wanted: Column) -> DataFrame:
 
     A file has one row on one side, so a file that holds most lines is split by Spark.
     """
-    return _lines(text).join(files.filter(wanted).select("file"), "file")
+    return _lines(text).join(files.filter(wanted).select("file"), "file", "left_semi")
 
 
 def _files(text: DataFrame) -> DataFrame:
@@ -91,7 +95,7 @@ def _carry(df: DataFrame, value: str, into: str, inclusive: bool) -> DataFrame:
     running = F.sum(value).over(within.rowsBetween(Window.unboundedPreceding, last))
     return (
         df.withColumn("running", running)
-        .join(bases, ["file", "block"])
+        .join(bases, ["file", "block"], "left")
         .withColumn(
             into, F.coalesce(F.col("running"), F.lit(0)) + F.coalesce(F.col("base"), F.lit(0))
         )
@@ -138,8 +142,9 @@ def _fragments(lines: DataFrame) -> DataFrame:
     )
 
 
-def _places(counted: DataFrame, path: str) -> DataFrame:
-    """For each line of files that may be one document, the piece it belongs to.
+def _places(counted: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """For each line of files that may be one document, the piece it belongs to; and the last
+    piece of each of these files.
 
     Takes and stages numbers only, no text. A document is closed by its last line and by no
     other, so a second value beside it, an end too many, or one that is missing settles a
@@ -171,8 +176,9 @@ def _places(counted: DataFrame, path: str) -> DataFrame:
         F.max("size").alias("size"),
     )
     whole = (F.col("left_open") == 0) & (F.col("closed") == 1) & (F.col("size") <= LONGEST_RECORD)
+    lasts = files.filter(whole).select("file", F.col("top").alias("piece"), F.lit(True).alias("last"))
     # A file has one row on the right, so one that holds most lines is split by Spark.
-    return places.drop("delta", "depth", "size").join(files.filter(whole).select("file", "top"), "file")
+    return places.drop("delta", "depth", "size").join(lasts, "file", "left_semi"), lasts
 
 
 def _elements(lines: DataFrame, path: str) -> DataFrame:
@@ -202,15 +208,16 @@ def _elements(lines: DataFrame, path: str) -> DataFrame:
         path,
     )
     place = ["file", "block", "row", "part"]
-    cut = counted.select(*place, "line").join(_places(counted.drop("line"), path), place)
+    places, lasts = _places(counted.drop("line"), path)
+    # Both sides hold a row per line, so neither is to be sent whole.
+    cut = counted.select(*place, "line").join(places.hint("merge"), place)
     pieces = cut.groupBy("file", "piece").agg(
         F.array_sort(F.collect_list(F.struct("block", "row", "part", "line"))).alias("parts"),
         F.max("ends").alias("ends"),
         F.max("leads").alias("leads"),
-        F.max("top").alias("top"),
-    )
+    ).join(lasts, ["file", "piece"], "left")
     text = F.array_join("parts.line", "\n")
-    first, last = F.col("piece") == 0, F.col("piece") == F.col("top")
+    first, last = F.col("piece") == 0, F.col("last").isNotNull()
     body = F.when(F.col("leads") > 0, F.regexp_replace("text", r"^\s*,", "")).otherwise(F.col("text"))
     body = F.when(F.col("ends") > 0, F.regexp_replace(body, r",\s*$", "")).otherwise(body)
     bracketed = F.concat(
@@ -296,7 +303,7 @@ def normalize_json_files(
     else:
         spread = _lines_of(text, shaped, is_spread)
         opening = shapes.select("file", "opens_array")
-        pieces = _elements(spread.join(opening, "file"), f"{work}/lines")
+        pieces = _elements(spread.join(opening, "file", "left"), f"{work}/lines")
     parts = stage(
         pieces.withColumn("size", F.coalesce(F.size("items"), F.lit(-1))), f"{work}/elements"
     )
@@ -352,7 +359,9 @@ def normalize_json_files(
             )
         )
         .unionByName(
-            parts.join(good_spread, "file").select("file", F.explode("items").alias("record"))
+            parts.join(good_spread, "file", "left_semi").select(
+                "file", F.explode("items").alias("record")
+            )
         )
         .withColumn("output_name", name)
     )

@@ -238,6 +238,21 @@ def test_an_object_too_long_for_a_record_fails_unread(spark, tmp_path, monkeypat
     assert spark.read.parquet(f"{got.work}/elements").filter(F.col("file").endswith("/long.json")).isEmpty()
 
 
+def test_lines_are_not_sent_through_the_driver(spark, tmp_path):
+    """A table of lines is small on disk, as names repeat, but not where it is sent."""
+    n = 80_000
+    (tmp_path / "pretty.json").write_text(json.dumps([{"id": i, "k": i % 7} for i in range(n)], indent=1))
+    # One page of memory, which the shortest table takes, is up to 32 MiB.
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "40m")
+    try:
+        got = normalize_json_files(spark, str(tmp_path), TARGET)
+        ids = got.records.select(F.try_variant_get("record", "$.id", "long").alias("id"))
+        assert ids.agg(F.count_distinct("id"), F.sum("id")).first()[:] == (n, n * (n - 1) // 2)
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert [(r.status, r.records_converted) for r in got.status.collect()] == [("SUCCESS", n)]
+
+
 def test_names_and_skipped_files(spark, tmp_path):
     inside = tmp_path / "raw" / "batch" / "inventory-raw"
     inside.mkdir(parents=True)
