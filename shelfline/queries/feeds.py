@@ -100,7 +100,10 @@ def held_against(hooked, came):
         return F.when(good, field(payload, f"$.{name}", kind)).alias(name)
 
     time = casts.iso_or_epoch(field(payload, "$.event_timestamp"))
-    return sent.join(came.select("recordId", F.col("data").alias("input")), "recordId").select(
+    # Texts built from a table are far larger than the table on disk, by which Spark would
+    # take them for small enough to be sent through the driver.
+    inputs = came.select("recordId", F.col("data").alias("input")).hint("merge")
+    return sent.join(inputs, "recordId").select(
         "recordId",
         "verdict",
         F.col("data").eqNullSafe(F.col("input")).alias("unchanged"),

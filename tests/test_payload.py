@@ -18,6 +18,7 @@ from shelfline.functions.payload import (
     with_strict_json,
 )
 from shelfline.operators import clean
+from shelfline.queries import QUERIES
 from shelfline.sources.responses import with_first_record, with_payload
 
 
@@ -114,6 +115,14 @@ def test_envelopes(spark):
             assert r.data == datas[int(i)]
 
 
+def test_envelopes_are_not_sent_through_the_driver(spark):
+    """Though the table they are built from is small."""
+    held = QUERIES["transform_records"](spark, "/root/testdata/sf0.001")
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert held.count() == held.select("recordId").distinct().count() > 0
+
+
 def test_crm_cleaning(spark):
     rows = with_payload(texts(
         spark,
