@@ -13,6 +13,8 @@ from __future__ import annotations
 import numpy as np
 
 CLASS = 64
+#: Rows whose logits are held at a time, so that they stay in a core's cache.
+BLOCK = 1024
 
 
 class Net:
@@ -46,39 +48,29 @@ class Net:
         first = self.lists * CLASS
         return np.where(ids < first, ids // CLASS, ids - first + self.lists)
 
-    def step(self, x: np.ndarray, h: np.ndarray):
-        """One step for a batch: gates' input rows x, state h."""
+    def gates(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Input rows and recurrent weights by gate: rows of their own are added several
+        numbers at a time, parts of longer rows are not."""
         k = self.hidden
-        a = h @ self.u
-        zr = a[:, : 2 * k] + x[:, : 2 * k]
-        _logistic(zr)
-        z, r = zr[:, :k], zr[:, k:]
-        n = r * a[:, 2 * k :]
-        n += x[:, 2 * k :]
-        # tanh by the exponential, which numpy computes several at a time.
-        n *= 2
-        _logistic(n)
-        n *= 2
-        n -= 1
-        out = h - n
-        out *= z
-        out += n
-        return out, zr, n, a[:, 2 * k :]
+        cut = lambda v: [np.ascontiguousarray(v[:, i * k : (i + 1) * k]) for i in range(3)]
+        return cut(self.e), cut(self.u)
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log of class and, for listed words, word in class."""
+        """Natural log of class and, for listed words, word in class. States have a column of
+        ones at their end, which takes the bias."""
         classes = self.class_of(targets)
-        logits = states @ self.c
-        logits += self.cb
-        out = _chosen(logits, classes)
+        weights, safe = _stacked(self.c, self.cb)
+        out, room = np.empty(len(targets), np.float32), Room()
+        for at in range(0, len(targets), BLOCK):
+            span = slice(at, at + BLOCK)
+            out[span] = _chosen(room.logits(states[span], weights), classes[span], safe)
         order, edges = self.by_list(classes)
         states, places = states[order], targets[order] % CLASS
-        within = np.empty(len(order), logits.dtype)
+        within = np.empty(len(order), np.float32)
+        weights, safe = _stacked(self.w, self.wb)
         for k in np.flatnonzero(np.diff(edges)).tolist():
             span = slice(edges[k], edges[k + 1])
-            own = states[span] @ self.w[k]
-            own += self.wb[k]
-            within[span] = _chosen(own, places[span])
+            within[span] = _chosen(room.logits(states[span], weights[k]), places[span], safe)
         out[order] += within
         return out
 
@@ -89,32 +81,80 @@ class Net:
         return order[: edges[-1]], edges
 
 
+class Room:
+    """Memory for logits that is used again: new pages take longer than the sums in them."""
+
+    def __init__(self):
+        self.held = np.empty(0, np.float32)
+
+    def logits(self, states: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Overwrites those it gave before."""
+        shape = len(states), weights.shape[1]
+        if len(self.held) < shape[0] * shape[1]:
+            self.held = np.empty(shape[0] * shape[1], np.float32)
+        return np.matmul(states, weights, out=self.held[: shape[0] * shape[1]].reshape(shape))
+
+
 def _logistic(x: np.ndarray) -> None:
-    """In place. Beyond 60 the result is 0 or 1 anyway."""
-    np.negative(x, out=x)
-    np.minimum(x, 60, out=x)
-    np.exp(x, out=x)
-    x += 1
-    np.reciprocal(x, out=x)
+    """In place."""
+    x *= np.float32(0.5)
+    np.tanh(x, out=x)
+    x += np.float32(1)
+    x *= np.float32(0.5)
+
+
+def _step(x: list[np.ndarray], u: list[np.ndarray], h: np.ndarray):
+    """One step for a batch: input rows by gate x, state h. Overwrites x."""
+    z, r, n = x
+    z += h @ u[0]
+    _logistic(z)
+    r += h @ u[1]
+    _logistic(r)
+    a = h @ u[2]
+    n += r * a
+    np.tanh(n, out=n)
+    out = h - n
+    out *= z
+    out += n
+    return out, z, r, n, a
+
+
+def _stacked(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Weights with the bias as their last row; whether no logit's exponential can overflow, as
+    states lie between -1 and 1."""
+    most = np.abs(weights).sum(axis=-2) + bias
+    return np.concatenate([weights, bias[..., None, :]], axis=-2), bool((most <= 60).all())
+
+
+def _lowered(logits: np.ndarray, safe: bool) -> None:
+    """In place. Takes each row's largest off, where the exponential could overflow."""
+    if not safe and logits.size and logits.max() > 60:
+        logits -= logits.max(axis=1, keepdims=True)
 
 
-def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _chosen(logits: np.ndarray, at: np.ndarray, safe: bool) -> np.ndarray:
     """Log softmax of each row at a place. Overwrites the logits."""
+    _lowered(logits, safe)
     found = logits[np.arange(len(at)), at]
-    if logits.size and logits.max() > 60:  # the exponential could overflow
-        top = logits.max(axis=1, keepdims=True)
-        logits -= top
-        found = found - top[:, 0]
     np.exp(logits, out=logits)
     return found - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
 
-def _softmax(logits: np.ndarray) -> None:
-    """In place."""
-    if logits.size and logits.max() > 60:
-        logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
+def _errors(states: np.ndarray, weights: np.ndarray, at: np.ndarray, safe: bool, room: Room):
+    """Summed log loss of a softmax at places, and its gradients by states and weights."""
+    p = room.logits(states, weights)
+    _lowered(p, safe)
+    rows = np.arange(len(at))
+    found = p[rows, at]
+    np.exp(p, out=p)
+    total = p @ np.ones(p.shape[1], p.dtype)
+    loss = float((np.log(total) - found).sum())
+    # The shares' division is done on the narrow sides.
+    p[rows, at] -= total
+    part = (1 / total)[:, None]
+    d_states = p @ np.ascontiguousarray(weights[:-1].T)
+    d_states *= part
+    return loss, d_states, (states * part).T @ p
 
 
 class Trainer:
@@ -157,90 +197,90 @@ class Trainer:
     def _window(self, inputs, targets, first, h):
         net, k = self.net, self.net.hidden
         steps, width = inputs.shape
-        x = net.e[inputs]
-        states = np.empty((steps, width, k), np.float32)
+        inputs, targets = np.ascontiguousarray(inputs), np.ascontiguousarray(targets)
+        e, u = net.gates()
+        prior = np.empty((steps, width, k), np.float32)
+        states = np.ones((steps, width, k + 1), np.float32)
         kept = []
         for s in range(steps):
             if first[s].any():
                 h = np.where(first[s][:, None], np.float32(0), h)
-            before = h
-            h, zr, n, an = net.step(x[s], h)
-            kept.append((before, zr, n, an))
-            states[s] = h
-        flat, wanted = states.reshape(-1, k), targets.reshape(-1)
+            prior[s] = h
+            h, *gates = _step([g.take(inputs[s], axis=0) for g in e], u, h)
+            kept.append(gates)
+            states[s, :, :k] = h
+        flat, wanted = states.reshape(-1, k + 1), targets.reshape(-1)
         scale = np.float32(1 / (self.window * self.streams))
         loss, d_flat = self._output(flat, wanted, scale)
         d_states = d_flat.reshape(steps, width, k)
         d_x = np.empty((steps, width, 3 * k), np.float32)
-        d_a = np.empty_like(d_x)
+        d_u = np.zeros((k, 3 * k), np.float32)
         d_h = np.zeros((width, k), np.float32)
-        u_back = np.ascontiguousarray(net.u.T)
+        u_back = [np.ascontiguousarray(g.T) for g in u]
         for s in range(steps - 1, -1, -1):
-            before, zr, n, an = kept[s]
-            z, r = zr[:, :k], zr[:, k:]
+            before, (z, r, n, a) = prior[s], kept[s]
             d_h += d_states[s]
-            slope = zr * (1 - zr)
-            d_n = d_h * (1 - z)
-            d_n *= 1 - n * n
-            d_z, d_r = d_x[s, :, :k], d_x[s, :, k : 2 * k]
-            np.multiply(d_h, before - n, out=d_z)
-            d_z *= slope[:, :k]
-            np.multiply(d_n, an, out=d_r)
-            d_r *= slope[:, k:]
-            d_x[s, :, 2 * k :] = d_n
-            d_a[s, :, : 2 * k] = d_x[s, :, : 2 * k]
-            np.multiply(d_n, r, out=d_a[s, :, 2 * k :])
+            d_n = 1 - z
+            d_n *= d_h
+            slope = n * n
+            d_n *= np.subtract(1, slope, out=slope)
+            d_z = before - n
+            d_z *= d_h
             d_h *= z
-            d_h += d_a[s] @ u_back
+            z *= np.subtract(1, z, out=slope)
+            d_z *= z
+            d_a = d_n * r
+            a *= d_n
+            r *= np.subtract(1, r, out=slope)
+            d_r = np.multiply(a, r, out=a)
+            for i, (inner, outer) in enumerate(((d_z, d_z), (d_r, d_r), (d_a, d_n))):
+                span = slice(i * k, (i + 1) * k)
+                d_x[s, :, span] = outer
+                d_u[:, span] += before.T @ inner
+                d_h += inner @ u_back[i]
             if first[s].any():
                 d_h = np.where(first[s][:, None], np.float32(0), d_h)
-        prior = np.concatenate([b for b, *_ in kept])
-        self._move("u", prior.T @ d_a.reshape(-1, 3 * k))
+        self._move("u", d_u)
         self._move_rows("e", inputs.reshape(-1), d_x.reshape(-1, 3 * k))
         return h, loss
 
     def _output(self, flat, wanted, scale):
         net, n = self.net, len(wanted)
         classes = net.class_of(wanted)
-        p = flat @ net.c
-        p += net.cb
-        _softmax(p)
-        at = np.arange(n)
-        loss = -float(np.log(p[at, classes]).sum())
-        p[at, classes] -= 1
-        p *= scale
-        d_flat = p @ net.c.T
-        d_w, d_wb = np.zeros_like(net.w), np.zeros_like(net.wb)
+        weights, safe = _stacked(net.c, net.cb)
+        room, loss, d_flat, d_c = Room(), 0.0, np.empty((n, net.hidden), np.float32), np.zeros_like(weights)
+        for at in range(0, n, BLOCK):
+            span = slice(at, at + BLOCK)
+            part, d_flat[span], d = _errors(flat[span], weights, classes[span], safe, room)
+            loss += part
+            d_c += d
+        weights, safe = _stacked(net.w, net.wb)
+        d_w = np.zeros_like(weights)
         order, edges = net.by_list(classes)
         ordered, places = flat[order], wanted[order] % CLASS
-        d_ordered = np.empty_like(ordered)
+        d_ordered = np.empty((len(order), net.hidden), np.float32)
         for k in np.flatnonzero(np.diff(edges)).tolist():
             span = slice(edges[k], edges[k + 1])
-            h = ordered[span]
-            q = h @ net.w[k]
-            q += net.wb[k]
-            _softmax(q)
-            own = np.arange(len(h)), places[span]
-            loss -= float(np.log(q[own]).sum())
-            q[own] -= 1
-            q *= scale
-            d_ordered[span] = q @ net.w[k].T
-            d_w[k], d_wb[k] = h.T @ q, q.sum(axis=0)
+            part, d_ordered[span], d_w[k] = _errors(ordered[span], weights[k], places[span], safe, room)
+            loss += part
         d_flat[order] += d_ordered
-        self._move("c", flat.T @ p)
-        self._move("cb", p.sum(axis=0))
-        self._move("w", d_w)
-        self._move("wb", d_wb)
+        for d in (d_flat, d_c, d_w):
+            d *= scale
+        self._move("c", d_c[:-1])
+        self._move("cb", d_c[-1])
+        self._move("w", d_w[:, :-1])
+        self._move("wb", d_w[:, -1])
         return loss, d_flat
 
     def _move_rows(self, name, ids, gradient):
-        order = np.argsort(ids, kind="stable")
+        # Short integers are sorted by their digits.
+        order = np.argsort(ids.astype(np.int16) if self.net.start < 32768 else ids, kind="stable")
         ids = ids[order]
         starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
         self._move(name, np.add.reduceat(gradient[order], starts, axis=0), ids[starts])
 
 
-def document_scores(net: Net, documents: list[np.ndarray], tail_cost: np.ndarray, batch: int = 8192) -> np.ndarray:
+def document_scores(net: Net, documents: list[np.ndarray], tail_cost: np.ndarray, batch: int = 16384) -> np.ndarray:
     """Natural log-likelihood of whole documents, state carried from first to last token.
 
     ``tail_cost`` holds, per tail class, the log of its summed counts, which is taken off.
@@ -253,27 +293,32 @@ def document_scores(net: Net, documents: list[np.ndarray], tail_cost: np.ndarray
     flat = np.concatenate([documents[i] for i in order]) if len(order) else np.zeros(0, np.int64)
     begins = ends - lengths
     totals = np.zeros(len(order))
-    running = np.searchsorted(-lengths, -np.arange(lengths.max(initial=0)), side="left")
-    h, last = np.zeros((len(order), net.hidden), np.float32), np.full(len(order), net.start)
-    states, targets, rows, held = [], [], [], 0
+    e, u = net.gates()
+    # Room for one more step of all documents that run at a time.
+    states = np.ones((batch + BLOCK, net.hidden + 1), np.float32)
+    targets, rows, every, held = *np.empty((2, len(states)), np.int64), np.arange(len(order)), 0
 
     def settle():
-        wanted, at = np.concatenate(targets), np.concatenate(rows)
-        found = net.log_probabilities(np.concatenate(states), wanted).astype(float)
+        wanted = targets[:held]
+        found = net.log_probabilities(states[:held], wanted).astype(float)
         tail = wanted >= net.lists * CLASS
         found[tail] -= tail_cost[wanted[tail] - net.lists * CLASS]
-        np.add(totals, np.bincount(at, found, len(totals)), out=totals)
-
-    for s, m in enumerate(running):
-        h = net.step(net.e[last[:m]], h[:m])[0]
-        last = flat[begins[:m] + s]
-        states.append(h)
-        targets.append(last)
-        rows.append(np.arange(m))
-        held += m
-        if held >= batch:
-            settle()
-            states, targets, rows, held = [], [], [], 0
+        np.add(totals, np.bincount(rows[:held], found, len(totals)), out=totals)
+
+    # Documents of about the same length run together, few enough for a core's cache.
+    for top in range(0, len(order), BLOCK):
+        longest = lengths[top : top + BLOCK]
+        running = np.searchsorted(-longest, -np.arange(longest[0]), side="left")
+        h, last = np.zeros((len(longest), net.hidden), np.float32), np.full(len(longest), net.start)
+        for s, m in enumerate(running.tolist()):
+            h = _step([g.take(last[:m], axis=0) for g in e], u, h[:m])[0]
+            last = flat[begins[top : top + m] + s]
+            span = slice(held, held + m)
+            states[span, :-1], targets[span], rows[span] = h, last, every[top : top + m]
+            held += m
+            if held >= batch:
+                settle()
+                held = 0
     if held:
         settle()
     out = np.empty(len(order))
