@@ -13,8 +13,10 @@ from __future__ import annotations
 import numpy as np
 
 CLASS = 64
-#: Rows whose logits are held at a time, so that they stay in a core's cache.
+#: Documents that are run together, so that their states stay in a core's cache.
 BLOCK = 1024
+#: Rows whose logits are held at a time: products this small are done without packing.
+ROWS = 512
 
 
 class Net:
@@ -48,29 +50,25 @@ class Net:
         first = self.lists * CLASS
         return np.where(ids < first, ids // CLASS, ids - first + self.lists)
 
-    def gates(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Input rows and recurrent weights by gate: rows of their own are added several
+    def gates(self) -> tuple[np.ndarray, np.ndarray]:
+        """Input rows and recurrent weights, by gate first: rows of their own are added several
         numbers at a time, parts of longer rows are not."""
-        k = self.hidden
-        cut = lambda v: [np.ascontiguousarray(v[:, i * k : (i + 1) * k]) for i in range(3)]
+        cut = lambda v: np.ascontiguousarray(v.reshape(len(v), 3, self.hidden).transpose(1, 0, 2))
         return cut(self.e), cut(self.u)
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """Natural log of class and, for listed words, word in class. States have a column of
-        ones at their end, which takes the bias."""
+        """Natural log of class and, for listed words, word in class."""
         classes = self.class_of(targets)
-        weights, safe = _stacked(self.c, self.cb)
-        out, room = np.empty(len(targets), np.float32), Room()
-        for at in range(0, len(targets), BLOCK):
-            span = slice(at, at + BLOCK)
-            out[span] = _chosen(room.logits(states[span], weights), classes[span], safe)
+        softmax, out = Softmax(self.c, self.cb), np.empty(len(targets), states.dtype)
+        for span in _spans(0, len(targets)):
+            out[span] = softmax.chosen(states[span], classes[span])
         order, edges = self.by_list(classes)
-        states, places = states[order], targets[order] % CLASS
-        within = np.empty(len(order), np.float32)
-        weights, safe = _stacked(self.w, self.wb)
+        states, places = states.take(order, axis=0), targets[order] % CLASS
+        within = np.empty(len(order), states.dtype)
+        softmax = Softmax(self.w, self.wb)
         for k in np.flatnonzero(np.diff(edges)).tolist():
-            span = slice(edges[k], edges[k + 1])
-            within[span] = _chosen(room.logits(states[span], weights[k]), places[span], safe)
+            for span in _spans(edges[k], edges[k + 1]):
+                within[span] = softmax.chosen(states[span], places[span], k)
         out[order] += within
         return out
 
@@ -81,80 +79,75 @@ class Net:
         return order[: edges[-1]], edges
 
 
-class Room:
-    """Memory for logits that is used again: new pages take longer than the sums in them."""
+def _spans(begin: int, end: int) -> list[slice]:
+    return [slice(at, min(at + ROWS, end)) for at in range(begin, end, ROWS)]
 
-    def __init__(self):
-        self.held = np.empty(0, np.float32)
 
-    def logits(self, states: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Overwrites those it gave before."""
-        shape = len(states), weights.shape[1]
-        if len(self.held) < shape[0] * shape[1]:
-            self.held = np.empty(shape[0] * shape[1], np.float32)
-        return np.matmul(states, weights, out=self.held[: shape[0] * shape[1]].reshape(shape))
-
-
-def _logistic(x: np.ndarray) -> None:
-    """In place."""
-    x *= np.float32(0.5)
-    np.tanh(x, out=x)
-    x += np.float32(1)
-    x *= np.float32(0.5)
+class Softmax:
+    """A softmax by weights and bias, or several, each with a number of its own.
 
+    The bias is a factor of the exponentials, so it is applied to sums, not to each logit.
+    """
 
-def _step(x: list[np.ndarray], u: list[np.ndarray], h: np.ndarray):
-    """One step for a batch: input rows by gate x, state h. Overwrites x."""
-    z, r, n = x
-    z += h @ u[0]
-    _logistic(z)
-    r += h @ u[1]
-    _logistic(r)
-    a = h @ u[2]
-    n += r * a
+    def __init__(self, weights: np.ndarray, bias: np.ndarray):
+        self.weights, self.bias = weights, bias - bias.max(axis=-1, keepdims=True)
+        # Whether no exponential or quotient can overflow, as states lie between -1 and 1.
+        self.safe = bool((np.abs(weights).sum(axis=-2) <= 30).all() and (self.bias >= -50).all())
+        self.factor = np.exp(self.bias) if self.safe else np.ones_like(self.bias)
+        self.back = np.ascontiguousarray(np.swapaxes(weights * self.factor[..., None, :], -1, -2))
+        # Memory that is used again: new pages take longer than the sums in them.
+        self.room = np.empty((ROWS, weights.shape[-1]), weights.dtype)
+
+    def _exponentials(self, states: np.ndarray, at: np.ndarray, k) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Exponentials, to be taken times the factor, their sums times the factor, the log
+        loss at places, and these places in the exponentials laid end to end. Overwrites the
+        exponentials it gave before."""
+        p = np.matmul(states, self.weights[k], out=self.room[: len(at)])
+        if not self.safe:
+            p += self.bias[k]
+            p -= p.max(axis=1, keepdims=True)
+        places = at + np.arange(0, p.size, p.shape[1])
+        found = p.reshape(-1).take(places)
+        if self.safe:
+            found += self.bias[k].take(at)
+        np.exp(p, out=p)
+        total = p @ self.factor[k]
+        return p, total, np.log(total) - found, places
+
+    def chosen(self, states: np.ndarray, at: np.ndarray, k=...) -> np.ndarray:
+        """Log share of each row at a place."""
+        return -self._exponentials(states, at, k)[2]
+
+    def errors(self, states: np.ndarray, at: np.ndarray, k=...) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """Summed log loss at places, and its gradients by states, weights and bias."""
+        p, total, losses, places = self._exponentials(states, at, k)
+        # The shares' division and the factor are applied on the narrow sides.
+        p.reshape(-1)[places] -= total / self.factor[k].take(at)
+        part = 1 / total
+        d_states = p @ self.back[k]
+        d_states *= part[:, None]
+        d_weights = (states * part[:, None]).T @ p
+        d_weights *= self.factor[k]
+        return float(losses.sum()), d_states, d_weights, (part @ p) * self.factor[k]
+
+
+def _step(x: np.ndarray, u: np.ndarray, h: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """One step for a batch into ``out``: input rows by gate x, state h. Leaves the gates in x
+    and returns what the state gives to each."""
+    from_state = np.matmul(h, u)
+    both, n = x[:2], x[2]
+    both += from_state[:2]
+    # The logistic function, of half the input.
+    both *= 0.5
+    np.tanh(both, out=both)
+    both *= 0.5
+    both += 0.5
+    n += both[1] * from_state[2]
     np.tanh(n, out=n)
-    out = h - n
-    out *= z
+    np.subtract(h, n, out=out)
+    out *= both[0]
     out += n
-    return out, z, r, n, a
-
-
-def _stacked(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, bool]:
-    """Weights with the bias as their last row; whether no logit's exponential can overflow, as
-    states lie between -1 and 1."""
-    most = np.abs(weights).sum(axis=-2) + bias
-    return np.concatenate([weights, bias[..., None, :]], axis=-2), bool((most <= 60).all())
-
-
-def _lowered(logits: np.ndarray, safe: bool) -> None:
-    """In place. Takes each row's largest off, where the exponential could overflow."""
-    if not safe and logits.size and logits.max() > 60:
-        logits -= logits.max(axis=1, keepdims=True)
-
-
-def _chosen(logits: np.ndarray, at: np.ndarray, safe: bool) -> np.ndarray:
-    """Log softmax of each row at a place. Overwrites the logits."""
-    _lowered(logits, safe)
-    found = logits[np.arange(len(at)), at]
-    np.exp(logits, out=logits)
-    return found - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
-
-
-def _errors(states: np.ndarray, weights: np.ndarray, at: np.ndarray, safe: bool, room: Room):
-    """Summed log loss of a softmax at places, and its gradients by states and weights."""
-    p = room.logits(states, weights)
-    _lowered(p, safe)
-    rows = np.arange(len(at))
-    found = p[rows, at]
-    np.exp(p, out=p)
-    total = p @ np.ones(p.shape[1], p.dtype)
-    loss = float((np.log(total) - found).sum())
-    # The shares' division is done on the narrow sides.
-    p[rows, at] -= total
-    part = (1 / total)[:, None]
-    d_states = p @ np.ascontiguousarray(weights[:-1].T)
-    d_states *= part
-    return loss, d_states, (states * part).T @ p
+    return from_state
 
 
 class Trainer:
@@ -165,9 +158,13 @@ class Trainer:
         self.squares = {n: np.full_like(getattr(net, n), 1e-3) for n in net.NAMES}
 
     def _move(self, name: str, gradient: np.ndarray, rows=slice(None)) -> None:
-        square = self.squares[name]
-        square[rows] += gradient * gradient
-        getattr(self.net, name)[rows] -= self.rate * gradient / np.sqrt(square[rows])
+        room = gradient * gradient
+        room += self.squares[name][rows]
+        self.squares[name][rows] = room
+        np.sqrt(room, out=room)
+        np.divide(gradient, room, out=room)
+        room *= self.rate
+        getattr(self.net, name)[rows] -= room
 
     def learn(self, ids: np.ndarray, first: np.ndarray) -> float:
         """Learn from documents laid end to end; ``first`` marks each one's first token.
@@ -183,7 +180,7 @@ class Trainer:
         inputs[first] = self.net.start
         cut = lambda v: v[: streams * length].reshape(streams, length).T
         i, t, f = cut(inputs), cut(ids), cut(first)
-        h, loss = np.zeros((streams, self.net.hidden), np.float32), 0.0
+        h, loss = np.zeros((streams, self.net.hidden), self.net.u.dtype), 0.0
         for at in range(0, length, self.window):
             span = slice(at, at + self.window)
             h, part = self._window(i[span], t[span], f[span], h)
@@ -199,85 +196,84 @@ class Trainer:
         steps, width = inputs.shape
         inputs, targets = np.ascontiguousarray(inputs), np.ascontiguousarray(targets)
         e, u = net.gates()
-        prior = np.empty((steps, width, k), np.float32)
-        states = np.ones((steps, width, k + 1), np.float32)
+        states = np.empty((steps, width, k), u.dtype)
         kept = []
         for s in range(steps):
             if first[s].any():
-                h = np.where(first[s][:, None], np.float32(0), h)
-            prior[s] = h
-            h, *gates = _step([g.take(inputs[s], axis=0) for g in e], u, h)
-            kept.append(gates)
-            states[s, :, :k] = h
-        flat, wanted = states.reshape(-1, k + 1), targets.reshape(-1)
-        scale = np.float32(1 / (self.window * self.streams))
+                h = np.where(first[s][:, None], u.dtype.type(0), h)
+            x = e.take(inputs[s], axis=1)
+            kept.append((h, x, _step(x, u, h, states[s])[2]))
+            h = states[s]
+        flat, wanted = states.reshape(-1, k), targets.reshape(-1)
+        scale = 1 / (self.window * self.streams)
         loss, d_flat = self._output(flat, wanted, scale)
         d_states = d_flat.reshape(steps, width, k)
-        d_x = np.empty((steps, width, 3 * k), np.float32)
-        d_u = np.zeros((k, 3 * k), np.float32)
-        d_h = np.zeros((width, k), np.float32)
-        u_back = [np.ascontiguousarray(g.T) for g in u]
+        # By gate: the parts that go to the state, then the last gate's part that goes to the input.
+        d = np.empty((4, steps, width, k), u.dtype)
+        d_u = np.zeros((3, k, k), u.dtype)
+        d_h = np.zeros((width, k), u.dtype)
+        u_back = np.ascontiguousarray(u.transpose(0, 2, 1))
         for s in range(steps - 1, -1, -1):
-            before, (z, r, n, a) = prior[s], kept[s]
+            before, (z, r, n), a = kept[s]
+            d_z, d_r, d_a, d_n = d[:, s]
             d_h += d_states[s]
-            d_n = 1 - z
+            np.subtract(1, z, out=d_n)
+            np.multiply(z, d_n, out=d_z)
             d_n *= d_h
             slope = n * n
-            d_n *= np.subtract(1, slope, out=slope)
-            d_z = before - n
+            np.subtract(1, slope, out=slope)
+            d_n *= slope
+            np.subtract(before, n, out=n)
+            d_z *= n
             d_z *= d_h
             d_h *= z
-            z *= np.subtract(1, z, out=slope)
-            d_z *= z
-            d_a = d_n * r
-            a *= d_n
-            r *= np.subtract(1, r, out=slope)
-            d_r = np.multiply(a, r, out=a)
-            for i, (inner, outer) in enumerate(((d_z, d_z), (d_r, d_r), (d_a, d_n))):
-                span = slice(i * k, (i + 1) * k)
-                d_x[s, :, span] = outer
-                d_u[:, span] += before.T @ inner
-                d_h += inner @ u_back[i]
+            np.multiply(d_n, r, out=d_a)
+            a *= d_a
+            np.subtract(1, r, out=r)
+            np.multiply(a, r, out=d_r)
+            d_u += np.matmul(before.T, d[:3, s])
+            for back in np.matmul(d[:3, s], u_back):
+                d_h += back
             if first[s].any():
-                d_h = np.where(first[s][:, None], np.float32(0), d_h)
-        self._move("u", d_u)
-        self._move_rows("e", inputs.reshape(-1), d_x.reshape(-1, 3 * k))
+                d_h = np.where(first[s][:, None], u.dtype.type(0), d_h)
+        self._move("u", d_u.transpose(1, 0, 2).reshape(k, 3 * k))
+        self._move_rows("e", inputs.reshape(-1), [d[i].reshape(-1, k) for i in (0, 1, 3)])
         return h, loss
 
     def _output(self, flat, wanted, scale):
         net, n = self.net, len(wanted)
         classes = net.class_of(wanted)
-        weights, safe = _stacked(net.c, net.cb)
-        room, loss, d_flat, d_c = Room(), 0.0, np.empty((n, net.hidden), np.float32), np.zeros_like(weights)
-        for at in range(0, n, BLOCK):
-            span = slice(at, at + BLOCK)
-            part, d_flat[span], d = _errors(flat[span], weights, classes[span], safe, room)
+        softmax, loss, d_flat = Softmax(net.c, net.cb), 0.0, np.empty_like(flat)
+        d_c, d_cb, d_w, d_wb = (np.zeros_like(getattr(net, name)) for name in ("c", "cb", "w", "wb"))
+        for span in _spans(0, n):
+            part, d_flat[span], d, d_bias = softmax.errors(flat[span], classes[span])
             loss += part
             d_c += d
-        weights, safe = _stacked(net.w, net.wb)
-        d_w = np.zeros_like(weights)
+            d_cb += d_bias
+        softmax = Softmax(net.w, net.wb)
         order, edges = net.by_list(classes)
-        ordered, places = flat[order], wanted[order] % CLASS
-        d_ordered = np.empty((len(order), net.hidden), np.float32)
+        ordered, places = flat.take(order, axis=0), wanted[order] % CLASS
+        d_ordered = np.empty_like(ordered)
         for k in np.flatnonzero(np.diff(edges)).tolist():
-            span = slice(edges[k], edges[k + 1])
-            part, d_ordered[span], d_w[k] = _errors(ordered[span], weights[k], places[span], safe, room)
-            loss += part
+            for span in _spans(edges[k], edges[k + 1]):
+                part, d_ordered[span], d, d_bias = softmax.errors(ordered[span], places[span], k)
+                loss += part
+                d_w[k] += d
+                d_wb[k] += d_bias
         d_flat[order] += d_ordered
-        for d in (d_flat, d_c, d_w):
+        for d in (d_flat, d_c, d_cb, d_w, d_wb):
             d *= scale
-        self._move("c", d_c[:-1])
-        self._move("cb", d_c[-1])
-        self._move("w", d_w[:, :-1])
-        self._move("wb", d_w[:, -1])
+        for name, d in (("c", d_c), ("cb", d_cb), ("w", d_w), ("wb", d_wb)):
+            self._move(name, d)
         return loss, d_flat
 
-    def _move_rows(self, name, ids, gradient):
+    def _move_rows(self, name, ids, gradients):
         # Short integers are sorted by their digits.
         order = np.argsort(ids.astype(np.int16) if self.net.start < 32768 else ids, kind="stable")
         ids = ids[order]
         starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        self._move(name, np.add.reduceat(gradient[order], starts, axis=0), ids[starts])
+        sums = [np.add.reduceat(g.take(order, axis=0), starts, axis=0) for g in gradients]
+        self._move(name, np.concatenate(sums, axis=1), ids[starts])
 
 
 def document_scores(net: Net, documents: list[np.ndarray], tail_cost: np.ndarray, batch: int = 16384) -> np.ndarray:
@@ -295,7 +291,7 @@ def document_scores(net: Net, documents: list[np.ndarray], tail_cost: np.ndarray
     totals = np.zeros(len(order))
     e, u = net.gates()
     # Room for one more step of all documents that run at a time.
-    states = np.ones((batch + BLOCK, net.hidden + 1), np.float32)
+    states = np.empty((batch + BLOCK, net.hidden), e.dtype)
     targets, rows, every, held = *np.empty((2, len(states)), np.int64), np.arange(len(order)), 0
 
     def settle():
@@ -309,16 +305,18 @@ def document_scores(net: Net, documents: list[np.ndarray], tail_cost: np.ndarray
     for top in range(0, len(order), BLOCK):
         longest = lengths[top : top + BLOCK]
         running = np.searchsorted(-longest, -np.arange(longest[0]), side="left")
-        h, last = np.zeros((len(longest), net.hidden), np.float32), np.full(len(longest), net.start)
-        for s, m in enumerate(running.tolist()):
-            h = _step([g.take(last[:m], axis=0) for g in e], u, h[:m])[0]
-            last = flat[begins[top : top + m] + s]
+        h, last = np.zeros((len(longest), net.hidden), e.dtype), np.full(len(longest), net.start)
+        at = begins[top : top + BLOCK].copy()
+        for m in running.tolist():
             span = slice(held, held + m)
-            states[span, :-1], targets[span], rows[span] = h, last, every[top : top + m]
+            _step(e.take(last[:m], axis=1), u, h[:m], states[span])
+            h, last = states[span], flat.take(at[:m])
+            targets[span], rows[span] = last, every[top : top + m]
+            at += 1
             held += m
             if held >= batch:
                 settle()
-                held = 0
+                h, held = h.copy(), 0
     if held:
         settle()
     out = np.empty(len(order))

@@ -1,18 +1,20 @@
 """Scoring texts with a recurrent language model, beside a smoothed unigram base.
 
 1. Words of all training texts are counted, exactly; a text ends with an end token.
-2. A gated recurrent network (gru.py) with a class-factored softmax learns by truncated
+2. Every text is turned once into the network's inputs, which later steps read instead of it.
+3. A gated recurrent network (gru.py) with a class-factored softmax learns by truncated
    backpropagation: first on about ``warm_documents`` training texts, so that the copies
    have a common start, then every task trains a copy on all training texts of its
    partition, and the copies are averaged, weighted by their tokens.
-3. Every text is scored from its first token to its end token with the state carried along.
+4. Every text is scored from its first token to its end token with the state carried along.
 
 The network lists the ``listed`` most frequent words that are held. All other words share ``tails`` classes
 by their last two bytes; within its class a word has its share of the class's counts, each
 0.1 higher, with 0.1 for any word never seen. So the model's probability of a text needs the
 corpus count of every word, as the base does. Counts of up to ``held`` of the most frequent words
-go to all tasks (a fixed size); the other words of a text are summed, joined with the counts by
-word, and added back by text. Nothing else that is gathered goes to the driver but the
+go to the tasks that make inputs (a fixed size), where a Python worker keeps its table of them from
+task to task; the other words of a text are summed, joined with the counts by word, and added
+back by text. Nothing else that is gathered goes to the driver but the
 averaged weights.
 
 Defined results: null and empty texts consist of the end token. Without any training text
@@ -27,6 +29,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -35,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import LOWER, UPPER, staged
-from shelfline.llm.gru import Net, Trainer, document_scores
+from shelfline.llm.gru import CLASS, Net, Trainer, document_scores
 
 LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: The end token; no word holds a space.
@@ -72,7 +75,8 @@ class Vocabulary:
         if vector is None:
             counts = np.zeros(net.wb.size)
             counts[: net.words] = self.counts[: net.words] + 0.1
-            net.wb.reshape(-1)[: net.words] = np.log(counts[: net.words] / counts[: net.words].mean())
+            if net.words:
+                net.wb.reshape(-1)[: net.words] = np.log(counts[: net.words] / counts[: net.words].mean())
             masses = np.concatenate([counts.reshape(net.wb.shape).sum(axis=1), self.tail_sums])
             net.cb[:] = np.log((masses + 0.1) / masses.mean())
         return net
@@ -120,42 +124,98 @@ def vocabulary(counts: DataFrame, listed: int, held: int, tails: int) -> Vocabul
     return Vocabulary([bytes(r["word"]) for r in top], np.array([r["c"] for r in top], dtype=np.int64), tail_sums, total["n"] or 0, total["v"], listed)
 
 
-# --- learning ----------------------------------------------------------------------------
+# --- inputs of the network ---------------------------------------------------------------
 
 
 class Ids:
     """Words to inputs of the network: listed words, then tail classes."""
 
-    def __init__(self, v: Vocabulary, net: Net):
-        self.first, self.tails = net.lists * 64, net.tails
+    def __init__(self, v: Vocabulary):
+        words, self.tails = min(v.listed, len(v.words)), len(v.tail_sums)
+        self.first = -(-max(words, 1) // CLASS) * CLASS
         self.place = {w: i for i, w in enumerate(v.words)}
-        self.inputs = np.array([i if i < net.words else self.first + tail_of(w, net.tails) for i, w in enumerate(v.words)] + [-1], np.int64)
+        self.inputs = np.array([i if i < words else self.first + tail_of(w, self.tails) for i, w in enumerate(v.words)] + [-1], np.int64)
+        # One more entry, for words that are not held: they are summed elsewhere.
+        self.logs = np.append(np.log10(v.counts + 0.1), 0.0)
+        self.tail_logs = np.where(np.arange(len(self.logs)) >= words, self.logs, 0.0)
+        self.kind = kind_of(self.first + self.tails)
+
+    def rows(self, documents: list[list[bytes]]) -> pd.DataFrame:
+        """Per document what ``ENCODED`` lists; all are looked up at a time."""
+        lengths = np.array([len(d) for d in documents])
+        ends = np.cumsum(lengths)
+        words = [w for d in documents for w in d]
+        # Places in the vocabulary; one past its end for words that it lacks.
+        lacking = len(self.place)
+        places = np.fromiter(map(self.place.get, words, repeat(lacking)), np.int64, len(words))
+        inputs, missed = self.inputs[places], np.flatnonzero(places == lacking)
+        rare = [words[i] for i in missed.tolist()]
+        inputs[missed] = [self.first + tail_of(w, self.tails) for w in rare]
+        sent, cuts = inputs.astype(self.kind).tobytes(), np.searchsorted(missed, ends).tolist()
+        # Every document has its end token, so no sum is of nothing.
+        sums = lambda values: np.add.reduceat(values[places], ends - lengths)
+        width = self.kind.itemsize
+        return pd.DataFrame({
+            "n_tokens": lengths,
+            "n_held": lengths - np.diff(cuts, prepend=0),
+            "base": sums(self.logs),
+            "tail": sums(self.tail_logs),
+            "rare": [END.join(rare[i:j]) or None for i, j in zip([0, *cuts], cuts)],
+            "inputs": [sent[width * (e - n) : width * e] for e, n in zip(ends.tolist(), lengths.tolist())],
+        })
+
+
+def kind_of(start: int) -> np.dtype:
+    """How inputs are stored that do not exceed ``start``."""
+    return np.dtype("<u2" if start < 1 << 16 else "<u4")
+
+
+@lru_cache(maxsize=1)
+def _ids(sent) -> Ids:
+    """The table of a broadcast vocabulary, kept by a worker between tasks."""
+    return Ids(Vocabulary(**sent.value))
+
+
+ENCODED = "n_tokens long, n_held long, base double, tail double, rare binary, inputs binary"
+
+
+def _encode(sent, most: int = 1 << 18):
+    @F.pandas_udf(ENCODED)
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        ids = _ids(sent)
+        for texts in batches:
+            found, documents, held = [], [], 0
+            for text in texts:
+                documents.append(words_of(text))
+                held += len(documents[-1])
+                # Texts may be long: few words are looked up at a time.
+                if held >= most:
+                    found.append(ids.rows(documents))
+                    documents, held = [], 0
+            if documents:
+                found.append(ids.rows(documents))
+            yield pd.concat(found, ignore_index=True)
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return self.at(words, self.places(words))
+    return encoded
 
-    def places(self, words: list[bytes]) -> np.ndarray:
-        """Places in the vocabulary; one past its end for words that it lacks."""
-        found = map(self.place.get, words, repeat(len(self.place)))
-        return np.fromiter(found, np.int64, len(words))
 
-    def at(self, words: list[bytes], places: np.ndarray) -> np.ndarray:
-        found = self.inputs[places]
-        for i in np.flatnonzero(found < 0).tolist():
-            found[i] = self.first + tail_of(words[i], self.tails)
-        return found
+# --- learning ----------------------------------------------------------------------------
+
 
+def _net(shape: tuple[int, int, int], vector_sent) -> tuple[Net, np.dtype]:
+    net = Net(*shape, vector=vector_sent.value)
+    return net, kind_of(net.start)
 
-def _train(sent, hidden: int, vector_sent, passes: int, streams: int, buffer: int = 1 << 20):
+
+def _train(shape: tuple[int, int, int], vector_sent, passes: int, streams: int, buffer: int = 1 << 20):
     def run(batches):
-        v = Vocabulary(**sent.value)
-        net = v.net(hidden, vector_sent.value if vector_sent else None)
-        ids, trainer, seen = Ids(v, net), Trainer(net, rate=0.1, streams=streams), 0
+        net, kind = _net(shape, vector_sent)
+        trainer, seen = Trainer(net, rate=0.1, streams=streams), 0
         documents: list[np.ndarray] = []
         held = 0
 
         def learn():
-            flat = np.concatenate(documents)
+            flat = np.concatenate(documents).astype(np.int64)
             first = np.zeros(len(flat), bool)
             first[np.cumsum([0] + [len(d) for d in documents[:-1]])] = True
             for _ in range(passes):
@@ -163,8 +223,8 @@ def _train(sent, hidden: int, vector_sent, passes: int, streams: int, buffer: in
             return len(flat)
 
         for pdf in batches:
-            for text in pdf["text"]:
-                documents.append(ids.of(words_of(text)))
+            for inputs in pdf["inputs"]:
+                documents.append(np.frombuffer(inputs, kind))
                 held += len(documents[-1])
                 if held >= buffer:
                     seen += learn()
@@ -194,58 +254,41 @@ def averaged(copies: DataFrame) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(r["weights"], np.float64) / r["n"] for r in parts]).astype(np.float32)
 
 
-def learned(texts: DataFrame, documents: int, v: Vocabulary, hidden: int, warm_documents: int) -> np.ndarray | None:
-    """Weights after a common start and one pass over all ``texts`` (doc_id, text), so many."""
-    # Broadcast: ``held`` words at most, and the weights of a network of fixed size.
+def learned(texts: DataFrame, documents: int, net: Net, warm_documents: int) -> np.ndarray:
+    """Weights after a common start and one pass over all ``texts`` (doc_id, inputs), so many,
+    from those of ``net``."""
+    # Broadcast: the weights of a network of fixed size.
     context = texts.sparkSession.sparkContext
-    sent = context.broadcast(vars(v))
+    shape, start = (net.words, net.tails, net.hidden), net.vector()
     schema = "part int, n long, weights binary"
     if not documents:
-        return None
+        return start
     share = min(1.0, warm_documents / documents)
     chosen = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < max(int(share * (1 << 20)), 1)
-    warm = staged(texts.filter(chosen), "warm-texts").coalesce(1).mapInPandas(_train(sent, hidden, None, 3, 64), schema)
-    start = averaged(warm)
-    vector_sent = context.broadcast(start) if start is not None else None
-    return averaged(texts.mapInPandas(_train(sent, hidden, vector_sent, 1, 1024), schema))
+    warm = staged(texts.filter(chosen), "warm-texts").coalesce(1).mapInPandas(_train(shape, context.broadcast(start), 3, 64), schema)
+    common = averaged(warm)
+    sent = context.broadcast(start if common is None else common)
+    return averaged(texts.mapInPandas(_train(shape, sent, 1, 1024), schema))
 
 
 # --- scoring -----------------------------------------------------------------------------
 
-SCORED = "n_tokens long, n_held long, base double, score double, rare binary"
 
-
-def _score(sent, hidden: int, vector_sent):
-    @F.pandas_udf(SCORED)
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        v = Vocabulary(**sent.value)
-        net = v.net(hidden, vector_sent.value if vector_sent else None)
-        ids = Ids(v, net)
-        # One more entry, for words that are not held: they are summed elsewhere.
-        logs = np.append(np.log10(v.counts + 0.1), 0.0)
-        tail_logs = np.where(np.arange(len(logs)) >= net.words, logs, 0.0)
-        lacking = len(v.words)
-        tail_cost = np.log(v.tail_sums)
-        def finish(documents, rows):
-            out = pd.DataFrame(rows, columns=["n_tokens", "n_held", "base", "score", "rare"])
-            out["score"] += document_scores(net, documents, tail_cost) / np.log(10)
-            return out
-
-        documents, rows, held = [], [], 0
-        for texts in batches:
-            for text in texts:
-                words = words_of(text)
-                at = ids.places(words)
-                documents.append(ids.at(words, at))
-                rare = [words[i] for i in np.flatnonzero(at == lacking).tolist()]
-                rows.append((len(words), len(words) - len(rare), logs[at].sum(), tail_logs[at].sum(), END.join(rare) if rare else None))
-                held += len(words)
+def _score(shape: tuple[int, int, int], vector_sent, tail_cost: np.ndarray, buffer: int = 1 << 22):
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        net, kind = _net(shape, vector_sent)
+        documents, held = [], 0
+        for column in batches:
+            found = [np.frombuffer(inputs, kind) for inputs in column]
+            documents += found
+            held += sum(map(len, found))
             # Many documents at a time keep the batch wide while long ones go on.
-            if held >= 1 << 20:
-                yield finish(documents, rows)
-                documents, rows, held = [], [], 0
-        if rows:
-            yield finish(documents, rows)
+            if held >= buffer:
+                yield pd.Series(document_scores(net, documents, tail_cost) / np.log(10))
+                documents, held = [], 0
+        if documents:
+            yield pd.Series(document_scores(net, documents, tail_cost) / np.log(10))
 
     return scored
 
@@ -263,26 +306,28 @@ def score(
 
     ``train`` is true for the rows to learn from.
     """
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    texts = docs.filter(train).select("doc_id", F.col("text").cast("string").alias("text"))
-    counts = staged(word_counts(texts.select("text")), "word-counts")
+    rows = docs.select("doc_id", F.coalesce(train, F.lit(False)).alias("train"), F.col("text").cast("string").alias("text"))
+    counts = staged(word_counts(rows.filter("train").select("text")), "word-counts")
     v = vocabulary(counts, listed, held, tails)
     ends = counts.filter(F.col("word") == F.lit(END)).first()
-    vector = learned(texts, ends["c"] if ends else 0, v, hidden, warm_documents)
     context = docs.sparkSession.sparkContext
-    sent, vector_sent = context.broadcast(vars(v)), context.broadcast(vector) if vector is not None else None
-    found = staged(rows.select("doc_id", F.monotonically_increasing_id().alias("row"), _score(sent, hidden, vector_sent)("text").alias("s")).select("doc_id", "row", "s.*"), "scores")
+    encoded = rows.select("doc_id", "train", F.monotonically_increasing_id().alias("row"), _encode(context.broadcast(vars(v)))("text").alias("s"))
+    found = staged(encoded.select("doc_id", "train", "row", "s.*"), "inputs")
+    net = v.net(hidden)
+    vector = learned(found.filter("train").select("doc_id", "inputs"), ends["c"] if ends else 0, net, warm_documents)
+    scored = _score((net.words, net.tails, hidden), context.broadcast(vector), np.log(v.tail_sums))
     rare = found.select("row", F.explode(F.split(F.col("rare").cast("string"), " ")).alias("word")).withColumn("word", F.col("word").cast("binary"))
     joined = rare.join(counts, "word", "left")
     log = F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))
     sums = joined.groupBy("row").agg(F.sum(log).alias("rare_log"), F.count("c").alias("rare_known"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     norm = float(np.log10(v.tokens + 0.1 * (v.distinct + 1)))
-    return found.drop("rare").join(sums, "row", "left").select(
+    scores = staged(found.select("row", "n_tokens", "n_held", "base", "tail", "doc_id", scored("inputs").alias("score")), "scores")
+    return scores.join(sums, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_held") + zero("rare_known")).alias("n_known"),
         F.lit(v.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + zero("rare_log") - F.col("n_tokens") * norm).alias("base_score"),
-        (F.col("score") + zero("rare_log")).alias("score"),
+        (F.col("score") + F.col("tail") + zero("rare_log")).alias("score"),
     )

@@ -291,6 +291,72 @@ def test_language_model_of_odd_inputs(spark, cases):
     assert language_model.score(empty(spark), F.lit(True)).collect() == []
 
 
+def test_language_model_reads_texts_twice(spark, cases):
+    """Once to count their words, once to make inputs of them, which learning and scoring read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(text):
+        seen.add(1)
+        return text
+
+    rows = language_model.score(cases.withColumn("text", read.asNondeterministic()("text")), F.lit(True), listed=2).collect()
+    assert len(rows) == len(CASES) and seen.value == 2 * len(CASES)
+
+
+def test_inputs_of_texts():
+    """All looked up at once, next to one word after the other; in two bytes or in four."""
+    texts = [t for _, t in CASES]
+    counts = Counter(w for t in texts[::2] for w in language_model.words_of(t))
+    words = sorted(counts, key=lambda w: (-counts[w], w))[:5]
+    for tails, width in ((7, 2), (70_000, 4)):
+        v = language_model.Vocabulary(words, np.array([counts[w] for w in words]), np.full(tails, 0.1), 0, 0, 2)
+        ids = language_model.Ids(v)
+        found = ids.rows([language_model.words_of(t) for t in texts])
+        assert ids.kind.itemsize == width
+        for t, r in zip(texts, found.itertuples(index=False)):
+            ws = language_model.words_of(t)
+            want = [words.index(w) if w in words[:2] else 64 + language_model.tail_of(w, tails) for w in ws]
+            assert np.frombuffer(r.inputs, ids.kind).tolist() == want and r.n_tokens == len(ws)
+            assert r.rare == (b" ".join(w for w in ws if w not in words) or None)
+            assert r.n_held == sum(w in words for w in ws)
+            assert r.base == pytest.approx(sum(math.log10(counts[w] + 0.1) for w in ws if w in words))
+            assert r.tail == pytest.approx(sum(math.log10(counts[w] + 0.1) for w in ws if w in words[2:]))
+
+
+def test_softmax_of_large_and_small_weights():
+    """Shares and gradients with the bias as a factor, and where that could overflow."""
+    from shelfline.llm.gru import Softmax
+
+    random = np.random.default_rng(3)
+    for size, spread, safe in ((0.3, 3, True), (20, 3, False), (0.3, 90, False)):
+        w, b = random.normal(0, size, (8, 30)), random.normal(0, spread, 30)
+        states, at = np.tanh(random.normal(size=(200, 8))), random.integers(0, 30, 200)
+        logits = states @ w + b
+        logs = logits - np.logaddexp.reduce(logits, axis=1, keepdims=True)
+        g = np.exp(logs)
+        g[np.arange(200), at] -= 1
+        softmax = Softmax(w.astype(np.float32), b.astype(np.float32))
+        assert softmax.safe == safe
+        near = dict(rtol=1e-4, atol=1e-4 * size * 10 + 1e-4 * spread)
+        np.testing.assert_allclose(softmax.chosen(states.astype(np.float32), at), logs[np.arange(200), at], **near)
+        loss, d_states, d_w, d_b = softmax.errors(states.astype(np.float32), at)
+        assert loss == pytest.approx(-logs[np.arange(200), at].sum(), rel=1e-4)
+        for got, want in ((d_states, g @ w.T), (d_w, states.T @ g), (d_b, g.sum(axis=0))):
+            np.testing.assert_allclose(got, want, **near)
+
+
+def test_scores_of_many_texts_are_those_of_each():
+    from shelfline.llm.gru import Net, document_scores
+
+    net, random = Net(words=70, tails=3, hidden=4), np.random.default_rng(4)
+    documents = [random.integers(0, 70, n).astype(np.uint16) for n in random.integers(1, 60, 1500)]
+    cost = np.zeros(3)
+    together = document_scores(net, documents, cost, batch=700)
+    alone = [document_scores(net, [d], cost)[0] for d in documents]
+    np.testing.assert_allclose(together, alone, rtol=1e-5)
+
+
 def test_probabilities_sum_to_one():
     """Over listed words, and over tail classes, whatever the state."""
     from shelfline.llm.gru import Net
