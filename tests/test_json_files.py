@@ -154,6 +154,25 @@ def test_one_file_holding_most_records_is_spread(spark, tmp_path, separator):
     assert sorted(r["id"] for r in records["hot.json"]) == list(range(5_000))
 
 
+def test_no_task_has_most_records_of_one_file(spark, tmp_path):
+    """Not even one of several tasks, as they are where small files lie beside it."""
+    rows = [{"id": i, "pad": "x" * 50} for i in range(5_000)]
+    (tmp_path / "hot.json").write_text("[\n" + ",\n".join(json.dumps(r, indent=1) for r in rows) + "\n]")
+    (tmp_path / "cold.json").write_text(json.dumps(rows[:3]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = normalize_json_files(spark, str(tmp_path), TARGET)
+        hot = got.records.filter(F.col("file").endswith("hot.json"))
+        tasks = hot.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in tasks) == 5_000
+    assert max(r["count"] for r in tasks) < 2_500
+
+
 SHARED = {
     "braces": json.dumps([A, B, A], indent=2).replace("},\n  {", "}, {"),
     "braces_tight": "[{\n" + '"a": 1\n},{\n"s": "},{"\n},{\n"b": [1,\n2], "c": {"d": [[[[5, 6]]]]}\n}]',
